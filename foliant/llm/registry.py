@@ -3,8 +3,21 @@ from __future__ import annotations
 
 from foliant.llm.byte_bpe import op3_byte_bpe
 from foliant.llm.language_id import op1_language_id
+from foliant.llm.pii import op8_pii
+from foliant.llm.quality_rules import op5_quality_rules
+from foliant.llm.secrets import op7_secrets
 from foliant.llm.simhash import op9_simhash_dedup
 
-QUERIES = {f.__name__: f for f in (op1_language_id, op3_byte_bpe, op9_simhash_dedup)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_language_id,
+        op3_byte_bpe,
+        op5_quality_rules,
+        op7_secrets,
+        op8_pii,
+        op9_simhash_dedup,
+    )
+}
 
 ORACLES: dict[str, str] = {}
