@@ -6,11 +6,15 @@ from pyspark.sql import DataFrame, SparkSession
 from foliant.llm.byte_bpe import encoding_stage
 from foliant.llm.common import table, written
 from foliant.llm.language_id import language_stage
+from foliant.llm.mixing import mixing_stage
+from foliant.llm.pii import pii_stage
 from foliant.llm.simhash import dedup_stage
 
 STAGES = [
     ("language ID", language_stage),
     ("SimHash near-dedup", dedup_stage),
+    ("PII", pii_stage),
+    ("mixing to target weights", mixing_stage),
     ("byte-level BPE", encoding_stage),
 ]
 

@@ -3,20 +3,28 @@ from __future__ import annotations
 
 from foliant.llm.byte_bpe import op3_byte_bpe
 from foliant.llm.language_id import op1_language_id
+from foliant.llm.mixing import op6_mixing
+from foliant.llm.nearest import op2_nearest
 from foliant.llm.pii import op8_pii
+from foliant.llm.quality_classifier import op4_quality_classifier
 from foliant.llm.quality_rules import op5_quality_rules
 from foliant.llm.secrets import op7_secrets
 from foliant.llm.simhash import op9_simhash_dedup
+from foliant.llm.warc import op10_warc
 
 QUERIES = {
     f.__name__: f
     for f in (
         op1_language_id,
+        op2_nearest,
         op3_byte_bpe,
+        op4_quality_classifier,
         op5_quality_rules,
+        op6_mixing,
         op7_secrets,
         op8_pii,
         op9_simhash_dedup,
+        op10_warc,
     )
 }
 
