@@ -21,8 +21,15 @@ def query(sql: str | None = None, name: str | None = None):
 
 
 def queries() -> dict[str, Callable]:
+    _all()
     return dict(QUERIES)
 
 
 def oracles() -> dict[str, str]:
+    _all()
     return dict(ORACLES)
+
+
+def _all() -> None:
+    """Import the modules that register queries."""
+    from foliant.plans import documents, pieces  # noqa: F401
