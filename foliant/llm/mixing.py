@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from foliant.llm.common import bounded_sample, table, written
+from foliant.llm.common import as_row, bounded_sample, table, written
 from foliant.llm.passages import WIDTH, passage_features, words
 
 TRAIN_DOCS = 2000  #: bound of the labelled sample
@@ -149,7 +149,12 @@ def fit_rates(members: DataFrame, domains: list[str], targets: dict[str, float],
     weight = weight / weight.sum()
     goal = weight * min(full[i] / weight[i] for i in range(k) if weight[i] > 0)
     size = np.maximum(goal, 1e-3 * full.sum())
-    step = float(1 / max((full / size**2).sum(), 1e-300))  # below one over the largest curvature
+    pairs = [(i, j) for i in range(k) for j in range(i, k)]
+    moments = members.agg(*[F.sum(F.col("n_tokens") * F.get("p", F.lit(i)) * F.get("p", F.lit(j))) for i, j in pairs]).first()
+    curve = np.zeros((k, k))
+    for (i, j), m in zip(pairs, moments, strict=True):
+        curve[i, j] = curve[j, i] = (m or 0.0) / (size[i] * size[j])
+    step = float(1 / max(np.linalg.eigvalsh(curve)[-1], 1e-300))  # one over the largest curvature
     history: list[list[float]] = []
     steps: list[float] = []
     momenta: list[float] = []
@@ -206,6 +211,6 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents stay at their rates, which are held at 1 at most, so no document is repeated."""
-    rest = [c for c in docs.columns if c != "doc_id"]
-    rows, _, _ = mix(docs, label_domains(table(spark, sf_dir, "labels")), TARGETS, *rest, most=1.0)
-    return rows.where("copies > 0").select(*docs.columns)
+    held = docs.select("doc_id", "text", as_row(docs).alias("row"))
+    rows, _, _ = mix(held, label_domains(table(spark, sf_dir, "labels")), TARGETS, "row", most=1.0)
+    return rows.where("copies > 0").select("row.*")
