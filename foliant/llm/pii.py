@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foliant.llm.common import table, written
+from foliant.llm.common import as_row, table, written
 from foliant.llm.spans import joined, overlaps, with_matches
 
 PATTERNS = {
@@ -28,7 +28,7 @@ MIN_SEEDS = 5  #: different seeds that a pattern must rest on
 RELIABLE = 0.6  #: the least score of a pattern that is used
 TOKEN_DIGITS = 5  #: digits of an identifier-like token
 
-_OCTET = r"0*+(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[0-9]{1,2})"
+_OCTET = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[0-9]{1,2})"
 
 
 def _digits(match: Column) -> Column:
@@ -127,6 +127,8 @@ def masked(text: Column, spans: Column) -> Column:
 
 def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document stays; the spans found in its text are replaced by <kind>, and n_chars follows."""
-    rest = [c for c in docs.columns if c not in ("doc_id", "text")]
-    done = find_pii(docs, "text", *rest).withColumn("text", masked(F.col("text"), F.col("spans")))
-    return done.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
+    found = find_pii(docs.select("doc_id", "text", as_row(docs).alias("row")), "row")
+    text = masked(F.col("row.text"), F.col("spans"))
+    changed = {"text": text, "n_chars": F.length(text).cast(docs.schema["n_chars"].dataType)}
+    done = found.select(*[F.coalesce(changed[c], F.col(f"row.`{c}`")).alias(c) if c in changed else F.col(f"row.`{c}`").alias(c) for c in docs.columns])
+    return done
