@@ -55,6 +55,11 @@ def drop_written(df: DataFrame) -> None:
         hadoop.getFileSystem(conf).delete(hadoop, True)
 
 
+def as_row(df: DataFrame) -> Column:
+    """All of df's columns in one struct, so that none can clash with what an operator adds."""
+    return F.struct(*[F.col(f"`{c}`") for c in df.columns])
+
+
 def crc_fold(doc_id: Column) -> Column:
     """crc32 of the id as text, mod 5; null for a null id."""
     return F.crc32(doc_id.cast("string").cast("binary")) % 5

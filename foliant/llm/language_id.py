@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from foliant.llm.common import bounded_sample, crc_fold, held_out, table
+from foliant.llm.common import as_row, bounded_sample, crc_fold, held_out, table
 
 BITS = 12  #: 2**BITS hashed n-gram features
 CHUNK = 1 << 20  #: code points that are held as arrays at once
@@ -154,16 +154,19 @@ def predict_column(spark: SparkSession, model: EcocModel, text: Column) -> Colum
 
 
 def identify(docs: DataFrame, model: EcocModel) -> DataFrame:
-    """docs with a struct `language_id`. Null, empty or letterless texts: `und`, score 0, ambiguous."""
-    return docs.select("*", predict_column(docs.sparkSession, model, F.col("text")).alias("language_id"))
+    """(row, lang_pred, score, ambiguous): each row of docs as a struct, and its language. Null, empty or letterless
+    texts: `und`, score 0, ambiguous. Repeated rows are each predicted; an empty table gives no rows; other columns,
+    whatever their names, only pass through."""
+    found = predict_column(docs.sparkSession, model, F.col("text"))
+    return docs.select(as_row(docs).alias("row"), found.alias("found")).select("row", "found.*")
 
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     found = identify(docs.select("doc_id", "text"), train(docs))
-    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "language_id.lang_pred", "language_id.score", "language_id.ambiguous")
+    return found.select("row.doc_id", held_out(F.col("row.doc_id")).alias("held_out"), "lang_pred", "score", "ambiguous")
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which no language is found go; the rest stay, ambiguous ones included."""
-    return identify(docs, train(docs)).where(F.col("language_id.lang_pred") != UNKNOWN).select(*docs.columns)
+    return identify(docs, train(docs)).where(F.col("lang_pred") != UNKNOWN).select("row.*")

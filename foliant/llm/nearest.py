@@ -170,7 +170,7 @@ def classes(vectors: DataFrame, ids_kept: int) -> DataFrame:
         held: dict[bytes, list[int]] = {}
 
         def flush() -> pd.DataFrame:
-            out = pd.DataFrame({"b": list(held), "ids": [sorted(set(x))[:ids_kept] for x in held.values()]})
+            out = pd.DataFrame({"b": list(held), "ids": [sorted(set(x))[:ids_kept] for x in held.values()]}, dtype=object)
             held.clear()
             return out
 
