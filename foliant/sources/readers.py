@@ -86,7 +86,7 @@ def probe_documents(files: DataFrame, probe: Callable[[bytes], dict[str, Any]] =
                 rows.append({"page_count": -1, "pdf_readable": False, "is_encrypted": False, "is_zero_page": False, "is_malformed": True, "error_message": str(e)})
         return pd.DataFrame(rows, columns=[f.name for f in PROBE])
 
-    return files.withColumn("health", run("content")).drop("content")
+    return files.select(*[c for c in files.columns if c != "content"], run("content").alias("health"))
 
 
 def read_pages(files: DataFrame, extract: Callable[[bytes], Iterator[dict[str, Any]]], schema: str, key: str = "pdf_path") -> DataFrame:
@@ -102,7 +102,8 @@ def read_pages(files: DataFrame, extract: Callable[[bytes], Iterator[dict[str, A
                 except Exception as e:  # noqa: BLE001
                     found = [{key: at, "processing_status": "error", "error_message": str(e)}]
                 if found:
-                    yield pd.DataFrame(found).reindex(columns=names)
+                    full = pd.DataFrame(found, dtype=object).reindex(columns=names).astype(object)
+                    yield full.where(full.notna(), None)
 
     return files.select(key, "content").mapInPandas(rows, schema)
 
