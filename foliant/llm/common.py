@@ -71,7 +71,8 @@ def held_out(doc_id: Column) -> Column:
 
 def bounded_sample(df: DataFrame, label: str, key: str, bound: int, seed: int = 7) -> DataFrame:
     """About `bound` rows of df in all, as evenly over the values of `label` as they allow, chosen by a hash of
-    `key`. Labels are counted first (a partial aggregate), so nothing is sorted and no label lands in one task."""
+    `key`. Labels are counted first (a partial aggregate), so nothing is sorted and no label lands in one task. The
+    result is bounded whatever the input, so it may be broadcast and its texts be brought to the driver."""
     counts = {r[0]: r[1] for r in df.groupBy(label).count().collect() if r[0] is not None}
     if not counts:
         return df.limit(0)

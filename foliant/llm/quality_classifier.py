@@ -93,7 +93,7 @@ def train(docs: DataFrame, labels: DataFrame, bound: int = TRAIN_DOCS) -> MilMod
     known = labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull() & (crc_fold(F.col("doc_id")) != 0)).select("doc_id", F.col("quality").alias("y"))
     text = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).where(F.length("text") <= TRAIN_CHARS)
     shares = {r.y: r["count"] for r in known.groupBy("y").count().collect()}
-    rows = text.join(bounded_sample(known, "y", "doc_id", bound), "doc_id").select("y", _encoded(F.col("text").cast("binary")).alias("x")).collect()
+    rows = text.join(F.broadcast(bounded_sample(known, "y", "doc_id", bound)), "doc_id").select("y", _encoded(F.col("text").cast("binary")).alias("x")).collect()
     rows.sort(key=lambda r: (r.y, r.x))
     model = fit([np.frombuffer(r.x, np.float32).reshape(-1, WIDTH) for r in rows], [r.y for r in rows])
     if model.p and len(shares) == 2:
