@@ -139,3 +139,28 @@ def judge(docs: DataFrame, language: str = "lang", source: str = "source") -> Da
 
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(table(spark, sf_dir, "documents")).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "against")
+
+
+def _limits_sql(relation: str, group: str) -> str:
+    columns = []
+    for r, (slack, low) in RATIOS.items():
+        reach = f"greatest((quantile_disc({r}, 0.75) - quantile_disc({r}, 0.25)) * {FENCE}, {slack})"
+        columns += [f"quantile_disc({r}, 0.75) + {reach} AS high_{r}", (f"quantile_disc({r}, 0.25) - {reach}" if low else "-1") + f" AS low_{r}"]
+    return f"SELECT {group}count(*) AS n, {', '.join(columns)} FROM {relation} WHERE NOT base_failed"
+
+
+_OVER = ", ".join(f"CASE WHEN {r} NOT BETWEEN coalesce(g.low_{r}, a.low_{r}) AND coalesce(g.high_{r}, a.high_{r}) THEN '{r}' END" for r in RATIOS)
+
+#: The same rows in DuckDB's SQL, with exact quantiles of the same bins.
+ORACLE_SQL = rf"""
+WITH w AS (SELECT doc_id, lang, source, coalesce(text, '') AS t, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+win AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, k) AS c FROM (SELECT doc_id, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS k FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM w WHERE len(w) >= 3))),
+cov AS (SELECT doc_id, count(DISTINCT i + d) AS n FROM win, (SELECT unnest(range(0, 3)) AS d) WHERE c > 1 GROUP BY doc_id),
+s0 AS (SELECT w.doc_id, lang, source, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars, (length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
+  list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines, coalesce(cov.n, 0)::BIGINT AS n_repeat_words FROM w LEFT JOIN cov ON cov.doc_id = w.doc_id),
+s1 AS (SELECT *, len(lines)::BIGINT AS n_lines, (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, n_words < {MIN_WORDS} OR n_repeat_words * 100 > n_words * {MAX_REPEAT_PERCENT} AS base_failed FROM s0),
+s AS (SELECT *, CASE WHEN word_chars > 0 THEN least({BINS}, n_symbols * {BINS} // word_chars) ELSE 0 END AS symbol_ratio, CASE WHEN n_lines > 0 THEN least({BINS}, n_dup_lines * {BINS} // n_lines) ELSE 0 END AS dup_line_ratio,
+  CASE WHEN n_words > 0 THEN least({BINS}, n_repeat_words * {BINS} // n_words) ELSE 0 END AS repeat_ratio, CASE WHEN n_words > 0 THEN least({BINS}, word_chars * {BINS // 50} // n_words) ELSE 0 END AS word_length FROM s1),
+g AS ({_limits_sql("s", "lang, source, ")} GROUP BY lang, source HAVING count(*) >= {MIN_GROUP}), a AS ({_limits_sql("s", "")}),
+v AS (SELECT s.*, array_to_string(list_filter([{_OVER}], lambda x: x IS NOT NULL), ',') AS over_ FROM s LEFT JOIN g ON g.lang IS NOT DISTINCT FROM s.lang AND g.source IS NOT DISTINCT FROM s.source CROSS JOIN a)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND over_ = '' AS kept, CASE WHEN base_failed THEN 'base' ELSE over_ END AS against FROM v"""

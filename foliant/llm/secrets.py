@@ -87,3 +87,31 @@ def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_secrets(docs, "source", "repo").select(
         "doc_id", *[n(k) for k in BASE], F.sha2(joined(F.col("base")), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"), "n_live"
     )
+
+
+def _hits_sql(kind: str, k: int, pattern: str, value: str) -> str:
+    pattern = pattern.replace("'", "''")
+    total = lambda x: f"coalesce(list_sum(list_transform({x}, lambda y: length(y))), 0)"
+    return f"""SELECT doc_id, source, '{kind}' AS kind, {k} AS k, ({total("p[1:i]")} + {total("m[1:i - 1]")})::BIGINT AS s, ({total("p[1:i]")} + {total("m[1:i]")})::BIGINT AS e, {value} AS v
+FROM (SELECT doc_id, source, p, m, unnest(range(1, len(m) + 1)) AS i FROM (SELECT doc_id, source, string_split_regex(t, '{pattern}') AS p, regexp_extract_all(t, '{pattern}') AS m FROM d))"""
+
+
+_ASSIGN_SQL = PATTERNS["assign"].replace("'", "''")
+_TEXT_SQL = "array_to_string(list_transform({}, lambda x: x.kind || ':' || x.s || ':' || x.e), ',')"
+
+#: The same rows in DuckDB's SQL, whose patterns need no looking around: each match takes its whole run.
+ORACLE_SQL = f"""
+WITH d AS (SELECT doc_id, source, coalesce(text, '') AS t FROM documents),
+base AS (SELECT * FROM ({_hits_sql("assign", 0, PATTERNS["assign"], f"regexp_extract(m[i], '{_ASSIGN_SQL}', 1)")}) WHERE length(v) >= {VALUE_LENGTH}
+  UNION ALL SELECT * FROM ({_hits_sql("access", 1, "AKIA[A-Z0-9]+", "m[i]")}) WHERE length(v) >= {ACCESS_LENGTH}
+  UNION ALL {_hits_sql("hex", 2, "[0-9a-f]{32,}", "m[i]")}),
+tokens AS ({_hits_sql("live", 3, "[A-Za-z0-9+/_=-]{20,}", "m[i]")}),
+every AS (SELECT *, len(list_distinct(string_split(v, ''))) >= {DISTINCT_CHARACTERS} AND regexp_matches(v, '[0-9]') AND regexp_matches(v, '[A-Za-z]') AND NOT regexp_matches(v, '{PLACEHOLDER}') AS random
+  FROM (SELECT * FROM base UNION ALL SELECT * FROM tokens o WHERE NOT EXISTS (SELECT 1 FROM base b WHERE b.doc_id = o.doc_id AND b.s < o.e AND o.s < b.e))),
+kept AS (SELECT * FROM every WHERE kind <> 'live' OR random),
+owned AS (SELECT v, count(DISTINCT source) AS owners FROM kept GROUP BY v),
+judged AS (SELECT kept.*, random AND owners = 1 AS live FROM kept JOIN owned USING (v)),
+told AS (SELECT doc_id, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access, count(*) FILTER (kind = 'hex') AS n_hex, count(*) FILTER (live) AS n_live,
+  list({{'kind': kind, 's': s, 'e': e}} ORDER BY s, k) FILTER (kind <> 'live') AS b, list({{'kind': kind, 's': s, 'e': e}} ORDER BY s, k) FILTER (kind <> 'live' OR live) AS a FROM judged GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex, coalesce(n_live, 0) AS n_live,
+  sha256(coalesce({_TEXT_SQL.format("b")}, '')) AS base_sha256, coalesce({_TEXT_SQL.format("a")}, '') AS spans FROM d LEFT JOIN told USING (doc_id)"""

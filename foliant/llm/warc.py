@@ -218,3 +218,12 @@ def round_trip(pages: DataFrame, folder: str | None = None, smallest: int = 0) -
 
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(table(spark, sf_dir, "pages"))
+
+
+#: The same rows in DuckDB's SQL; five hexadecimal digits make four of base 32.
+ORACLE_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages), f AS (SELECT h, min(page_id) AS first FROM p GROUP BY h),
+d AS (SELECT h, first, array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+  1 + ((('0x' || substr(sha1(h), 1 + 5 * (i // 4), 5))::INT >> (15 - 5 * (i % 4))::INT) & 31)::INT, 1)), '') AS digest FROM f)
+SELECT page_id, strlen(h)::BIGINT AS payload_bytes, digest AS payload_digest, CASE WHEN page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN page_id <> first THEN first END AS refers_to FROM p JOIN d USING (h)"""
