@@ -265,6 +265,13 @@ def best_pass(candidates: Column) -> Column:
     return F.get(F.array_sort(scored), F.lit(0))["x"]
 
 
+def first_pages_confidence(pages: DataFrame, key: str, first: int = 2) -> DataFrame:
+    """Per document over its first pages: the mean OCR confidence, and the best of any pass or page."""
+    ranked = pages.withColumn("_n", F.row_number().over(W.partitionBy(key).orderBy("page_num"))).where(F.col("_n") <= first)
+    passes = F.array_max(F.transform("ocr_candidates", lambda x: x["confidence"]))
+    return ranked.groupBy(key).agg(F.avg(F.when(yes(F.col("ocr_applied")), F.col("ocr_confidence"))).alias("mean_confidence"), F.max(F.coalesce(passes, F.col("ocr_confidence"))).alias("best_confidence"))
+
+
 def bar_share(df: DataFrame, value: str, *group: str) -> DataFrame:
     """value as a percentage of its group's largest, by a join of the aggregate."""
     keys = list(group) or ["_all"]

@@ -62,6 +62,21 @@ def gray_metrics(raw: bytes | None, width: int | None, height: int | None, dark:
     }
 
 
+def skew_angle(raw: bytes | None, width: int | None, height: int | None, dark: int = 128, reach: float = 5.0, step: float = 0.5) -> float | None:
+    """The shear, in degrees, under which rows of ink are sharpest; null without enough ink."""
+    if raw is None or not width or not height or len(raw) < width * height:
+        return None
+    y, x = np.nonzero(np.frombuffer(raw, np.uint8, width * height).reshape(int(height), int(width)) < dark)
+    if len(y) < 50:
+        return None
+    best = (-1.0, 0.0)
+    for angle in np.arange(-reach, reach + step / 2, step):
+        rows = np.round(y + x * np.tan(np.radians(angle))).astype(np.int64)
+        sharp = float((np.bincount(rows - rows.min()).astype(np.float64) ** 2).sum())
+        best = max(best, (sharp, float(angle)), key=lambda b: (b[0], -abs(b[1])))
+    return round(best[1], 2)
+
+
 def pixel_metrics(df: DataFrame, key: str, raster: str = "raster", width: str = "width", height: str = "height") -> DataFrame:
     fields = "text_density double, black_white_ratio double, contrast_std double, blur_variance double, staff_line_count int, has_staves boolean"
     return enrich(df, key, [raster, width, height], lambda r: gray_metrics(r[raster], r[width], r[height]), fields)

@@ -119,3 +119,17 @@ def zones(spans: Column) -> Column:
         pick(lambda s: top(s) & (s["x"] > 0.62)).alias("top_right"),
         pick(lambda s: s["y"] >= 0.82).alias("bottom"),
     )
+
+
+def prominent(spans: Column, share: float = 0.85, most: int = 5) -> Column:
+    """The texts of spans nearly as large as the largest, from the top."""
+    top = F.array_max(F.transform(spans, lambda s: s["size"]))
+    big = F.filter(spans, lambda s: s["size"] >= top * share)
+    order = F.array_sort(F.transform(big, lambda s: F.struct(s["y"].alias("y"), s["x"].alias("x"), s["text"].alias("text"))))
+    return F.slice(F.transform(order, lambda s: s["text"]), 1, most)
+
+
+def excerpt_lines(text: Column, most: int = 8) -> Column:
+    """The first lines that aren't blank."""
+    lines = F.transform(F.split(F.coalesce(text, F.lit("")), "\n"), lambda x: F.trim(x))
+    return F.slice(F.filter(lines, lambda x: x != ""), 1, most)

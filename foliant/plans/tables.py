@@ -12,6 +12,12 @@ def load(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFram
     return df.select(*columns) if columns else df
 
 
+def register_views(spark: SparkSession, sf_dir: str, names: list[str]) -> None:
+    """Tables as temporary views, for SQL and for looking rows up by id."""
+    for name in names:
+        load(spark, sf_dir, name).createOrReplaceTempView(name)
+
+
 def document_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as pages with metrics: a piece is a source, a page a document of it."""
     docs = load(spark, sf_dir, "documents", "doc_id", "source", "lang", "text", "n_chars")

@@ -82,6 +82,19 @@ def add_to_cache(results: DataFrame, path: str, status: str = "status") -> None:
     results.where(F.col(status) == "success").write.mode("append").parquet(path)
 
 
+def write_sheets(tables: dict[str, DataFrame], path: str, width: int = 60) -> dict[str, list[int]]:
+    """A workbook as one CSV a sheet, an empty sheet holding `(no data)`; returns each sheet's column widths (the
+    longest cell's, at most `width`)."""
+    widths = {}
+    for name, df in tables.items():
+        cells = df.select(*[csv_cell(F.col(f"`{f.name}`"), f.dataType.typeName()).alias(f.name) for f in df.schema])
+        longest = cells.agg(F.count("*").alias("_n"), *[F.max(F.length(f"`{c}`")).alias(c) for c in cells.columns]).first()
+        widths[name] = [min(width, max(len(c), longest[c] or 0) + 2) for c in cells.columns]
+        sheet = df if longest["_n"] else df.sparkSession.createDataFrame([("(no data)",)], "note string")
+        write_csv(sheet, f"{path}/{name}", single=True)
+    return widths
+
+
 def thumbnail_paths(*sides: DataFrame, column: str = "thumbnail_path") -> DataFrame:
     out = sides[0].select(column)
     for s in sides[1:]:

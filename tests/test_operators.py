@@ -229,3 +229,33 @@ def test_stream_upserts(spark, tmp_path):
     run()
     got = {r.k: (r.n, r.fingerprint) for r in I.latest(spark, str(tmp_path / "table"), "k").collect()}
     assert got == {"a": (2, "y"), "b": (2, "w")} and seen == [(0, 2), (1, 1)]
+
+
+def test_sheets_and_views(spark, sf, tmp_path):
+    from foliant.plans.tables import register_views
+
+    full = spark.createDataFrame([("a" * 100, True)], "t string, f boolean")
+    widths = sinks.write_sheets({"one": full, "none": full.limit(0)}, str(tmp_path))
+    assert widths == {"one": [60, 6], "none": [3, 3]}
+    assert next((tmp_path / "none").glob("*.csv")).read_text().splitlines() == ["note", "(no data)"]
+    register_views(spark, sf, ["region"])
+    assert spark.sql("select r_name from region where r_regionkey = 0").first().r_name == "AFRICA"
+
+
+def test_first_pages_and_lines(spark):
+    pages = spark.createDataFrame([("d", 1, True, 0.5, [(0.9,)]), ("d", 2, False, 0.7, None), ("d", 3, True, 1.0, None)], "d string, page_num int, ocr_applied boolean, ocr_confidence double, ocr_candidates array<struct<confidence:double>>")
+    assert tuple(A.first_pages_confidence(pages, "d").first()) == ("d", 0.5, 0.9)
+    spans = spark.createDataFrame([([(0.5, 0.2, 20.0, "March"), (0.1, 0.1, 18.0, "Flute"), (0.9, 0.1, 8.0, "Doe")],)], "s array<struct<x:double,y:double,size:double,text:string>>")
+    assert spans.select(C.prominent(F.col("s")).alias("p")).first().p == ["Flute", "March"]
+    assert spans.select(C.excerpt_lines(F.lit(" a \n\n b"))).first()[0] == ["a", "b"]
+
+
+def test_skew():
+    import numpy as np
+
+    g = np.full((200, 300), 255, np.uint8)
+    for base in range(20, 190, 15):
+        for x in range(300):
+            g[int(round(base - x * np.tan(np.radians(2.0)))) % 200, x] = 0
+    assert abs(G.skew_angle(g.tobytes(), 300, 200) - 2.0) <= 0.5
+    assert G.skew_angle(np.full((10, 10), 255, np.uint8).tobytes(), 10, 10) is None
