@@ -2,15 +2,14 @@
 
 A classifier learnt from a labelled table gives every document posteriors over domains. With n its tokens and p its
 posteriors, a document kept at rate r adds r n p to the domains' expected token totals. The rates are fitted by
-accelerated projected-gradient least squares: nonnegative, and such that the totals meet the target weights.
+projected-gradient least squares: nonnegative, and such that the totals meet the target weights.
 
 The gradient of a document's rate depends on the corpus only through the domains' totals. So an iteration is one
-aggregate of a few sums over a narrow table, the driver keeps only the history of these sums, and a document's
-current rate is replayed from it: no state is written, and a lost executor costs a recomputed task.
+aggregate of a few sums over a narrow table, the driver keeps one number a domain, and a document's current rate
+follows from it: no state is written, and a lost executor costs a recomputed task.
 """
 from __future__ import annotations
 
-import json
 from dataclasses import dataclass
 
 import numpy as np
@@ -20,24 +19,23 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from foliant.llm.common import as_row, bounded_sample, table, written
-from foliant.llm.passages import WIDTH, passage_features, words
+from foliant.llm.passages import passage_features, words
 
 TRAIN_DOCS = 2000  #: bound of the labelled sample
 TRAIN_CHARS = 200_000  #: longer documents are not learnt from (all are scored whole)
 HASHED = 1 << 12  #: hashed words
 #: The mix of op6 and the pipeline: shares of the tokens of good, poor and toxic documents.
 TARGETS = {"good": 0.92, "poor": 0.05, "toxic": 0.03}
-ROUNDS, TOLERANCE = 40, 0.01
+ROUNDS, TOLERANCE = 20, 0.01
 
 
-def _dense(text: bytes) -> np.ndarray:
-    f = passage_features(text)
-    return np.concatenate([f.mean(0), f.max(0)])
-
-
-def _bag(text: bytes) -> np.ndarray:
-    """The hashed words that occur, each once."""
-    return np.unique(words(text)[2] & np.uint32(HASHED - 1)).astype(np.uint16)
+def _read(text: bytes) -> tuple[np.ndarray, np.ndarray, int]:
+    """The hashed words that occur, each once; the passages' surface, on average and at most; how many words."""
+    parsed = words(text)
+    f = passage_features(None, parsed, grams=False)
+    there = np.zeros(HASHED, bool)
+    there[parsed[2] & np.uint32(HASHED - 1)] = True
+    return np.flatnonzero(there).astype(np.uint16), np.concatenate([f.mean(0), f.max(0)]), len(parsed[1])
 
 
 @dataclass
@@ -47,15 +45,15 @@ class DomainModel:
     domains: list[str]
     mean: np.ndarray
     scale: np.ndarray
-    w: np.ndarray  # (HASHED + 2 * WIDTH, domains)
+    w: np.ndarray  # (HASHED + 2 * SURFACE, domains)
     b: np.ndarray
 
     def logits(self, bag: np.ndarray, dense: np.ndarray) -> np.ndarray:
         found = self.w[bag].sum(0) if len(bag) else 0
         return found + np.clip((dense - self.mean) / self.scale, -8, 8) @ self.w[HASHED:] + self.b
 
-    def posteriors(self, text: bytes) -> np.ndarray:
-        z = self.logits(_bag(text), _dense(text))
+    def posteriors(self, bag: np.ndarray, dense: np.ndarray) -> np.ndarray:
+        z = self.logits(bag, dense)
         e = np.exp(z - z.max())
         return e / e.sum()
 
@@ -85,14 +83,15 @@ def fit(bags: list[np.ndarray], dense: np.ndarray, of: np.ndarray, domains: list
 
 @F.pandas_udf(T.StructType([T.StructField("bag", T.BinaryType()), T.StructField("dense", T.BinaryType())]))
 def _training_row(texts: pd.Series) -> pd.DataFrame:
-    return pd.DataFrame({"bag": [_bag(t).tobytes() for t in texts], "dense": [_dense(t).tobytes() for t in texts]})
+    read = [_read(t) for t in texts]
+    return pd.DataFrame({"bag": [r[0].tobytes() for r in read], "dense": [r[1].tobytes() for r in read]}, dtype=object)
 
 
 def train(docs: DataFrame, labelled: DataFrame, bound: int = TRAIN_DOCS) -> DomainModel | None:
     """Learn the domains from labelled (doc_id, domain), at most about `bound` documents. None if none is labelled."""
     known = labelled.where(F.col("domain").isNotNull() & F.col("doc_id").isNotNull()).select("doc_id", "domain")
     text = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).where(F.length("text") <= TRAIN_CHARS)
-    rows = text.join(bounded_sample(known, "domain", "doc_id", bound), "doc_id").select("domain", _training_row(F.col("text").cast("binary")).alias("x")).select("domain", "x.*").collect()
+    rows = text.join(F.broadcast(bounded_sample(known, "domain", "doc_id", bound)), "doc_id").select("domain", _training_row(F.col("text").cast("binary")).alias("x")).select("domain", "x.*").collect()
     if not rows:
         return None
     rows.sort()
@@ -108,72 +107,62 @@ def memberships(docs: DataFrame, model: DomainModel, *keep: str) -> DataFrame:
 
     @F.pandas_udf("n long, p array<double>")
     def posteriors(texts: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame({"n": [len(words(t)[1]) for t in texts], "p": [shipped.value.posteriors(t).astype(float) for t in texts]})
+        read = [_read(t) for t in texts]
+        return pd.DataFrame({"n": [r[2] for r in read], "p": [shipped.value.posteriors(r[0], r[1]).astype(float) for r in read]})
 
     found = posteriors(F.coalesce("text", F.lit("")).cast("binary"))
     return docs.select("doc_id", *keep, found.alias("x")).select("doc_id", *keep, F.col("x.n").alias("n_tokens"), "x.p")
 
 
-def replayed(history: list[list[float]], steps: list[float], momenta: list[float], most: float | None) -> Column:
-    """A row's rate after the given gradients of the domains, by accelerated projected steps from rate 1."""
-    if not history:
-        return F.struct(F.lit(1.0).alias("r"), F.lit(1.0).alias("y"))
-    # one literal, folded once: the plan stays small over many rounds
-    told = json.dumps([{"g": g, "s": s, "m": m} for g, s, m in zip(history, steps, momenta, strict=True)])
-    rounds = F.from_json(F.lit(told), "array<struct<g:array<double>,s:double,m:double>>")
-
-    def step(acc: Column, x: Column) -> Column:
-        slope = F.aggregate(F.zip_with("p", x["g"], lambda a, b: a * b), F.lit(0.0), lambda a, b: a + b)
-        r = F.greatest(F.lit(0.0), acc["y"] - x["s"] * slope)
-        r = F.least(r, F.lit(float(most))) if most is not None else r
-        return F.struct(r.alias("r"), (r + x["m"] * (r - acc["r"])).alias("y"))
+def rate_at(theta: list[float]) -> Column:
+    """A row's rate: 1, moved along its posteriors by the accumulated gradient, projected to be nonnegative."""
+    moved = F.lit(1.0)
+    for i, t in enumerate(theta):
+        moved = moved - F.get("p", F.lit(i)) * F.lit(float(t))
+    return F.greatest(F.lit(0.0), moved)
 
-    start = F.struct(F.lit(1.0).alias("r"), F.lit(1.0).alias("y"))
-    return F.aggregate(rounds, start, step)
 
-
-def fit_rates(members: DataFrame, domains: list[str], targets: dict[str, float], most: float | None = None, rounds: int = ROUNDS) -> tuple[Column, dict]:
+def fit_rates(members: DataFrame, domains: list[str], targets: dict[str, float], rounds: int = ROUNDS) -> tuple[Column, dict]:
     """The rate as a column over members (n_tokens, p), and what was reached. Targets are normalised over the domains
-    that have tokens. The budget is the largest that no domain's tokens at rate 1 fall short of. Squared errors are
-    relative to the targets; steps are measured per token, so a document's length doesn't set its pace."""
-    k = len(domains)
-
-    def totals(rate: Column) -> np.ndarray:
-        sums = members.select(F.col("n_tokens").alias("n"), "p", rate.alias("y")).agg(*[F.sum(F.col("n") * F.col("y") * F.get("p", F.lit(i))) for i in range(k)]).first()
-        return np.array([x or 0.0 for x in sums], float)
+    that have tokens. The budget is the largest that no domain's tokens at rate 1 fall short of.
 
-    full = totals(F.lit(1.0))
+    Projected gradient with lazy projection: the gradients of the squared residuals add up over the rounds (in a
+    document they act through its posteriors alone, so their sum is one number a domain) and the sum is projected.
+    Steps are measured per token, so a document's length doesn't set its pace, and are scaled by the inverse
+    curvature over the documents that the projection leaves free. A round is one aggregate of some sums."""
+    k = len(domains)
+    pairs = [(i, j) for i in range(k) for j in range(i, k)]
+    p = [F.get("p", F.lit(i)) for i in range(k)]
+
+    def sums(theta: list[float]) -> tuple[np.ndarray, np.ndarray]:
+        """The domains' totals, and the second moments over free documents."""
+        rows = members.select("n_tokens", "p", rate_at(theta).alias("r"))
+        free = F.when(F.col("r") > 0, F.col("n_tokens")).otherwise(0)
+        got = rows.agg(*[F.sum(F.col("n_tokens") * F.col("r") * x).alias(f"t{i}") for i, x in enumerate(p)], *[F.sum(free * p[i] * p[j]).alias(f"c{i}_{j}") for i, j in pairs]).first()
+        curve = np.zeros((k, k))
+        for i, j in pairs:
+            curve[i, j] = curve[j, i] = got[f"c{i}_{j}"] or 0.0
+        return np.array([got[f"t{i}"] or 0.0 for i in range(k)], float), curve
+
+    theta = np.zeros(k)
+    full, curve = sums(theta.tolist())
     weight = np.array([targets.get(d, 0.0) for d in domains]) * (full > 0)
     if not weight.sum():
-        return F.lit(1.0), {"reached": full.tolist(), "targets": full.tolist(), "rounds": 0}
+        return F.lit(1.0), {"reached": full.tolist(), "targets": full.tolist(), "error": 0.0, "rounds": 0}
     weight = weight / weight.sum()
     goal = weight * min(full[i] / weight[i] for i in range(k) if weight[i] > 0)
     size = np.maximum(goal, 1e-3 * full.sum())
-    pairs = [(i, j) for i in range(k) for j in range(i, k)]
-    moments = members.agg(*[F.sum(F.col("n_tokens") * F.get("p", F.lit(i)) * F.get("p", F.lit(j))) for i, j in pairs]).first()
-    curve = np.zeros((k, k))
-    for (i, j), m in zip(pairs, moments, strict=True):
-        curve[i, j] = curve[j, i] = (m or 0.0) / (size[i] * size[j])
-    step = float(1 / max(np.linalg.eigvalsh(curve)[-1], 1e-300))  # one over the largest curvature
-    history: list[list[float]] = []
-    steps: list[float] = []
-    momenta: list[float] = []
-    best, now = None, full
-    for t in range(rounds):
-        gradient = (now - goal) / size**2
-        history.append(gradient.tolist())
-        steps.append(step)
-        momenta.append(t / (t + 3))
-        state = replayed(history, steps, momenta, most)
-        now = totals(state["y"])
-        error = float(np.abs((now - goal) / size).max())
-        if best is None or error < best[0]:
-            best = (error, len(history), now)
-        if error <= TOLERANCE:
+    damping = 1e-3 * np.diag(np.diag(curve)) + 1e-9 * np.trace(curve) * np.eye(k)
+    now, best = full, (float(np.abs((full - goal) / size).max()), theta, full, 0)
+    for t in range(1, rounds + 1):
+        if best[0] <= TOLERANCE:
             break
-    n = best[1]
-    final = replayed(history[:n], steps[:n], [*momenta[: n - 1], 0.0], most)["r"]
-    return final, {"reached": best[2].tolist(), "targets": goal.tolist(), "error": best[0], "rounds": n}
+        theta = theta + np.linalg.solve(curve + damping, now - goal)
+        now, curve = sums(theta.tolist())
+        error = float(np.abs((now - goal) / size).max())
+        if error < best[0]:
+            best = (error, theta, now, t)
+    return rate_at(best[1].tolist()), {"reached": best[2].tolist(), "targets": goal.tolist(), "error": best[0], "rounds": best[3]}
 
 
 def label_domains(labels: DataFrame) -> DataFrame:
@@ -186,7 +175,7 @@ def uniform(key: Column) -> Column:
     return F.pmod(F.xxhash64(key, F.lit(17)), F.lit(1 << 30)) / float(1 << 30)
 
 
-def mix(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], *keep: str, most: float | None = None) -> tuple[DataFrame, list[str], dict]:
+def mix(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], *keep: str) -> tuple[DataFrame, list[str], dict]:
     """Rows (doc_id, keep, n_tokens, p, rate, copies): how many copies of each row a mix takes, its rate rounded up
     or down by a hash of its id. Null or empty texts have no tokens and a rate like others; repeated rows each count;
     without labels every rate is 1."""
@@ -195,7 +184,7 @@ def mix(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], *keep:
         plain = docs.select("doc_id", *keep, F.size(F.array_remove(F.split(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+"), "")).cast("long").alias("n_tokens"), F.array().cast("array<double>").alias("p"))
         return plain.withColumn("rate", F.lit(1.0)).withColumn("copies", F.lit(1).cast("long")), [], {}
     members = written(memberships(docs, model, *keep), "members")
-    rate, reached = fit_rates(members, model.domains, targets, most)
+    rate, reached = fit_rates(members, model.domains, targets)
     rated = members.withColumn("rate", rate)
     draw = (uniform(F.col("doc_id")) < F.col("rate") - F.floor("rate")).cast("long")
     return rated.withColumn("copies", F.floor("rate").cast("long") + draw), model.domains, reached
@@ -210,7 +199,7 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents stay at their rates, which are held at 1 at most, so no document is repeated."""
+    """Documents stay at their rates; one whose rate is above 1 stays once, so no document is repeated."""
     held = docs.select("doc_id", "text", as_row(docs).alias("row"))
-    rows, _, _ = mix(held, label_domains(table(spark, sf_dir, "labels")), TARGETS, "row", most=1.0)
+    rows, _, _ = mix(held, label_domains(table(spark, sf_dir, "labels")), TARGETS, "row")
     return rows.where("copies > 0").select("row.*")
