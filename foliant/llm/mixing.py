@@ -122,9 +122,11 @@ def rate_at(theta: list[float]) -> Column:
     return F.greatest(F.lit(0.0), moved)
 
 
-def fit_rates(members: DataFrame, domains: list[str], targets: dict[str, float], rounds: int = ROUNDS) -> tuple[Column, dict]:
+def fit_rates(members: DataFrame, domains: list[str], targets: dict[str, float], rounds: int = ROUNDS, whole: str | None = None) -> tuple[Column, dict]:
     """The rate as a column over members (n_tokens, p), and what was reached. Targets are normalised over the domains
-    that have tokens. The budget is the largest that no domain's tokens at rate 1 fall short of.
+    that have tokens. The budget is the largest that no domain's tokens at rate 1 fall short of. With `whole`, a
+    domain that has tokens and a target, it is the one that takes exactly its tokens at rate 1: no others are cut
+    below their shares of it, and domains that are scarcer than that aim at their own tokens at rate 1.
 
     Projected gradient with lazy projection: the gradients of the squared residuals add up over the rounds (in a
     document they act through its posteriors alone, so their sum is one number a domain) and the sum is projected.
@@ -150,7 +152,11 @@ def fit_rates(members: DataFrame, domains: list[str], targets: dict[str, float],
     if not weight.sum():
         return F.lit(1.0), {"reached": full.tolist(), "targets": full.tolist(), "error": 0.0, "rounds": 0}
     weight = weight / weight.sum()
-    goal = weight * min(full[i] / weight[i] for i in range(k) if weight[i] > 0)
+    kept = domains.index(whole) if whole in domains else None
+    if kept is not None and weight[kept] > 0:
+        goal = np.minimum(weight * (full[kept] / weight[kept]), full)
+    else:
+        goal = weight * min(full[i] / weight[i] for i in range(k) if weight[i] > 0)
     size = np.maximum(goal, 1e-3 * full.sum())
     damping = 1e-3 * np.diag(np.diag(curve)) + 1e-9 * np.trace(curve) * np.eye(k)
     now, best = full, (float(np.abs((full - goal) / size).max()), theta, full, 0)
@@ -175,16 +181,16 @@ def uniform(key: Column) -> Column:
     return F.pmod(F.xxhash64(key, F.lit(17)), F.lit(1 << 30)) / float(1 << 30)
 
 
-def mix(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], *keep: str) -> tuple[DataFrame, list[str], dict]:
+def mix(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], *keep: str, whole: str | None = None) -> tuple[DataFrame, list[str], dict]:
     """Rows (doc_id, keep, n_tokens, p, rate, copies): how many copies of each row a mix takes, its rate rounded up
     or down by a hash of its id. Null or empty texts have no tokens and a rate like others; repeated rows each count;
-    without labels every rate is 1."""
+    without labels every rate is 1. `whole`: see fit_rates."""
     model = train(docs, labelled)
     if model is None:
         plain = docs.select("doc_id", *keep, F.size(F.array_remove(F.split(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+"), "")).cast("long").alias("n_tokens"), F.array().cast("array<double>").alias("p"))
         return plain.withColumn("rate", F.lit(1.0)).withColumn("copies", F.lit(1).cast("long")), [], {}
     members = written(memberships(docs, model, *keep), "members")
-    rate, reached = fit_rates(members, model.domains, targets)
+    rate, reached = fit_rates(members, model.domains, targets, whole=whole)
     rated = members.withColumn("rate", rate)
     draw = (uniform(F.col("doc_id")) < F.col("rate") - F.floor("rate")).cast("long")
     return rated.withColumn("copies", F.floor("rate").cast("long") + draw), model.domains, reached
@@ -199,7 +205,9 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents stay at their rates; one whose rate is above 1 stays once, so no document is repeated."""
+    """Documents stay at their rates; one whose rate is above 1 stays once, so no document is repeated. The budget is
+    that of all good tokens, so poor and toxic ones are cut down to their shares of it, and good ones aren't cut where
+    the others are scarce."""
     held = docs.select("doc_id", "text", as_row(docs).alias("row"))
-    rows, _, _ = mix(held, label_domains(table(spark, sf_dir, "labels")), TARGETS, "row")
+    rows, _, _ = mix(held, label_domains(table(spark, sf_dir, "labels")), TARGETS, "row", whole="good")
     return rows.where("copies > 0").select("row.*")

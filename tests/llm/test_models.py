@@ -130,6 +130,33 @@ def test_mixing_is_the_nearest_feasible_point(spark):
     assert np.allclose(np.maximum(0, 1 - p @ theta), got, atol=1e-6)
 
 
+def test_mixing_stage_keeps_clean_documents_where_toxic_ones_are_scarce(spark):
+    """About 1 % toxic tokens, below their target: no clean document goes for that, and poor ones are still cut."""
+    size = F.size(F.split("text", r"\s+"))
+    both = spark.read.parquet(f"{SF01}/documents.parquet").join(M.label_domains(spark.read.parquet(f"{SF01}/labels.parquet")), "doc_id").withColumn("size", size)
+    total = {r.domain: r["sum(size)"] for r in both.groupBy("domain").sum("size").collect()}
+    left, few = 0.01 * (total["good"] + total["poor"]), []
+    for r in both.where("domain = 'toxic'").orderBy("size").collect():
+        if r.size <= left:
+            left -= r.size
+            few.append(r.doc_id)
+    docs = both.where((F.col("domain") != "toxic") | F.col("doc_id").isin(few)).drop("size")
+    kept = M.mixing_stage(spark, docs, SF01)
+    before, after = ({r.domain: r["count"] for r in d.groupBy("domain").count().collect()} for d in (docs, kept))
+    assert few and after["good"] >= 0.99 * before["good"]
+    assert after["poor"] < 0.8 * before["poor"]
+
+
+def test_rates_with_a_whole_domain(spark):
+    """The whole domain keeps its tokens; plentiful domains are cut to their shares of it, scarce ones are not."""
+    df = spark.createDataFrame([(900, [1.0, 0.0, 0.0]), (100, [0.0, 1.0, 0.0]), (1, [0.0, 0.0, 1.0])], "n_tokens long, p array<double>")
+    targets = {"good": 0.9, "poor": 0.05, "toxic": 0.05}
+    rate, told = M.fit_rates(df, ["good", "poor", "toxic"], targets, whole="good")
+    assert [r[0] for r in df.select(rate).collect()] == pytest.approx([1, 0.5, 1], rel=0.02)
+    assert told["targets"] == pytest.approx([900, 50, 1])
+    assert M.fit_rates(df, ["good", "poor", "toxic"], {"poor": 0.5, "toxic": 0.5}, whole="good")[1]["targets"] == pytest.approx([0, 1, 1])
+
+
 def test_mixing_with_targets_out_of_reach(spark):
     df = spark.createDataFrame([(10, [0.5, 0.5]), (20, [0.5, 0.5])], "n_tokens long, p array<double>")
     rate, told = M.fit_rates(df, ["a", "b"], {"a": 0.9, "b": 0.1})
