@@ -4,7 +4,9 @@ Cosine search is maximum inner product search over unit vectors. A product quant
 dimensions gives four-bit codes; it is trained, and vectors are encoded, under a loss that weighs the part of the
 residual that is parallel to the vector ETA times as much as the rest, since that is the part that spoils large inner
 products. A query's products with the centres make lookup tables; scanning a block's codes through them ranks its
-vectors, the best of which are reranked by exact cosine in double precision on the original vectors.
+vectors. The best of them set a threshold by their exact cosine, and all vectors whose approximate score, with the
+residual's bound, can reach it are reranked by exact cosine in double precision: no number of them is fixed, so a group
+of near copies with equal codes is reranked whole.
 
 Every candidate is scanned, a block of candidates against a block of queries at a time. Equal vectors are one class
 first, with no more of its ids than can show in a result, so a vector that a third of all rows share is one candidate.
@@ -26,7 +28,10 @@ SAMPLE = 10_000  #: vectors that the quantiser is fitted on, at most about
 THRESHOLD = 0.2  #: inner products above it matter; sets the weight of the parallel residual
 BLOCK = 8192  #: candidate classes in a block
 QUERIES = 1024  #: queries in a block
-RERANK = 256  #: candidates of a block that are reranked for each query
+RERANK = 256  #: candidates of a block that set each query's threshold; all that can reach it are reranked
+TOGETHER = 64  #: queries whose candidates are reranked together
+SLACK = 1e-4  #: more than the rounding of approximate scores (single precision)
+ROUNDING = 1e-9  #: more than the rounding of exact ones
 FLUSH = 50_000  #: classes held at once while rows are merged
 
 
@@ -93,6 +98,17 @@ class Quantiser:
                 total = rest + parallel[:, m]
         return codes
 
+    def split(self, vectors: np.ndarray, packed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """What packed codes stand for: its part along its unit vector, and the length of the rest."""
+        x = self.halves(vectors)
+        codes = np.stack([packed & 15, packed >> 4], 2).reshape(len(packed), -1)[:, : x.shape[1]]
+        along, square = np.zeros(len(x)), np.zeros(len(x))
+        for m in range(x.shape[1]):
+            chosen = self.books[m, codes[:, m]].astype(np.float64)
+            along += (chosen * x[:, m]).sum(1)
+            square += (chosen * chosen).sum(1)
+        return along, np.sqrt(np.maximum(square - along * along, 0))
+
     @staticmethod
     def pack(codes: np.ndarray) -> np.ndarray:
         """Two four-bit codes to a byte."""
@@ -118,30 +134,43 @@ def scan(codes: np.ndarray, tables: np.ndarray) -> np.ndarray:
     return out
 
 
+def least(along: np.ndarray, aside: np.ndarray, cosine: np.ndarray) -> np.ndarray:
+    """The least approximate score that a vector with split() (along, aside) can have where its cosine is `cosine` or
+    more. At the cosine s it is along * s - aside * sqrt(1 - s * s) or more, which is convex in s."""
+    c = np.clip(cosine, -1, 1)
+    size = np.hypot(along, aside)
+    at = along * c - aside * np.sqrt(1 - c * c)
+    return np.where(-along > c * size, -size, at) - SLACK
+
+
 def search_block(vectors: np.ndarray, codes: np.ndarray, ids: np.ndarray, queries: np.ndarray, query_ids: np.ndarray, quantiser: Quantiser, k: int, rerank: int) -> pd.DataFrame:
-    """The k best of a block for each query: (query_id, vec_id, score)."""
-    tables, best = quantiser.tables(queries), []
-    for at in range(0, len(codes), 1024):
-        part = scan(codes[at : at + 1024], tables).T
-        top = min(rerank, part.shape[1])
-        cut = np.argpartition(-part, top - 1, axis=1)[:, :top] if top < part.shape[1] else np.tile(np.arange(part.shape[1]), (len(part), 1))
-        best.append((np.take_along_axis(part, cut, 1), cut + at))
-    approx, place = (np.concatenate(x, 1) for x in zip(*best, strict=True))
-    top = min(rerank, approx.shape[1])
-    place = np.take_along_axis(place, np.argpartition(-approx, top - 1, axis=1)[:, :top], 1)
+    """The k best of a block for each query: (query_id, vec_id, score). The `rerank` candidates of the best approximate
+    scores give a threshold, the (k + 1)-th exact score among them; every candidate that can reach it is scored."""
+    tables = quantiser.tables(queries)
+    approx = np.concatenate([scan(codes[at : at + 1024], tables) for at in range(0, len(codes), 1024)]).T
     lengths = np.sqrt((vectors * vectors).sum(1))
+    unit, asked = vectors / lengths[:, None], queries / np.sqrt((queries * queries).sum(1, keepdims=True))
+    along, aside = quantiser.split(vectors, codes)
+    first, need = min(max(rerank, k + 1), len(vectors)), min(k + 1, len(vectors))
     out = []
-    for q, query_id, own in zip(queries, query_ids, place, strict=True):
-        v = vectors[own]
-        score = (v * q).sum(1) / (lengths[own] * np.sqrt((q * q).sum()))
-        row = np.argsort(-score, kind="stable")[: k + 1 + int((score == np.partition(score, -min(k + 1, len(score)))[-min(k + 1, len(score))]).sum())]
-        found = ids[own[row]]
-        s = np.repeat(score[row], found.shape[1])
-        found = found.ravel()
-        keep = (found >= 0) & (found != query_id + OFFSET)
-        found, s = found[keep], s[keep]
-        order = np.lexsort((found, -s))[:k]
-        out.append((np.full(len(order), query_id), found[order] - OFFSET, s[order]))
+    for at in range(0, len(queries), TOGETHER):
+        part, some = approx[at : at + TOGETHER], asked[at : at + TOGETHER]
+        place = np.argpartition(-part, first - 1, axis=1)[:, :first]
+        reached = np.partition(np.einsum("qtd,qd->qt", unit[place], some), -need, axis=1)[:, -need]
+        rows = np.flatnonzero(~(part < least(along, aside, reached[:, None])).all(0))
+        exact = some @ unit[rows].T
+        cuts = np.partition(exact, -need, axis=1)[:, -need] - ROUNDING
+        for q, query_id, scores, cut in zip(queries[at : at + TOGETHER], query_ids[at : at + TOGETHER], exact, cuts, strict=True):
+            own = rows[~(scores < cut)]
+            score = (vectors[own] * q).sum(1) / (lengths[own] * np.sqrt((q * q).sum()))
+            row = np.argsort(-score, kind="stable")[: k + 1 + int((score == np.partition(score, -need)[-need]).sum())]
+            found = ids[own[row]]
+            s = np.repeat(score[row], found.shape[1])
+            found = found.ravel()
+            keep = (found >= 0) & (found != query_id + OFFSET)
+            found, s = found[keep], s[keep]
+            order = np.lexsort((found, -s))[:k]
+            out.append((np.full(len(order), query_id), found[order] - OFFSET, s[order]))
     cols = [np.concatenate(x) for x in zip(*out, strict=True)]
     return pd.DataFrame(dict(zip(("query_id", "vec_id", "score"), cols, strict=True)))
 

@@ -481,6 +481,43 @@ def test_nearest_edges(spark):
     assert N.nearest(few.limit(0), few.limit(0)).count() == 0 and N.usable(df.limit(0))[1] == 0
 
 
+@pytest.mark.parametrize("spread", [0.03, 0.01, 0.001, 0.0])
+def test_nearest_in_a_hot_group(spread):
+    """A third of a block are near copies (or, at 0, scaled ones): more than are reranked first, with like codes."""
+    from foliant.llm import nearest as N
+
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(3000, 64))
+    x[:1000] = (rng.normal(size=64) + spread * rng.normal(size=(1000, 64))) * rng.uniform(0.5, 2, (1000, 1))
+    quantiser = N.Quantiser.fit(x)
+    codes, ids = quantiser.pack(quantiser.encode(quantiser.halves(x))), np.full((len(x), 6), -1)
+    ids[:, 0] = np.arange(len(x)) + N.OFFSET
+    asked = np.r_[:60, 2000:2060]
+    got = N.search_block(x, codes, ids, x[asked], asked, quantiser, 5, 256)
+    unit = x / np.sqrt((x * x).sum(1, keepdims=True))
+    for q, rows in got.groupby("query_id"):
+        s = unit @ unit[q]
+        s[q] = -2
+        assert len(rows) == 5 and np.allclose(rows.score, s[rows.vec_id], atol=1e-12)
+        assert (rows.score >= np.sort(s)[-5:][::-1] - 1e-12).all()
+    assert got.query_id.nunique() == len(asked)
+
+
+def test_approximate_scores_stay_above_their_bound():
+    from foliant.llm import nearest as N
+
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(400, 7))
+    q = N.Quantiser.fit(x[:50])
+    codes = q.pack(q.encode(q.halves(x)))
+    along, aside = q.split(x, codes)
+    unit = x / np.sqrt((x * x).sum(1, keepdims=True))
+    cosine = unit @ unit.T
+    approx = N.scan(codes, q.tables(x))
+    for lower in (0, 0.1, 0.5, 1.5):
+        assert (approx >= N.least(along[:, None], aside[:, None], cosine - lower)).all()
+
+
 def test_anisotropic_loss_is_lower():
     """Coordinate descent encodes at no more loss than nearest centres do."""
     from foliant.llm.nearest import Quantiser, scan
