@@ -14,6 +14,7 @@ first, with no more of its ids than can show in a result, so a vector that a thi
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -179,16 +180,24 @@ def search_block(vectors: np.ndarray, codes: np.ndarray, ids: np.ndarray, querie
 OFFSET = 1 << 62
 
 
-def usable(vectors: DataFrame, key: str = "vec_id", column: str = "embedding") -> tuple[DataFrame, int]:
-    """(vec_id, v array<double>) of the vectors that take part, and their dimension. Null, empty and zero vectors,
-    those with null or non-finite components, null ids, and vectors of any but the most common dimension (the larger
-    of equally common ones) take no part."""
+def valid(vectors: DataFrame, key: str = "vec_id", column: str = "embedding") -> DataFrame:
+    """(vec_id, v array<double>) of the vectors that take part, of whatever dimensions. Null, empty and zero vectors,
+    those with null or non-finite components, and null ids take no part."""
     bad = F.exists("v", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     zero = F.forall("v", lambda x: x == 0)
     v = vectors.select(F.col(key).cast("long").alias("vec_id"), F.col(column).cast("array<double>").alias("v"))
-    v = v.where(F.col("vec_id").isNotNull() & F.col("v").isNotNull() & (F.size("v") > 0) & ~bad & ~zero)
-    sizes = v.groupBy(F.size("v").alias("d")).count().orderBy(F.desc("count"), F.desc("d")).first()
-    d = sizes["d"] if sizes else 0
+    return v.where(F.col("vec_id").isNotNull() & F.col("v").isNotNull() & (F.size("v") > 0) & ~bad & ~zero)
+
+
+def dimensions(v: DataFrame) -> list[int]:
+    """The dimensions of vectors, the most common first (the larger of equally common ones)."""
+    return [r["d"] for r in v.groupBy(F.size("v").alias("d")).count().orderBy(F.desc("count"), F.desc("d")).collect()]
+
+
+def usable(vectors: DataFrame, key: str = "vec_id", column: str = "embedding") -> tuple[DataFrame, int]:
+    """The valid vectors of the most common dimension, and that dimension (0 if there is none)."""
+    v = valid(vectors, key, column)
+    d = next(iter(dimensions(v)), 0)
     return v.where(F.size("v") == d), d
 
 
@@ -265,6 +274,13 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5, rerank: int = RE
     return found.withColumn("rank", place).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
+def nearest_by_dimension(vectors: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
+    """nearest() among the vectors of each query's own dimension; both as valid() gives them."""
+    parts = [nearest(vectors.where(F.size("v") == d), queries.where(F.size("v") == d), k) for d in dimensions(vectors) or [0]]
+    return reduce(DataFrame.union, parts)
+
+
 def op2_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    vectors, _ = usable(table(spark, sf_dir, "embeddings"))
-    return nearest(vectors, vectors.where("vec_id % 50 = 0"), 5)
+    """Vectors of different dimensions are searched apart."""
+    vectors = valid(table(spark, sf_dir, "embeddings"))
+    return nearest_by_dimension(vectors, vectors.where("vec_id % 50 = 0"), 5)

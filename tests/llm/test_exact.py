@@ -481,6 +481,20 @@ def test_nearest_edges(spark):
     assert N.nearest(few.limit(0), few.limit(0)).count() == 0 and N.usable(df.limit(0))[1] == 0
 
 
+def test_nearest_in_two_dimensions(spark, tmp_path):
+    """Queries of the rarer dimension have their neighbours too, among their like."""
+    from foliant.llm import nearest as N
+
+    rng = np.random.default_rng(6)
+    rows = [(i, [float(x) for x in rng.normal(size=4 if i % 3 else 6)]) for i in range(301)] + [(350, [1.0, 2.0])]
+    spark.createDataFrame(rows, "vec_id long, embedding array<double>").write.parquet(f"{tmp_path}/embeddings.parquet")
+    got = collections.defaultdict(list)
+    for r in sorted(N.op2_nearest(spark, str(tmp_path)).collect(), key=lambda r: (r.query_id, r.rank)):
+        got[r.query_id].append(r.vec_id)
+    want = {q: [i for i, _ in x] for d in (4, 6) for q, x in brute([r for r in rows if len(r[1]) == d]).items()}
+    assert {0, 150, 300} < set(want) and got == want
+
+
 @pytest.mark.parametrize("spread", [0.03, 0.01, 0.001, 0.0])
 def test_nearest_in_a_hot_group(spread):
     """A third of a block are near copies (or, at 0, scaled ones): more than are reranked first, with like codes."""
