@@ -43,6 +43,11 @@ def test_greedy_match_extends_the_index_pass(spark, sf):
     assert greedy.count() > filled
 
 
+def test_greedy_match_has_every_line_item_as_a_slot(spark, sf):
+    greedy = registry.queries()["slot_greedy_match"](spark, sf).where("kind = 'slot'")
+    assert greedy.count() == spark.read.parquet(f"{sf}/lineitem.parquet").count()
+
+
 def test_entry(spark):
     import __spark_entry__ as entry
 
