@@ -24,6 +24,7 @@ CHUNK = 1 << 20  #: code points that are held as arrays at once
 TRAIN_DOCS = 1500  #: bound of the labelled sample
 PIECE = 80  #: code points of the short slices that training adds to whole texts
 AMBIGUOUS = 0.9  #: a score below this flags a text as ambiguous
+FAR = 0.45  #: a loss against the nearest codeword above it is far from every codeword (a coin's is log 2 = 0.69)
 UNKNOWN = "und"
 
 
@@ -34,23 +35,24 @@ def _letters() -> np.ndarray:
 
 
 def ngram_counts(text: str) -> np.ndarray | None:
-    """Counts of hashed letter 1-, 2- and 3-grams (what is no letter separates words); None without any letter."""
-    letters, total, seen = _letters(), np.zeros(1 << BITS, np.float32), False
-    shift = np.uint32(32 - BITS)
+    """Counts of hashed letter 1-, 2- and 3-grams (what is no letter separates words); None without any letter.
+    A part also holds the two characters before it, for the n-grams that end in it: every n-gram counts once."""
+    letters, total, seen = _letters(), np.zeros(1 << BITS), False
+    shift, text = np.uint32(32 - BITS), text.lower()
     for at in range(0, len(text), CHUNK):
-        part = text[max(0, at - 2) : at + CHUNK].lower()
-        x = letters[np.frombuffer(part.encode("utf-32-le", "surrogatepass"), "<u4")]
+        known = min(2, at)
+        x = letters[np.frombuffer(text[at - known : at + CHUNK].encode("utf-32-le", "surrogatepass"), "<u4")]
         if not x.any():
             continue
-        seen = True
+        seen = seen or bool(x[known:].any())
         two = x[:-1] * np.uint32(2654435761) + x[1:] * np.uint32(40503)
         three = two[:-1] * np.uint32(2246822519) + x[2:] * np.uint32(3266489917)
-        one = x[x > 0] * np.uint32(668265263)
-        two = two[(x[:-1] > 0) | (x[1:] > 0)] ^ np.uint32(0x9E3779B9)
+        one = x[known:][x[known:] > 0] * np.uint32(668265263)
+        two = (two[(x[:-1] > 0) | (x[1:] > 0)] if known < 2 else two[1:][(x[1:-1] > 0) | (x[2:] > 0)]) ^ np.uint32(0x9E3779B9)
         three = three[x[1:-1] > 0]
         for h in (one, two, three):
             total += np.bincount((h * np.uint32(2654435769)) >> shift, minlength=1 << BITS)
-    return total if seen else None
+    return total.astype(np.float32) if seen else None
 
 
 def features(text: str | None) -> np.ndarray | None:
@@ -86,17 +88,18 @@ class EcocModel:
     bias: np.ndarray
     trust: np.ndarray  # languages x bits; a row sums to 1
 
-    def decode(self, x: np.ndarray) -> tuple[str, float, bool]:
+    def decode(self, x: np.ndarray) -> tuple[str, float, bool, float]:
+        """The language, its score, whether it is ambiguous, and the loss against its codeword."""
         margins = x @ self.weights + self.bias
         loss = (self.trust * np.logaddexp(0, -self.code * margins)).sum(1)
         odds = np.exp(-(loss - loss.min()) * self.code.shape[1])
         odds = odds / odds.sum()
         best = int(odds.argmax())
-        return self.languages[best], float(odds[best]), bool(odds[best] < AMBIGUOUS)
+        return self.languages[best], float(odds[best]), bool(odds[best] < AMBIGUOUS), float(loss[best])
 
-    def predict(self, text: str | None) -> tuple[str, float, bool]:
+    def predict(self, text: str | None) -> tuple[str, float, bool, float]:
         x = features(text) if self.languages else None
-        return (UNKNOWN, 0.0, True) if x is None else self.decode(x)
+        return (UNKNOWN, 0.0, True, float("inf")) if x is None else self.decode(x)
 
 
 def fit(x: np.ndarray, langs: list[str], rounds: int = 150, ridge: float = 1e-5) -> EcocModel:
@@ -145,28 +148,36 @@ def predict_column(spark: SparkSession, model: EcocModel, text: Column) -> Colum
     """A struct (lang_pred, score, ambiguous). The model is a few hundred KB, whatever the input."""
     shipped = spark.sparkContext.broadcast(model)
 
-    @F.pandas_udf("lang_pred string, score double, ambiguous boolean")
+    @F.pandas_udf("lang_pred string, score double, ambiguous boolean, loss double")
     def predict(texts: pd.Series) -> pd.DataFrame:
         found = [shipped.value.predict(t) for t in texts]
-        return pd.DataFrame(found, columns=["lang_pred", "score", "ambiguous"])
+        return pd.DataFrame(found, columns=["lang_pred", "score", "ambiguous", "loss"])
 
     return predict.asNondeterministic()(text)  # so that a filter on it doesn't run it twice
 
 
 def identify(docs: DataFrame, model: EcocModel) -> DataFrame:
-    """(row, lang_pred, score, ambiguous): each row of docs as a struct, and its language. Null, empty or letterless
-    texts: `und`, score 0, ambiguous. Repeated rows are each predicted; an empty table gives no rows; other columns,
-    whatever their names, only pass through."""
+    """(row, lang_pred, score, ambiguous, loss): each row of docs as a struct, its language, and the loss against the
+    nearest codeword. Null, empty or letterless texts: `und`, score 0, ambiguous, infinite loss. Repeated rows are each
+    predicted; an empty table gives no rows; very long texts are read whole, part by part; other columns, whatever
+    their names, only pass through."""
     found = predict_column(docs.sparkSession, model, F.col("text"))
     return docs.select(as_row(docs).alias("row"), found.alias("found")).select("row", "found.*")
 
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every row of documents, as identify() defines it for null, empty and very long texts, ties (the
+    first of equally near codewords in the languages' order), repeated rows and an empty table."""
     docs = table(spark, sf_dir, "documents")
     found = identify(docs.select("doc_id", "text"), train(docs))
     return found.select("row.doc_id", held_out(F.col("row.doc_id")).alias("held_out"), "lang_pred", "score", "ambiguous")
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in which no language is found go; the rest stay, ambiguous ones included."""
-    return identify(docs, train(docs)).where(F.col("lang_pred") != UNKNOWN).select("row.*")
+    """Documents in which no language is found go (no letter, or ambiguous and farther than FAR from every codeword),
+    as do null and empty texts; the rest stay, and a null lang becomes the predicted one. Repeated rows are each
+    judged; extra columns stay as they are; an empty table stays empty. Without any labelled language nothing can be
+    told and every document is `und`."""
+    found = identify(docs, train(docs)).where((F.col("lang_pred") != UNKNOWN) & ~(F.col("ambiguous") & (F.col("loss") > FAR)))
+    kept = [F.coalesce("row.lang", "lang_pred").alias(c) if c == "lang" else F.col(f"row.`{c}`").alias(c) for c in docs.columns]
+    return found.select(*kept)

@@ -51,16 +51,26 @@ def test_language_edges(spark):
     kept = L.language_stage(spark, docs, SF01)
     assert kept.columns == docs.columns
     empty = L.train(docs.limit(0))
-    assert empty.languages == [] and empty.predict("the") == ("und", 0.0, True)
+    assert empty.languages == [] and empty.predict("the")[:3] == ("und", 0.0, True)
     assert L.identify(docs.limit(0), empty).count() == 0
 
 
 def test_language_long_text_in_chunks(monkeypatch):
-    text = "the quick brown fox and the lazy dog " * 50
+    """Cuts change nothing, wherever they fall."""
+    text = "the quick brown fox, and 12 lazy dogs; \n éàü x " * 50
     whole = L.ngram_counts(text)
-    monkeypatch.setattr(L, "CHUNK", 100)
-    parts = L.ngram_counts(text)
-    assert np.abs(whole - parts).sum() / whole.sum() < 0.05  # letters at a cut are counted again
+    for size in (1, 2, 3, 7, 100, 1000):
+        monkeypatch.setattr(L, "CHUNK", size)
+        assert np.array_equal(whole, L.ngram_counts(text))
+    assert L.ngram_counts("12 " * 500 + "a").sum() == 2  # `a`, and it with the space before
+
+
+def test_language_stage_rejects_far_texts_and_fills_lang(spark):
+    docs = spark.read.parquet(f"{SF01}/documents.parquet").select("doc_id", "text", "lang", "source", "n_chars")
+    odd = spark.createDataFrame([(-1, "Привет мир, это текст на русском языке", None, "x", 38), (-2, "the and that with from this which have", None, "x", 38), (-3, "123 456", None, "x", 7)], docs.schema)
+    kept = {r.doc_id: r.lang for r in L.language_stage(spark, docs.union(odd), SF01).select("doc_id", "lang").collect()}
+    assert -1 not in kept and -3 not in kept and kept[-2] == "en"
+    assert len(kept) >= 0.995 * docs.count()
 
 
 def test_quality_held_out(spark):
