@@ -1,8 +1,9 @@
 """A quality classifier by attention-based multiple-instance learning.
 
-A document is a bag of passages of which only the bag is labelled. Every passage of the whole text is encoded; gated
-attention weighs the passages, and the weighted mean is scored. Encoder, attention and scorer are learnt together
-from the document labels, on a bounded sample.
+A document is a bag of passages of which only the bag is labelled. Every passage of the whole text is encoded, from
+a learnt embedding of its hashed words beside its surface; gated attention weighs the passages, and the weighted mean
+is scored. Embedding, encoder, attention and scorer are learnt together from the document labels, on a bounded sample
+of labelled rows whose texts are read whole.
 """
 from __future__ import annotations
 
@@ -15,10 +16,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from foliant.llm.common import bounded_sample, crc_fold, held_out, table
-from foliant.llm.passages import WIDTH, passage_features
+from foliant.llm.passages import PASSAGE, WIDTH, passage_features, words
 
 TRAIN_DOCS = 1500  #: bound of the labelled sample
-TRAIN_CHARS = 200_000  #: longer documents are not learnt from (they are scored whole)
+BUCKETS = 512  #: hashed words that have an embedding
+INPUT = WIDTH + BUCKETS
 ENCODED, GATE = 16, 8
 DECISION = 0.3
 
@@ -27,6 +29,20 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
+def encoded(text: bytes | None) -> tuple[np.ndarray, np.ndarray]:
+    """The passages' surface (passages, WIDTH) and the bucket of every word."""
+    parsed = words(text or b"")
+    return passage_features(None, parsed), (parsed[2] & np.uint32(BUCKETS - 1)).astype(np.uint16)
+
+
+def passages_of(surface: np.ndarray, buckets: np.ndarray) -> np.ndarray:
+    """(passages, INPUT): the surface, and the square roots of the shares of each bucket's words in a passage."""
+    k = len(surface)
+    of = np.minimum(np.arange(len(buckets)) // PASSAGE, k - 1)  # a short rest belongs to the passage before
+    bags = np.bincount(of * BUCKETS + buckets, minlength=k * BUCKETS).reshape(k, BUCKETS).astype(np.float32)
+    return np.hstack([surface, np.sqrt(bags / np.maximum(bags.sum(1, keepdims=True), 1))])
+
+
 @dataclass
 class MilModel:
     mean: np.ndarray
@@ -45,26 +61,30 @@ class MilModel:
         z = np.add.reduceat(a[:, None] * h, starts)
         return {"h": h, "v": v, "u": u, "a": a, "z": z, "sizes": sizes, "logit": z @ p["c"] + p["d"]}
 
+    def standard(self, features: np.ndarray) -> np.ndarray:
+        return np.clip((features - self.mean) / self.scale, -8, 8)
+
     def score(self, features: np.ndarray) -> tuple[float, float]:
         """The score of one document's passages, and the largest attention weight."""
-        f = self.forward((features - self.mean) / self.scale, np.array([0]))
+        f = self.forward(self.standard(features), np.array([0]))
         return float(_sigmoid(f["logit"])[0]), float(f["a"].max())
 
 
-def fit(bags: list[np.ndarray], labels: list[int], rounds: int = 250, rate: float = 0.02, decay: float = 1e-3) -> MilModel:
+def fit(bags: list[np.ndarray], labels: list[int], rounds: int = 150, rate: float = 0.02, decay: float = 1e-3) -> MilModel:
     """Full-batch Adam on the mean log loss."""
     if not bags:
-        return MilModel(np.zeros(WIDTH, np.float32), np.ones(WIDTH, np.float32), {})
-    x, y = np.concatenate(bags), np.array(labels, np.float32)
+        return MilModel(np.zeros(INPUT, np.float32), np.ones(INPUT, np.float32), {})
+    x, y, width = np.concatenate(bags), np.array(labels, np.float32), bags[0].shape[1]
     starts = np.r_[0, np.cumsum([len(b) for b in bags])[:-1]]
-    mean, scale = x.mean(0), x.std(0) + 0.02
-    x = np.clip((x - mean) / scale, -8, 8)
+    model = MilModel(x.mean(0), x.std(0) + 0.02, {})
+    x = model.standard(x)
     rng = np.random.default_rng(3)
-    shape = {"w": (WIDTH, ENCODED), "v": (ENCODED, GATE), "u": (ENCODED, GATE), "a": (GATE,), "c": (ENCODED,)}
+    shape = {"w": (width, ENCODED), "v": (ENCODED, GATE), "u": (ENCODED, GATE), "a": (GATE,), "c": (ENCODED,)}
     p = {k: (rng.normal(size=s) / np.sqrt(s[0])).astype(np.float32) for k, s in shape.items()}
     share = np.clip(y.mean(), 0.01, 0.99)
     p |= {"b": np.zeros(ENCODED, np.float32), "d": np.array(np.log(share / (1 - share)), np.float32)}
-    model, m1, m2 = MilModel(mean, scale, p), {k: 0 * v for k, v in p.items()}, {k: 0 * v for k, v in p.items()}
+    model.p = p
+    m1, m2 = {k: 0 * v for k, v in p.items()}, {k: 0 * v for k, v in p.items()}
     for t in range(1, rounds + 1):
         f = model.forward(x, starts)
         bag = (_sigmoid(f["logit"]) - y) / len(y)
@@ -82,20 +102,21 @@ def fit(bags: list[np.ndarray], labels: list[int], rounds: int = 250, rate: floa
     return model
 
 
-@F.pandas_udf(T.BinaryType())
-def _encoded(texts: pd.Series) -> pd.Series:
-    return texts.map(lambda t: passage_features(t).tobytes())
+@F.pandas_udf(T.StructType([T.StructField("surface", T.BinaryType()), T.StructField("buckets", T.BinaryType())]))
+def _encoded(texts: pd.Series) -> pd.DataFrame:
+    found = [encoded(t) for t in texts]
+    return pd.DataFrame({"surface": [a.tobytes() for a, _ in found], "buckets": [b.tobytes() for _, b in found]}, dtype=object)
 
 
 def train(docs: DataFrame, labels: DataFrame, bound: int = TRAIN_DOCS) -> MilModel:
     """Learn from documents with a quality label of 0 or 1 whose crc32 fold is not 0; at most about `bound`, as
     evenly over the labels as they allow, weighted back to the labels' true shares by the scorer's offset."""
     known = labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull() & (crc_fold(F.col("doc_id")) != 0)).select("doc_id", F.col("quality").alias("y"))
-    text = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).where(F.length("text") <= TRAIN_CHARS)
+    text = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     shares = {r.y: r["count"] for r in known.groupBy("y").count().collect()}
     rows = text.join(F.broadcast(bounded_sample(known, "y", "doc_id", bound)), "doc_id").select("y", _encoded(F.col("text").cast("binary")).alias("x")).collect()
-    rows.sort(key=lambda r: (r.y, r.x))
-    model = fit([np.frombuffer(r.x, np.float32).reshape(-1, WIDTH) for r in rows], [r.y for r in rows])
+    rows.sort(key=lambda r: (r.y, r.x.surface, r.x.buckets))
+    model = fit([passages_of(np.frombuffer(r.x.surface, np.float32).reshape(-1, WIDTH), np.frombuffer(r.x.buckets, np.uint16)) for r in rows], [r.y for r in rows])
     if model.p and len(shares) == 2:
         seen = np.mean([r.y for r in rows])
         if 0 < seen < 1:  # the sample is more even than the labels are
@@ -110,7 +131,7 @@ def score_column(spark: SparkSession, model: MilModel, text):
     @F.pandas_udf("score double, attention double")
     def score(texts: pd.Series) -> pd.DataFrame:
         m = shipped.value
-        found = [m.score(passage_features(t)) if m.p else (0.5, 1.0) for t in texts]
+        found = [m.score(passages_of(*encoded(t))) if m.p else (0.5, 1.0) for t in texts]
         return pd.DataFrame(found, columns=["score", "attention"])
 
     return score(text)
@@ -118,12 +139,15 @@ def score_column(spark: SparkSession, model: MilModel, text):
 
 def classify(docs: DataFrame, model: MilModel) -> DataFrame:
     """(doc_id, held_out, score, predicted, attention) per row. Null and empty texts are one passage without words;
-    repeated rows are each scored; an empty table gives no rows."""
+    a null doc_id isn't held out; repeated rows are each scored; very long texts are scored whole, passage by passage;
+    an empty table gives no rows; extra columns, whatever their names, are left behind."""
     found = score_column(docs.sparkSession, model, F.col("t"))
     out = docs.select("doc_id", F.coalesce("text", F.lit("")).cast("binary").alias("t")).select("doc_id", found.alias("x"))
     return out.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "x.score", (F.col("x.score") >= DECISION).cast("int").alias("predicted"), "x.attention")
 
 
 def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every row of documents; classify() says what null, empty, repeated and very long texts give. Without
+    labels every score is 0.5."""
     docs = table(spark, sf_dir, "documents")
     return classify(docs, train(docs, table(spark, sf_dir, "labels")))
