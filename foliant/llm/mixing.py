@@ -5,8 +5,8 @@ posteriors, a document kept at rate r adds r n p to the domains' expected token
 projected-gradient least squares: nonnegative, and such that the totals meet the target weights.
 
 The gradient of a document's rate depends on the corpus only through the domains' totals. So an iteration is one
-aggregate of a few sums over a narrow table, the driver keeps one number a domain, and a document's current rate
-follows from it: no state is written, and a lost executor costs a recomputed task.
+aggregate of a few sums over a narrow table, the driver keeps one number a domain and iteration, and a document's
+current rate is folded from them, each step projected: no state is written, and a lost executor costs a recomputed task.
 """
 from __future__ import annotations
 
@@ -22,11 +22,11 @@ from foliant.llm.common import as_row, bounded_sample, table, written
 from foliant.llm.passages import passage_features, words
 
 TRAIN_DOCS = 2000  #: bound of the labelled sample
-TRAIN_CHARS = 200_000  #: longer documents are not learnt from (all are scored whole)
 HASHED = 1 << 12  #: hashed words
 #: The mix of op6 and the pipeline: shares of the tokens of good, poor and toxic documents.
 TARGETS = {"good": 0.92, "poor": 0.05, "toxic": 0.03}
-ROUNDS, TOLERANCE = 20, 0.01
+ROUNDS, TOLERANCE = 40, 0.01
+STALLED = 6  #: rounds in which the squared residuals must fall by a hundredth
 
 
 def _read(text: bytes) -> tuple[np.ndarray, np.ndarray, int]:
@@ -90,7 +90,7 @@ def _training_row(texts: pd.Series) -> pd.DataFrame:
 def train(docs: DataFrame, labelled: DataFrame, bound: int = TRAIN_DOCS) -> DomainModel | None:
     """Learn the domains from labelled (doc_id, domain), at most about `bound` documents. None if none is labelled."""
     known = labelled.where(F.col("domain").isNotNull() & F.col("doc_id").isNotNull()).select("doc_id", "domain")
-    text = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).where(F.length("text") <= TRAIN_CHARS)
+    text = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     rows = text.join(F.broadcast(bounded_sample(known, "domain", "doc_id", bound)), "doc_id").select("domain", _training_row(F.col("text").cast("binary")).alias("x")).select("domain", "x.*").collect()
     if not rows:
         return None
@@ -114,40 +114,43 @@ def memberships(docs: DataFrame, model: DomainModel, *keep: str) -> DataFrame:
     return docs.select("doc_id", *keep, found.alias("x")).select("doc_id", *keep, F.col("x.n").alias("n_tokens"), "x.p")
 
 
-def rate_at(theta: list[float]) -> Column:
-    """A row's rate: 1, moved along its posteriors by the accumulated gradient, projected to be nonnegative."""
-    moved = F.lit(1.0)
-    for i, t in enumerate(theta):
-        moved = moved - F.get("p", F.lit(i)) * F.lit(float(t))
-    return F.greatest(F.lit(0.0), moved)
-
-
-def fit_rates(members: DataFrame, domains: list[str], targets: dict[str, float], rounds: int = ROUNDS, whole: str | None = None) -> tuple[Column, dict]:
-    """The rate as a column over members (n_tokens, p), and what was reached. Targets are normalised over the domains
-    that have tokens. The budget is the largest that no domain's tokens at rate 1 fall short of. With `whole`, a
-    domain that has tokens and a target, it is the one that takes exactly its tokens at rate 1: no others are cut
-    below their shares of it, and domains that are scarcer than that aim at their own tokens at rate 1.
-
-    Projected gradient with lazy projection: the gradients of the squared residuals add up over the rounds (in a
-    document they act through its posteriors alone, so their sum is one number a domain) and the sum is projected.
-    Steps are measured per token, so a document's length doesn't set its pace, and are scaled by the inverse
-    curvature over the documents that the projection leaves free. A round is one aggregate of some sums."""
+def rate_after(steps: list[list[float]], most: float | None = None) -> Column:
+    """A row's rate after projected-gradient steps from rate 1. A step (momentum, a number a domain) first moves on by
+    its momentum's share of the last change, then along the row's posteriors, and is projected to be nonnegative (and
+    at most `most`)."""
+    if not steps:
+        return F.lit(1.0)
+
+    def step(a: Column, s: Column) -> Column:
+        r = a["r"] + s[0] * (a["r"] - a["before"])
+        for i in range(len(steps[0]) - 1):
+            r = r - F.get("p", F.lit(i)) * s[i + 1]
+        r = F.greatest(F.lit(0.0), r)
+        return F.struct((r if most is None else F.least(F.lit(float(most)), r)).alias("r"), a["r"].alias("before"))
+
+    start = F.struct(F.lit(1.0).alias("r"), F.lit(1.0).alias("before"))
+    return F.aggregate(F.array(*[F.array(*[F.lit(float(x)) for x in s]) for s in steps]), start, step, lambda a: a["r"])
+
+
+def fit_rates(members: DataFrame, domains: list[str], targets: dict[str, float], rounds: int = ROUNDS, whole: str | None = None, most: float | None = None) -> tuple[Column, dict]:
+    """The rate as a column over members (n_tokens, p), and what was reached: totals, targets, the largest relative
+    error (above TOLERANCE: the targets are out of the posteriors' reach, and the rates are the nearest found) and the
+    rounds taken. Targets are normalised over the domains that have tokens. The budget is the largest that no domain's
+    tokens at rate 1 fall short of. With `whole`, a domain that has tokens and a target, it is the one that takes
+    exactly its tokens at rate 1: no others are cut below their shares of it, and domains that are scarcer than that
+    aim at their own tokens at rate 1. `most`: an upper bound of every rate.
+
+    Projected-gradient least squares: with T the totals and G the targets, f = 1/2 sum((T - G)**2 / S), where S are the
+    domains' tokens at rate 1, so a scarce domain counts as much as a common one. A step is r <- max(0, r - eta *
+    p . ((T - G) / S)), taken per token, so that a document's length doesn't set its pace; eta is 1 over the largest
+    curvature (of f along p, over all tokens), at which no step overshoots. Steps have Nesterov's momentum, which begins
+    anew whenever f rises; totals are linear in the rates, so those at the point moved on to follow from the last two.
+    A round is one aggregate of some sums. It ends at TOLERANCE, or where f has all but stopped falling."""
     k = len(domains)
     pairs = [(i, j) for i in range(k) for j in range(i, k)]
     p = [F.get("p", F.lit(i)) for i in range(k)]
-
-    def sums(theta: list[float]) -> tuple[np.ndarray, np.ndarray]:
-        """The domains' totals, and the second moments over free documents."""
-        rows = members.select("n_tokens", "p", rate_at(theta).alias("r"))
-        free = F.when(F.col("r") > 0, F.col("n_tokens")).otherwise(0)
-        got = rows.agg(*[F.sum(F.col("n_tokens") * F.col("r") * x).alias(f"t{i}") for i, x in enumerate(p)], *[F.sum(free * p[i] * p[j]).alias(f"c{i}_{j}") for i, j in pairs]).first()
-        curve = np.zeros((k, k))
-        for i, j in pairs:
-            curve[i, j] = curve[j, i] = got[f"c{i}_{j}"] or 0.0
-        return np.array([got[f"t{i}"] or 0.0 for i in range(k)], float), curve
-
-    theta = np.zeros(k)
-    full, curve = sums(theta.tolist())
+    first = members.agg(*[F.sum(F.col("n_tokens") * x).alias(f"t{i}") for i, x in enumerate(p)], *[F.sum(F.col("n_tokens") * p[i] * p[j]).alias(f"c{i}_{j}") for i, j in pairs]).first()
+    full = np.array([first[f"t{i}"] or 0.0 for i in range(k)], float)
     weight = np.array([targets.get(d, 0.0) for d in domains]) * (full > 0)
     if not weight.sum():
         return F.lit(1.0), {"reached": full.tolist(), "targets": full.tolist(), "error": 0.0, "rounds": 0}
@@ -157,18 +160,30 @@ def fit_rates(members: DataFrame, domains: list[str], targets: dict[str, float],
         goal = np.minimum(weight * (full[kept] / weight[kept]), full)
     else:
         goal = weight * min(full[i] / weight[i] for i in range(k) if weight[i] > 0)
+    scale = np.where(full > 0, full, 1.0)
+    curve = np.zeros((k, k))
+    for i, j in pairs:
+        curve[i, j] = curve[j, i] = (first[f"c{i}_{j}"] or 0.0) / np.sqrt(scale[i] * scale[j])
+    eta = 1 / np.linalg.eigvalsh(curve)[-1]
     size = np.maximum(goal, 1e-3 * full.sum())
-    damping = 1e-3 * np.diag(np.diag(curve)) + 1e-9 * np.trace(curve) * np.eye(k)
-    now, best = full, (float(np.abs((full - goal) / size).max()), theta, full, 0)
-    for t in range(1, rounds + 1):
-        if best[0] <= TOLERANCE:
-            break
-        theta = theta + np.linalg.solve(curve + damping, now - goal)
-        now, curve = sums(theta.tolist())
+    off = lambda totals: float(((totals - goal) ** 2 / scale).sum())
+    steps: list[list[float]] = []
+    now = last = full
+    best, falls, pace = (float(np.abs((full - goal) / size).max()), [], full), [off(full)], 1.0
+    while best[0] > TOLERANCE and len(steps) < rounds and (len(falls) <= STALLED or falls[-1] < 0.99 * falls[-1 - STALLED]):
+        momentum = (pace - 1) / (pace := (1 + np.sqrt(1 + 4 * pace * pace)) / 2)
+        ahead = now + momentum * (now - last)
+        steps = [*steps, [momentum, *(eta * (ahead - goal) / scale).tolist()]]
+        rows = members.select("n_tokens", "p", rate_after(steps, most).alias("r"))
+        got = rows.agg(*[F.sum(F.col("n_tokens") * F.col("r") * x).alias(f"t{i}") for i, x in enumerate(p)]).first()
+        last, now = now, np.array([got[f"t{i}"] or 0.0 for i in range(k)], float)
+        if off(now) > off(last):
+            pace = 1.0
+        falls.append(min(falls[-1], off(now)))
         error = float(np.abs((now - goal) / size).max())
         if error < best[0]:
-            best = (error, theta, now, t)
-    return rate_at(best[1].tolist()), {"reached": best[2].tolist(), "targets": goal.tolist(), "error": best[0], "rounds": best[3]}
+            best = (error, steps, now)
+    return rate_after(best[1], most), {"reached": best[2].tolist(), "targets": goal.tolist(), "error": best[0], "rounds": len(best[1])}
 
 
 def label_domains(labels: DataFrame) -> DataFrame:
@@ -181,33 +196,36 @@ def uniform(key: Column) -> Column:
     return F.pmod(F.xxhash64(key, F.lit(17)), F.lit(1 << 30)) / float(1 << 30)
 
 
-def mix(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], *keep: str, whole: str | None = None) -> tuple[DataFrame, list[str], dict]:
+def mix(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], *keep: str, whole: str | None = None, most: float | None = None) -> tuple[DataFrame, list[str], dict]:
     """Rows (doc_id, keep, n_tokens, p, rate, copies): how many copies of each row a mix takes, its rate rounded up
-    or down by a hash of its id. Null or empty texts have no tokens and a rate like others; repeated rows each count;
-    without labels every rate is 1. `whole`: see fit_rates."""
+    or down by a hash of its id; the domains of p; and what fit_rates reached. Null or empty texts have no tokens and a
+    rate like others; repeated rows each count; very long texts are read whole; an empty table gives no rows; extra
+    columns that aren't kept are left behind; without labels every rate is 1. `whole`, `most`: see fit_rates."""
     model = train(docs, labelled)
     if model is None:
         plain = docs.select("doc_id", *keep, F.size(F.array_remove(F.split(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+"), "")).cast("long").alias("n_tokens"), F.array().cast("array<double>").alias("p"))
-        return plain.withColumn("rate", F.lit(1.0)).withColumn("copies", F.lit(1).cast("long")), [], {}
+        return plain.withColumn("rate", F.lit(1.0)).withColumn("copies", F.lit(1).cast("long")), [], {"error": 0.0}
     members = written(memberships(docs, model, *keep), "members")
-    rate, reached = fit_rates(members, model.domains, targets, whole=whole)
+    rate, reached = fit_rates(members, model.domains, targets, whole=whole, most=most)
     rated = members.withColumn("rate", rate)
     draw = (uniform(F.col("doc_id")) < F.col("rate") - F.floor("rate")).cast("long")
-    return rated.withColumn("copies", F.floor("rate").cast("long") + draw), model.domains, reached
+    return rated.withColumn("copies", F.floor("rate").cast("long") + F.coalesce(draw, F.lit(0))), model.domains, reached
 
 
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document: doc_id, n_tokens, posteriors p_good, p_poor, p_toxic (null for a domain that no label names),
-    rate and copies."""
-    rows, domains, _ = mix(table(spark, sf_dir, "documents"), label_domains(table(spark, sf_dir, "labels")), TARGETS)
+    rate, copies, and fit_error, the largest relative distance of a domain's reached total from its target (the same
+    in every row; above TOLERANCE the targets are out of reach). mix() says what odd rows give."""
+    rows, domains, reached = mix(table(spark, sf_dir, "documents"), label_domains(table(spark, sf_dir, "labels")), TARGETS)
     p = [(F.get("p", F.lit(domains.index(d))) if d in domains else F.lit(None).cast("double")).alias(f"p_{d}") for d in TARGETS]
-    return rows.select("doc_id", "n_tokens", *p, "rate", "copies")
+    return rows.select("doc_id", "n_tokens", *p, "rate", "copies", F.lit(float(reached["error"])).alias("fit_error"))
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents stay at their rates; one whose rate is above 1 stays once, so no document is repeated. The budget is
-    that of all good tokens, so poor and toxic ones are cut down to their shares of it, and good ones aren't cut where
-    the others are scarce."""
+    """Documents stay with the probability of their rate. Rates are fitted between 0 and 1, so what is applied is what
+    was fitted and no document is repeated. The budget is that of all good tokens, so poor and toxic ones are cut down
+    to their shares of it, and good ones aren't cut where the others are scarce. Null, empty, repeated and very long
+    texts: as mix() says; a null doc_id hashes like any other; extra columns pass through; an empty table stays so."""
     held = docs.select("doc_id", "text", as_row(docs).alias("row"))
-    rows, _, _ = mix(held, label_domains(table(spark, sf_dir, "labels")), TARGETS, "row", whole="good")
+    rows, _, _ = mix(held, label_domains(table(spark, sf_dir, "labels")), TARGETS, "row", whole="good", most=1.0)
     return rows.where("copies > 0").select("row.*")
