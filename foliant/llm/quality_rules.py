@@ -2,9 +2,13 @@
 
 Per text, word statistics are computed with array functions inside one stage (windows of words are hashed, sorted and
 compared within the row; nothing is exploded or shuffled). Ratios are summarised per language and source in mergeable
-quantile sketches: counts over bins of fixed width, which merge by addition, so a source with a third of all rows is
-counted in every task and never gathered. Each group's thresholds come from its own quantiles, and a join of the
-documents with them filters.
+quantile sketches, which merge by addition, so a source with a third of all rows is counted in every task and never
+gathered. Each group's cutoffs lie beyond the tail quantiles of its own sketch, and a join of the documents with them
+filters.
+
+A sketch counts values by their 8 leading bits: bins of a relative width of at most 1/128, over any range, 128 for
+each power of two. Counts are exact, so a quantile's bin is that of the value of exactly this rank (no rank error but
+among values of one bin) and its lower end is within 1/128 of that value.
 """
 from __future__ import annotations
 
@@ -16,12 +20,12 @@ from foliant.llm.common import SPACE, table, written
 
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
 POSITION_BITS = 20  #: of a sorted key; the other 44 bits are of the window's hash
-BINS = 1000  #: a sketch's bins over the ratio 0 to 1, or over the mean word length 0 to 50
-QUARTILES = (0.25, 0.5, 0.75)
-FENCE = 6  #: interquartile ranges that a ratio may lie beyond the outer quartiles
-MIN_GROUP = 30  #: smaller groups use the thresholds of all documents
-#: Ratios, the least slack of their thresholds (in bins), and whether low values count too.
-RATIOS = {"symbol_ratio": (60, False), "dup_line_ratio": (300, False), "repeat_ratio": (300, False), "word_length": (60, True)}
+PPM, MILLI = 1_000_000, 1000
+LEADING = 8  #: bits of a value that its bin keeps
+PRIOR = 50  #: documents that the wider group's cutoff counts for beside a group's own
+#: Ratios: their scale, the rank (in hundredths) of the tail quantile, and whether the lower tail counts too. A cutoff
+#: lies as far beyond its quantile as that is from the median.
+RATIOS = {"symbol_ratio": (PPM, 90, False), "dup_line_ratio": (PPM, 98, False), "repeat_ratio": (PPM, 98, False), "word_length": (MILLI, 95, True)}
 
 
 def _covered(sorted_positions: Column) -> Column:
@@ -81,18 +85,20 @@ def base_failed() -> Column:
 
 
 def _bin(top: Column, below: Column, scale: int) -> Column:
-    """floor(scale * top / below), at most BINS, in whole numbers (0 where `below` is 0)."""
-    return F.when(below > 0, F.least(F.lit(BINS), (top * scale - F.pmod(top * scale, below)) / below)).otherwise(0).cast("long")
+    """floor(scale * top / below) to its leading bits, in whole numbers (0 where `below` is 0)."""
+    value = F.when(below > 0, (top * scale - F.pmod(top * scale, below)) / below).otherwise(0).cast("long")
+    drop = F.greatest(F.lit(0), F.length(F.bin(value)) - LEADING)
+    return F.call_function("shiftleft", F.call_function("shiftright", value, drop), drop)
 
 
 def ratio_bins(stats: DataFrame) -> DataFrame:
     c = F.col
     return stats.select(
         "*",
-        _bin(c("n_symbols"), c("word_chars"), BINS).alias("symbol_ratio"),
-        _bin(c("n_dup_lines"), c("n_lines"), BINS).alias("dup_line_ratio"),
-        _bin(c("n_repeat_words"), c("n_words"), BINS).alias("repeat_ratio"),
-        _bin(c("word_chars"), c("n_words"), BINS // 50).alias("word_length"),
+        _bin(c("n_symbols"), c("word_chars"), RATIOS["symbol_ratio"][0]).alias("symbol_ratio"),
+        _bin(c("n_dup_lines"), c("n_lines"), RATIOS["dup_line_ratio"][0]).alias("dup_line_ratio"),
+        _bin(c("n_repeat_words"), c("n_words"), RATIOS["repeat_ratio"][0]).alias("repeat_ratio"),
+        _bin(c("word_chars"), c("n_words"), RATIOS["word_length"][0]).alias("word_length"),
     )
 
 
@@ -103,53 +109,79 @@ def sketches(stats: DataFrame, *group: str) -> DataFrame:
 
 
 def thresholds(sketch: DataFrame, *group: str) -> DataFrame:
-    """Per group one row: n, and low_/high_ of every ratio: the outer quartiles, FENCE interquartile ranges or the
-    least slack further out. A sketch has at most BINS + 1 rows a group and ratio, however many documents it saw."""
+    """Per group one row: n, and high_ and low_ of every ratio (low_ below any value where only the upper tail
+    counts). A sketch has at most 128 bins for each power of two, however many documents it saw."""
     key = [*group, "ratio"]
     run = sketch.withColumn("below", F.sum("n").over(W.partitionBy(*key).orderBy("bin"))).withColumn("all", F.sum("n").over(W.partitionBy(*key)))
-    at = lambda q: F.min(F.when(F.col("below") >= F.col("all") * q, F.col("bin")))
-    quart = run.groupBy(*key).agg(F.max("all").alias("n"), *[at(q).alias(f"q{i}") for i, q in enumerate(QUARTILES)])
+    at = lambda q: F.min(F.when(F.col("below") * 100 >= F.col("all") * q, F.col("bin")))
+    ranks = sorted({q for _, q, _ in RATIOS.values()} | {100 - q for _, q, low in RATIOS.values() if low} | {50})
+    quantiles = run.groupBy(*key).agg(F.max("all").alias("n"), *[at(q).alias(f"q{q}") for q in ranks])
     pick = lambda r, v: F.max(F.when(F.col("ratio") == r, v))
+    beyond = lambda q: 2 * F.col(f"q{q}") - F.col("q50")
     out = []
-    for r, (slack, low_too) in RATIOS.items():
-        reach = F.greatest((F.col("q2") - F.col("q0")) * FENCE, F.lit(slack))
-        out += [pick(r, F.col("q2") + reach).alias(f"high_{r}"), pick(r, F.col("q0") - reach if low_too else F.lit(-1).cast("long")).alias(f"low_{r}")]
-    return quart.groupBy(*group).agg(F.max("n").alias("n"), *out)
+    for r, (_, q, low) in RATIOS.items():
+        out += [pick(r, beyond(q)).alias(f"high_{r}"), pick(r, beyond(100 - q) if low else F.lit(-1).cast("long")).alias(f"low_{r}")]
+    return quantiles.groupBy(*group).agg(F.max("n").alias("n"), *out)
 
 
-def judge(docs: DataFrame, language: str = "lang", source: str = "source") -> DataFrame:
-    """Per row of docs: doc_id, the statistics, base_failed, kept and the ratio that spoke against it. Groups are a
-    language and a source (nulls are a group of their own); one of fewer than MIN_GROUP documents uses the
-    thresholds of the whole table. Documents that fail the base rules don't shape the thresholds."""
-    stats = written(ratio_bins(word_statistics(docs, language, source)).withColumn("base_failed", base_failed()), "stats")
-    stats = stats.withColumnRenamed(language, "g1").withColumnRenamed(source, "g2")
-    sketch = written(sketches(stats.where("not base_failed"), "g1", "g2"), "sketch")
-    whole = thresholds(sketch.groupBy("ratio", "bin").agg(F.sum("n").alias("n")).withColumn("g", F.lit(1)), "g").first()
-    limits = thresholds(sketch, "g1", "g2").where(F.col("n") >= MIN_GROUP)
-    limits = written(limits.select(F.xxhash64("g1", "g2", F.col("g1").isNull(), F.col("g2").isNull()).alias("g"), *[c for c in limits.columns if c not in ("g1", "g2")]), "limits")
-    both = stats.withColumn("g", F.xxhash64("g1", "g2", F.col("g1").isNull(), F.col("g2").isNull())).join(limits.drop("n"), "g", "left")
+CUTOFFS = [f"{side}_{r}" for r in RATIOS for side in ("high", "low")]
+
+
+def drawn(own: DataFrame, wider: DataFrame, on: Column) -> DataFrame:
+    """Cutoffs drawn towards those of a wider group, which count for PRIOR documents: the fewer a group has, the more.
+    In whole numbers, rounded down."""
+    n = F.col("own.n")
 
-    def limit(side: str, r: str) -> Column:
-        return F.coalesce(F.col(f"{side}_{r}"), F.lit(whole[f"{side}_{r}"] if whole else None).cast("long"))
+    def toward(c: str) -> Column:
+        top = F.col(f"own.{c}") * n + F.col(f"wider.{c}") * PRIOR
+        return F.call_function("div", top - F.pmod(top, n + PRIOR), n + PRIOR).alias(c)
 
-    against = F.array_compact(F.array(*[F.when(~F.col(r).between(limit("low", r), limit("high", r)), F.lit(r)) for r in RATIOS]))
+    keep = [F.col(f"own.`{c}`") for c in own.columns if c not in CUTOFFS]
+    return own.alias("own").join(wider.alias("wider"), on, "left").select(*keep, *map(toward, CUTOFFS))
+
+
+def judge(docs: DataFrame, language: str = "lang", source: str = "source") -> DataFrame:
+    """Per row of docs: doc_id, the statistics, base_failed, kept and the ratios that spoke against it. Groups are a
+    language and a source (nulls are a group of their own). A group's cutoffs are drawn towards its language's, and a
+    language's towards the whole table's, by weight. Values at a cutoff are kept. Documents that fail the base rules
+    don't shape the cutoffs; groups of nothing else have no need of any.
+
+    Null and empty texts have no words and fail the base rules; repeated rows are each judged, and count; very long
+    texts are read whole; an empty table gives no rows; extra columns, whatever their names, are left behind."""
+    rows = docs.select("doc_id", "text", F.col(language).alias("g1"), F.col(source).alias("g2"))
+    stats = written(ratio_bins(word_statistics(rows, "g1", "g2")).withColumn("base_failed", base_failed()), "stats")
+    sketch = written(sketches(stats.where("not base_failed"), "g1", "g2"), "sketch")
+    merged = lambda *group: sketch.groupBy(*group, "ratio", "bin").agg(F.sum("n").alias("n"))
+    table_wide = thresholds(merged().withColumn("g", F.lit(1)), "g")
+    by_language = drawn(thresholds(merged("g1"), "g1"), F.broadcast(table_wide), F.lit(True))  # one row
+    limits = drawn(thresholds(sketch, "g1", "g2"), by_language, F.col("own.g1").eqNullSafe(F.col("wider.g1")))
+    key = F.xxhash64("g1", "g2", F.col("g1").isNull(), F.col("g2").isNull()).alias("g")
+    limits = written(limits.select(key, *CUTOFFS), "limits")
+    both = stats.withColumn("g", key).join(limits, "g", "left")
+    against = F.array_compact(F.array(*[F.when(~F.col(r).between(F.col(f"low_{r}"), F.col(f"high_{r}")), F.lit(r)) for r in RATIOS]))
     judged = both.withColumn("against", F.when(F.col("base_failed"), F.lit("base")).otherwise(F.array_join(against, ",")))
     return judged.withColumn("kept", F.col("against") == "")
 
 
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row of documents by judge(), which says what null, empty, repeated and very long texts give."""
     return judge(table(spark, sf_dir, "documents")).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "against")
 
 
 def _limits_sql(relation: str, group: str) -> str:
+    """Cutoffs from exact quantiles of the bins."""
+    at = lambda r, q: f"quantile_disc({r}, {q / 100})"
     columns = []
-    for r, (slack, low) in RATIOS.items():
-        reach = f"greatest((quantile_disc({r}, 0.75) - quantile_disc({r}, 0.25)) * {FENCE}, {slack})"
-        columns += [f"quantile_disc({r}, 0.75) + {reach} AS high_{r}", (f"quantile_disc({r}, 0.25) - {reach}" if low else "-1") + f" AS low_{r}"]
+    for r, (_, q, low) in RATIOS.items():
+        columns += [f"2 * {at(r, q)} - {at(r, 50)} AS high_{r}", (f"2 * {at(r, 100 - q)} - {at(r, 50)}" if low else "-1") + f" AS low_{r}"]
     return f"SELECT {group}count(*) AS n, {', '.join(columns)} FROM {relation} WHERE NOT base_failed"
 
 
-_OVER = ", ".join(f"CASE WHEN {r} NOT BETWEEN coalesce(g.low_{r}, a.low_{r}) AND coalesce(g.high_{r}, a.high_{r}) THEN '{r}' END" for r in RATIOS)
+_DRAWN = ", ".join(f"((o.{c} * o.n + w.{c} * {PRIOR}) - ((o.{c} * o.n + w.{c} * {PRIOR}) % (o.n + {PRIOR}) + o.n + {PRIOR}) % (o.n + {PRIOR})) // (o.n + {PRIOR}) AS {c}" for c in CUTOFFS)
+_OVER = ", ".join(f"CASE WHEN {r} NOT BETWEEN g.low_{r} AND g.high_{r} THEN '{r}' END" for r in RATIOS)
+_RATIO_SQL = {"symbol_ratio": ("n_symbols", "word_chars"), "dup_line_ratio": ("n_dup_lines", "n_lines"), "repeat_ratio": ("n_repeat_words", "n_words"), "word_length": ("word_chars", "n_words")}
+_VALUES = ", ".join(f"CASE WHEN {below} > 0 THEN {top} * {RATIOS[r][0]} // {below} ELSE 0 END AS v_{r}" for r, (top, below) in _RATIO_SQL.items())
+_BINS = ", ".join(f"(v_{r} >> greatest(0, length(bin(v_{r})) - {LEADING})) << greatest(0, length(bin(v_{r})) - {LEADING}) AS {r}" for r in RATIOS)
 
 #: The same rows in DuckDB's SQL, with exact quantiles of the same bins.
 ORACLE_SQL = rf"""
@@ -159,8 +191,8 @@ cov AS (SELECT doc_id, count(DISTINCT i + d) AS n FROM win, (SELECT unnest(range
 s0 AS (SELECT w.doc_id, lang, source, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars, (length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
   list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines, coalesce(cov.n, 0)::BIGINT AS n_repeat_words FROM w LEFT JOIN cov ON cov.doc_id = w.doc_id),
 s1 AS (SELECT *, len(lines)::BIGINT AS n_lines, (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, n_words < {MIN_WORDS} OR n_repeat_words * 100 > n_words * {MAX_REPEAT_PERCENT} AS base_failed FROM s0),
-s AS (SELECT *, CASE WHEN word_chars > 0 THEN least({BINS}, n_symbols * {BINS} // word_chars) ELSE 0 END AS symbol_ratio, CASE WHEN n_lines > 0 THEN least({BINS}, n_dup_lines * {BINS} // n_lines) ELSE 0 END AS dup_line_ratio,
-  CASE WHEN n_words > 0 THEN least({BINS}, n_repeat_words * {BINS} // n_words) ELSE 0 END AS repeat_ratio, CASE WHEN n_words > 0 THEN least({BINS}, word_chars * {BINS // 50} // n_words) ELSE 0 END AS word_length FROM s1),
-g AS ({_limits_sql("s", "lang, source, ")} GROUP BY lang, source HAVING count(*) >= {MIN_GROUP}), a AS ({_limits_sql("s", "")}),
-v AS (SELECT s.*, array_to_string(list_filter([{_OVER}], lambda x: x IS NOT NULL), ',') AS over_ FROM s LEFT JOIN g ON g.lang IS NOT DISTINCT FROM s.lang AND g.source IS NOT DISTINCT FROM s.source CROSS JOIN a)
+s2 AS (SELECT *, {_VALUES} FROM s1), s AS (SELECT *, {_BINS} FROM s2),
+a AS ({_limits_sql("s", "")}), l0 AS ({_limits_sql("s", "lang, ")} GROUP BY lang), l AS (SELECT o.lang, o.n, {_DRAWN} FROM l0 o CROSS JOIN a w),
+g0 AS ({_limits_sql("s", "lang, source, ")} GROUP BY lang, source), g AS (SELECT o.lang, o.source, {_DRAWN} FROM g0 o JOIN l w ON w.lang IS NOT DISTINCT FROM o.lang),
+v AS (SELECT s.*, array_to_string(list_filter([{_OVER}], lambda x: x IS NOT NULL), ',') AS over_ FROM s LEFT JOIN g ON g.lang IS NOT DISTINCT FROM s.lang AND g.source IS NOT DISTINCT FROM s.source)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND over_ = '' AS kept, CASE WHEN base_failed THEN 'base' ELSE over_ END AS against FROM v"""

@@ -84,12 +84,41 @@ def test_quality_thresholds_against_sorted_values(spark):
     limits = {r.lang: r for r in R.thresholds(R.sketches(stats, "lang"), "lang").collect()}
     pdf = stats.toPandas()
     for lang, g in pdf.groupby("lang"):
-        for name, (slack, low) in R.RATIOS.items():
+        for name, (_, q, low) in R.RATIOS.items():
             v = np.sort(g[name].to_numpy())
-            q0, q2 = (v[int(np.ceil(len(v) * q)) - 1] for q in (0.25, 0.75))
-            reach = max((q2 - q0) * R.FENCE, slack)
-            assert limits[lang][f"high_{name}"] == q2 + reach
-            assert limits[lang][f"low_{name}"] == (q0 - reach if low else -1)
+            at = lambda rank: v[-(-len(v) * rank // 100) - 1]  # noqa: B023, E731
+            assert limits[lang][f"high_{name}"] == 2 * at(q) - at(50)
+            assert limits[lang][f"low_{name}"] == (2 * at(100 - q) - at(50) if low else -1)
+
+
+def test_quality_sketch_bins_and_merging(spark):
+    """Bins lie at most 1/128 below their values, whatever the range, and sketches of parts add up to the whole's."""
+    from foliant.llm import quality_rules as R
+
+    values = [0, 1, 127, 128, 255, 256, 257, 511, 513, 10**6, 10**9 + 7, 2**40 + 12345]
+    df = spark.createDataFrame([(v, 1) for v in values], "top long, below long")
+    for r in df.select("top", R._bin(F.col("top"), F.col("below"), 1).alias("bin")).collect():
+        assert r.bin <= r.top <= r.bin + max(0, r.bin // 128) and (r.top >= 256 or r.bin == r.top)
+    stats = R.ratio_bins(R.word_statistics(spark.read.parquet(f"{SF01}/documents.parquet"), "lang", "source"))
+    parts = [R.sketches(stats.where(F.col("doc_id") % 2 == k), "lang") for k in (0, 1)]
+    merged = parts[0].union(parts[1]).groupBy("lang", "ratio", "bin").agg(F.sum("n").alias("n"))
+    assert sorted(map(tuple, merged.collect()), key=str) == sorted(map(tuple, R.sketches(stats, "lang").collect()), key=str)
+
+
+def test_quality_cutoffs_follow_their_groups(spark):
+    """A source with long lines of symbols keeps them, the others' cutoffs don't; a small group leans on its language."""
+    from foliant.llm import quality_rules as R
+
+    rng = random.Random(3)
+
+    def text(symbols: int) -> str:
+        words = ["".join(rng.choices("abcdefgh", k=rng.randint(2, 9))) for _ in range(100)]
+        return " ".join(w + "#" * (i % 4 < symbols) for i, w in enumerate(words))
+
+    rows = [(i, text(0), "en", "plain") for i in range(300)] + [(300 + i, text(1), "en", "code") for i in range(600)]
+    rows += [(1000, text(1), "en", "plain"), (1001, text(1), "en", "tiny"), (1002, text(4).replace("#", "####"), "en", "tiny")]
+    kept = {r.doc_id: r.kept for r in R.judge(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()}
+    assert np.mean([kept[i] for i in range(900)]) > 0.98 and not kept[1000] and kept[1001] and not kept[1002]
 
 
 def test_quality_rules_edges(spark):
