@@ -1,18 +1,24 @@
 """Personal data by bootstrapped contextual extraction. DataFrame functions only.
 
-Fixed patterns find e-mail addresses, IPv4 addresses, payment cards and phone numbers: the seeds. The word before a
-seed is a lexical pattern for its kind. Patterns and the identifier-like tokens that follow their words form a
-bipartite graph whose scores are computed in turns: a pattern is as good as the share of its instances that are
-believed, an instance is believed as far as any of its patterns is. Patterns that stay reliable over several rounds
-and rest on enough different seeds find identifiers that no fixed pattern covers; they are added as kind `context`.
+Fixed patterns find e-mail addresses, IPv4 addresses, payment cards and phone numbers: the seeds. What stands beside a
+seed is a lexical pattern for its kind: the word before it, the word after it, or what is joined to its front. Patterns
+and the identifier-like values that occur in them form a bipartite graph whose scores are computed in turns, apart for
+each kind. A pattern is as good as the share of all its occurrences in the corpus, whatever stands there, that hold a
+believed value; a word that also precedes ordinary words has a low one. A value is believed as far as its reliable
+patterns are good, and believed values support new patterns in the next turn, seeds or none. Reliable patterns, which
+rest on enough different values and are many times as telling as chance, find identifiers that no fixed pattern covers;
+they are added as kind `context_<kind>`. Matches that fail a fixed pattern's check narrowly (a card's Luhn digit, an
+address part, a phone number's length) are never believed.
 """
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foliant.llm.common import as_row, table, written
-from foliant.llm.spans import joined, overlaps, with_matches
+from foliant.llm.common import SPACE, as_row, table, written
+from foliant.llm.spans import joined, overlaps_sorted, with_masked, with_matches
 
 PATTERNS = {
     # \G: a match may begin where the last one ended, in the middle of a run of these characters
@@ -24,9 +30,11 @@ PATTERNS = {
 }
 KINDS = ("email", "ip", "card", "phone")
 ROUNDS = 3
-MIN_SEEDS = 5  #: different seeds that a pattern must rest on
-RELIABLE = 0.6  #: the least score of a pattern that is used
+SUPPORT = 5  #: different believed values that a pattern must rest on
+RELIABLE = 0.6  #: the least score of a pattern that is used, and the least belief in a value
+LIFT = 5  #: and how many times the kind's share of all words it must be
 TOKEN_DIGITS = 5  #: digits of an identifier-like token
+FEW = 100_000  #: patterns that may be broadcast (two numbers each)
 
 _OCTET = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[0-9]{1,2})"
 
@@ -52,83 +60,158 @@ def _valid(kind: str, x: Column) -> Column:
     return F.lit(True)
 
 
-def _word(x: Column) -> Column:
-    """The word before a match, in lower case; empty where none is near."""
-    return F.lower(F.regexp_extract(x["left"], r"([\p{L}]+)[^\p{L}]{0,3}$", 1))
+def _narrow(kind: str, x: Column) -> Column:
+    """Whether a match that isn't valid looks much like the kind."""
+    return F.length(_digits(x["m"])).between(13, 19) if kind == "card" else F.lit(True)
+
+
+def _plain(word: Column) -> Column:
+    """A word as patterns know it: any with a digit is like any other."""
+    return F.when(word.rlike("[0-9]"), F.lit("#")).otherwise(F.lower(word))
+
+
+def _telling(word: Column) -> Column:
+    return word.rlike(r"[\p{L}0-9]")
+
+
+def _key(side: str, words: Column) -> Column:
+    return F.struct(F.lit(side).alias("side"), F.xxhash64(words).alias("x"))
+
+
+def contexts(x: Column) -> Column:
+    """The patterns of a match: L, the word before it (where that is no more than signs, with the one before that), P,
+    what is joined to its front if that has letters and no digit, and R, the word after it."""
+    before, after = F.split(x["before"], SPACE), F.split(x["after"], SPACE)
+    skip = F.when(x["apart"], 0).otherwise(1)  # what is joined to the match is no word before it
+    word = F.coalesce(F.try_element_at(before, -1 - skip), F.lit(""))
+    further = F.coalesce(F.try_element_at(before, -2 - skip), F.lit(""))
+    joint = F.when(~x["apart"], F.try_element_at(before, F.lit(-1)))
+    follows = F.coalesce(F.try_element_at(after, F.when(x["parted"], 1).otherwise(2)), F.lit(""))
+    left = F.when(_telling(word), _plain(word)).when((word != "") & (further != ""), F.concat(_plain(further), F.lit(" "), word))
+    return F.array_compact(F.array(
+        F.when(left.isNotNull(), _key("L", left)),
+        F.when(joint.rlike(r"\p{L}") & ~joint.rlike("[0-9]"), _key("P", F.lower(joint))),
+        F.when(follows != "", _key("R", _plain(follows))),
+    ))
 
 
 def scan(docs: DataFrame, *keep: str) -> DataFrame:
-    """One row for each row of docs: rid, doc_id, `keep`, base spans (by kind, then start) and other
-    identifier-like tokens, each with the word before it. Null texts count as empty."""
+    """One row for each row of docs: rid, doc_id, `keep`, n_words (pieces that spaces separate), base spans (by kind,
+    then start) and other identifier-like tokens, each with its patterns; `bad` tokens lie in a narrowly failed match.
+    Null texts count as empty."""
     text = docs.select("doc_id", *keep, F.coalesce("text", F.lit("")).alias("t"))
     t = F.col("t")
     digit = t.rlike("[0-9]")
-    found = with_matches(text, "t", PATTERNS, {"email": t.contains("@"), "ip": t.rlike(r"[0-9]\.[0-9]"), "card": digit, "phone": t.contains("+"), "token": digit})
-    span = lambda kind, k: lambda x: F.struct(F.lit(k).alias("k"), x["s"].alias("s"), x["e"].alias("e"), F.lit(kind).alias("kind"), _word(x).alias("w"), F.xxhash64(x["m"]).alias("h"))
+    gates = {"email": t.contains("@"), "ip": t.rlike(r"[0-9]\.[0-9]"), "card": digit, "phone": t.contains("+"), "token": digit}
+    found = with_matches(text, "t", PATTERNS, gates, context=True)
+    span = lambda k: lambda x: F.struct(F.lit(k).alias("k"), x["s"].alias("s"), x["e"].alias("e"), contexts(x).alias("at"), F.xxhash64(x["m"]).alias("h"))
     check = lambda kind: lambda x: _valid(kind, x)
-    valid = [F.transform(F.filter(f"{k}_hits", check(k)), span(k, i)) for i, k in enumerate(KINDS)]
-    held = found.select("doc_id", *keep, F.concat(*valid).alias("base"), "token_hits")
-    tokens = F.filter("token_hits", lambda x: (F.length(_digits(x["m"])) >= TOKEN_DIGITS) & ~overlaps(x, F.col("base")))
-    return held.select(F.monotonically_increasing_id().alias("rid"), "doc_id", *keep, "base", F.transform(tokens, span("context", 4)).alias("tokens"))
-
-
-def score_patterns(links: DataFrame, rounds: int = ROUNDS) -> DataFrame:
-    """(w, score, seeds) of patterns from the links (w, h, seed) of words and instances.
-
-    Turns: a pattern's score is the mean belief in its instances (less one half instance, against chance); a seed is
-    believed, another instance by 1 less the product of its patterns' doubts. Sums and logarithms' sums only, so
-    every step is aggregated before it is shuffled, however common a word is."""
-    edges = written(links.groupBy("w", "h").agg(F.max("seed").alias("seed")), "links")
-    belief = F.when(F.col("seed"), 1.0).otherwise(0.0)
-    score = lambda df: df.groupBy("w").agg((F.sum("b") / (F.count("*") + 0.5)).alias("score"), F.sum(F.col("seed").cast("long")).alias("seeds"))
-    patterns = written(score(edges.withColumn("b", belief)).where("seeds > 0"), "patterns")
-    for _ in range(rounds - 1):
-        doubt = edges.where("not seed").join(patterns, "w").groupBy("h").agg((1 - F.exp(F.sum(F.log(1.000001 - F.col("score"))))).alias("b"))
-        instances = written(doubt, "instances")
-        fresh = edges.join(instances, "h", "left").withColumn("b", F.when(F.col("seed"), 1.0).otherwise(F.coalesce("b", F.lit(0.0))))
-        patterns = written(score(fresh).where("seeds > 0"), "patterns")
-    return patterns
+    miss = lambda kind: lambda x: ~_valid(kind, x) & _narrow(kind, x)
+    place = lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"))
+    n_words = (F.length(t) - F.length(F.replace(t, F.lit(" "), F.lit(""))) + 1).cast("long").alias("n_words")
+    held = found.select(
+        "doc_id", *keep, n_words, F.concat(*[F.transform(F.filter(f"{k}_hits", check(k)), span(i)) for i, k in enumerate(KINDS)]).alias("base"),
+        F.filter("token_hits", lambda x: F.length(_digits(x["m"])) >= TOKEN_DIGITS).alias("tokens"),
+        *[F.transform(F.filter(f"{k}_hits", check(k)), place).alias(f"{k}_at") for k in KINDS],
+        *[F.transform(F.filter(f"{k}_hits", miss(k)), place).alias(f"{k}_miss") for k in KINDS[1:]],
+    )
+    held = held.withColumn("tokens", F.filter("tokens", lambda x: ~overlaps_sorted(x, [f"{k}_at" for k in KINDS])))
+    bad = lambda x: overlaps_sorted(x, [f"{k}_miss" for k in KINDS[1:]]).alias("bad")
+    told = F.transform("tokens", lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"), contexts(x).alias("at"), F.xxhash64(x["m"]).alias("h"), bad(x)))
+    return held.select(F.monotonically_increasing_id().alias("rid"), "doc_id", *keep, "n_words", "base", told.alias("tokens"))
+
+
+def word_counts(docs: DataFrame, patterns: DataFrame) -> DataFrame:
+    """(x, n): how often the words of patterns L and R (x) occur in all texts, whatever stands beside them."""
+    words = F.split(F.coalesce("text", F.lit("")), SPACE)
+    rows = docs.select(words.alias("w"))
+
+    def keys(w: Column, i: Column) -> Column:
+        none = F.array().cast("array<bigint>")
+        both = F.array(F.xxhash64(F.concat(_plain(F.coalesce(F.get("w", i - 1), F.lit(""))), F.lit(" "), w)), F.xxhash64(w))
+        return F.when(_telling(w), F.array(F.xxhash64(_plain(w)))).when(w == "", none).otherwise(both)
+
+    every = rows.select(F.explode(F.flatten(F.transform("w", keys))).alias("x"))
+    known = patterns.select("x").distinct()
+    if known.limit(FEW + 1).count() <= FEW:
+        return every.join(F.broadcast(known), "x").groupBy("x").agg(F.count("*").alias("n"))
+    return every.groupBy("x").agg(F.count("*").alias("n")).join(known, "x")
+
+
+def reliable_patterns(links: DataFrame, occurrences: Callable[[DataFrame], DataFrame], chance: dict[str, float], rounds: int = ROUNDS) -> DataFrame:
+    """(side, x, kind, score) of the patterns worth using, from links (side, x, h, kind, bad, n): how often a value
+    stands in a pattern; kind null for values that no fixed pattern covers. `occurrences` gives (side, x, total), the
+    patterns' counts in the corpus, for those of SUPPORT values or more; `chance` is each kind's share of all words.
+
+    Turns: a pattern's score for a kind is the sum of the belief in what stands in it over all its occurrences (and one
+    more, against chance); belief in a seed is 1, in another value 1 less the product of its reliable patterns' doubts.
+    Everything is a sum, aggregated before it is shuffled, however common a word is."""
+    on = ["side", "x"]
+    by_chance = F.coalesce(*[F.when(F.col("kind") == k, F.lit(float(v))) for k, v in sorted(chance.items())], F.lit(0.0))
+    # only patterns that enough values could support at all
+    fit = links.where("not bad").groupBy(*on).agg(F.count_distinct("h").alias("values")).where(F.col("values") >= SUPPORT).select(*on)
+    fit = written(fit, "fit")
+    totals = written(occurrences(fit), "totals")
+    edges = written(links.join(totals, on), "edges")
+    beliefs = edges.where("kind is not null").select("h", "kind", F.lit(1.0).alias("b")).distinct()
+    good = None
+    for _ in range(rounds):
+        stands = edges.where("not bad").drop("kind").join(beliefs, "h")
+        score = (F.sum(F.col("b") * F.col("n")) / (F.max("total") + 1)).alias("score")
+        told = stands.groupBy(*on, "kind").agg(score, F.count_distinct("h").alias("support"))
+        enough = (F.col("support") >= SUPPORT) & (F.col("score") >= RELIABLE) & (F.col("score") >= F.lit(float(LIFT)) * by_chance)
+        good = written(told.where(enough).select(*on, "kind", "score"), "good")
+        doubt = F.sum(F.log(1.000001 - F.least(F.col("score"), F.lit(1.0))))
+        fresh = edges.where("kind is null and not bad").drop("kind").join(good, on).groupBy("h", "kind").agg((1 - F.exp(doubt)).alias("b")).where(F.col("b") >= RELIABLE)
+        beliefs = written(edges.where("kind is not null").select("h", "kind", F.lit(1.0).alias("b")).distinct().union(fresh), "beliefs")
+    return good
 
 
 def find_pii(docs: DataFrame, *keep: str) -> DataFrame:
     """Per row of docs: doc_id, `keep`, base (array of k, s, e, kind by kind, then start) and spans (base and
-    discovered). Null or empty texts have none; repeated rows each have theirs; an empty table gives no rows."""
+    discovered).
+
+    Null and empty texts have none; repeated rows each have theirs, and count; very long texts and texts of very many
+    spans are read whole, in proportion to their length; ties between a found token's kinds go to the first listed;
+    extra columns that aren't kept, whatever their names, are left behind; an empty table gives no rows."""
     rows = written(scan(docs, *keep), "pii")
-    seeds = rows.select(F.explode("base").alias("x")).select("x.w", "x.h", F.lit(True).alias("seed"))
+    kind = F.element_at(F.array(*[F.lit(k) for k in KINDS]), F.col("x.k") + 1)
+    seeds = rows.select(F.explode("base").alias("x")).select(F.explode("x.at").alias("p"), "x.h", kind.alias("kind"), F.lit(False).alias("bad"))
     others = rows.select("rid", F.explode("tokens").alias("x")).select("rid", "x.*")
-    patterns = score_patterns(seeds.union(others.select("w", "h", F.lit(False))).where("w <> ''"))
-    good = patterns.where((F.col("score") >= RELIABLE) & (F.col("seeds") >= MIN_SEEDS)).select("w")
-    found = others.join(good, "w").groupBy("rid").agg(F.array_sort(F.collect_list(F.struct("k", "s", "e", "kind"))).alias("added"))
-    plain = F.transform("base", lambda x: F.struct(x["k"].alias("k"), x["s"].alias("s"), x["e"].alias("e"), x["kind"].alias("kind")))
+    free = others.select(F.explode("at").alias("p"), "h", F.lit(None).cast("string").alias("kind"), "bad")
+    links = written(seeds.union(free).groupBy("p.side", "p.x", "h", "kind", "bad").agg(F.count("*").alias("n")), "links")
+    counts = rows.agg(F.sum("n_words").alias("n"), *[F.sum(F.size(F.filter("base", lambda x: x["k"] == i))).alias(k) for i, k in enumerate(KINDS)]).first()  # noqa: B023
+    chance = {k: (counts[k] or 0) / max(1, counts["n"] or 0) for k in KINDS}
+
+    def occurrences(fit: DataFrame) -> DataFrame:
+        joint = links.where("side = 'P'").groupBy("side", "x").agg(F.sum("n").alias("total")).join(fit, ["side", "x"])
+        beside = fit.where("side <> 'P'").join(word_counts(docs, fit.where("side <> 'P'")), "x").select("side", "x", F.col("n").alias("total"))
+        return joint.select("side", "x", "total").union(beside)
+
+    good = reliable_patterns(links, occurrences, chance)
+    k = F.array_position(F.array(*[F.lit(k) for k in KINDS]), F.col("kind")).cast("int")
+    each = others.where("not bad").select("rid", "s", "e", F.explode("at").alias("p")).select("rid", "s", "e", "p.*").join(good, ["side", "x"])
+    best = each.groupBy("rid", "s", "e").agg(F.min(F.struct((-F.col("score")).alias("by"), k.alias("k"), "kind")).alias("y"))
+    span = F.struct((F.col("y.k") + len(KINDS) - 1).alias("k"), "s", "e", F.concat(F.lit("context_"), "y.kind").alias("kind"))
+    found = best.groupBy("rid").agg(F.array_sort(F.collect_list(span)).alias("added"))
+    plain = F.transform("base", lambda x: F.struct(x["k"].alias("k"), x["s"].alias("s"), x["e"].alias("e"), F.element_at(F.array(*[F.lit(k) for k in KINDS]), x["k"] + 1).alias("kind")))
     both = rows.join(found, "rid", "left").select("doc_id", *keep, plain.alias("base"), "added")
     return both.select("doc_id", *keep, "base", F.concat("base", F.coalesce("added", F.filter("base", lambda x: F.lit(False)))).alias("spans"))
 
 
 def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every row of documents; find_pii() says what null, empty, repeated and very long texts give.
+    n_spans counts all spans, those of discovered identifiers included."""
     n = lambda kind: F.size(F.filter("base", lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
     found = find_pii(table(spark, sf_dir, "documents"))
-    return found.select("doc_id", *[n(k) for k in KINDS], F.sha2(joined(F.col("base")), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
-
-
-def masked(text: Column, spans: Column) -> Column:
-    """text with every span replaced by its kind in angle brackets. Overlapping spans are one, named by the first."""
-    order = F.array_sort(F.transform(spans, lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"), x["kind"].alias("kind"))))
-    start = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<string>").alias("out"))
-
-    def step(acc: Column, x: Column) -> Column:
-        new = F.concat(acc["out"], F.array(F.substring(text, (acc["at"] + 1).cast("int"), (x["s"] - acc["at"]).cast("int")), F.concat(F.lit("<"), x["kind"], F.lit(">"))))
-        return F.struct(F.greatest(acc["at"], x["e"]).alias("at"), F.when(x["s"] >= acc["at"], new).otherwise(acc["out"]).alias("out"))
-
-    def finish(acc: Column) -> Column:
-        return F.concat(F.array_join(acc["out"], ""), F.substring(text, (acc["at"] + 1).cast("int"), F.length(text)))
-
-    return F.when(F.size(spans) > 0, F.aggregate(order, start, step, finish)).otherwise(text)
+    return found.select("doc_id", *[n(k) for k in KINDS], F.sha2(joined(F.col("base")), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"), F.size("spans").cast("long").alias("n_spans"))
 
 
 def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document stays; the spans found in its text are replaced by <kind>, and n_chars follows."""
+    """Every document stays; the spans found in its text are replaced by <kind>, and n_chars, where there is such a
+    column, follows. Null and empty texts stay as they are; repeated rows are each masked; other columns, whatever their
+    names, pass through; an empty table stays empty."""
     found = find_pii(docs.select("doc_id", "text", as_row(docs).alias("row")), "row")
-    text = masked(F.col("row.text"), F.col("spans"))
-    changed = {"text": text, "n_chars": F.length(text).cast(docs.schema["n_chars"].dataType)}
-    done = found.select(*[F.coalesce(changed[c], F.col(f"row.`{c}`")).alias(c) if c in changed else F.col(f"row.`{c}`").alias(c) for c in docs.columns])
-    return done
+    masked = with_masked(found.select("row", F.col("row.text").alias("text"), "spans"), "text", "spans", "masked")
+    changed = {"text": F.col("masked")} | ({"n_chars": F.length("masked").cast(docs.schema["n_chars"].dataType)} if "n_chars" in docs.columns else {})
+    return masked.select(*[F.coalesce(changed[c], F.col(f"row.`{c}`")).alias(c) if c in changed else F.col(f"row.`{c}`").alias(c) for c in docs.columns])
