@@ -392,12 +392,12 @@ def test_simhash_fingerprints(spark):
     assert got == {i: fingerprint(t) for i, t in enumerate(texts)}
 
 
-@pytest.mark.parametrize("dense", [2048, 3])
-def test_simhash_components(spark, monkeypatch, dense):
-    """Random fingerprints, dense clusters and long chains, with lists split again or not."""
+@pytest.mark.parametrize("longest", [2048, 3])
+def test_simhash_components(spark, monkeypatch, longest):
+    """Random fingerprints, dense clusters and long chains, with lists split over all levels or not."""
     from foliant.llm import simhash as H
 
-    monkeypatch.setattr(H, "DENSE", dense)
+    monkeypatch.setattr(H, "LIST", longest)
     rng = random.Random(4)
     prints = [rng.getrandbits(64) for _ in range(60)]
     centre = rng.getrandbits(64)
@@ -409,8 +409,57 @@ def test_simhash_components(spark, monkeypatch, dense):
     rng.shuffle(prints)
     signed = [p - 2**64 if p >> 63 else p for p in prints]
     df = spark.createDataFrame(list(enumerate(signed)), "doc_id long, fp long")
+    seen, plain = [], H._verified
+    monkeypatch.setattr(H, "_verified", lambda rows, distance: (seen.append(rows.groupBy("mask", "b").count().agg(F.max("count"), F.max(F.bit_count("mask"))).first()), plain(rows, distance))[1])
     got = {r.doc_id: r.component_id for r in H.components(df).collect()}
     assert got == linked(dict(enumerate(prints)))
+    bits = [b for _, b in seen if b is not None]
+    assert (bits == [8] and longest == 2048) or (max(bits) > 32 and len(bits) >= 5 and max(n for n, b in seen if b and b < 44) <= longest)
+
+
+def test_simhash_splits_lose_no_pair():
+    """Every pair within four bits agrees under one of the masks that any list it is in is split into."""
+    from foliant.llm import simhash as H
+
+    rng, masks = random.Random(5), [0]
+    for _ in range(6):
+        masks = [k for m in masks for k in H._split_masks(m, 4)]
+        for _ in range(300):
+            differ = sum(1 << b for b in rng.sample(range(64), 4))
+            assert any(not differ & m for m in masks)
+    assert len(H._split_masks(0, 4)) == 5
+    x = np.array([0, 0x0100, 0xFF00FF00FF00FF00, 2**64 - 1, 0x8000000000000001], np.uint64)
+    assert H._zero_bytes(x).tolist() == [8, 7, 4, 0, 6]
+
+
+def test_simhash_long_list(spark):
+    """Thousands of near copies that all agree in half of their bits: every level splits, no list is long."""
+    from foliant.llm import simhash as H
+
+    rng = random.Random(6)
+    low = [rng.getrandbits(32) for _ in range(6000)]
+    prints = [(0xABCDEF12 << 32) | x for x in low] + [(0xABCDEF12 << 32) | (x ^ 1 << b) for x in low[:500] for b in rng.sample(range(32), 2)]
+    prints = list(dict.fromkeys(prints))
+    df = spark.createDataFrame([(i, p - 2**64 if p >> 63 else p) for i, p in enumerate(prints)], "doc_id long, fp long")
+    got = {r.doc_id: r.component_id for r in H.components(df).collect()}
+    assert got == linked_fast(prints)
+
+
+def linked_fast(prints, distance=4):
+    x = np.array(prints, np.uint64)
+    root = np.arange(len(x))
+
+    def find(i):
+        while root[i] != i:
+            root[i] = root[root[i]]
+            i = root[i]
+        return i
+
+    for i in range(len(x)):
+        for j in i + 1 + np.flatnonzero(np.bitwise_count(x[i + 1 :] ^ x[i]) <= distance):
+            a, b = sorted((find(i), find(int(j))))
+            root[b] = a
+    return {i: int(find(i)) for i in range(len(x))}
 
 
 def test_simhash_edges(spark):
@@ -425,6 +474,17 @@ def test_simhash_edges(spark):
     assert kept.count() == len(set(got.values()))
 
 
+def test_dedup_stage_without_ids(spark):
+    """Rows without an id: one of each group of copies that has no row with an id stays."""
+    from foliant.llm import simhash as H
+
+    a, b, c = ("one two three four five six", "quite another text than that one", "something else again for a third time")
+    rows = [(1, a, "x"), (None, a, "y"), (None, b, "z"), (None, b, "z"), (None, b, None), (None, c, "w"), (4, None, "v"), (None, "", "u")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, root string")
+    kept = sorted(((r.doc_id, r.text) for r in H.dedup_stage(spark, df, SF01).collect()), key=str)
+    assert kept == sorted([(1, a), (None, b), (None, c), (4, None)], key=str)
+
+
 def test_connected_components(spark):
     from foliant.llm.components import connected_components
 
