@@ -8,8 +8,11 @@ vectors. The best of them set a threshold by their exact cosine, and all vectors
 residual's bound, can reach it are reranked by exact cosine in double precision: no number of them is fixed, so a group
 of near copies with equal codes is reranked whole.
 
-Every candidate is scanned, a block of candidates against a block of queries at a time. Equal vectors are one class
-first, with no more of its ids than can show in a result, so a vector that a third of all rows share is one candidate.
+Vectors are dealt into cells around centres fitted on the same bounded sample, and a query goes to as many of the
+nearest cells as the sample's own neighbours call for: few where the vectors cluster, nearly all where they don't. A
+cell that holds many vectors is cut into blocks, so none lands in one task. Every vector moves once, to its block; the
+queries are copied to the blocks. Queries that find too little go to all cells. Equal vectors are one class, with no
+more of its ids than can show in a result, so a vector that a third of all rows share is one candidate.
 """
 from __future__ import annotations
 
@@ -27,12 +30,14 @@ from foliant.llm.common import table, written
 CENTRES = 16
 SAMPLE = 10_000  #: vectors that the quantiser is fitted on, at most about
 THRESHOLD = 0.2  #: inner products above it matter; sets the weight of the parallel residual
-BLOCK = 8192  #: candidate classes in a block
-QUERIES = 1024  #: queries in a block
+CELLS, CELL = 256, 4096  #: cells at most, and vectors of a cell where there are fewer
+COVERED = 0.99  #: share of the sample's neighbours that must lie in the cells a query goes to
+BLOCK = 8192  #: vectors in a block, about
 RERANK = 256  #: candidates of a block that set each query's threshold; all that can reach it are reranked
 TOGETHER = 64  #: queries whose candidates are reranked together
 SLACK = 1e-4  #: more than the rounding of approximate scores (single precision)
 ROUNDING = 1e-9  #: more than the rounding of exact ones
+ASKED = 1024  #: queries that are searched at once
 FLUSH = 50_000  #: classes held at once while rows are merged
 
 
@@ -144,9 +149,10 @@ def least(along: np.ndarray, aside: np.ndarray, cosine: np.ndarray) -> np.ndarra
     return np.where(-along > c * size, -size, at) - SLACK
 
 
-def search_block(vectors: np.ndarray, codes: np.ndarray, ids: np.ndarray, queries: np.ndarray, query_ids: np.ndarray, quantiser: Quantiser, k: int, rerank: int) -> pd.DataFrame:
-    """The k best of a block for each query: (query_id, vec_id, score). The `rerank` candidates of the best approximate
-    scores give a threshold, the (k + 1)-th exact score among them; every candidate that can reach it is scored."""
+def search_block(vectors: np.ndarray, codes: np.ndarray, ids: np.ndarray, n_ids: np.ndarray, queries: np.ndarray, query_ids: np.ndarray, quantiser: Quantiser, k: int, rerank: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """The k best of a block for each query: its ids and scores; of a row of `ids` the first `n_ids` are a vector's.
+    The `rerank` candidates of the best approximate scores give a threshold, the (k + 1)-th exact score among them;
+    every candidate that can reach it is scored."""
     tables = quantiser.tables(queries)
     approx = np.concatenate([scan(codes[at : at + 1024], tables) for at in range(0, len(codes), 1024)]).T
     lengths = np.sqrt((vectors * vectors).sum(1))
@@ -165,19 +171,14 @@ def search_block(vectors: np.ndarray, codes: np.ndarray, ids: np.ndarray, querie
             own = rows[~(scores < cut)]
             score = (vectors[own] * q).sum(1) / (lengths[own] * np.sqrt((q * q).sum()))
             row = np.argsort(-score, kind="stable")[: k + 1 + int((score == np.partition(score, -need)[-need]).sum())]
-            found = ids[own[row]]
+            found, some_ids = ids[own[row]], n_ids[own[row]]
             s = np.repeat(score[row], found.shape[1])
-            found = found.ravel()
-            keep = (found >= 0) & (found != query_id + OFFSET)
-            found, s = found[keep], s[keep]
+            there = np.arange(found.shape[1]) < some_ids[:, None]
+            keep = (there & (found != query_id)).ravel()
+            found, s = found.ravel()[keep], s[keep]
             order = np.lexsort((found, -s))[:k]
-            out.append((np.full(len(order), query_id), found[order] - OFFSET, s[order]))
-    cols = [np.concatenate(x) for x in zip(*out, strict=True)]
-    return pd.DataFrame(dict(zip(("query_id", "vec_id", "score"), cols, strict=True)))
-
-
-#: Added to ids inside a block, so that -1 can stand for "no id" (ids may be negative, down to -2**62).
-OFFSET = 1 << 62
+            out.append((found[order], s[order]))
+    return out
 
 
 def valid(vectors: DataFrame, key: str = "vec_id", column: str = "embedding") -> DataFrame:
@@ -201,20 +202,62 @@ def usable(vectors: DataFrame, key: str = "vec_id", column: str = "embedding") -
     return v.where(F.size("v") == d), d
 
 
-def classes(vectors: DataFrame, ids_kept: int) -> DataFrame:
-    """(b, ids): each different vector as bytes of doubles, with its least ids. Rows are merged within tasks first."""
+def cell_centres(sample: np.ndarray, n: int, rounds: int = 10) -> np.ndarray:
+    """Spherical k-means on unit vectors; n centres."""
+    rng = np.random.default_rng(9)
+    centres = sample[rng.choice(len(sample), min(n, len(sample)), replace=False)]
+    for _ in range(rounds):
+        own = (sample @ centres.T).argmax(1)
+        sums = np.zeros_like(centres)
+        np.add.at(sums, own, sample)
+        lengths = np.sqrt((sums * sums).sum(1, keepdims=True))
+        centres = np.where(lengths > 1e-9, sums / np.maximum(lengths, 1e-9), centres)
+    return centres
+
+
+def probes_for(sample: np.ndarray, centres: np.ndarray, k: int, covered: float = COVERED) -> int:
+    """How many of the nearest cells hold `covered` of the k nearest neighbours within the sample. In the whole table
+    neighbours are nearer still, so the share found there is rather larger."""
+    of, places = (sample @ centres.T).argmax(1), []
+    for at in range(0, min(len(sample), 2048), 256):
+        asked = sample[at : at + 256]
+        scores = asked @ sample.T
+        scores[np.arange(len(asked)), at + np.arange(len(asked))] = -2
+        near = np.argpartition(-scores, min(k, len(sample) - 1), axis=1)[:, :k]
+        order = np.argsort(np.argsort(-(asked @ centres.T), axis=1), axis=1)
+        places.append(np.take_along_axis(order, of[near], 1).ravel())
+    return int(np.quantile(np.concatenate(places), covered, method="higher")) + 1
+
+
+def _unit(v: np.ndarray) -> np.ndarray:
+    return v / np.sqrt((v * v).sum(1, keepdims=True))
+
+
+def _scaled(v) -> np.ndarray:
+    """A vector, or each row, times the power of two that brings its largest component near 1: every cosine stays
+    exactly the same and no square is too large or small for a double. -0 becomes 0."""
+    v = np.asarray(v, np.float64)
+    return np.ldexp(v, -np.frexp(np.abs(v).max(-1, keepdims=True))[1]) + 0.0
+
+
+def dealt(vectors: DataFrame, centres, ids_kept: int) -> DataFrame:
+    """(cell, b, ids): vectors as bytes of doubles with their least ids, and the cell of each. Equal vectors are merged
+    within a task; those of different tasks meet in a block."""
 
     def merge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: dict[bytes, list[int]] = {}
 
         def flush() -> pd.DataFrame:
-            out = pd.DataFrame({"b": list(held), "ids": [sorted(set(x))[:ids_kept] for x in held.values()]}, dtype=object)
+            v = np.stack([np.frombuffer(b, np.float64) for b in held]) if held else np.zeros((0, centres.value.shape[1]))
+            cells = np.concatenate([(_unit(v[i : i + 8192]) @ centres.value.T).argmax(1) for i in range(0, len(v), 8192)] or [np.zeros(0)])
+            ids = pd.Series([sorted(set(x))[:ids_kept] for x in held.values()], dtype=object)
+            out = pd.DataFrame({"cell": cells.astype(np.int32), "b": pd.Series(list(held), dtype=object), "ids": ids})
             held.clear()
             return out
 
         for batch in batches:
             for i, v in zip(batch["vec_id"], batch["v"], strict=True):
-                own = held.setdefault((np.asarray(v, np.float64) + 0.0).tobytes(), [])
+                own = held.setdefault(_scaled(v).tobytes(), [])
                 own.append(int(i))
                 if len(own) > 8 * ids_kept:
                     own[:] = sorted(set(own))[:ids_kept]
@@ -222,56 +265,104 @@ def classes(vectors: DataFrame, ids_kept: int) -> DataFrame:
                 yield flush()
         yield flush()
 
-    merged = vectors.mapInPandas(merge, "b binary, ids array<long>").groupBy("b").agg(F.flatten(F.collect_list("ids")).alias("ids"))
-    return merged.select("b", F.slice(F.array_sort(F.array_distinct("ids")), 1, ids_kept).alias("ids"))
-
-
-def _blocks(n: int, size: int) -> int:
-    return max(1, -(-n // size))
+    return vectors.mapInPandas(merge, "cell int, b binary, ids array<long>")
 
 
 def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5, rerank: int = RERANK) -> DataFrame:
     """(query_id, rank, vec_id, score): each query's k nearest rows of `vectors` but its own, by cosine, ties to the
-    smaller id. Both have (vec_id, v) as usable() gives them. Repeated ids with equal vectors count once."""
+    smaller id. Both have (vec_id, v) as usable() gives them; extra columns are left behind. Repeated ids with equal
+    vectors count once, as candidates and as queries; a query id with different vectors has the nearest of each, ranked
+    apart. Without candidates or queries there are no rows."""
     spark = vectors.sparkSession
-    held = written(classes(vectors, k + 1), "classes")
-    n, asked = held.count(), queries.count()
-    if not n or not asked:
-        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    none = spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    n = vectors.count()
+    if not n or queries.isEmpty():
+        return none
     odds = min(1.0, SAMPLE / n)
-    sample = held.where(F.pmod(F.xxhash64("b", F.lit(3)), F.lit(1_000_003)) < odds * 1_000_003).select("b").collect() or held.select("b").limit(CENTRES).collect()
-    quantiser = Quantiser.fit(np.stack([np.frombuffer(r.b, np.float64) for r in sorted(sample)]))
-    shipped = spark.sparkContext.broadcast(quantiser)  # 16 centres for every two dimensions, whatever the input
-
-    def pack(pdf: pd.DataFrame) -> pd.DataFrame:
-        v = np.stack([np.frombuffer(b, np.float64) for b in pdf["b"]])
-        codes = np.concatenate([Quantiser.pack(shipped.value.encode(Quantiser.halves(v[i : i + 1024]))) for i in range(0, len(v), 1024)])
-        ids = np.full((len(v), k + 1), -1, np.int64)
-        for i, x in enumerate(pdf["ids"]):
-            ids[i, : len(x)] = np.asarray(x) + OFFSET
-        return pd.DataFrame({"v": [v.tobytes()], "codes": [codes.tobytes()], "ids": [ids.tobytes()], "n": [len(v)]})
-
-    def pack_queries(pdf: pd.DataFrame) -> pd.DataFrame:
-        q = np.stack(pdf["v"].to_numpy()).astype(np.float64)
-        return pd.DataFrame({"qb": [pdf["qb"].iloc[0]], "q": [q.tobytes()], "query_ids": [pdf["vec_id"].to_numpy(np.int64).tobytes()]})
+    sampled = vectors.where(F.pmod(F.xxhash64("v", F.lit(3)), F.lit(1_000_003)) < odds * 1_000_003).select("v").distinct().collect() or vectors.select("v").limit(CENTRES).collect()
+    sample = _scaled(np.array(sorted(r.v for r in sampled), np.float64))
+    quantiser = Quantiser.fit(sample)
+    centres = cell_centres(_unit(sample), min(CELLS, max(1, n // CELL)))
+    probes = probes_for(_unit(sample), centres, k) if len(centres) > 1 else 1
+    shipped, cells = spark.sparkContext.broadcast(quantiser), spark.sparkContext.broadcast(centres)  # bounded whatever the input
+    held = written(dealt(vectors.select("vec_id", "v"), cells, k + 1), "cells")
+    rows = {r.cell: r["count"] for r in held.groupBy("cell").count().collect()}
+    cut = F.element_at(F.array(*[F.lit(-(-rows.get(c, 0) // BLOCK)) for c in range(len(centres))]), F.col("cell") + 1)
+    block = F.pmod(F.xxhash64("b", F.lit(5)), cut).cast("int").alias("block")
+    none_of = F.lit(None).cast("array<long>").alias("ids")
+    candidates = held.select("cell", block, F.lit(0).alias("role"), F.lit(0).cast("long").alias("query_id"), "b", "ids")  # no null: pandas would make doubles of the ids
+
+    def route(asked: DataFrame, to: int) -> DataFrame:
+        """Queries, copied to every block of their `to` nearest cells."""
+
+        def choose(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for batch in batches:
+                v = _scaled(np.stack(batch["v"].to_numpy())) if len(batch) else np.zeros((0, cells.value.shape[1]))
+                near = np.argsort(-(_unit(v) @ cells.value.T), axis=1, kind="stable")[:, :to].astype(np.int32)
+                yield pd.DataFrame({"query_id": batch["vec_id"], "b": pd.Series([x.tobytes() for x in v], dtype=object), "cells": pd.Series(list(near), dtype=object)})
+
+        near = asked.mapInPandas(choose, "query_id long, b binary, cells array<int>").select("query_id", "b", F.explode("cells").alias("cell"))
+        copies = near.where(cut > 0).select("*", F.explode(F.sequence(F.lit(0), cut.cast("int") - 1)).alias("block"))
+        return copies.select("cell", "block", F.lit(1).alias("role"), "query_id", "b", none_of)
 
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """Rows sorted by block come candidates first; only one block is held."""
+        at, found, ready = None, {}, None
         for batch in batches:
-            for r in batch.itertuples():
-                v, codes, ids = (np.frombuffer(x, t).reshape(r.n, -1) for x, t in ((r.v, np.float64), (r.codes, np.uint8), (r.ids, np.int64)))
-                asked_ids = np.frombuffer(r.query_ids, np.int64)
-                yield search_block(v, codes, ids, np.frombuffer(r.q, np.float64).reshape(len(asked_ids), -1), asked_ids, shipped.value, k, rerank)
-
-    blocks, query_blocks = _blocks(n, BLOCK), _blocks(asked, QUERIES)
-    block = F.pmod(F.xxhash64("b"), F.lit(blocks)).alias("block")
-    packed = held.groupBy(block).applyInPandas(pack, "v binary, codes binary, ids binary, n int")
-    asked_of = F.pmod(F.xxhash64("vec_id"), F.lit(query_blocks)).alias("qb")
-    asked_packed = written(queries.select("vec_id", "v", asked_of).groupBy("qb").applyInPandas(pack_queries, "qb long, q binary, query_ids binary"), "queries")
-    every = written(packed, "blocks").select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(query_blocks - 1).cast("long"))).alias("qb"))
-    pairs = every.join(asked_packed, "qb").repartition(min(blocks * query_blocks, 4 * spark.sparkContext.defaultParallelism))
-    found = pairs.select("v", "codes", "ids", "n", "q", "query_ids").mapInPandas(search, "query_id long, vec_id long, score double")
-    place = F.row_number().over(W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return found.withColumn("rank", place).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+            for (cell, block, role), part in batch.groupby(["cell", "block", "role"], sort=True):
+                if (cell, block) != at:
+                    at, found, ready = (cell, block), {}, None
+                if role == 0:
+                    for b, ids in zip(part["b"], part["ids"], strict=True):
+                        found[b] = [*found.get(b, []), *ids]
+                    continue
+                if not found:
+                    continue
+                if ready is None:
+                    v = np.stack([np.frombuffer(b, np.float64) for b in found])
+                    codes = np.concatenate([Quantiser.pack(shipped.value.encode(Quantiser.halves(v[i : i + 1024]))) for i in range(0, len(v), 1024)])
+                    ids, sizes = np.zeros((len(v), k + 1), np.int64), np.zeros(len(v), np.int64)
+                    for i, x in enumerate(found.values()):
+                        least_ids = sorted(set(map(int, x)))[: k + 1]
+                        ids[i, : len(least_ids)], sizes[i] = least_ids, len(least_ids)
+                    ready = v, codes, ids, sizes
+                for i in range(0, len(part), ASKED):
+                    some = part.iloc[i : i + ASKED]
+                    asked = np.stack([np.frombuffer(b, np.float64) for b in some["b"]])
+                    ids = some["query_id"].to_numpy(np.int64)
+                    best = search_block(*ready, asked, ids, shipped.value, k, rerank)
+                    of = np.repeat(np.arange(len(ids)), [len(x) for x, _ in best])
+                    yield pd.DataFrame({"query_id": ids[of], "b": some["b"].to_numpy()[of], "vec_id": np.concatenate([x for x, _ in best]), "score": np.concatenate([x for _, x in best])})
+
+    def ranked(asked: DataFrame, to: int) -> DataFrame:
+        n_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        both = candidates.union(route(asked, to)).repartition(n_parts, "cell", "block").sortWithinPartitions("cell", "block", "role")
+        out = both.mapInPandas(search, "query_id long, b binary, vec_id long, score double").select("query_id", F.xxhash64("b").alias("of"), "vec_id", "score")
+        place = F.row_number().over(W.partitionBy("query_id", "of").orderBy(F.desc("score"), "vec_id"))
+        return out.withColumn("rank", place).where(F.col("rank") <= k)
+
+    asked = queries.select("vec_id", "v").distinct()
+    columns = ["query_id", "rank", "vec_id", "score"]
+    if probes >= len(centres):
+        return ranked(asked, len(centres)).select(*columns)
+    first = written(ranked(asked, probes), "nearest")
+    full = first.where(F.col("rank") == k).select("query_id", "of")
+    short = written(_lacking(asked, full), "short")
+    if short.isEmpty():
+        return first.select(*columns)
+    again = ranked(short, len(centres))
+    return first.join(again.select("query_id", "of").distinct(), ["query_id", "of"], "left_anti").select(*columns).union(again.select(*columns))
+
+
+def _lacking(asked: DataFrame, full: DataFrame) -> DataFrame:
+    """Queries whose (query_id, of) isn't in full: `of` is the hash of the vector's bytes."""
+
+    @F.pandas_udf("binary")
+    def as_bytes(v: pd.Series) -> pd.Series:
+        return v.map(lambda x: _scaled(x).tobytes())
+
+    known = asked.select("vec_id", "v", F.xxhash64(as_bytes("v")).alias("of"))
+    return known.join(full.withColumnRenamed("query_id", "vec_id"), ["vec_id", "of"], "left_anti").select("vec_id", "v")
 
 
 def nearest_by_dimension(vectors: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
@@ -281,6 +372,7 @@ def nearest_by_dimension(vectors: DataFrame, queries: DataFrame, k: int = 5) ->
 
 
 def op2_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Vectors of different dimensions are searched apart."""
+    """Of every row of embeddings; vectors of different dimensions are searched apart. valid() says which vectors take
+    part, nearest() what ties, repeated rows, few candidates and an empty table give."""
     vectors = valid(table(spark, sf_dir, "embeddings"))
     return nearest_by_dimension(vectors, vectors.where("vec_id % 50 = 0"), 5)

@@ -671,17 +671,72 @@ def test_nearest_in_a_hot_group(spread):
     x = rng.normal(size=(3000, 64))
     x[:1000] = (rng.normal(size=64) + spread * rng.normal(size=(1000, 64))) * rng.uniform(0.5, 2, (1000, 1))
     quantiser = N.Quantiser.fit(x)
-    codes, ids = quantiser.pack(quantiser.encode(quantiser.halves(x))), np.full((len(x), 6), -1)
-    ids[:, 0] = np.arange(len(x)) + N.OFFSET
+    codes, ids = quantiser.pack(quantiser.encode(quantiser.halves(x))), np.zeros((len(x), 6), np.int64)
+    ids[:, 0] = np.arange(len(x))
     asked = np.r_[:60, 2000:2060]
-    got = N.search_block(x, codes, ids, x[asked], asked, quantiser, 5, 256)
+    got = N.search_block(x, codes, ids, np.ones(len(x), np.int64), x[asked], asked, quantiser, 5, 256)
     unit = x / np.sqrt((x * x).sum(1, keepdims=True))
-    for q, rows in got.groupby("query_id"):
+    for q, (found, score) in zip(asked, got, strict=True):
         s = unit @ unit[q]
         s[q] = -2
-        assert len(rows) == 5 and np.allclose(rows.score, s[rows.vec_id], atol=1e-12)
-        assert (rows.score >= np.sort(s)[-5:][::-1] - 1e-12).all()
-    assert got.query_id.nunique() == len(asked)
+        assert len(found) == 5 and np.allclose(score, s[found], atol=1e-12)
+        assert (score >= np.sort(s)[-5:][::-1] - 1e-12).all()
+
+
+def found_by(df, **more):
+    from foliant.llm import nearest as N
+
+    got = collections.defaultdict(list)
+    for r in sorted(N.nearest(df, df.where("vec_id % 50 = 0"), **more).collect(), key=lambda r: (r.query_id, r.rank)):
+        got[r.query_id].append((r.vec_id, r.score))
+    return got
+
+
+def test_nearest_with_any_ids(spark):
+    """Ids over the whole range of a long, and components whose squares are beyond a double's."""
+    rng = np.random.default_rng(8)
+    ids = [50 * (x // 50) if i % 7 == 0 else x for i, x in enumerate([2**63 - 1, -(2**63), 2**62, -(2**62), *rng.integers(-(2**63), 2**63 - 1, 400).tolist()])]
+    ids[0], ids[1] = 2**63 - 1, -(2**63)
+    rows = [(int(i), [float(x) for x in rng.normal(size=8) * (1e200 if n % 3 == 0 else 1e-200 if n % 3 == 1 else 1)]) for n, i in enumerate(dict.fromkeys(ids))]
+    got = found_by(spark.createDataFrame(rows, "vec_id long, v array<double>"))
+    unit = [(i, list(np.array(v) / np.abs(v).max())) for i, v in rows]
+    want = brute(unit)
+    assert {q: [i for i, _ in x] for q, x in got.items()} == {q: [i for i, _ in x] for q, x in want.items()} and len(want) > 30
+
+
+def test_nearest_over_cells(spark, monkeypatch):
+    """Clustered vectors in many cells: few cells are gone to, recall holds, blocks are cut, and a query whose cells
+    hold too little finds its five all the same."""
+    from foliant.llm import nearest as N
+
+    monkeypatch.setattr(N, "CELL", 50)
+    monkeypatch.setattr(N, "BLOCK", 64)
+    rng = np.random.default_rng(2)
+    middles = rng.normal(size=(30, 16)) * 3
+    x = np.concatenate([m + rng.normal(size=(100, 16)) * 0.4 for m in middles])
+    far = -x.sum(0)
+    x = np.concatenate([x, [far]])
+    rows = [(i, [float(c) for c in v]) for i, v in enumerate(x)] + [(50 * len(x), [float(c) for c in -far])]
+    centres = N.cell_centres(N._unit(x), 60)
+    assert N.probes_for(N._unit(x), centres, 5) < 20
+    got, want = found_by(spark.createDataFrame(rows, "vec_id long, v array<double>")), brute(rows)
+    assert set(got) == set(want) and all(len(v) == 5 for v in got.values())
+    hits = sum(len({a for a, _ in got[q]} & {a for a, _ in want[q]}) for q in want)
+    assert hits / (5 * len(want)) >= 0.95
+    # too few in the cells that a query goes to: all cells are searched for it
+    monkeypatch.setattr(N, "probes_for", lambda *_: 1)
+    lone = [(i, [1.0, float(i), 0.0]) for i in range(1, 300)] + [(1000, [0.0, -1.0, 5.0]), (1001, [0.0, -1.0, 5.1])]
+    got, want = found_by(spark.createDataFrame(lone, "vec_id long, v array<double>")), brute(lone)
+    assert [i for i, _ in got[1000]] == [i for i, _ in want[1000]]
+
+
+def test_nearest_with_repeated_query_ids(spark):
+    rows = [(0, [1.0, 0.0]), (0, [1.0, 0.0]), (0, [0.0, 1.0]), *[(i, [1.0, i / 10]) for i in range(1, 6)], *[(10 + i, [i / 10, 1.0]) for i in range(1, 6)]]
+    from foliant.llm import nearest as N
+
+    df = spark.createDataFrame(rows, "vec_id long, v array<double>").withColumn("rank", F.lit("x"))
+    got = N.nearest(df, df.where("vec_id = 0"), 3).collect()
+    assert sorted((r["rank"], r.vec_id) for r in got) == [(1, 1), (1, 11), (2, 2), (2, 12), (3, 3), (3, 13)]
 
 
 def test_approximate_scores_stay_above_their_bound():
