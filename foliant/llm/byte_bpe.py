@@ -154,7 +154,10 @@ def decode_column(spark: SparkSession, ranks: dict[bytes, int], pattern: str, id
 
 
 def digests(docs: DataFrame, ranks: dict[bytes, int], pattern: str) -> DataFrame:
-    """Per document: doc_id, n_tokens, ids_sha256, decoded_sha256. A null text counts as empty."""
+    """Per document: doc_id, n_tokens, ids_sha256, decoded_sha256. A null text counts as empty, and an empty one has no
+    ids; repeated rows are each encoded; very long texts are encoded whole, pre-token by pre-token; ties between merges
+    go to the lower rank, then to the left; an empty table gives no rows; extra columns, whatever their names, are left
+    behind."""
     found = digest_column(docs.sparkSession, ranks, pattern, F.col("text"))
     return docs.select("doc_id", "text").select("doc_id", found.alias("x")).select("doc_id", "x.*")
 
@@ -166,9 +169,11 @@ def _vocabulary() -> tuple[dict[bytes, int], str]:
 
 
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row of documents; digests() says what odd rows give."""
     return digests(table(spark, sf_dir, "documents"), *_vocabulary())
 
 
 def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The last stage: the columns of op3 for every document that is left."""
+    """The last stage: the columns of op3 for every document that is left, as digests() gives them for null, empty,
+    repeated and very long texts and for an empty table; extra columns are left behind."""
     return digests(docs, *_vocabulary())

@@ -17,7 +17,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or one of our own where it is unset (tests)."""
+    """The folder that driver and executors share: spark.checkpoint.dir, or one of our own where it is unset and
+    driver and executors are one process (tests)."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if found:
         return found.rstrip("/")
@@ -25,6 +26,8 @@ def shared_dir(spark: SparkSession) -> str:
     current = sc._jsc.sc().getCheckpointDir()
     if current.isDefined():
         return current.get().rstrip("/")
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     sc.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="foliant-"))
     return sc._jsc.sc().getCheckpointDir().get().rstrip("/")
 
@@ -46,13 +49,15 @@ def written(df: DataFrame, tag: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def drop_written(df: DataFrame) -> None:
+def drop_written(*tables: DataFrame) -> None:
     """Delete what written() made, once nothing reads it any more."""
-    spark = df.sparkSession
-    conf = spark._jsparkSession.sessionState().newHadoopConf()
-    for parent in {f.rpartition("/")[0] for f in df.inputFiles()}:
-        hadoop = spark._jvm.org.apache.hadoop.fs.Path(parent)
-        hadoop.getFileSystem(conf).delete(hadoop, True)
+    for df in tables:
+        spark = df.sparkSession
+        conf = spark._jsparkSession.sessionState().newHadoopConf()
+        for parent in {f.rpartition("/")[0] for f in df.inputFiles()}:
+            if "/foliant/" in parent:
+                hadoop = spark._jvm.org.apache.hadoop.fs.Path(parent)
+                hadoop.getFileSystem(conf).delete(hadoop, True)
 
 
 def as_row(df: DataFrame) -> Column:

@@ -17,7 +17,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foliant.llm.common import SPACE, as_row, table, written
+from foliant.llm.common import SPACE, as_row, drop_written, table, written
 from foliant.llm.spans import joined, overlaps_sorted, with_masked, with_matches
 
 PATTERNS = {
@@ -154,16 +154,19 @@ def reliable_patterns(links: DataFrame, occurrences: Callable[[DataFrame], DataF
     totals = written(occurrences(fit), "totals")
     edges = written(links.join(totals, on), "edges")
     beliefs = edges.where("kind is not null").select("h", "kind", F.lit(1.0).alias("b")).distinct()
-    good = None
+    good, old = None, []
     for _ in range(rounds):
         stands = edges.where("not bad").drop("kind").join(beliefs, "h")
         score = (F.sum(F.col("b") * F.col("n")) / (F.max("total") + 1)).alias("score")
         told = stands.groupBy(*on, "kind").agg(score, F.count_distinct("h").alias("support"))
         enough = (F.col("support") >= SUPPORT) & (F.col("score") >= RELIABLE) & (F.col("score") >= F.lit(float(LIFT)) * by_chance)
+        old += [good] if good is not None else []
         good = written(told.where(enough).select(*on, "kind", "score"), "good")
         doubt = F.sum(F.log(1.000001 - F.least(F.col("score"), F.lit(1.0))))
         fresh = edges.where("kind is null and not bad").drop("kind").join(good, on).groupBy("h", "kind").agg((1 - F.exp(doubt)).alias("b")).where(F.col("b") >= RELIABLE)
         beliefs = written(edges.where("kind is not null").select("h", "kind", F.lit(1.0).alias("b")).distinct().union(fresh), "beliefs")
+        old.append(beliefs)
+    drop_written(fit, totals, edges, *old)
     return good
 
 
@@ -189,6 +192,7 @@ def find_pii(docs: DataFrame, *keep: str) -> DataFrame:
         return joint.select("side", "x", "total").union(beside)
 
     good = reliable_patterns(links, occurrences, chance)
+    drop_written(links)
     k = F.array_position(F.array(*[F.lit(k) for k in KINDS]), F.col("kind")).cast("int")
     each = others.where("not bad").select("rid", "s", "e", F.explode("at").alias("p")).select("rid", "s", "e", "p.*").join(good, ["side", "x"])
     best = each.groupBy("rid", "s", "e").agg(F.min(F.struct((-F.col("score")).alias("by"), k.alias("k"), "kind")).alias("y"))

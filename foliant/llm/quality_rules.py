@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from foliant.llm.common import SPACE, table, written
+from foliant.llm.common import SPACE, drop_written, table, written
 
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
 POSITION_BITS = 20  #: of a sorted key; the other 44 bits are of the window's hash
@@ -157,6 +157,7 @@ def judge(docs: DataFrame, language: str = "lang", source: str = "source") -> Da
     limits = drawn(thresholds(sketch, "g1", "g2"), by_language, F.col("own.g1").eqNullSafe(F.col("wider.g1")))
     key = F.xxhash64("g1", "g2", F.col("g1").isNull(), F.col("g2").isNull()).alias("g")
     limits = written(limits.select(key, *CUTOFFS), "limits")
+    drop_written(sketch)
     both = stats.withColumn("g", key).join(limits, "g", "left")
     against = F.array_compact(F.array(*[F.when(~F.col(r).between(F.col(f"low_{r}"), F.col(f"high_{r}")), F.lit(r)) for r in RATIOS]))
     judged = both.withColumn("against", F.when(F.col("base_failed"), F.lit("base")).otherwise(F.array_join(against, ",")))

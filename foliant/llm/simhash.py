@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from foliant.llm.common import as_row, table, written
+from foliant.llm.common import as_row, drop_written, table, written
 from foliant.llm.components import connected_components
 
 SHINGLE = 4
@@ -110,11 +110,12 @@ def _posted(rows: DataFrame, masks: dict[int, list[int]]) -> DataFrame:
     return each.select("mask", F.col("fp").bitwiseAND(F.col("mask")).alias("b"), "fp")
 
 
-def candidate_links(distinct: DataFrame, distance: int = DISTANCE, longest: int | None = None) -> DataFrame:
+def candidate_links(distinct: DataFrame, distance: int = DISTANCE, longest: int | None = None, made: list[DataFrame] | None = None) -> DataFrame:
     """Verified links (u, v) between distinct fingerprints (fp): of every posting list, a spanning forest.
 
-    Lists are split level by level. The first levels, whose lists are too long on average, are gone through at once."""
-    longest = longest or LIST
+    Lists are split level by level. The first levels, whose lists are too long on average, are gone through at once.
+    `made` gets the tables that the links rest on."""
+    longest, made = longest or LIST, [] if made is None else made
     n = distinct.count()
     masks, depth = [0], 0
     while depth < 1 or (depth < POSITIONS - distance and n / 256**depth > longest / 4):
@@ -130,10 +131,12 @@ def candidate_links(distinct: DataFrame, distance: int = DISTANCE, longest: int
             sizes = written(rows.groupBy("mask", "b").agg(F.count("*").alias("n")).where(F.col("n") > longest).select("mask", "b"), "long")
             known = F.col("mask").isin([_signed(m) for m in splits])
             found_long = not sizes.where(known).isEmpty()
+            made += [rows, sizes]
         else:
             found_long = False
         short = rows.join(sizes.where(known), ["mask", "b"], "left_anti") if found_long else rows
         own = written(_verified(short, distance), "links")
+        made.append(own)
         links = own if links is None else links.union(own)
         if not found_long:
             break
@@ -189,11 +192,13 @@ def components(prints: DataFrame, distance: int = DISTANCE) -> DataFrame:
     very long texts are fingerprinted whole; an empty table gives no rows."""
     prints = written(prints, "prints")
     distinct = written(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct")
-    roots = connected_components(candidate_links(distinct, distance))
+    made: list[DataFrame] = []
+    roots = connected_components(candidate_links(distinct, distance, made=made))
     of = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     of = written(of, "roots")
     names = written(of.groupBy("root").agg(F.min("least").alias("component_id")), "names")
     named = written(of.join(names, "root").select("fp", "root", "component_id"), "named")
+    drop_written(distinct, of, names, *made)
     return prints.join(named, "fp").select("doc_id", "fp", "component_id", "root")
 
 

@@ -58,16 +58,20 @@ def _headers(raw: bytes) -> dict[str, str]:
 
 
 def inflated(stream) -> Iterator[bytes]:
-    """The plain bytes of a gzip file of one or more members, a block at a time."""
-    gz = zlib.decompressobj(31)
+    """The plain bytes of a gzip file of one or more members, at most BLOCK of them at a time however well they were
+    packed. A file that ends within a member is an error."""
+    gz, fresh = zlib.decompressobj(31), True
     while data := stream.read(BLOCK):
         while data:
             if gz.eof:
-                gz = zlib.decompressobj(31)
-            yield gz.decompress(data)
-            data = gz.unused_data
-    if not gz.eof:
-        yield gz.flush()
+                gz, fresh = zlib.decompressobj(31), True
+            fresh = False
+            yield gz.decompress(data, BLOCK)
+            data = gz.unused_data if gz.eof else gz.unconsumed_tail
+    while not gz.eof and (rest := gz.decompress(gz.unconsumed_tail, BLOCK)):
+        yield rest
+    if not (gz.eof or fresh):
+        raise ValueError("the archive ends within a gzip member")
 
 
 def records(blocks: Iterator[bytes]) -> Iterator[tuple[dict[str, str], bytes]]:
@@ -211,12 +215,15 @@ def read_archives(archives: DataFrame, folder: str) -> DataFrame:
 
 
 def round_trip(pages: DataFrame, folder: str | None = None, smallest: int = 0) -> DataFrame:
-    """Write, normalise and read back. Extra columns are left behind; an empty table gives no rows."""
+    """Write, normalise and read back. A null html is an empty payload, a page without an id always a response; of
+    equal payloads ties go to the least page_id, and rows that repeat it are responses too; very long pages pass one at
+    a time; extra columns, whatever their names, are left behind; an empty table gives no rows."""
     folder = folder or scratch_path(pages.sparkSession, "warc")
     return read_archives(normalise(write_archives(pages, folder, smallest), folder), folder)
 
 
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row of pages, written to archives and read back; round_trip() says what odd rows give."""
     return round_trip(table(spark, sf_dir, "pages"))
 
 

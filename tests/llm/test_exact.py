@@ -601,6 +601,29 @@ def test_warc_truncated_archive_is_refused():
         list(A.records(iter([raw, raw[:-20]])))
 
 
+def test_warc_inflates_in_bounded_blocks(monkeypatch):
+    """However well a member is packed, and a file cut anywhere is refused, at a record's border too."""
+    import gzip
+    import io
+
+    from foliant.llm import warc as A
+
+    plain = [b"x" * 50_000_000, b"", b"abc"]
+    raw = b"".join(gzip.compress(x) for x in plain)
+    sizes, n = [], 0
+    for block in A.inflated(io.BytesIO(raw)):
+        sizes.append(len(block))
+        n += len(block)
+    assert n == sum(map(len, plain)) and max(sizes) <= A.BLOCK
+    record = A.record(1, "u", b"hello" * 99, A.payload_digest(b"hello" * 99), "response", None)
+    member = gzip.compress(record)
+    assert len(list(A.records(A.inflated(io.BytesIO(member))))) == 1
+    for cut in (1, 4, 8, 12, len(member) // 2, len(member) - 1):
+        with pytest.raises(ValueError):
+            list(A.records(A.inflated(io.BytesIO(member[:-cut]))))
+    assert list(A.inflated(io.BytesIO(b""))) == []
+
+
 # --- nearest neighbours
 
 def brute(rows, k=5):
