@@ -5,14 +5,18 @@ A piece has some dozens of slots and parts, so one group is small by nature; pie
 from __future__ import annotations
 
 from collections import defaultdict
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from functools import reduce
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from foliant.functions.predicates import role_compatible, transposition_compatible
+from foliant.functions.text import first_truthy
+from foliant.operators.joins import dictionary
 
 RESULT = "piece_id string, kind string, pos int, canonical string, part_index int, label string, present boolean, matched_part string, observed_clefs string, observed_transpositions string"
 
@@ -24,18 +28,36 @@ def slot_role(label: Column) -> Column:
 def equivalences(slots: DataFrame, groups: DataFrame, key: str = "piece_id") -> DataFrame:
     """(key, slot_canonical, other) of interchangeable instruments: only where the piece expects exactly one member
     of the group. groups: grp, canonical."""
-    expected = slots.select(key, "canonical").distinct().join(F.broadcast(groups), "canonical")
+    dim = dictionary(groups)
+    expected = slots.select(key, "canonical").distinct().join(dim, "canonical")
     single = expected.groupBy(key, "grp").agg(F.count("*").alias("n"), F.min("canonical").alias("slot_canonical")).where("n = 1")
-    return single.join(F.broadcast(groups), "grp").where("canonical <> slot_canonical").select(key, "slot_canonical", F.col("canonical").alias("other"))
+    return single.join(dim, "grp").where("canonical <> slot_canonical").select(key, "slot_canonical", F.col("canonical").alias("other"))
+
+
+def _paired(slots: DataFrame, held: DataFrame, key: str, on: list[str]) -> DataFrame:
+    """(key, slot, part): the i-th slot of each value of `on` with the i-th held part, nulls among them equal."""
+    s = slots.withColumn("_i", F.row_number().over(W.partitionBy(*on).orderBy("slot")))
+    h = held.withColumn("_i", F.row_number().over(W.partitionBy(*on).orderBy("part")))
+    same = reduce(lambda a, b: a & b, [F.col(f"s.{c}").eqNullSafe(F.col(f"h.{c}")) for c in [*on, "_i"]])
+    return s.alias("s").join(h.alias("h"), (F.col(f"s.{key}") == F.col(f"h.{key}")) & same).select(F.col(f"s.{key}").alias(key), "s.slot", "h.part")
 
 
 def exact_index_matches(slots: DataFrame, held: DataFrame, key: str = "piece_id") -> DataFrame:
-    """The first pass in DataFrames: the i-th slot of a (canonical, chair, role) meets the i-th copy that fits.
+    """The first pass in DataFrames: the i-th slot of a (canonical, chair, role) meets the i-th copy that fits. Parts in
+    a slot's own key come first; then slots and parts that are left and of which one has no key.
     slots: key, slot, canonical, part_index, role, transposition; held: key, part, the same."""
     on = [key, "canonical", "part_index", "role"]
-    s = slots.where("part_index is not null").withColumn("_i", F.row_number().over(W.partitionBy(*on).orderBy("slot")))
-    h = held.where("part_index is not null").select(*on, "part", F.col("transposition").alias("_t"), F.row_number().over(W.partitionBy(*on).orderBy("part")).alias("_i"))
-    return s.join(h, [*on, "_i"]).where(transposition_compatible(F.col("transposition"), F.col("_t"))).select(key, "slot", "part", "canonical", "part_index")
+    same_key = F.lower(F.trim(first_truthy(F.col("transposition")))).alias("_key")
+    s = slots.where("part_index is not null").select(*on, "slot", same_key)
+    h = held.where("part_index is not null").select(*on, "part", same_key)
+    first = _paired(s, h, key, [*on, "_key"])
+    keyed_s, keyed_h = s.where("_key is not null"), h.where("_key is not null")
+    if keyed_s.isEmpty() and keyed_h.isEmpty():
+        return first
+    rest_s, rest_h = s.join(first, [key, "slot"], "left_anti"), h.join(first, [key, "part"], "left_anti")
+    open_slots = _paired(rest_s.where("_key is null"), rest_h.where("_key is not null"), key, on)
+    open_parts = _paired(rest_s.where("_key is not null"), rest_h.where("_key is null"), key, on)
+    return first.union(open_slots).union(open_parts)
 
 
 def unexpected(held: DataFrame, matched: DataFrame, slots: DataFrame, key: str = "piece_id") -> DataFrame:
@@ -142,27 +164,37 @@ class _Piece:
         return out
 
 
-def _whole(x) -> int | None:
-    return None if x is None or x != x else int(x)
+SLOT_FIELDS = ("pos", "canonical", "part_index", "label", "role", "transposition")
+PART_FIELDS = ("pos", "part", "canonical", "part_index", "label", "clef", "transposition", "role")
 
 
 def reconcile(slots: DataFrame, held: DataFrame, groups: list[list[str]] | None = None, usual_key: dict[str, str] | None = None) -> DataFrame:
     """Rows of RESULT: every slot, whether present and by what part, and the unexpected parts.
 
+    Each side is folded to one array a piece, and pieces are matched batch by batch, many in a batch. A piece has some
+    dozens of slots and parts; a piece's rows must fit in a task.
+
     slots: piece_id, pos, canonical, part_index, label, role, transposition;
     held: piece_id, part, pos, canonical, part_index, label, clef, transposition, role (a row for each facet)."""
     groups, usual_key = groups or [], usual_key or {}
-
-    def run(key, s: pd.DataFrame, h: pd.DataFrame) -> pd.DataFrame:
-        wanted = [{**r, "part_index": _whole(r["part_index"])} for r in s.sort_values("pos").to_dict("records")]
-        parts = []
-        for part, rows in h.sort_values("pos", kind="stable").groupby("part", sort=False):
-            first = rows.iloc[0]
-            parts.append({"part": part, **{k: (None if first[k] != first[k] else first[k]) for k in ("label", "clef", "transposition", "role")}, "facets": [(r.canonical, _whole(r.part_index)) for r in rows.itertuples()]})
-        out = pd.DataFrame(_Piece(wanted, parts, groups, usual_key).rows(key[0]), columns=[c.split()[0] for c in RESULT.split(", ")])
-        return out.astype({"part_index": "Int32"})
-
-    return slots.groupBy("piece_id").cogroup(held.groupBy("piece_id")).applyInPandas(run, RESULT)
+    fold = lambda df, fields, name: df.groupBy("piece_id").agg(F.array_sort(F.collect_list(F.struct(*fields))).alias(name))
+    both = fold(slots, SLOT_FIELDS, "wanted").join(fold(held, PART_FIELDS, "parts"), "piece_id", "full")
+    names = [c.split()[0] for c in RESULT.split(", ")]
+    kinds = pa.schema([(n, {"pos": pa.int32(), "part_index": pa.int32(), "present": pa.bool_()}.get(n, pa.string())) for n in names])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for piece, wanted, found in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+                parts: dict[str, dict] = {}
+                for r in found or []:
+                    first = parts.setdefault(r["part"], {**r, "facets": []})
+                    first["facets"].append((r["canonical"], r["part_index"]))
+                rows += _Piece(wanted or [], list(parts.values()), groups, usual_key).rows(piece)
+            columns = list(zip(*rows, strict=True)) or [()] * len(names)
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, kinds, strict=True)], schema=kinds)
+
+    return both.select("piece_id", "wanted", "parts").mapInArrow(run, RESULT)
 
 
 def compatible(slot: Column, part: Column) -> Column:

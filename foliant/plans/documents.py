@@ -62,8 +62,9 @@ SELECT source, first(doc_id ORDER BY k DESC, doc_id) AS worst_page, max(k)::BIGI
 def worst_row_per_group(spark, sf_dir):
     """The page with most issues, the lowest number among ties."""
     pages = document_pages(spark, sf_dir).withColumn("issues", P.page_issues())
-    best = pages.groupBy("source").agg(F.max(F.struct(F.size("issues").alias("n"), (-F.col("doc_id")).alias("p"))).alias("m"))
-    return best.where("m.n > 0").select("source", (-F.col("m.p")).alias("worst_page"), F.col("m.n").cast("long").alias("issues"))
+    found = A.score_documents(pages, "source", page="doc_id").where("worst_page is not null")
+    most = pages.select(F.col("doc_id").alias("worst_page"), F.size("issues").cast("long").alias("issues"))
+    return found.select("source", "worst_page").join(most, "worst_page").select("source", "worst_page", "issues")
 
 
 @query(
@@ -186,12 +187,10 @@ def folder_breakdown(spark, sf_dir):
 @query("SELECT 'lang' AS kind, lang AS key, count(*) AS n FROM documents GROUP BY lang UNION ALL SELECT 'source', source, count(*) FROM documents GROUP BY source UNION ALL SELECT 'all', 'all', count(*) FROM documents")
 def classification_aggregates(spark, sf_dir):
     """Several independent distributions in one scan, by grouping sets."""
-    load(spark, sf_dir, "documents", "lang", "source").createOrReplaceTempView("_documents_keys")
-    return spark.sql(
-        """SELECT CASE WHEN grouping(lang) = 0 THEN 'lang' WHEN grouping(source) = 0 THEN 'source' ELSE 'all' END AS kind,
-        CASE WHEN grouping(lang) = 0 THEN lang WHEN grouping(source) = 0 THEN source ELSE 'all' END AS key, count(*) AS n
-        FROM _documents_keys GROUP BY GROUPING SETS ((lang), (source), ())"""
-    )
+    docs = load(spark, sf_dir, "documents", "lang", "source")
+    sets = docs.groupingSets([["lang"], ["source"], []], "lang", "source").agg(F.grouping("lang").alias("no_lang"), F.grouping("source").alias("no_source"), F.count("*").alias("n"))
+    pick = lambda a, b: F.when(F.col("no_lang") == 0, a).when(F.col("no_source") == 0, b).otherwise("all")
+    return sets.select(pick("lang", "source").alias("kind"), pick(F.col("lang"), F.col("source")).alias("key"), "n")
 
 
 @query(

@@ -285,7 +285,7 @@ def section_lookup(spark, sf_dir):
 
 
 _SLOT_SQL = """slots AS (SELECT l_orderkey AS piece_id, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) - 1 AS pos, p_type AS canonical, CASE WHEN p_size % 3 = 0 THEN NULL ELSE p_size % 3 END AS part_index
-  FROM lineitem JOIN part ON p_partkey = l_partkey WHERE l_orderkey % 7 < 4), held AS (SELECT l_orderkey AS piece_id, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) AS part, p_type AS canonical,
+  FROM lineitem JOIN part ON p_partkey = l_partkey), held AS (SELECT l_orderkey AS piece_id, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) AS part, p_type AS canonical,
   CASE WHEN p_size % 2 = 0 THEN 1 + l_linenumber % 2 END AS part_index FROM lineitem JOIN part ON p_partkey = l_partkey WHERE l_returnflag <> 'R')"""
 
 
@@ -305,19 +305,15 @@ def _slots_and_held(spark, sf_dir):
     return slots, held
 
 
-#: The orders that have slots in _SLOT_SQL: four sevenths. The queries with that SQL as their twin follow it.
-_EXPECTED = "piece_id % 7 < 4"
-
-
 @query(
     f"""WITH {_SLOT_SQL}, s AS (SELECT *, row_number() OVER (PARTITION BY piece_id, canonical, part_index ORDER BY pos) AS i FROM slots WHERE part_index IS NOT NULL),
 h AS (SELECT *, row_number() OVER (PARTITION BY piece_id, canonical, part_index ORDER BY part) AS i FROM held WHERE part_index IS NOT NULL)
 SELECT s.piece_id, s.pos::INT AS slot, h.part::INT AS part FROM s JOIN h ON h.piece_id = s.piece_id AND h.canonical = s.canonical AND h.part_index = s.part_index AND h.i = s.i"""
 )
 def slot_index_match(spark, sf_dir):
-    """Slots and held parts of the same chair, the first with the first; of four sevenths of the orders, see _EXPECTED."""
+    """Slots and held parts of the same chair, the first with the first."""
     slots, held = _slots_and_held(spark, sf_dir)
-    return R.exact_index_matches(slots.where(_EXPECTED).withColumnRenamed("pos", "slot"), held).select("piece_id", "slot", "part")
+    return R.exact_index_matches(slots.withColumnRenamed("pos", "slot"), held).select("piece_id", "slot", "part")
 
 
 @query(
@@ -328,15 +324,39 @@ SELECT piece_id, part::INT AS part, canonical FROM held x WHERE NOT EXISTS (SELE
 AND NOT (part_index IS NOT NULL AND EXISTS (SELECT 1 FROM slots o WHERE o.piece_id = x.piece_id AND o.canonical = x.canonical AND o.part_index IS NULL))"""
 )
 def unexpected_parts(spark, sf_dir):
-    """Held parts that no slot took; all those of orders without slots, see _EXPECTED."""
+    """Held parts that no slot took."""
     slots, held = _slots_and_held(spark, sf_dir)
-    slots = slots.where(_EXPECTED).withColumnRenamed("pos", "slot")
+    slots = slots.withColumnRenamed("pos", "slot")
     return R.unexpected(held, R.exact_index_matches(slots, held), slots).select("piece_id", "part", "canonical")
 
 
-@query()
+#: Both passes of the matching for pieces without keys, roles or stand-ins. Parts come in the order of the first part of
+#: the same facet, then their own. The first pass numbers both sides; the second goes through a group's open slots one
+#: by one, each taking the first part without a chair if it has none itself, else the first that is left.
+_GREEDY_SQL = f"""{_SLOT_SQL},
+h0 AS (SELECT *, min(part) OVER (PARTITION BY piece_id, canonical, part_index) AS lead FROM held),
+h AS (SELECT *, row_number() OVER (PARTITION BY piece_id ORDER BY lead, part) - 1 AS n FROM h0),
+hi AS (SELECT *, row_number() OVER (PARTITION BY piece_id, canonical, part_index ORDER BY n) AS i FROM h WHERE part_index IS NOT NULL),
+si AS (SELECT *, row_number() OVER (PARTITION BY piece_id, canonical, part_index ORDER BY pos) AS i FROM slots WHERE part_index IS NOT NULL),
+m1 AS (SELECT si.piece_id, si.canonical, pos, part, n FROM si JOIN hi ON hi.piece_id = si.piece_id AND hi.canonical = si.canonical AND hi.part_index = si.part_index AND hi.i = si.i),
+s2 AS (SELECT piece_id, canonical, list({{'pos': pos, 'i': part_index}} ORDER BY pos) AS todo FROM slots s WHERE NOT EXISTS (SELECT 1 FROM m1 WHERE m1.piece_id = s.piece_id AND m1.pos = s.pos) GROUP BY ALL),
+h2 AS (SELECT piece_id, canonical, list({{'n': n, 'part': part, 'i': part_index}} ORDER BY n) AS free FROM h WHERE NOT EXISTS (SELECT 1 FROM m1 WHERE m1.piece_id = h.piece_id AND m1.part = h.part) GROUP BY ALL),
+step AS (SELECT piece_id, canonical, 0 AS k, todo, free, NULL::BIGINT AS pos, NULL::BIGINT AS part, NULL::BIGINT AS n FROM s2 JOIN h2 USING (piece_id, canonical)
+  UNION ALL SELECT piece_id, canonical, k + 1, todo, list_filter(free, lambda x: x.n <> pick.n), todo[k + 1].pos, pick.part, pick.n
+  FROM (SELECT *, coalesce(list_filter(free, lambda x: x.i IS NOT DISTINCT FROM todo[k + 1].i)[1], free[1]) AS pick FROM step WHERE k < len(todo) AND len(free) > 0)),
+taken AS (SELECT piece_id, pos, part, n FROM m1 UNION ALL SELECT piece_id, pos, part, n FROM step WHERE k > 0)"""
+
+
+@query(
+    f"""WITH RECURSIVE {_GREEDY_SQL}
+SELECT s.piece_id::VARCHAR AS piece_id, 'slot' AS kind, s.pos::INT AS pos, s.canonical, s.part_index::INT AS part_index, s.canonical AS label, t.part IS NOT NULL AS present, t.part::VARCHAR AS matched_part,
+  CASE WHEN t.part IS NOT NULL THEN '' END AS observed_clefs, CASE WHEN t.part IS NOT NULL THEN '' END AS observed_transpositions FROM slots s LEFT JOIN taken t ON t.piece_id = s.piece_id AND t.pos = s.pos
+UNION ALL SELECT h.piece_id::VARCHAR, 'unexpected', h.n::INT, h.canonical, h.part_index::INT, h.canonical, false, h.part::VARCHAR, '', '' FROM h
+WHERE NOT EXISTS (SELECT 1 FROM taken t WHERE t.piece_id = h.piece_id AND t.part = h.part)
+AND NOT (h.part_index IS NOT NULL AND EXISTS (SELECT 1 FROM slots o WHERE o.piece_id = h.piece_id AND o.canonical = h.canonical AND o.part_index IS NULL))"""
+)
 def slot_greedy_match(spark, sf_dir):
-    """Both passes of the matching over every order, order-dependent: held to a plain reference version in the tests."""
+    """Both passes of the matching over every order, order-dependent."""
     slots, held = _slots_and_held(spark, sf_dir)
     key = F.col("piece_id").cast("string").alias("piece_id")
     s = slots.select(key, "pos", "canonical", "part_index", F.col("canonical").alias("label"), "role", "transposition")
