@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from foliant.functions.predicates import other_section, prefer_vision, yes
 from foliant.functions.text import chair_runs, contains_word, normalize_part_text, part_index, reliable_label, split_combined
-from foliant.operators.joins import best_match, dictionary, dictionary_hits
+from foliant.operators.joins import best_match, dictionary, dictionary_hits, one_per_key
 
 #: How sure each kind of evidence is: alone, agreeing with the name, in its section, in another.
 CONFIDENCE = {
@@ -26,13 +26,13 @@ def name_facets(names: DataFrame, key: str, name: str, aliases: DataFrame) -> Da
     a piece of bare chairs extends the instrument before it ("horn 1 & 2"); runs give a facet for each chair."""
     pieces = names.select(key, F.posexplode(split_combined(normalize_part_text(F.col(name)))).alias("at", "piece"))
     pieces = pieces.withColumn("_k", F.concat_ws("#", F.col(key).cast("string"), F.col("at").cast("string")))
-    found = best_match(dictionary_hits(pieces, "_k", "piece", aliases), "_k").select("_k", "canonical")
+    found = best_match(dictionary_hits(pieces, "_k", "piece", aliases), "_k").select("_k", "canonical", "alias")
     both = pieces.join(found, "_k", "left")
     order = W.partitionBy(key).orderBy("at")
     carried = F.last("canonical", ignorenulls=True).over(order)
     bare = F.col("canonical").isNull() & F.col("piece").rlike("^[0-9][0-9a-z, -]*$")
-    chairs = chair_runs(F.col("piece"))
-    index = F.when(F.size(chairs) >= 2, chairs).when(bare, chairs).otherwise(F.array(part_index(F.col("piece"))))
+    chairs = F.when(F.col("alias").isNull(), chair_runs(F.col("piece"))).otherwise(chair_runs(F.col("piece"), F.col("alias")))
+    index = F.when(F.size(chairs) >= 2, chairs).when(bare & (F.size(chairs) > 0), chairs).otherwise(F.array(part_index(F.col("piece"))))
     named = both.withColumn("_c", carried).where(F.col("_c").isNotNull() & (F.col("canonical").isNotNull() | bare))
     rows = named.select(key, "at", F.col("_c").alias("canonical"), F.posexplode(index).alias("n", "part_index"))
     first = rows.groupBy(key, "canonical", "part_index").agg(F.min(F.struct("at", "n")).alias("o"))
@@ -49,6 +49,8 @@ def classify(docs: DataFrame, aliases: DataFrame, key: str = "pdf_path") -> Data
     groups = dictionary(aliases.groupBy("canonical").agg(F.max("section").alias("section")))
     facets = name_facets(docs, key, "name", aliases)
     upper = docs.select(key, normalize_part_text(F.col("upper_left")).alias("ul"))
+    # every alias of an instrument that the upper left holds, for the chairs beside its first place
+    placed = dictionary_hits(upper, key, "ul", aliases)
     full = docs.select(key, normalize_part_text(F.col("full_text")).alias("ft"))
     ul = best_match(dictionary_hits(upper, key, "ul", aliases, 4), key, earliest=True).select(key, F.col("canonical").alias("ul_canon"))
     ft = best_match(dictionary_hits(full, key, "ft", aliases, 4), key).select(key, F.col("canonical").alias("ft_canon"))
@@ -112,9 +114,10 @@ def classify(docs: DataFrame, aliases: DataFrame, key: str = "pdf_path") -> Data
     )
     out = both.select(key, chosen.alias("v")).select(key, "v.*")
     # a single instrument without a chair whose page names several: one facet for each chair
-    chairs = chair_runs(normalize_part_text(c("upper_left")))
-    texts_of = docs.select(key, F.when(F.size(chairs) >= 2, chairs).alias("_chairs"))
-    out = out.join(texts_of, key, "left")
+    lead_name = out.select(key, F.get("instruments", F.lit(0))["canonical"].alias("canonical"))
+    first_place = one_per_key(placed.join(lead_name, [key, "canonical"]), [key], F.asc("start"), F.desc(F.length("alias")))
+    chairs = chair_runs(F.col("ul"), F.col("alias"))
+    out = out.join(first_place.select(key, F.when(F.size(chairs) >= 2, chairs).alias("_chairs")), key, "left")
     single = (F.size("instruments") == 1) & F.get("instruments", F.lit(0))["part_index"].isNull() & c("_chairs").isNotNull()
     first = F.get("instruments", F.lit(0))["canonical"]
     expanded = F.when(single, F.transform("_chairs", lambda i: F.struct(first.alias("canonical"), i.alias("part_index")))).otherwise(c("instruments"))

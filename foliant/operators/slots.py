@@ -5,8 +5,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from foliant.functions.predicates import generic_umbrella, score_slot
-from foliant.functions.text import blank_to_null, contains_word, first_truthy
-from foliant.operators.joins import canonical_names, dictionary
+from foliant.functions.text import blank_to_null, first_truthy
+from foliant.operators.joins import canonical_names, dictionary, dictionary_hits
 from foliant.operators.reconcile import slot_role
 
 #: Names that say too little without a subtype or chair.
@@ -31,8 +31,9 @@ def backfill(slots: DataFrame, texts: DataFrame, aliases: DataFrame, generic: st
     """slots with the instruments of a family (aliases) that a text's instrumentation names and the slots lack; the
     family's generic slot goes where any were added."""
     part = F.lower(F.regexp_extract("text", region, 1))
-    named = texts.select(key, part.alias("region")).where("region <> ''").crossJoin(dictionary(aliases.where(F.col("canonical") != generic), 1000))
-    hits = named.where(contains_word(F.col("region"), F.col("alias"))).groupBy(key, "canonical").agg(F.min_by("alias", "pos").alias("alias"))
+    named = texts.select(key, part.alias("region")).where("region <> ''")
+    found = dictionary_hits(named, key, "region", aliases.where(F.col("canonical") != generic))
+    hits = found.groupBy(key, "canonical").agg(F.min_by("alias", "pos").alias("alias"))
     new = hits.join(slots.select(key, "canonical"), [key, "canonical"], "left_anti")
     added = new.select(key, F.lit(9999).alias("pos"), "canonical", F.lit(None).cast("int").alias("part_index"), F.initcap("alias").alias("label"), F.lit(generic).alias("section"), F.lit(True).alias("required"), F.lit("section").alias("role"))
     old = slots.join(new.select(key).distinct().withColumn("_new", F.lit(True)), key, "left").where(~((F.col("canonical") == generic) & F.coalesce("_new", F.lit(False)))).drop("_new")

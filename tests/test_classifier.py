@@ -38,7 +38,7 @@ def test_decision_list(spark):
         doc("llm_far", "Flute", llm=["tuba"], llm_confidence=0.9),
         doc("vision", "xx", vision=["horn"], vision_chairs=[1, 2]),
         doc("prefer", "Flute", llm=["flute", "piccolo"], llm_confidence=0.7, vision=["flute"], vision_confidence=0.9),
-        doc("chairs", "Oboe", upper_left="Oboe 1 2"),
+        doc("chairs", "Oboe", upper_left="March op 12 ist & 2nd Oboe"),
         doc("none", "zzz"),
     ]
     got = {r.pdf_path: r for r in K.classify(spark.createDataFrame(docs, KIND), lexicon(spark, LEXICON)).collect()}

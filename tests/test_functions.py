@@ -36,8 +36,13 @@ def one(spark, column, **values):
         (X.part_index, "clarinet", None),
         (X.part_index, "op 1234", None),
         (X.chair_runs, "horn 1-3", [1, 2, 3]),
-        (X.chair_runs, "ist & 2nd trumpet", [1, 2]),
-        (X.chair_runs, "no chair 99", []),
+        (X.chair_runs, "trumpet ist & 2nd", [1, 2]),
+        (X.chair_runs, "2 to 4 flutes", [2, 3, 4]),
+        (X.chair_runs, "flutes 2 to 4", [2, 3, 4]),
+        (X.chair_runs, "1, 2 & 4", [1, 2, 4]),
+        (X.part_index, "f1 horn 2", 2),
+        (X.strip_cues, "oboe cue", ""),
+        (X.strip_cues, "cue 2 flute", "cue 2 flute"),
         (X.split_combined, "flute 1 & piccolo", ["flute 1", "piccolo"]),
         (X.split_combined, "oboe / english horn", ["oboe", "english horn"]),
         (X.keyed_transposition, "horn in f 2", "F"),
