@@ -224,6 +224,32 @@ def worst_band(band: Column) -> Column:
     return F.element_at(F.array(*[F.lit(b) for b in ("unknown", "good", "fair", "poor")]), F.max(rank) + 1)
 
 
+def worst_of(bands: Column) -> Column:
+    """The worst of an array of bands, nulls left out; null for none."""
+    rank = lambda b: F.when(b == "poor", 3).when(b == "fair", 2).when(b == "good", 1).otherwise(0)
+    top = F.array_max(F.transform(F.filter(bands, lambda b: b.isNotNull()), rank))
+    return F.when(top.isNotNull(), F.element_at(F.array(*[F.lit(b) for b in ("unknown", "good", "fair", "poor")]), top + 1))
+
+
+def total_of_maps(counts: Column, known: tuple[str, ...] = BANDS[:3]) -> Column:
+    """An aggregate: the sums, key by key, of maps of counts, as an array of (key, n) in the keys' order with unknown
+    ones under `unknown`."""
+    part = lambda test: F.sum(F.aggregate(F.map_values(F.map_filter(counts, lambda k, v: test(k))), F.lit(0).cast("long"), lambda a, x: a + x))
+    each = [F.struct(F.lit(k).alias("key"), F.coalesce(part(lambda x: x == k), F.lit(0)).alias("n")) for k in known]  # noqa: B023
+    return F.array(*each, F.struct(F.lit("unknown").alias("key"), F.coalesce(part(lambda x: ~x.isin(*known)), F.lit(0)).alias("n")))
+
+
+def multi_pass_text(pages: DataFrame, key: str, first: int = 2, cap: int = 16_000) -> DataFrame:
+    """(key, text): the first pages' OCR passes in one labelled text; pages without passes are left out.
+    pages: key, page_num, headers array<string>, ocr_candidates array<struct<dpi, psm, confidence, text>>."""
+    ranked = pages.withColumn("_n", F.row_number().over(W.partitionBy(key).orderBy("page_num"))).where((F.col("_n") <= first) & (F.size("ocr_candidates") > 0))
+    head = F.concat(F.lit("--- Page "), F.col("page_num").cast("string"), F.lit(" ---"))
+    named = F.when(F.size("headers") > 0, F.concat(F.lit("[header] "), F.array_join("headers", " ")))
+    told = lambda c: F.concat(F.lit("[dpi="), c["dpi"].cast("string"), F.lit(" psm="), c["psm"].cast("string"), F.lit(" conf="), c["confidence"].cast("string"), F.lit("] "), F.coalesce(c["text"], F.lit("")))
+    lines = ranked.select(key, "page_num", F.array_join(F.concat(F.array_compact(F.array(head, named)), F.transform("ocr_candidates", told)), "\n").alias("text"))
+    return ordered_concat(lines, key, "page_num", "text", cap=cap)
+
+
 def band_counts(band: Column) -> list[Column]:
     """A count for each band; unknown names and nulls count as unknown."""
     named = F.when(band.isin("good", "fair", "poor"), band).otherwise("unknown")

@@ -73,19 +73,23 @@ def flattened(df: DataFrame, array: str, *keep: str, keep_empty: bool = False) -
 
 
 def metric_rows(df: DataFrame, skip: tuple[str, ...] = ()) -> DataFrame:
-    """A nested row as (metric, value) text rows, dotted paths for fields and [i] for elements' places."""
+    """A nested row as (metric, value) text rows: dotted paths for fields, [i] for the places of structs in an array;
+    an array of other values is joined."""
 
-    def walk(c: Column, kind: T.DataType, path: str) -> list[tuple[str, Column]]:
+    def walk(c: Column, kind: T.DataType, path: Column) -> Column:
+        """An array of (metric, value)."""
+        one = lambda v: F.array(F.struct(path.alias("metric"), v.alias("value")))
         if isinstance(kind, T.StructType):
-            return [x for f in kind for x in walk(c[f.name], f.dataType, f"{path}.{f.name}" if path else f.name)]
-        if isinstance(kind, T.ArrayType) and not isinstance(kind.elementType, T.StructType):
-            return [(path, F.array_join(c.cast("array<string>"), "; "))]
-        if isinstance(kind, (T.ArrayType, T.MapType)):
-            return [(path, F.to_json(c))]
-        return [(path, c.cast("string"))]
-
-    cells = [x for f in df.schema if f.name not in skip for x in walk(F.col(f"`{f.name}`"), f.dataType, f.name)]
-    return df.select(F.explode(F.array(*[F.struct(F.lit(k).alias("metric"), v.alias("value")) for k, v in cells])).alias("x")).select("x.*")
+            return F.concat(*[walk(c[f.name], f.dataType, F.concat(path, F.lit(f".{f.name}"))) for f in kind])
+        if isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.StructType):
+            each = F.transform(c, lambda x, i: walk(x, kind.elementType, F.concat(path, F.lit("["), i.cast("string"), F.lit("]"))))
+            return F.coalesce(F.flatten(each), F.array().cast("array<struct<metric:string,value:string>>"))
+        if isinstance(kind, T.ArrayType):
+            return one(F.array_join(c.cast("array<string>"), "; "))
+        return one(F.to_json(c) if isinstance(kind, T.MapType) else c.cast("string"))
+
+    cells = F.concat(*[walk(F.col(f"`{f.name}`"), f.dataType, F.lit(f.name)) for f in df.schema if f.name not in skip])
+    return df.select(F.explode(cells).alias("x")).select("x.*")
 
 
 def display_rows(documents: DataFrame, path: str = "pdf_path") -> DataFrame:
