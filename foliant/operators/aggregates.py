@@ -224,6 +224,11 @@ def worst_band(band: Column) -> Column:
     return F.element_at(F.array(*[F.lit(b) for b in ("unknown", "good", "fair", "poor")]), F.max(rank) + 1)
 
 
+def most_missing(missing: DataFrame, piece: str, label: str, most: int) -> DataFrame:
+    """(label, pieces): the labels that most pieces lack."""
+    return missing.groupBy(label).agg(F.countDistinct(piece).alias("pieces")).orderBy(F.desc("pieces"), label).limit(most)
+
+
 def worst_of(bands: Column) -> Column:
     """The worst of an array of bands, nulls left out; null for none."""
     rank = lambda b: F.when(b == "poor", 3).when(b == "fair", 2).when(b == "good", 1).otherwise(0)

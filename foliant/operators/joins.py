@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from foliant.functions.text import contains_word, normalize_name, snake_case
+from foliant.functions.text import blank_to_null, contains_word, normalize_name, snake_case
 
 BROADCAST_ROWS = 100_000  #: a dictionary of more rows is joined by shuffle
 
@@ -33,6 +33,16 @@ def last_wins(df: DataFrame, keys: list[str], position: str) -> DataFrame:
     return one_per_key(df, keys, F.desc(position))
 
 
+def first_rows(df: DataFrame, keys: list[str], most: int, *order: Column) -> DataFrame:
+    """The first rows of each key in the given order."""
+    return df.withColumn("_n", F.row_number().over(W.partitionBy(*keys).orderBy(*order))).where(F.col("_n") <= most).drop("_n")
+
+
+def first_non_empty(df: DataFrame, key: str, position: str, text: str) -> DataFrame:
+    """(key, text): the first text of each key that is neither null nor empty. An aggregate, so no key is gathered."""
+    return df.where(blank_to_null(F.col(text)).isNotNull()).groupBy(key).agg(F.min_by(text, position).alias(text))
+
+
 def lookup(left: DataFrame, right: DataFrame, keys: list[str], position: str | None = None, last: bool = True) -> DataFrame:
     """left, with the columns of the last (or first) row of its key on the right; each left row once."""
     side = right if position is None else one_per_key(right, keys, F.desc(position) if last else F.asc(position)).drop(position)

@@ -60,6 +60,20 @@ def exact_index_matches(slots: DataFrame, held: DataFrame, key: str = "piece_id"
     return first.union(open_slots).union(open_parts)
 
 
+def editions(parts: DataFrame, demand: DataFrame, key: list[str]) -> DataFrame:
+    """Clef editions in DataFrames: of the parts of the same facets and key, the n-th copies of every (clef, key) are
+    one, with their clefs and keys; where a piece asks for more than an edition has copies, each part stays its own.
+    parts: key, part (orderable), clef, transposition; demand: key, demand. Returns key, part (the first), clefs, keys."""
+    edition = [*key, "clef", "transposition"]
+    numbered = parts.withColumn("copy", F.row_number().over(W.partitionBy(*edition).orderBy("part")))
+    deepest = numbered.groupBy(*key).agg(F.max("copy").alias("deepest")).join(demand, key, "left")
+    both = numbered.join(deepest, key)
+    alone = F.coalesce(F.col("demand") > F.col("deepest"), F.lit(False))
+    stack = F.when(alone, F.struct(F.lit(True).alias("alone"), F.col("copy").alias("n"), "clef", "transposition")).otherwise(F.struct(F.lit(False).alias("alone"), F.col("copy").alias("n"), F.lit(None).cast("string").alias("clef"), F.lit(None).cast("string").alias("transposition")))
+    sets = lambda c: F.array_sort(F.collect_set(c))
+    return both.groupBy(*key, stack.alias("stack")).agg(F.min("part").alias("part"), sets("clef").alias("clefs"), sets("transposition").alias("keys")).drop("stack")
+
+
 def unexpected(held: DataFrame, matched: DataFrame, slots: DataFrame, key: str = "piece_id") -> DataFrame:
     """Held parts that no slot took: no solo parts, and no numbered variants of an unnumbered section slot."""
     rest = held.join(matched.select(key, "part"), [key, "part"], "left_anti").where(~F.col("role").isin("solo", "solo_alternative"))

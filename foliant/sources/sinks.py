@@ -5,6 +5,7 @@ Tables are written by Spark's committers, so a failed job leaves the previous ou
 from __future__ import annotations
 
 import json
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -102,6 +103,12 @@ def thumbnail_paths(*sides: DataFrame, column: str = "thumbnail_path") -> DataFr
     return out.where(F.col(column).isNotNull()).distinct()
 
 
+def ordered_paths(sides: list[DataFrame], column: str, position: str) -> DataFrame:
+    """(column, first): the values of all sides, each once, with the place (side, position) where it comes first."""
+    rows = [s.select(F.col(column), F.struct(F.lit(i).alias("side"), F.col(position).alias("position")).alias("_at")) for i, s in enumerate(sides)]
+    return reduce(lambda a, b: a.union(b), rows).where(F.col(column).isNotNull()).groupBy(column).agg(F.min("_at").alias("first"))
+
+
 def markdown_rows(df: DataFrame) -> DataFrame:
     """Each row as a line of a Markdown table, `line`."""
     cells = [markdown_cell(F.col(f"`{f.name}`").cast("string") if f.dataType.typeName() != "array" else F.array_join(f"`{f.name}`", "; ")) for f in df.schema]
