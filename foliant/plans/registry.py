@@ -32,4 +32,4 @@ def oracles() -> dict[str, str]:
 
 def _all() -> None:
     """Import the modules that register queries."""
-    from foliant.plans import archive, documents, links, pieces, scalars  # noqa: F401
+    from foliant.plans import archive, documents, io, links, pieces, scalars  # noqa: F401

@@ -5,6 +5,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from foliant.functions.numbers import percent, piece_order
+from foliant.functions.text import markdown_cell
 from foliant.operators import aggregates as A
 from foliant.sources.sinks import markdown_report, shown_targets
 
@@ -50,7 +51,14 @@ def piece_report(piece: DataFrame) -> str:
     head = piece.select("piece_id", "piece_folder", "severity", "completeness_tier", "completeness_score")
     slots = piece.select(F.inline("expected_parts"))
     todo = piece.select(F.explode("action_items").alias("x")).select("x.reason_code", "x.action", shown_targets(F.col("x.targets")).alias("targets"))
-    return markdown_report("Piece", [("Summary", head, 1), ("Expected parts", slots, 200), ("To do", todo, 10)])
+    documents = piece.select(F.inline("documents")).select("pdf_filename", "quality_band")
+    return markdown_report("Piece", [("Summary", head, 1), ("Expected parts", slots, 200), ("To do", todo, 10), ("Documents", documents, 200)])
+
+
+def index_lines(pieces: DataFrame, folder: str) -> DataFrame:
+    """(piece_id, line): a linked line for each piece's report."""
+    link = F.concat(F.lit("["), markdown_cell(F.col("piece_folder")), F.lit(f"]({folder}/"), F.col("piece_id").cast("string"), F.lit(".md) - "), F.col("severity"))
+    return pieces.select("piece_id", link.alias("line"))
 
 
 def dashboard(pieces: DataFrame) -> str:
@@ -63,16 +71,22 @@ def dashboard(pieces: DataFrame) -> str:
     return markdown_report("Collection", [("Severity", severity, 5), ("Completeness", tiers, 10), ("Reasons", reasons, 10), ("Attention", attention, 50)])
 
 
-def review_pack(queue: DataFrame, most: int = 50) -> str:
+def review_pack(queue: DataFrame, most: int = 50, detailed: int = 0) -> str:
+    """The weights, the foremost entries, and what is to be done about the first `detailed` of them."""
     weights = queue.sparkSession.createDataFrame(sorted(A.WEIGHTS.items()), "component string, points int")
     rows = queue.orderBy("rank").select("rank", "piece_id", "priority_score", "severity", "reason_codes")
-    return markdown_report("Review queue", [("Weights", weights, 10), ("Queue", rows, most)])
+    out = [markdown_report("Review queue", [("Weights", weights, 10), ("Queue", rows, most)])]
+    for r in queue.orderBy("rank").limit(detailed).collect() if detailed else []:
+        out += [f"## {r.piece_id}", "", *[f"- {a}" for a in r.recommended_actions or []], ""]
+    return "\n".join(out)
 
 
-def glossary(tables: dict[str, DataFrame]) -> str:
+def glossary(tables: dict[str, DataFrame], meanings: dict[str, str] | None = None) -> str:
+    """The columns of tables, with what is known of their meaning (`table.column`)."""
     out = ["# Tables", ""]
     for name, df in tables.items():
-        out += [f"## {name}", "", *[f"- `{f.name}`: {f.dataType.simpleString()}" for f in df.schema], ""]
+        told = [f"- `{f.name}`: {f.dataType.simpleString()}" + (f", {m}" if (m := (meanings or {}).get(f"{name}.{f.name}")) else "") for f in df.schema]
+        out += [f"## {name}", "", *told, ""]
     return "\n".join(out)
 
 

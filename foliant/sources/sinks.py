@@ -5,8 +5,12 @@ Tables are written by Spark's committers, so a failed job leaves the previous ou
 from __future__ import annotations
 
 import json
+import time
+import uuid
+from collections.abc import Iterator
 from functools import reduce
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -35,23 +39,81 @@ def write_text(df: DataFrame, column: str, path: str) -> None:
     df.select(F.col(column).cast("string")).write.mode("overwrite").text(path)
 
 
-def write_object(text: str, path: str, spark) -> None:
-    """A small file through the Hadoop file system: written beside its place, then renamed."""
+def _hadoop(spark, path: str):
+    """(path, its file context) in the session's file systems."""
     jvm = spark._jvm
-    to, tmp = jvm.org.apache.hadoop.fs.Path(path), jvm.org.apache.hadoop.fs.Path(path + ".tmp")
-    fs = to.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    conf = spark._jsparkSession.sessionState().newHadoopConf()
+    return at, jvm.org.apache.hadoop.fs.FileContext.getFileContext(at.getFileSystem(conf).getUri(), conf)
+
+
+def write_object(text: str, path: str, spark, tries: int = 5) -> None:
+    """A small file, written beside its place and renamed over it in one step, so readers see the old or the new one
+    whole. A rename that fails is tried again, each time after a longer wait."""
+    jvm = spark._jvm
+    tmp, _ = _hadoop(spark, f"{path}.{uuid.uuid4().hex}.tmp")
+    to, files = _hadoop(spark, path)
+    fs = tmp.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
     out = fs.create(tmp, True)
     out.write(bytearray(text.encode()))
     out.close()
-    fs.delete(to, False)
-    fs.rename(tmp, to)
+    over = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    over[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    for k in range(tries):
+        try:
+            files.rename(tmp, to, over)
+            return
+        except Exception:  # noqa: BLE001  the last one is raised
+            if k == tries - 1:
+                fs.delete(tmp, False)
+                raise
+            time.sleep(0.1 * 2**k)
+
+
+def assert_writable(path: str, spark) -> None:
+    """Raise unless files can be made in a folder, which is made if need be."""
+    probe = f"{path}/.{uuid.uuid4().hex}"
+    write_object("", probe, spark)
+    at, files = _hadoop(spark, probe)
+    files.delete(at, False)
 
 
 def data_module(df: DataFrame, key: str, order: list[Column] | None = None, register: str = "register") -> DataFrame:
-    """One row, `module`: a script that registers the rows as JSON under a key. For tables small enough to show."""
-    rows = df.orderBy(*order) if order else df
-    body = ",".join(rows.toJSON().collect())
-    return df.sparkSession.createDataFrame([(f"{register}({json.dumps(key)}, [{body}]);",)], "module string")
+    """The lines of a script, `module`, that registers the rows as JSON under a key: (place, module) with the rows
+    between a first and a last line, in order, a comma after each row (which an array literal of the script may end
+    with). Nothing is collected, however many rows there are."""
+    rows = (df.orderBy(*order) if order else df).select(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])).alias("row"))
+    placed = rows.withColumn("place", F.monotonically_increasing_id() + 1)  # ascends with the order
+    body = placed.select("place", F.concat("row", F.lit(",")).alias("module"))
+    ends = df.sparkSession.createDataFrame([(0, f"{register}({json.dumps(key)}, ["), ((1 << 63) - 1, "]);")], "place long, module string")
+    return body.union(ends)
+
+
+def copy_files(files: DataFrame, source: str, target: str, path: str = "pdf_path") -> DataFrame:
+    """(path, bytes, status): each file of source copied to the same place in target, by the tasks, through pyarrow's
+    file systems. A file that is there with the same size isn't copied again, so a task may be repeated."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from pyarrow import fs as pafs
+
+        (from_fs, from_at), (to_fs, to_at) = (pafs.FileSystem.from_uri(x) for x in (source, target))
+        for batch in batches:
+            out = []
+            for name in batch[path]:
+                try:
+                    size = from_fs.get_file_info(f"{from_at}/{name}").size
+                    if size is None:
+                        raise FileNotFoundError(name)
+                    there = to_fs.get_file_info(f"{to_at}/{name}")
+                    if there.size != size:
+                        to_fs.create_dir(f"{to_at}/{name}".rpartition("/")[0], recursive=True)
+                        pafs.copy_files(f"{from_at}/{name}", f"{to_at}/{name}", source_filesystem=from_fs, destination_filesystem=to_fs)
+                    out.append((name, size, "copied" if there.size != size else "present"))
+                except Exception as e:  # noqa: BLE001  one file's failure is its row's
+                    out.append((name, -1, f"error: {type(e).__name__}"))
+            yield pd.DataFrame(out, columns=[path, "bytes", "status"])
+
+    return files.select(path).mapInPandas(run, f"{path} string, bytes long, status string")
 
 
 def write_per_key(df: DataFrame, key: str, path: str) -> None:
@@ -64,6 +126,17 @@ def orphans(existing: DataFrame, current: DataFrame, key: str) -> DataFrame:
     return existing.select(key).distinct().join(current.select(key), key, "left_anti")
 
 
+def prune(path: str, key: str, current: DataFrame) -> list[str]:
+    """Delete the folders of write_per_key() whose key isn't in current; returns their keys, which are few."""
+    spark = current.sparkSession
+    existing = spark.read.json(path).select(F.col(key).cast("string").alias(key))
+    gone = sorted(r[0] for r in orphans(existing, current.select(F.col(key).cast("string").alias(key)), key).collect())
+    for value in gone:
+        at, files = _hadoop(spark, f"{path}/{key}={value}")
+        files.delete(at, True)
+    return gone
+
+
 def write_checkpoint(fingerprints: DataFrame, stage: str, version: str, run: str, path: str) -> None:
     """(key, fingerprint) of a stage, with the version that wrote them."""
     rows = fingerprints.select(F.lit(stage).alias("stage"), "key", "fingerprint", F.lit(version).alias("record_version"), F.lit(run).alias("last_run_id"))

@@ -37,21 +37,25 @@ def scoped(df: DataFrame, number: str, wanted: int | None, prior: DataFrame, key
     return both.withColumn("decision", single_piece_decision(F.col(number), wanted, F.coalesce("_seen", F.lit(False)))).drop("_seen")
 
 
-def upsert_stream(stream: DataFrame, key: str, order: str, table: str, checkpoint: str, process: Callable[[DataFrame], DataFrame] = lambda d: d, on_batch: Callable[[int, int], None] | None = None, available_now: bool = True) -> StreamingQuery:
+def upsert_stream(stream: DataFrame, key: str, order: str, table: str, checkpoint: str, process: Callable[[DataFrame], DataFrame] = lambda d: d, on_batch: Callable[[int, int], None] | None = None, available_now: bool = True, buckets: int = 64) -> StreamingQuery:
     """Append each micro-batch's new or changed keys to the Parquet table, stamped with the batch's number; latest()
-    reads the last version of each key. Rows need a `fingerprint`."""
+    reads the last version of each key. Rows need a `fingerprint`. The table is partitioned by a hash of the key, and a
+    batch is compared only with the buckets that its keys fall in."""
+    bucket = F.pmod(F.xxhash64(F.col(key)), F.lit(buckets)).cast("int")
 
     def apply(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        rows = one_per_key(batch, [key], F.desc(order))
+        rows = one_per_key(batch, [key], F.desc(order)).withColumn("_bucket", bucket)
         try:
-            seen = latest(spark, table, key).where(F.col("_batch") < number).select(key, F.col("fingerprint").alias("_f"))
+            touched = [r[0] for r in rows.select("_bucket").distinct().collect()]  # at most `buckets`
+            known = spark.read.parquet(table).where(F.col("_bucket").isin(touched) & (F.col("_batch") < number))
+            seen = _last(known, key).select(key, F.col("fingerprint").alias("_f"))
             rows = rows.join(seen, key, "left").where(~F.coalesce(F.col("_f") == F.col("fingerprint"), F.lit(False))).drop("_f")
         except Exception as e:  # noqa: BLE001
             if "PATH_NOT_FOUND" not in str(e) and "UNABLE_TO_INFER" not in str(e):
                 raise
-        out = process(rows).withColumn("_batch", F.lit(number).cast("long"))
-        out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("_batch").parquet(table)
+        out = process(rows).withColumn("_bucket", bucket).withColumn("_batch", F.lit(number).cast("long"))
+        out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("_bucket", "_batch").parquet(table)
         if on_batch:
             on_batch(number, spark.read.parquet(table).where(F.col("_batch") == number).count())
 
@@ -59,9 +63,12 @@ def upsert_stream(stream: DataFrame, key: str, order: str, table: str, checkpoin
     return (writer.trigger(availableNow=True) if available_now else writer).start()
 
 
+def _last(rows: DataFrame, key: str) -> DataFrame:
+    return one_per_key(rows.withColumn("_batch", F.col("_batch").cast("long")), [key], F.desc("_batch")).drop("_bucket")
+
+
 def latest(spark: SparkSession, table: str, key: str) -> DataFrame:
-    rows = spark.read.parquet(table)
-    return one_per_key(rows.withColumn("_batch", F.col("_batch").cast("long")), [key], F.desc("_batch"))
+    return _last(spark.read.parquet(table), key)
 
 
 def file_stream(spark: SparkSession, folder: str, schema: str, kind: str = "json", files_per_batch: int = 100) -> DataFrame:

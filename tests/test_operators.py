@@ -168,12 +168,25 @@ def test_json_sources_and_sinks(spark, tmp_path):
     assert "| a\\|b | x; y | true |" in sinks.markdown_report("R", [("S", df, 5)])
     sinks.write_object("hi", str(tmp_path / "o.txt"), spark)
     assert (tmp_path / "o.txt").read_text() == "hi"
-    assert sinks.data_module(df.select("t"), "k").first().module == 'register("k", [{"t":"a|b"}]);'
+    lines = [r.module for r in sinks.data_module(df.select("t"), "k").orderBy("place").collect()]
+    assert "".join(lines) == 'register("k", [{"t":"a|b"},]);'
+    sinks.write_object("new", str(tmp_path / "o.txt"), spark)
+    assert (tmp_path / "o.txt").read_text() == "new" and not list(tmp_path.glob("*.tmp"))
+    sinks.assert_writable(str(tmp_path / "w"), spark)
     sinks.write_per_key(spark.createDataFrame([("a", 1), ("b", 2)], "k string, v int"), "k", str(tmp_path / "per"))
     sinks.write_per_key(spark.createDataFrame([("a", 3)], "k string, v int"), "k", str(tmp_path / "per"))
     assert sorted(tuple(r) for r in spark.read.json(str(tmp_path / "per")).select("k", "v").collect()) == [("a", 3), ("b", 2)]
     gone = sinks.orphans(spark.read.json(str(tmp_path / "per")), spark.createDataFrame([("a",)], "k string"), "k")
     assert [r.k for r in gone.collect()] == ["b"]
+    assert sinks.prune(str(tmp_path / "per"), "k", spark.createDataFrame([("a",)], "k string")) == ["b"]
+    assert [r.k for r in spark.read.json(str(tmp_path / "per")).select("k").collect()] == ["a"]
+    files = spark.createDataFrame([("d/p.json",), ("none",)], "pdf_path string")
+    for status in ("copied", "present"):
+        done = {r.pdf_path: (r.bytes, r.status) for r in sinks.copy_files(files, f"file://{tmp_path}", f"file://{tmp_path}/copy").collect()}
+        assert done == {"d/p.json": (26, status), "none": (-1, "error: FileNotFoundError")}
+    (tmp_path / "y.jsonl").write_text('{"a": 1}\n{"a": "x", "b": "kept"}\n\nbad\n[1]\n')
+    assert [(r.a, r.b) for r in readers.read_jsonl(spark, str(tmp_path / "y.jsonl"), "a int, b string").collect()] == [(1, None), (None, "kept")]
+    assert [r._corrupt_record for r in readers.read_jsonl(spark, str(tmp_path / "y.jsonl"), "a int", with_rejects=True).collect() if r._corrupt_record] == ["bad", "[1]"]
 
 
 def test_settings_and_lexicon(spark, tmp_path):
@@ -183,6 +196,47 @@ def test_settings_and_lexicon(spark, tmp_path):
     assert {(r.canonical, r.alias, r.section) for r in lex.collect()} == {("flute", "flute", "winds"), ("flute", "fl", "winds"), ("bass_clarinet", "bass clarinet", "woodwind")}
 
 
+def test_lookup_sources(spark):
+    assert readers.title_variations("The March", "012 The March") == ["The March", "March"]
+    assert readers.title_variations("unknown", "12 Suite") == ["Suite"] and readers.title_variations(None, None) == []
+    calls = []
+
+    def get(params, left):
+        calls.append(params["action"])
+        if params["action"] == "opensearch":
+            return ["x", []]
+        if params["action"] == "query":
+            return {"query": {"search": [{"title": "Suite (band)"}] if params["srsearch"] == "Suite" else []}}
+        if params["prop"] == "sections":
+            return {"parse": {"sections": [{"line": "History", "index": 1}, {"line": "Instrumentation", "index": 2}]}}
+        return {"parse": {"wikitext": {"*": f"section {params.get('section')}"}}}
+
+    assert readers.wiki_text(get, "The Suite", None) == "Suite (band)\n\nsection 2"
+    assert calls == ["opensearch", "query", "opensearch", "query", "parse", "parse"]
+    ticks = iter(range(0, 100, 4))
+    assert readers.wiki_text(get, "The Suite", None, clock=lambda: next(ticks)) is None  # the budget is used up
+    assert readers.wiki_text(lambda p, s: {}["x"], "a", None) is None
+    df = spark.createDataFrame([(1, "Suite", "1 x"), (2, "Suite", None)], "k long, title string, folder string")
+    got = {r.k: (r.text, r.status) for r in readers.looked_up(df, "k", lambda p, s: get.__call__(p, s), spark.createDataFrame([(2, "old")], "k long, text string")).collect()}
+    assert got == {1: ("Suite (band)\n\nsection 2", "success"), 2: ("old", "cached")}
+    said = {r.k: (r.text, r.status[:5]) for r in readers.fetched(spark.createDataFrame([("a",), ("b",)], "k string"), "k", readers.command_source(["cat"])).collect()}
+    assert said == {"a": ("a", "succe"), "b": ("b", "succe")}
+    slow = readers.fetched(spark.createDataFrame([("a",)], "k string"), "k", readers.command_source(["sleep", "5"], 0.2)).first()
+    assert slow.text is None and "timed out" in slow.status
+    docs = spark.createDataFrame([("a", "short"), ("b", "x" * 300), ("c", None)], "pdf_path string, text string")
+    again = {r.pdf_path: (r.text, r.reread) for r in readers.reread_pages(docs, lambda p: "longer text" if p == "a" else None).collect()}
+    assert again["a"] == ("longer text", True) and again["b"][1] is False and again["c"] == (None, False)
+
+
+def test_dictionary_overlays(spark):
+    base = {"instruments": {"flute": ["flute"]}, "transposition_markers": {"in f": "F"}, "score_types": {"full": ["full score"]}, "interchangeable": [["a", "b"]]}
+    got = readers.merged_lexicon(base, {"instruments": {"oboe": ["oboe"], "flute": ["fl"]}, "clef_markers": {"TC": "treble"}, "score_types": None})
+    assert got["instruments"] == {"flute": ["fl"], "oboe": ["oboe"]} and got["score_types"] == {"full": ["full score"]}
+    rows = {(r.kind, r.marker, r.value) for r in readers.markers(spark, got).collect()}
+    assert rows == {("clef_markers", "tc", "treble"), ("transposition_markers", "in f", "F"), ("score_types", "full score", "full"), ("interchangeable", "a", "0"), ("interchangeable", "b", "0")}
+    assert readers.merged_settings({"a": {"x": 1}}, {"a": {"x": 2, "z": 3}, "q": 1}) == {"a": {"x": 2}}
+
+
 def test_plugins(spark):
     df = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "i int, t string")
 
