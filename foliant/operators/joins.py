@@ -51,7 +51,8 @@ def lookup(left: DataFrame, right: DataFrame, keys: list[str], position: str | N
 
 def assemble(key: str, universe: list[DataFrame], single: dict[str, DataFrame], many: dict[str, DataFrame], orders: dict[str, list[str]]) -> DataFrame:
     """One row for each key of the universe's union: a struct of each single side, an ordered array of each many side.
-    Sides in `many` are folded before the join, so rows are never multiplied."""
+    Sides in `many` are folded before the join, so rows are never multiplied; all rows of a key must fit in one task
+    then. Where a count or an extreme is enough, aggregate the side and give it as a single one."""
     ids = reduce(lambda a, b: a.union(b), [u.select(key) for u in universe]).where(F.col(key).isNotNull()).distinct()
     for name, side in single.items():
         rest = [c for c in side.columns if c != key]

@@ -318,3 +318,71 @@ def declared_filter(spark, sf_dir):
     """Rows whose fields are in declared lists."""
     rows = P.declared(load(spark, sf_dir, "events"), {"event_type": ["click", "view"], "user_id": [1, 2, 3]})
     return rows.select("event_id", (F.col("value") > 10).alias("kept"), "user_id")
+
+
+@query(
+    """SELECT l_orderkey, count(*) FILTER (l_returnflag <> 'N') AS required_count, count(*) FILTER (l_returnflag <> 'N' AND l_linestatus = 'F') AS present_count, count(*) FILTER (l_returnflag <> 'N' AND l_linenumber > 1 AND l_linestatus <> 'F') AS missing_required_count,
+  coalesce(bool_or(l_returnflag <> 'N' AND l_linenumber = 1 AND l_linestatus <> 'F'), false) AS score_missing, round(CASE WHEN count(*) FILTER (l_returnflag <> 'N') = 0 THEN 1.0 ELSE count(*) FILTER (l_returnflag <> 'N' AND l_linestatus = 'F') / count(*) FILTER (l_returnflag <> 'N') END, 3) AS completeness_score
+FROM lineitem GROUP BY l_orderkey"""
+)
+def slot_completeness(spark, sf_dir):
+    """The share of a piece's required slots that are filled, its score one of them."""
+    c = F.col
+    slots = load(spark, sf_dir, "lineitem").select("l_orderkey", (c("l_returnflag") != "N").alias("required"), (c("l_linestatus") == "F").alias("present"), (c("l_linenumber") == 1).alias("is_score"))
+    return A.completeness(slots, "l_orderkey").drop("completeness_tier")
+
+
+@query(
+    """WITH dim AS (SELECT * FROM (VALUES ('ring', 'ring', 0), ('small_ring', 'small ring', 1), ('small', 'small', 2), ('gear', 'gear', 3)) v(canonical, alias, pos)),
+h AS (SELECT p_partkey, canonical, alias, pos FROM part JOIN dim ON contains(' ' || p_name || ' ', ' ' || alias || ' ')),
+b AS (SELECT p_partkey, first(canonical ORDER BY length(alias) DESC, pos) AS best FROM h GROUP BY p_partkey)
+SELECT p_partkey, best, coalesce(string_agg(canonical, ';' ORDER BY length(alias) DESC, pos) FILTER (canonical <> best), '') AS alternates FROM h JOIN b USING (p_partkey) GROUP BY p_partkey, best"""
+)
+def dictionary_alternates(spark, sf_dir):
+    """The best entry of a dictionary in each name, and the other entries, longer aliases first."""
+    dim = spark.createDataFrame([("ring", "ring", 0), ("small_ring", "small ring", 1), ("small", "small", 2), ("gear", "gear", 3)], "canonical string, alias string, pos int")
+    best = J.best_match(J.dictionary_hits(load(spark, sf_dir, "part", "p_partkey", "p_name"), "p_partkey", "p_name", dim), "p_partkey")
+    return best.select("p_partkey", F.col("canonical").alias("best"), F.coalesce(F.array_join(F.transform("alternates", lambda x: x["canonical"]), ";"), F.lit("")).alias("alternates"))
+
+
+@query("SELECT c_custkey, row_number() OVER (ORDER BY CASE WHEN c_nationkey % 3 = 0 THEN '~' ELSE lpad(c_nationkey::VARCHAR, 3, '0') END, c_name) AS place FROM customer QUALIFY place <= 50")
+def record_order(spark, sf_dir):
+    """The first fifty pieces of an export: by catalog number, those without last, then by folder."""
+    from pyspark.sql import Window as W
+
+    from foliant.functions.numbers import piece_order
+
+    catalog = F.when(F.col("c_nationkey") % 3 > 0, F.lpad(F.col("c_nationkey").cast("string"), 3, "0"))
+    rows = load(spark, sf_dir, "customer").select("c_custkey", catalog.alias("catalog_number"), F.col("c_name").alias("piece_folder"))
+    first = C.in_piece_order(rows).limit(50)
+    place = F.row_number().over(W.orderBy(*piece_order(F.col("catalog_number"), F.col("piece_folder")))).cast("long")  # fifty rows
+    return first.select("c_custkey", place.alias("place"))
+
+
+@query("SELECT * FROM (SELECT 0::BIGINT AS batch, count(DISTINCT user_id) AS written FROM events WHERE event_id % 2 = 0 UNION ALL SELECT 1, count(DISTINCT user_id) FROM events) WHERE written > 0")
+def batch_callbacks(spark, sf_dir):
+    """What a stream's batches have written, told batch by batch as they end."""
+    from foliant.sources.scratch import new_folder
+    from foliant.streaming.incremental import file_stream, upsert_stream
+
+    folder, seen = new_folder(spark, "batches"), []
+    events = load(spark, sf_dir, "events", "user_id", "event_id")
+    for k, part in enumerate((events.where("event_id % 2 = 0"), events)):
+        part.groupBy("user_id").agg(F.max("event_id").alias("event_id")).withColumn("fingerprint", F.concat(F.lit(f"{k} "), F.col("event_id").cast("string"))).coalesce(1).write.mode("append").json(f"{folder}/in")
+        stream = file_stream(spark, f"{folder}/in", "user_id long, event_id long, fingerprint string")
+        upsert_stream(stream, "user_id", "event_id", f"{folder}/table", f"{folder}/checkpoint", on_batch=lambda b, n: seen.append((b, n))).awaitTermination()
+    return spark.createDataFrame(seen, "batch long, written long")
+
+
+@query(
+    """SELECT c_custkey, CASE WHEN c_nationkey % 2 = 0 THEN c_mktsegment ELSE c_name END AS title, count(o_orderkey) FILTER (o_orderpriority = '1-URGENT') AS scores, min(o_orderkey) FILTER (o_orderpriority = '1-URGENT') AS score FROM customer LEFT JOIN orders ON o_custkey = c_custkey GROUP BY ALL"""
+)
+def site_metadata(spark, sf_dir):
+    """What is shown of a piece: the resolved title, else the one that was read; its scores."""
+    from foliant.functions.text import first_truthy
+
+    c = F.col
+    scores = load(spark, sf_dir, "orders").where("o_orderpriority = '1-URGENT'").groupBy(c("o_custkey").alias("c_custkey")).agg(F.count("*").alias("scores"), F.min("o_orderkey").alias("score"))
+    resolved = F.when(c("c_nationkey") % 2 == 0, c("c_mktsegment")).otherwise("")
+    both = load(spark, sf_dir, "customer").join(scores, "c_custkey", "left")
+    return both.select("c_custkey", first_truthy(resolved, c("c_name")).alias("title"), F.coalesce("scores", F.lit(0)).cast("long").alias("scores"), "score")

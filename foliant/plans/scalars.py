@@ -2,7 +2,6 @@
 the answer from the columns alone."""
 from __future__ import annotations
 
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from foliant.functions import numbers as N
@@ -146,16 +145,15 @@ def fingerprints(spark, sf_dir):
 
 @query(
     """SELECT p_partkey, CASE WHEN p_size % 5 = 0 THEN '0-' || lpad(coalesce((p_size % 3)::VARCHAR, '9'), 2, '0') ELSE '1-' || lpad((p_size % 7)::VARCHAR, 3, '0') || '-' || lpad((p_size % 4)::VARCHAR, 2, '0') || '-' || p_size % 2 END AS part_key,
-  row_number() OVER (ORDER BY CASE WHEN p_size % 2 = 0 THEN lpad(p_size::VARCHAR, 4, '0') ELSE '~' END, p_name, p_partkey) AS place FROM part"""
+  CASE WHEN p_size % 2 = 0 THEN lpad(p_size::VARCHAR, 4, '0') ELSE '~' END AS catalog_key, p_name AS folder_key FROM part"""
 )
 def sort_keys(spark, sf_dir):
-    """Keys of parts and scores, and each piece's place: by catalog number, those without last, then by folder."""
+    """Keys that parts and scores sort by, and pieces: by catalog number, those without last, then by folder."""
     c = F.col
     key = N.part_sort_key(c("p_size") % 7, c("p_size") % 4, c("p_size") % 2, c("p_size") % 5 == 0, c("p_size") % 3)
     catalog = F.when(c("p_size") % 2 == 0, F.lpad(c("p_size").cast("string"), 4, "0")).otherwise("")
-    # every row's place is the point here: a global order, numbered
-    place = F.row_number().over(W.orderBy(*N.piece_order(catalog, c("p_name")), "p_partkey"))
-    return part(spark, sf_dir).select("p_partkey", key.alias("part_key"), place.cast("long").alias("place"))
+    by = N.piece_order(catalog, c("p_name"))
+    return part(spark, sf_dir).select("p_partkey", key.alias("part_key"), by[0].alias("catalog_key"), by[1].alias("folder_key"))
 
 
 @query(
