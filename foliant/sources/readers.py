@@ -106,16 +106,23 @@ def read_pages(files: DataFrame, extract: Callable[[bytes], Iterator[dict[str, A
     with processing_status `error`; `schema` must hold the key, processing_status and error_message."""
     names = T._parse_datatype_string(schema).names
 
+    def frame(found: list[dict[str, Any]]) -> pd.DataFrame:
+        full = pd.DataFrame(found, dtype=object).reindex(columns=names).astype(object)
+        return full.where(full.notna(), None)
+
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: list[dict[str, Any]] = []
         for batch in batches:
             for at, content in zip(batch[key], batch["content"], strict=True):
                 try:
-                    found = [{"processing_status": "success", **page, key: at} for page in extract(bytes(content))]
+                    held += [{"processing_status": "success", **page, key: at} for page in extract(bytes(content))]
                 except Exception as e:  # noqa: BLE001
-                    found = [{key: at, "processing_status": "error", "error_message": str(e)}]
-                if found:
-                    full = pd.DataFrame(found, dtype=object).reindex(columns=names).astype(object)
-                    yield full.where(full.notna(), None)
+                    held.append({key: at, "processing_status": "error", "error_message": str(e)})
+                if len(held) >= 5000:
+                    yield frame(held)
+                    held = []
+        if held:
+            yield frame(held)
 
     return files.select(key, "content").mapInPandas(rows, schema)
 
