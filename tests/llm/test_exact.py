@@ -225,6 +225,29 @@ def test_pii_bootstrapping_finds_unseen_identifiers(spark):
     assert not got[81].spans and not got[50].spans
 
 
+def test_pii_spans_against_brute_force(spark):
+    """All spans, discovered ones included, on texts where words, signs and joints precede and follow identifiers."""
+    import brute
+
+    from foliant.llm import pii as P
+
+    rng = random.Random(7)
+    words = ["call", "the", "of", "id:", "=", "ref", "Ärzte", "no."]
+    value = lambda: rng.choice([f"a{rng.randrange(60)}@b.org", f"10.0.{rng.randrange(300)}.7", f"+49 30 {rng.randrange(10**6, 10**7)}", f"K{rng.randrange(10**5, 10**5 + 80)}", f"{rng.randrange(10**15, 10**16)}", "4111111111111111"])
+    said = lambda w: rng.choice([f"{w} {value()}", f"{w}{value()}", f"{value()} {w}", f"{w} {rng.choice(words)}", f"{w}\n{value()},"])
+    texts = [" ".join(said(rng.choice(words)) for _ in range(rng.randrange(1, 9))) for _ in range(250)]
+    texts += [f"mailto:{x}" for x in ("u1@x.de", "u2@x.de", "u3@x.de", "u4@x.de", "u5@x.de", "u6@x.de", "u7@x.de", "K999999", "K999998")] + [f"K99999{i} soon" for i in range(8)] + [f"u{i}@y.de soon" for i in range(30)] + [None, ""]
+    rows = {r.doc_id: [(x.kind, x.s, x.e) for x in r.spans] for r in P.find_pii(frame(spark, texts)).collect()}
+    want = brute.pii(texts)
+    assert sum(k.startswith("context_") for x in want for k, _, _ in x) >= 9
+    for i, x in enumerate(want):
+        assert rows[i] == x, texts[i]
+    docs = documents(spark)
+    rows = {r.doc_id: r.spans for r in P.op8_pii(spark, SF01).collect()}
+    for (i, t), x in zip(docs, brute.pii([t for _, t in docs]), strict=True):
+        assert rows[i] == ",".join(f"{k}:{s}:{e}" for k, s, e in x), t
+
+
 def test_pii_bootstrapping_rounds_kinds_and_negatives(spark):
     """Precision and recall of planted identifiers among decoys. `badge` has no seed of its own: it is learnt in the
     second round, from values that `reach` and `tel:` found. `the` stands before seeds too, but before much else."""
