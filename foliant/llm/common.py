@@ -49,15 +49,17 @@ def written(df: DataFrame, tag: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def drop_folder(spark: SparkSession, path: str) -> None:
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(hadoop, True)
+
+
 def drop_written(*tables: DataFrame) -> None:
     """Delete what written() made, once nothing reads it any more."""
     for df in tables:
-        spark = df.sparkSession
-        conf = spark._jsparkSession.sessionState().newHadoopConf()
         for parent in {f.rpartition("/")[0] for f in df.inputFiles()}:
             if "/foliant/" in parent:
-                hadoop = spark._jvm.org.apache.hadoop.fs.Path(parent)
-                hadoop.getFileSystem(conf).delete(hadoop, True)
+                drop_folder(df.sparkSession, parent)
 
 
 def as_row(df: DataFrame) -> Column:

@@ -23,7 +23,7 @@ import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foliant.llm.common import scratch_path, table, written
+from foliant.llm.common import drop_folder, scratch_path, table, written
 
 ARCHIVE_BYTES = 32 << 20  #: payload after which a new archive is begun
 LEVEL = 4
@@ -158,20 +158,23 @@ def write_archives(pages: DataFrame, folder: str, smallest: int = 0) -> DataFram
     return written(typed.mapInPandas(write, "archive string, n_records long"), "archives")
 
 
-def normalise(archives: DataFrame, folder: str) -> DataFrame:
+def normalise(archives: DataFrame, folder: str, target: str | None = None) -> DataFrame:
     """Rewrite each archive of (archive) in `folder` with a gzip member for every record, beside a sidecar index of
-    JSON lines; returns (archive, index, n_records). One pass over an archive, with one record held at a time."""
+    JSON lines, in `target` (the same folder, if none is given); returns (archive, index, n_records). One pass over an
+    archive, with one record held at a time."""
+    target = target or folder
 
     def rewrite(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        fs, base = _open(folder)
+        (fs, base), (to_fs, to_base) = _open(folder), _open(target)
+        to_fs.create_dir(to_base, recursive=True)
         for batch in batches:
             out = []
             for name in batch["archive"]:
                 to, n, at = f"{uuid.uuid4().hex}.norm.warc.gz", 0, 0
                 with (
                     fs.open_input_stream(f"{base}/{name}", compression=None) as source,
-                    fs.open_output_stream(f"{base}/{to}", compression=None) as sink,
-                    fs.open_output_stream(f"{base}/{to}.idx", compression=None) as index,
+                    to_fs.open_output_stream(f"{to_base}/{to}", compression=None) as sink,
+                    to_fs.open_output_stream(f"{to_base}/{to}.idx", compression=None) as index,
                 ):
                     for head, raw in records(inflated(source)):
                         gz = zlib.compressobj(LEVEL, zlib.DEFLATED, 31)
@@ -219,7 +222,10 @@ def round_trip(pages: DataFrame, folder: str | None = None, smallest: int = 0) -
     equal payloads ties go to the least page_id, and rows that repeat it are responses too; very long pages pass one at
     a time; extra columns, whatever their names, are left behind; an empty table gives no rows."""
     folder = folder or scratch_path(pages.sparkSession, "warc")
-    return read_archives(normalise(write_archives(pages, folder, smallest), folder), folder)
+    archives = write_archives(pages, f"{folder}/raw", smallest)
+    normal = normalise(archives, f"{folder}/raw", folder)
+    drop_folder(pages.sparkSession, f"{folder}/raw")  # all is in the normalised archives now
+    return read_archives(normal, folder)
 
 
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -39,6 +39,32 @@ def test_language_held_out(spark):
     assert rows.score.between(0, 1).all()
 
 
+def test_queries_apply_their_models_to_whole_texts(spark):
+    """op1, op4 and op6 against their models, fitted alike, applied to one text after the other."""
+    docs = spark.read.parquet(f"{SF01}/documents.parquet")
+    labels = spark.read.parquet(f"{SF01}/labels.parquet")
+    texts = {r.doc_id: r.text for r in docs.select("doc_id", "text").collect()}
+    model = L.train(docs)
+    for r in L.op1_language_id(spark, SF01).collect():
+        lang, score, ambiguous, _ = model.predict(texts[r.doc_id])
+        assert (r.lang_pred, r.ambiguous) == (lang, ambiguous) and r.score == pytest.approx(score, abs=1e-6)
+    quality = Q.train(docs, labels)
+    for r in Q.op4_quality_classifier(spark, SF01).collect():
+        score, _ = quality.score(Q.passages_of(*Q.encoded(texts[r.doc_id].encode())))
+        assert r.score == pytest.approx(score, abs=1e-6) and r.predicted == (r.score >= 0.3)
+    import brute
+
+    domains = M.train(docs, M.label_domains(labels))
+    rows = {r.doc_id: r for r in M.op6_mixing(spark, SF01).collect()}
+    read = {i: M._read(t.encode()) for i, t in texts.items()}
+    n, p = np.array([x[2] for x in read.values()]), np.stack([domains.posteriors(x[0], x[1]).astype(float) for x in read.values()])
+    full, weight = (p * n[:, None]).sum(0), np.array([M.TARGETS[d] for d in domains.domains])
+    rate = brute.rates(n, p, weight * (full / weight).min(), None, M.ROUNDS)
+    for i, k, r in zip(read, range(len(n)), rate, strict=True):
+        assert rows[i].n_tokens == n[k] and rows[i].rate == pytest.approx(r, abs=1e-5)
+        assert [rows[i][f"p_{d}"] for d in domains.domains] == pytest.approx(list(p[k]), abs=1e-6)
+
+
 def test_language_edges(spark):
     model = L.train(spark.read.parquet(f"{SF01}/documents.parquet"), bound=300)
     docs = edge_docs(spark).withColumn("score", F.lit("mine")).withColumn("row", F.lit(1))
