@@ -124,8 +124,10 @@ def write_archives(pages: DataFrame, folder: str, smallest: int = 0) -> DataFram
     archives. Of equal payloads of at least `smallest` bytes that of the least page_id is the response, rows that
     share it too; others revisit it. Null html is an empty payload; a page without an id is always a response."""
     full = F.coalesce("html", F.lit("")).cast("binary")
-    plain = pages.select("page_id", "url", full.alias("payload"), F.sha1(full).alias("sha1"))
-    first = written(plain.where(F.octet_length("payload") >= smallest).groupBy("sha1").agg(F.min("page_id").alias("first")), "first")
+    plain = pages.select("page_id", "url", full.alias("payload"), F.unhex(F.sha1(full)).alias("sha1"))
+    # only digests that several pages share are looked up: few, as a rule, and then the payloads needn't be shuffled
+    whole = plain.where(F.octet_length("payload") >= smallest).groupBy("sha1").agg(F.min("page_id").alias("first"), F.max("page_id").alias("last"))
+    first = written(whole.where("first <> last").select("sha1", "first"), "first")
     whose = plain.join(first, "sha1", "left").select("page_id", "url", "payload", F.when(F.octet_length("payload") >= smallest, F.col("first")).alias("first"))
 
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
