@@ -37,6 +37,19 @@ def record_fingerprint(*cs: Column) -> Column:
     return sha256_tagged(F.to_json(F.struct(*[c.alias(f"c{i}") for i, c in enumerate(cs)]), {"ignoreNullFields": "false"}))
 
 
+def piece_fingerprint(fingerprints: Column) -> Column:
+    """A hash of an array of fingerprints that doesn't depend on their order."""
+    return sha256_tagged(F.array_join(F.array_sort(fingerprints), "|"))
+
+
+def config_fingerprint(settings: dict) -> str:
+    """A hash of settings that doesn't depend on the order of their keys."""
+    import hashlib
+    import json
+
+    return "sha256:" + hashlib.sha256(json.dumps(settings, sort_keys=True, separators=(",", ":"), default=str).encode()).hexdigest()
+
+
 def confidence_tier(c: Column) -> Column:
     return F.when(c >= HIGH_CONFIDENCE, "high").when(c >= LOW_CONFIDENCE, "medium").when(c > 0, "low").otherwise("none")
 

@@ -311,3 +311,18 @@ def site_documents(documents: DataFrame, detected: DataFrame, parts: DataFrame)
     return both.select(short_id(F.col("pdf_path")).alias("doc_id"), "piece_id", "pdf_path", file_name(F.col("pdf_path")).alias("pdf_filename"), instrument.alias("instrument"), "section", "part_role", yes(F.col("is_score")).alias("is_score"), F.coalesce("page_count", F.lit(0)).alias("page_count"), "quality")
 
 
+
+
+#: What is shown of a page, beside its ids.
+SITE_PAGE = (
+    "piece_id", "page_num", "thumbnail_path", "render_dpi", "render_width_px", "render_height_px", "orientation", "aspect_ratio", "text_density", "black_white_ratio", "is_blank", "has_staves",
+    "staff_line_count", "contrast_std", "blur_variance", "skew_angle_deg", "estimated_dpi", "osd_rotation", "osd_orientation_conf", "osd_script",
+)
+
+
+def site_pages(pages: DataFrame) -> DataFrame:
+    """Pages as they are shown: ids, the document's file name and the features there are."""
+    from foliant.functions.numbers import page_id
+
+    ids = [page_id(F.col("pdf_path"), F.col("page_num")).alias("page_id"), short_id(F.col("pdf_path")).alias("doc_id"), file_name(F.col("pdf_path")).alias("doc_filename")]
+    return pages.select(*ids, *[field(pages, c).alias(c) for c in SITE_PAGE])

@@ -322,3 +322,25 @@ def signal_gather(spark, sf_dir):
     rows = turns.select("conv_id", "turn", F.coalesce(X.blank_to_null(F.trim(own)), read).alias("t"), "text").where(F.length(F.trim("text")) > 0)
     rows = rows.select("conv_id", "turn", F.when(F.startswith("t", F.lit("[ocr] ")), F.col("t")).otherwise(F.col("text")).alias("t"))
     return A.ordered_concat(rows, "conv_id", "turn", "t", column="gathered")
+
+
+@query(
+    """SELECT event_id, left(sha256('lib/' || user_id || '.pdf'), 16) || '-p' || lpad((event_id % 9999)::VARCHAR, 4, '0') AS page_id, left(sha256('lib/' || user_id || '.pdf'), 16) AS doc_id, user_id || '.pdf' AS doc_filename, value AS contrast_std, NULL::VARCHAR AS osd_script FROM events"""
+)
+def site_pages(spark, sf_dir):
+    """Pages as they are shown: ids and the features there are."""
+    path = F.concat(F.lit("lib/"), F.col("user_id").cast("string"), F.lit(".pdf"))
+    pages = load(spark, sf_dir, "events").select(path.alias("pdf_path"), (F.col("event_id") % 9999).alias("page_num"), F.col("value").alias("contrast_std"), F.col("event_id").alias("piece_id"))
+    return B.site_pages(pages).select(F.col("piece_id").alias("event_id"), "page_id", "doc_id", "doc_filename", "contrast_std", "osd_script")
+
+
+@query(
+    """SELECT o_custkey, 'sha256:' || sha256(string_agg('f' || o_orderkey, '|' ORDER BY 'f' || o_orderkey)) AS fingerprint, 'sha256:' || sha256('{"a":1,"b":{"c":[1,2]}}') AS settings FROM orders GROUP BY o_custkey"""
+)
+def piece_fingerprints(spark, sf_dir):
+    """A piece's fingerprint from its documents', in whatever order they come; and that of settings."""
+    from foliant.functions.numbers import config_fingerprint, piece_fingerprint
+
+    own = F.concat(F.lit("f"), F.col("o_orderkey").cast("string"))
+    rows = load(spark, sf_dir, "orders").groupBy("o_custkey").agg(piece_fingerprint(F.collect_list(own)).alias("fingerprint"))
+    return rows.withColumn("settings", F.lit(config_fingerprint({"b": {"c": [1, 2]}, "a": 1})))

@@ -439,3 +439,53 @@ def command_line_stages(spark, sf_dir):
 
     known = queries()
     return spark.createDataFrame([("stage" if all(q in known for q in names) else "broken", stage) for stage, names in STAGES.items()], "kind string, name string")
+
+
+@query(
+    """SELECT c_custkey, 'said of a/' || c_nationkey || '.png' || CASE WHEN c_nationkey % 2 = 0 THEN chr(10) || 'said of b/x.jpg' ELSE '' END AS found, CASE WHEN c_nationkey % 2 = 0 THEN 2 ELSE 1 END::BIGINT AS images FROM customer WHERE c_nationkey % 5 > 0"""
+)
+def image_texts(spark, sf_dir):
+    """What the images say that a text links to; every address is fetched once."""
+    more = F.when(F.col("c_nationkey") % 2 == 0, " http://b/x.jpg http://gone/y.png").otherwise("")
+    text = F.when(F.col("c_nationkey") % 5 > 0, F.concat(F.lit("see http://a/"), F.col("c_nationkey").cast("string"), F.lit(".png"), more)).otherwise("none")
+    rows = load(spark, sf_dir, "customer").select("c_custkey", text.alias("t"))
+    return readers.image_texts(rows, "c_custkey", "t", lambda u: None if "gone" in u else u.removeprefix("http://").encode(), lambda b: f"said of {b.decode()}")
+
+
+@query(
+    _report_sql("Instrumentation", _table_sql("Pieces", "piece_folder | method_label | parts", _ranked("SELECT s_name AS n, '| ' || s_name || ' | ' || CASE WHEN s_nationkey % 2 = 0 THEN 'OCR of local score' ELSE 'No authoritative source (observed parts only)' END || ' | flute, oboe |' AS line FROM supplier", "n", 500)) + " UNION ALL SELECT [4], '(more rows not shown)' FROM supplier HAVING count(*) > 500")
+)
+def instrumentation_report(spark, sf_dir):
+    from foliant.operators.builders import provenance
+
+    none = F.lit(None).cast("string")
+    told = provenance(F.when(F.col("s_nationkey") % 2 == 0, "local_score_ocr").otherwise("conservative_fallback"), none, F.lit(1.0), none, none)
+    rows = load(spark, sf_dir, "supplier").select(F.col("s_name").alias("piece_folder"), told["method_label"].alias("method_label"), F.array(F.lit("flute"), F.lit("oboe")).alias("parts"))
+    return lines(spark, reports.instrumentation_report(rows))
+
+
+@query("SELECT 0 AS ord, 'inventory' AS phase, 'orders' AS unit, count(*) AS records FROM orders UNION ALL SELECT 1, 'pages', 'line items', count(*) FROM lineitem UNION ALL SELECT 2, 'pieces', 'customers', count(*) FROM customer")
+def processing_phases(spark, sf_dir):
+    """How many records each phase has made."""
+    return reports.phases([("inventory", "orders", load(spark, sf_dir, "orders")), ("pages", "line items", load(spark, sf_dir, "lineitem")), ("pieces", "customers", load(spark, sf_dir, "customer"))])
+
+
+@query(
+    _report_sql(
+        "Collection",
+        _table_sql("Severity", "key | n", _seeded("SELECT 99 AS ord, 'ok' AS key, count(*) AS n FROM supplier", ["high", "review", "ok"])),
+        _table_sql("Completeness", "key | n", _seeded("SELECT 99 AS ord, 'complete' AS key, count(*) AS n FROM supplier", _TIERS)),
+        _table_sql("Reasons", "key | n", _seeded("SELECT 99 AS ord, 'missing_score' AS key, 0 AS n", _REASONS)),
+        _table_sql("Quality", "key | n", _seeded("SELECT 99 AS ord, CASE WHEN s_suppkey % 3 = 0 THEN 'poor' ELSE 'good' END AS key, count(*) AS n FROM supplier GROUP BY 2", ["good", "fair", "poor", "unknown"])),
+        _table_sql("Versions", "record_version | n", "SELECT 1 AS k, '| 1.0 | ' || count(*) || ' |' AS line FROM supplier"),
+        _table_sql("Most missing", "label | pieces", _ranked("SELECT s_nationkey AS m, count(*) AS n, '| part ' || s_nationkey || ' | ' || count(*) || ' |' AS line FROM supplier GROUP BY s_nationkey", "n DESC, 'part ' || m", 25)),
+        "SELECT [5] AS o, line FROM (SELECT unnest(['## Attention', '| catalog_number | piece_folder | severity | reason_codes |', '|---|---|---|---|']) AS line)",
+    ).replace("SELECT [7] || o, line FROM (SELECT [5] AS o, line FROM", "SELECT [7, o], line FROM (SELECT CASE WHEN line LIKE '##%' THEN 0 WHEN line LIKE '|-%' THEN 2 ELSE 1 END AS o, line FROM")
+)
+def full_dashboard(spark, sf_dir):
+    """The dashboard with bands, versions and what most pieces lack."""
+    c = F.col
+    none = F.array().cast("array<string>")
+    missing = F.array(F.struct(F.concat(F.lit("part "), c("s_nationkey").cast("string")).alias("label")))
+    rows = load(spark, sf_dir, "supplier").select(c("s_suppkey").alias("piece_id"), F.lit("1").alias("catalog_number"), c("s_name").alias("piece_folder"), F.lit("ok").alias("severity"), F.lit("complete").alias("completeness_tier"), none.alias("reason_codes"), F.when(c("s_suppkey") % 3 == 0, "poor").otherwise("good").alias("worst_quality_band"), F.lit("1.0").alias("record_version"), missing.alias("missing_required_parts"))
+    return lines(spark, reports.dashboard(rows))

@@ -1,6 +1,8 @@
 """Markdown reports: each a few capped tables over aggregates that are small by construction."""
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -46,13 +48,29 @@ def quality_report(documents: DataFrame, most: int = 200) -> str:
     return markdown_report("Quality", [("Bands", bands, 10), ("Issues", issues, 20), ("Worst first", worst, most)])
 
 
+def _section(df: DataFrame, column: str, *fields: str) -> list[tuple[str, DataFrame, int]]:
+    """The rows of an array column as a section headed by its name; none where there is no such column."""
+    if column not in df.columns:
+        return []
+    rows = df.select(F.inline(column))
+    return [(column.replace("_", " ").capitalize(), rows.select(*fields) if fields else rows, 200)]
+
+
 def piece_report(piece: DataFrame) -> str:
-    """One piece's findings: identity, completeness, slots and action items."""
+    """One piece's findings: identity, slots, what is to be done, documents, and, as far as it has them, observed and
+    unexpected parts and the evidence."""
     head = piece.select("piece_id", "piece_folder", "severity", "completeness_tier", "completeness_score")
     slots = piece.select(F.inline("expected_parts"))
     todo = piece.select(F.explode("action_items").alias("x")).select("x.reason_code", "x.action", shown_targets(F.col("x.targets")).alias("targets"))
     documents = piece.select(F.inline("documents")).select("pdf_filename", "quality_band")
-    return markdown_report("Piece", [("Summary", head, 1), ("Expected parts", slots, 200), ("To do", todo, 10), ("Documents", documents, 200)])
+    more = [*_section(piece, "observed_parts"), *_section(piece, "unexpected_parts"), *_section(piece, "evidence_sources", "title", "url")]
+    return markdown_report("Piece", [("Summary", head, 1), ("Expected parts", slots, 200), ("To do", todo, 10), ("Documents", documents, 200), *more])
+
+
+def instrumentation_report(pieces: DataFrame) -> str:
+    """Each piece's instrumentation: where it comes from, and its parts (piece_folder, method_label, parts)."""
+    rows = pieces.orderBy("piece_folder").select("piece_folder", "method_label", F.array_join("parts", ", ").alias("parts"))
+    return markdown_report("Instrumentation", [("Pieces", rows, 500)])
 
 
 def index_lines(pieces: DataFrame, folder: str) -> DataFrame:
@@ -68,7 +86,21 @@ def dashboard(pieces: DataFrame) -> str:
     reasons = _distribution(pieces.select(F.explode("reason_codes").alias("code")), F.col("code"), list(A.REASONS))
     rank = F.when(F.col("severity") == "high", 0).otherwise(1)
     attention = pieces.where(F.col("severity").isin("high", "review")).orderBy(rank, *piece_order(F.col("catalog_number"), F.col("piece_folder"))).select("catalog_number", "piece_folder", "severity", "reason_codes")
-    return markdown_report("Collection", [("Severity", severity, 5), ("Completeness", tiers, 10), ("Reasons", reasons, 10), ("Attention", attention, 50)])
+    tables = [("Severity", severity, 5), ("Completeness", tiers, 10), ("Reasons", reasons, 10)]
+    if "worst_quality_band" in pieces.columns:
+        tables.append(("Quality", _distribution(pieces, F.col("worst_quality_band"), list(A.BANDS)), 10))
+    if "record_version" in pieces.columns:
+        tables.append(("Versions", pieces.groupBy("record_version").agg(F.count("*").alias("n")).orderBy("record_version"), 10))
+    if "missing_required_parts" in pieces.columns:
+        missing = pieces.select("piece_id", F.explode("missing_required_parts").alias("p")).select("piece_id", F.col("p.label").alias("label"))
+        tables.append(("Most missing", A.most_missing(missing, "piece_id", "label", 25), 25))
+    return markdown_report("Collection", [*tables, ("Attention", attention, 50)])
+
+
+def phases(counted: list[tuple[str, str, DataFrame]]) -> DataFrame:
+    """(ord, phase, unit, records): how many records each phase of the processing has made."""
+    rows = [df.agg(F.count("*").alias("records")).select(F.lit(i).alias("ord"), F.lit(phase).alias("phase"), F.lit(unit).alias("unit"), "records") for i, (phase, unit, df) in enumerate(counted)]
+    return reduce(lambda a, b: a.union(b), rows)
 
 
 def review_pack(queue: DataFrame, most: int = 50, detailed: int = 0) -> str:

@@ -366,3 +366,18 @@ def reread_pages(documents: DataFrame, read: Callable[[str], str | None], key: s
     both = documents.join(fresh, key, "left")
     better = F.coalesce(F.length("_again") > F.length(F.coalesce(text, F.lit(""))), F.lit(False))
     return both.withColumn("reread", better).withColumn(text, F.when(better, F.col("_again")).otherwise(F.col(text))).drop("_again")
+
+
+def image_texts(texts: DataFrame, key: str, text: str, fetch: Callable[[str], bytes | None], read: Callable[[bytes], str | None]) -> DataFrame:
+    """(key, found, images): what an injected reader reads in the images that a text links to, in order, an image once;
+    images that can't be fetched or read are left out. Each address is fetched once, however many texts link to it."""
+
+    def both(url: str) -> str | None:
+        raw = fetch(url)
+        return read(raw) if raw else None
+
+    links = texts.select(key, F.posexplode(image_urls(F.col(text))).alias("at", "url"))
+    known = fetched(links, "url", both, "said").where("status = 'success'").select("url", "said")
+    rows = links.join(known, "url")
+    told = F.array_sort(F.collect_list(F.struct("at", "said")))
+    return rows.groupBy(key).agg(F.array_join(F.transform(told, lambda x: x["said"]), "\n").alias("found"), F.count("*").alias("images"))
