@@ -306,7 +306,7 @@ def _seeded(counts: str, known: list[str]) -> str:
         _table_sql("Coverage", "documents | pages | pages_needing_ocr | ocr_pct", "SELECT 1 AS k, '| ' || count(*) || ' | ' || sum(o_orderkey % 10) || ' | ' || sum(o_orderkey % 2) || ' | ' || round(100.0 * sum(o_orderkey % 2) / sum(o_orderkey % 10), 1) || ' |' AS line FROM orders"),
         _table_sql("Pages per document", "min | median | max", "SELECT 1 AS k, '| ' || min(o_orderkey % 10) || ' | ' || median(o_orderkey % 10) || ' | ' || max(o_orderkey % 10) || ' |' AS line FROM orders"),
         _table_sql("Folders", "piece_folder | documents | pages | pages_needing_ocr", _ranked("SELECT o_orderpriority AS f, '| ' || o_orderpriority || ' | ' || count(*) || ' | ' || sum(o_orderkey % 10) || ' | ' || sum(o_orderkey % 2) || ' |' AS line FROM orders GROUP BY o_orderpriority", "f")),
-        _table_sql("Flagged documents", "pdf_path | pages_needing_ocr", _ranked("SELECT lpad(o_orderkey::VARCHAR, 9, '0') AS p, '| ' || lpad(o_orderkey::VARCHAR, 9, '0') || ' | 1 |' AS line FROM orders WHERE o_orderkey % 2 = 1", "p", 20)) + " UNION ALL SELECT [4], '(more rows not shown)'",
+        _table_sql("Flagged documents", "pdf_path | pages_needing_ocr", _ranked("SELECT lpad(o_orderkey::VARCHAR, 9, '0') AS p, '| ' || lpad(o_orderkey::VARCHAR, 9, '0') || ' | 1 |' AS line FROM orders WHERE o_orderkey % 2 = 1", "p", 20)) + " UNION ALL SELECT [4], '(more rows not shown)' FROM orders WHERE o_orderkey % 2 = 1 HAVING count(*) > 20",
     )
 )
 def extraction_report(spark, sf_dir):
@@ -321,7 +321,7 @@ def extraction_report(spark, sf_dir):
         _table_sql("Confidence", "key | n", _seeded("SELECT 99 AS ord, CASE WHEN l_discount > 0.05 THEN 'high' ELSE 'low' END AS key, count(*) AS n FROM lineitem GROUP BY 2", ["high", "medium", "low", "none"])),
         _table_sql("Families", "family | n", _ranked("SELECT count(*) AS n, l_returnflag AS f, '| ' || l_returnflag || ' | ' || count(*) || ' |' AS line FROM lineitem GROUP BY l_returnflag", "n DESC, f", 25)),
         _table_sql("Evidence", "evidence_source | n", _ranked("SELECT count(*) AS n, l_linestatus AS f, '| ' || l_linestatus || ' | ' || count(*) || ' |' AS line FROM lineitem GROUP BY l_linestatus", "n DESC, f", 10)),
-        _table_sql("Pieces", "piece_id | documents | to_review", _ranked("SELECT l_suppkey AS p, count(*) FILTER (l_tax > 0.05) AS r, '| ' || l_suppkey || ' | ' || count(*) || ' | ' || count(*) FILTER (l_tax > 0.05) || ' |' AS line FROM lineitem GROUP BY l_suppkey", "r DESC, p", 25)) + " UNION ALL SELECT [4], '(more rows not shown)'",
+        _table_sql("Pieces", "piece_id | documents | to_review", _ranked("SELECT l_suppkey AS p, count(*) FILTER (l_tax > 0.05) AS r, '| ' || l_suppkey || ' | ' || count(*) || ' | ' || count(*) FILTER (l_tax > 0.05) || ' |' AS line FROM lineitem GROUP BY l_suppkey", "r DESC, p", 25)) + " UNION ALL SELECT [4], '(more rows not shown)' FROM lineitem HAVING count(DISTINCT l_suppkey) > 25",
     )
 )
 def classification_report(spark, sf_dir):
@@ -334,7 +334,7 @@ def classification_report(spark, sf_dir):
         "Quality",
         _table_sql("Bands", "key | n", _seeded("SELECT 99 AS ord, CASE WHEN doc_id % 4 = 0 THEN 'poor' ELSE 'good' END AS key, count(*) AS n FROM documents GROUP BY 2", ["good", "fair", "poor", "unknown"])),
         _table_sql("Issues", "issue | pages", _ranked("SELECT i, n, '| ' || i || ' | ' || n || ' |' AS line FROM (SELECT 'low_contrast' AS i, sum(doc_id % 5) AS n FROM documents UNION ALL SELECT 'heavy_blur', sum(doc_id % 3) FROM documents)", "n DESC, i")),
-        _table_sql("Worst first", "pdf_path | quality_score | quality_band | top_issues", _ranked("SELECT doc_id % 101 AS s, lpad(doc_id::VARCHAR, 7, '0') AS p, '| ' || p || ' | ' || s || '.0 | ' || CASE WHEN doc_id % 4 = 0 THEN 'poor' ELSE 'good' END || ' | a; b |' AS line FROM documents", "s, p", 50)) + " UNION ALL SELECT [4], '(more rows not shown)'",
+        _table_sql("Worst first", "pdf_path | quality_score | quality_band | top_issues", _ranked("SELECT doc_id % 101 AS s, lpad(doc_id::VARCHAR, 7, '0') AS p, '| ' || p || ' | ' || s || '.0 | ' || CASE WHEN doc_id % 4 = 0 THEN 'poor' ELSE 'good' END || ' | a; b |' AS line FROM documents", "s, p", 50)) + " UNION ALL SELECT [4], '(more rows not shown)' FROM documents HAVING count(*) > 50",
     )
 )
 def quality_report(spark, sf_dir):
