@@ -11,6 +11,7 @@ from foliant.functions.text import alnum_ratio, blank_to_null, file_name, first_
 from foliant.operators.aggregates import BANDS, worst_of
 from foliant.operators.records import envelope, evidence, missing_required
 
+#: The columns of each kind of record, in order.
 ENVELOPE = ("record_version", "run_id", "processing_status", "processing_timestamp")
 INVENTORY = (
     "record_version", "run_id", "piece_id", "piece_folder", "piece_folder_hash", "pdf_path", "pdf_filename", "file_size_bytes", "modified_timestamp",

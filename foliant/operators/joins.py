@@ -78,24 +78,27 @@ def canonical_names(df: DataFrame, name: str, aliases: DataFrame) -> DataFrame:
 
 #: Short words that say little on their own, and words that qualify an instrument.
 ABBREVIATIONS = ["cl", "hn", "tbn", "tpt", "ob", "fl", "alto", "tenor", "bass"]
+#: The points of a hit: for each character of the alias, an alias that is all of the text, one of several
+#: words, one of three characters at most, an abbreviation, a qualifier in the alias or in the text, and an alias of four
+#: characters at most in a text of several words.
+POINTS = {"character": 2, "whole": 20, "words": 10, "short": -35, "abbreviation": -20, "qualified": 12, "qualified_text": 6, "short_in_words": -10}
 QUALIFIERS = ["bass", "alto", "tenor", "baritone", "soprano", "contra", "eb", "bb"]
 
 
 def match_score(text: Column, alias: Column, qualifiers: list[str] | None = None, abbreviations: list[str] | None = None) -> Column:
     """How specific a dictionary hit is: long, exact, qualified and multi-word aliases count more, short ones less."""
     some = lambda c: reduce(lambda a, b: a | b, [F.contains(c, F.lit(q)) for q in qualifiers or QUALIFIERS])
-    points = lambda on, n: F.when(on, n).otherwise(0)
     spaced = lambda c: F.contains(c, F.lit(" "))
-    return (
-        F.length(alias) * 2
-        + points(alias == text, 20)
-        + points(spaced(alias), 10)
-        + points(F.length(alias) <= 3, -35)
-        + points(alias.isin(abbreviations or ABBREVIATIONS), -20)
-        + points(some(alias), 12)
-        + points(some(text), 6)
-        + points(spaced(text) & (F.length(alias) <= 4), -10)
-    )
+    on = {
+        "whole": alias == text,
+        "words": spaced(alias),
+        "short": F.length(alias) <= 3,
+        "abbreviation": alias.isin(abbreviations or ABBREVIATIONS),
+        "qualified": some(alias),
+        "qualified_text": some(text),
+        "short_in_words": spaced(text) & (F.length(alias) <= 4),
+    }
+    return reduce(lambda total, k: total + F.when(on[k], POINTS[k]).otherwise(0), on, F.length(alias) * POINTS["character"])
 
 
 def dictionary_hits(texts: DataFrame, key: str, text: str, aliases: DataFrame, min_length: int = 1) -> DataFrame:

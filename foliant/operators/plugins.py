@@ -82,8 +82,12 @@ def pixel_metrics(df: DataFrame, key: str, raster: str = "raster", width: str =
     return enrich(df, key, [raster, width, height], lambda r: gray_metrics(r[raster], r[width], r[height]), fields)
 
 
+#: The share of a page that an image covers, and the characters of text, from and below which it is a scan.
+SCAN_COVERAGE, SCAN_TEXT = 0.6, 30
+
+
 def image_based(coverage: Column, text_length: Column) -> Column:
-    return F.coalesce((coverage >= 0.6) & (F.coalesce(text_length, F.lit(0)) < 30), F.lit(False))
+    return F.coalesce((coverage >= SCAN_COVERAGE) & (F.coalesce(text_length, F.lit(0)) < SCAN_TEXT), F.lit(False))
 
 
 def estimated_dpi(image_pixels: Column, width_points: Column) -> Column:

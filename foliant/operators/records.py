@@ -112,16 +112,20 @@ def ranked_order(items: Column, dims: dict[str, dict[str, int]]) -> Column:
     return F.transform(F.array_sort(F.transform(items, key)), lambda y: y["x"])
 
 
+#: The shares of a page's height and width that its zones end or begin at.
+TOP, LEFT, RIGHT, BOTTOM = 0.22, 0.38, 0.62, 0.82
+
+
 def zones(spans: Column) -> Column:
     """struct(top_left, top_center, top_right, bottom) texts of spans (x, y, text; 0 to 1), read from the top."""
     place = F.transform(spans, lambda s: F.struct(s["y"].alias("y"), s["x"].alias("x"), s["text"].alias("text")))
     pick = lambda cond: F.array_join(F.transform(F.array_sort(F.filter(place, cond)), lambda s: s["text"]), " ")
-    top = lambda s: s["y"] <= 0.22
+    top = lambda s: s["y"] <= TOP
     return F.struct(
-        pick(lambda s: top(s) & (s["x"] < 0.38)).alias("top_left"),
-        pick(lambda s: top(s) & s["x"].between(0.38, 0.62)).alias("top_center"),
-        pick(lambda s: top(s) & (s["x"] > 0.62)).alias("top_right"),
-        pick(lambda s: s["y"] >= 0.82).alias("bottom"),
+        pick(lambda s: top(s) & (s["x"] < LEFT)).alias("top_left"),
+        pick(lambda s: top(s) & s["x"].between(LEFT, RIGHT)).alias("top_center"),
+        pick(lambda s: top(s) & (s["x"] > RIGHT)).alias("top_right"),
+        pick(lambda s: s["y"] >= BOTTOM).alias("bottom"),
     )
 
 
