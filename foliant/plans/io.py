@@ -177,13 +177,12 @@ def command_lookup(spark, sf_dir):
 
 
 @query(
-    """SELECT doc_id, CASE WHEN length(trim(text)) < 200 AND doc_id % 2 = 0 THEN length(text) + 11 ELSE length(text) END::INT AS chars, length(trim(text)) < 200 AND doc_id % 2 = 0 AS reread FROM documents"""
+    """SELECT doc_id, CASE WHEN r THEN 300 ELSE length(text) END::INT AS chars, r AS reread FROM (SELECT *, length(trim(text)) < 200 AND doc_id % 2 = 0 AND length(text) < 300 AS r FROM documents)"""
 )
 def reread_short_texts(spark, sf_dir):
     """Thin texts read anew by an injected reader, where that finds more."""
     docs = load(spark, sf_dir, "documents", "doc_id", "text").withColumn("pdf_path", F.col("doc_id").cast("string"))
-    short = {r.pdf_path: len(r.text) for r in docs.where((F.length(F.trim("text")) < 200) & (F.col("doc_id") % 2 == 0)).select("pdf_path", "text").collect()}
-    out = readers.reread_pages(docs, lambda p: "x" * (short[p] + 11) if p in short else None)
+    out = readers.reread_pages(docs, lambda p: "x" * 300 if int(p) % 2 == 0 else None)
     return out.select("doc_id", F.length("text").alias("chars"), "reread")
 
 
