@@ -313,3 +313,41 @@ def test_skew():
             g[int(round(base - x * np.tan(np.radians(2.0)))) % 200, x] = 0
     assert abs(G.skew_angle(g.tobytes(), 300, 200) - 2.0) <= 0.5
     assert G.skew_angle(np.full((10, 10), 255, np.uint8).tobytes(), 10, 10) is None
+
+
+def test_index_matches_test_keys_before_they_number(spark):
+    """A slot in F takes the part in F though one in Eb comes first; slots or parts without a key take what is left."""
+    kind = "piece_id string, {0} int, canonical string, part_index int, role string, transposition string"
+    slots = spark.createDataFrame([("p", 0, "horn", 1, "section", "F"), ("p", 1, "horn", 2, "section", None), ("p", 2, "horn", 3, "section", "F"), ("p", 3, "horn", 4, "section", "F")], kind.format("slot"))
+    held = spark.createDataFrame([("p", 10, "horn", 1, "section", "Eb"), ("p", 11, "horn", 1, "section", " f"), ("p", 12, "horn", 2, "section", "Eb"), ("p", 13, "horn", 3, "section", None), ("p", 14, "horn", 4, "section", "Eb")], kind.format("part"))
+    assert sorted((r.slot, r.part) for r in R.exact_index_matches(slots, held).collect()) == [(0, 11), (1, 12), (2, 13)]
+    s = [("p", i, "horn", i + 1, "horn", "section", k) for i, k in enumerate(["F", None, "F", "F"])]
+    h = [[("p", str(10 + i), i, "horn", n, "horn", None, k, "section")] for i, (n, k) in enumerate([(1, "Eb"), (1, "f"), (2, "Eb"), (3, None), (4, "Eb")])]
+    got, _ = matched(spark, s, h)
+    assert {k: v for k, v in got.items() if v} == {("p", 0): "11", ("p", 1): "12", ("p", 2): "13"}
+
+
+def test_editions_in_dataframes(spark):
+    kind = "piece string, facet string, part int, clef string, transposition string"
+    parts = spark.createDataFrame([("p", "euph", 1, "treble", None), ("p", "euph", 2, "bass", None), ("q", "euph", 1, "treble", None), ("q", "euph", 2, "bass", None), ("r", "sax", 1, None, "Eb")], kind)
+    demand = spark.createDataFrame([("p", "euph", 1), ("q", "euph", 2)], "piece string, facet string, demand int")
+    got = sorted((r.piece, r.part, r.clefs, r["keys"]) for r in R.editions(parts, demand, ["piece", "facet"]).collect())
+    assert got == [("p", 1, ["bass", "treble"], []), ("q", 1, ["treble"], []), ("q", 2, ["bass"], []), ("r", 1, [], ["Eb"])]
+
+
+def test_nested_metrics_and_bands(spark):
+    df = spark.createDataFrame([((1, ["x", "y"]), [("a", 1), ("b", None)], {"k": 2})], "s struct<n:int,l:array<string>>, t array<struct<name:string,v:int>>, m map<string,int>")
+    assert [tuple(r) for r in C.metric_rows(df).collect()] == [("s.n", "1"), ("s.l", "x; y"), ("t[0].name", "a"), ("t[0].v", "1"), ("t[1].name", "b"), ("t[1].v", None), ("m", '{"k":2}')]
+    bands = spark.createDataFrame([(["good", None, "poor"],), ([None],), ([],), (None,)], "b array<string>")
+    assert [r[0] for r in bands.select(A.worst_of(F.col("b"))).collect()] == ["poor", None, None, None]
+
+
+def test_stages_of_the_command_line(spark, sf, tmp_path, capsys):
+    from foliant import __main__ as cli
+    from foliant.plans.registry import queries
+
+    assert all(q in queries() for names in cli.STAGES.values() for q in names)
+    assert cli.main(["x"]) == 2 and "inventory" in capsys.readouterr().out
+    assert cli.main([sf, "review", str(tmp_path / "out")]) == 0
+    assert spark.read.parquet(str(tmp_path / "out/review_entries")).count() > 0
+    assert cli.main(["/none", "priority_queue"]) == 1
