@@ -22,7 +22,7 @@ STAGES = {
     "collection": ("collection_totals", "pieces_index", "collection_dashboard"),
     "review": ("priority_queue", "review_entries", "review_pack"),
     "site": ("site_pieces", "site_documents", "manifest", "data_module"),
-    "export": ("csv_round_trip", "workbook_sheets", "metric_rows", "glossary"),
+    "export": ("csv_round_trip", "workbook", "metric_rows", "glossary"),
 }
 
 

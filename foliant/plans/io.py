@@ -208,6 +208,20 @@ def workbook_sheets(spark, sf_dir):
     return sheet("nation").union(sheet("none"))
 
 
+@query(
+    """SELECT 'nations' AS sheet, (n_nationkey + 1)::INT AS place, n_nationkey || '|' || n_name || '|' || n_regionkey || '; x' AS cells FROM nation UNION ALL SELECT 'nations', 0, 'n_nationkey|n_name|tags' UNION ALL SELECT 'none', 0, 'note' UNION ALL SELECT 'none', 1, '(no data)'"""
+)
+def workbook(spark, sf_dir):
+    """A workbook written and read back: headers, numbers, texts, lists, and an empty sheet's note."""
+    from foliant.sources.workbook import read_workbook, write_workbook
+
+    path = f"{new_folder(spark, 'workbook')}/collection.xlsx"
+    nation = load(spark, sf_dir, "nation").orderBy("n_nationkey").select("n_nationkey", "n_name", F.array(F.col("n_regionkey").cast("string"), F.lit("x")).alias("tags"))
+    write_workbook({"nations": nation, "none": nation.limit(0)}, path, spark)
+    content = spark.read.format("binaryFile").load(path).select("content").first().content
+    return spark.createDataFrame([(name, i, "|".join(row)) for name, rows in read_workbook(bytes(content)).items() for i, row in enumerate(rows)], "sheet string, place int, cells string")
+
+
 @query(
     """SELECT 0 AS part, 'add("nations", [' AS line UNION ALL SELECT 1, '{"n_nationkey":' || n_nationkey || ',"n_name":"' || n_name || '"},' FROM nation UNION ALL SELECT 2, ']);'"""
 )

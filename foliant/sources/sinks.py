@@ -47,7 +47,11 @@ def _hadoop(spark, path: str):
     return at, jvm.org.apache.hadoop.fs.FileContext.getFileContext(at.getFileSystem(conf).getUri(), conf)
 
 
-def write_object(text: str, path: str, spark, tries: int = 5) -> None:
+def write_object(text: str, path: str, spark) -> None:
+    write_bytes(text.encode(), path, spark)
+
+
+def write_bytes(content: bytes, path: str, spark, tries: int = 5) -> None:
     """A small file, written beside its place and renamed over it in one step, so readers see the old or the new one
     whole. A rename that fails is tried again, each time after a longer wait."""
     jvm = spark._jvm
@@ -55,7 +59,7 @@ def write_object(text: str, path: str, spark, tries: int = 5) -> None:
     to, files = _hadoop(spark, path)
     fs = tmp.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
     out = fs.create(tmp, True)
-    out.write(bytearray(text.encode()))
+    out.write(bytearray(content))
     out.close()
     over = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
     over[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE

@@ -296,6 +296,21 @@ def test_sheets_and_views(spark, sf, tmp_path):
     assert spark.sql("select r_name from region where r_regionkey = 0").first().r_name == "AFRICA"
 
 
+def test_workbook(spark, tmp_path):
+    import io
+    import zipfile
+
+    from foliant.sources import workbook as B
+
+    assert [B.column_name(i) for i in (0, 25, 26, 701, 702)] == ["A", "Z", "AA", "ZZ", "AAA"]
+    df = spark.createDataFrame([(1, 'a<&">\x01b', True, None, 1.5, "w" * 99)], "i int, t string, f boolean, n string, d double, long string")
+    B.write_workbook({"one & two": df, "none": df.limit(0)}, str(tmp_path / "b.xlsx"), spark)
+    raw = (tmp_path / "b.xlsx").read_bytes()
+    assert B.read_workbook(raw) == {"one & two": [["i", "t", "f", "n", "d", "long"], ["1", 'a<&">b', "True", "", "1.5", "w" * 99]], "none": [["note"], ["(no data)"]]}
+    sheet = zipfile.ZipFile(io.BytesIO(raw)).read("xl/worksheets/sheet1.xml").decode()
+    assert 'state="frozen"' in sheet and '<autoFilter ref="A1:F2"/>' in sheet and 'width="62"' in sheet
+
+
 def test_first_pages_and_lines(spark):
     pages = spark.createDataFrame([("d", 1, True, 0.5, [(0.9,)]), ("d", 2, False, 0.7, None), ("d", 3, True, 1.0, None)], "d string, page_num int, ocr_applied boolean, ocr_confidence double, ocr_candidates array<struct<confidence:double>>")
     assert tuple(A.first_pages_confidence(pages, "d").first()) == ("d", 0.5, 0.9)
