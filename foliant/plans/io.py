@@ -69,6 +69,23 @@ def raster_metrics(spark, sf_dir):
     return out.select("s_suppkey", exact("text_density", 9).alias("text_density"), (n / (9 - n)).alias("ratio"), F.col("staff_line_count").alias("lines"), F.col("contrast_std").alias("contrast"), F.col("blur_variance").alias("blur"))
 
 
+@query(
+    """WITH r AS (SELECT s_suppkey, unhex(repeat('00', (s_suppkey % 5)::INT) || repeat('ff', (12 - s_suppkey % 5)::INT)) AS raw FROM supplier)
+SELECT s_suppkey, CASE WHEN s_suppkey % 7 > 0 THEN left(sha256(raw), 2) || '/' || sha256(raw) || '.png' END AS path, CASE WHEN s_suppkey % 7 > 0 THEN sha256(raw) END AS hash, CASE WHEN s_suppkey % 7 > 0 THEN 2 END AS thumb_width, CASE WHEN s_suppkey % 7 > 0 THEN 'success' ELSE 'error: ValueError' END AS status,
+  CASE WHEN s_suppkey % 7 > 0 THEN true END AS there FROM r"""
+)
+def raster_cache(spark, sf_dir):
+    """Rasters in a cache addressed by their content, and their thumbnails; a damaged raster is an error row."""
+    from foliant.sources.rasters import write_rasters
+
+    folder, k = new_folder(spark, "rasters"), F.col("s_suppkey")
+    raw = F.unhex(F.concat(F.repeat(F.lit("00"), (k % 5).cast("int")), F.repeat(F.lit("ff"), (12 - k % 5).cast("int"))))
+    pages = load(spark, sf_dir, "supplier", "s_suppkey").select("s_suppkey", raw.alias("raster"), F.when(k % 7 > 0, 4).otherwise(5).alias("width"), F.lit(3).alias("height"))
+    whole, thumbs = (write_rasters(pages, "s_suppkey", folder, edge) for edge in (None, 2))
+    both = whole.join(thumbs.select("s_suppkey", F.col("width").alias("thumb_width"), F.col("path").alias("thumb")), "s_suppkey")
+    return both.select("s_suppkey", "path", "hash", "thumb_width", "status", F.when(F.col("path").isNotNull(), F.col("thumb") == F.concat(F.substring("path", 1, 3), "hash", F.lit("-2.png"))).alias("there"))
+
+
 @query(
     """SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE o_custkey END AS o_custkey, o_orderstatus FROM orders WHERE o_orderkey % 5 > 0"""
 )

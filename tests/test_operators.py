@@ -296,6 +296,28 @@ def test_sheets_and_views(spark, sf, tmp_path):
     assert spark.sql("select r_name from region where r_regionkey = 0").first().r_name == "AFRICA"
 
 
+def test_rasters(spark, tmp_path):
+    import hashlib
+
+    import numpy as np
+
+    from foliant.sources import rasters as P
+
+    gray = np.arange(60, dtype=np.uint8).reshape(6, 10)
+    assert np.array_equal(P.read_png(P.png_bytes(gray)), gray)
+    assert P.shrunk(gray, 20) is gray and P.shrunk(gray, 5).shape == (3, 5) and P.shrunk(gray, 5)[0, 0] == round((0 + 1 + 10 + 11) / 4)
+    df = spark.createDataFrame([(1, bytearray(gray.tobytes()), 10, 6), (2, bytearray(gray.tobytes()), 10, 6), (3, None, 1, 1)], "k long, raster binary, width int, height int")
+    rows = {r.k: r for r in P.write_rasters(df, "k", f"file://{tmp_path}").collect()}
+    digest = hashlib.sha256(gray.tobytes()).hexdigest()
+    assert rows[1].path == rows[2].path == f"{digest[:2]}/{digest}.png" and (rows[1].width, rows[1].height) == (10, 6)
+    assert np.array_equal(P.read_png((tmp_path / rows[1].path).read_bytes()), gray) and rows[3].status.startswith("error") and rows[3].path is None
+    (tmp_path / rows[1].path).write_bytes(b"kept")
+    P.write_rasters(df, "k", f"file://{tmp_path}").collect()
+    assert (tmp_path / rows[1].path).read_bytes() == b"kept"
+    small = P.write_rasters(df, "k", f"file://{tmp_path}", edge=5, rebuild=True).where("k = 1").first()
+    assert (small.width, small.height) == (5, 3) and P.read_png((tmp_path / small.path).read_bytes()).shape == (3, 5)
+
+
 def test_workbook(spark, tmp_path):
     import io
     import zipfile
