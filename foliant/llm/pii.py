@@ -121,21 +121,28 @@ def scan(docs: DataFrame, *keep: str) -> DataFrame:
     return held.select(F.monotonically_increasing_id().alias("rid"), "doc_id", *keep, "n_words", "base", told.alias("tokens"))
 
 
-def word_counts(docs: DataFrame, patterns: DataFrame) -> DataFrame:
-    """(x, n): how often the words of patterns L and R (x) occur in all texts, whatever stands beside them."""
-    words = F.split(F.coalesce("text", F.lit("")), SPACE)
-    rows = docs.select(words.alias("w"))
+#: A word without letters and digits.
+LONE_SIGNS = r"(?:^|[\x20\x09-\x0D])[^\p{L}0-9\x20\x09-\x0D]+(?:[\x20\x09-\x0D]|$)"
 
-    def keys(w: Column, i: Column) -> Column:
-        none = F.array().cast("array<bigint>")
-        both = F.array(F.xxhash64(F.concat(_plain(F.coalesce(F.get("w", i - 1), F.lit(""))), F.lit(" "), w)), F.xxhash64(w))
-        return F.when(_telling(w), F.array(F.xxhash64(_plain(w)))).when(w == "", none).otherwise(both)
 
-    every = rows.select(F.explode(F.flatten(F.transform("w", keys))).alias("x"))
+def word_counts(docs: DataFrame, patterns: DataFrame) -> DataFrame:
+    """(x, n): how often the words of patterns L and R (x) occur in all texts, whatever stands beside them. Words are
+    exploded plainly; only texts that hold words of mere signs are gone through again, for what stands before those."""
+    text = F.coalesce("text", F.lit(""))
+    words = F.split(text, SPACE)
+    w = F.col("w")
+    alone = docs.select(F.explode(words).alias("w")).where(w != "").select(F.xxhash64(_plain(w)).alias("x"))
+
+    def after(word: Column, i: Column) -> Column:
+        pair = F.concat(_plain(F.coalesce(F.get("w", i - 1), F.lit(""))), F.lit(" "), word)
+        return F.when(~_telling(word) & (word != ""), F.xxhash64(pair))
+
+    pairs = docs.where(text.rlike(LONE_SIGNS)).select(words.alias("w")).select(F.explode(F.array_compact(F.transform("w", after))).alias("x"))
     known = patterns.select("x").distinct()
     if known.limit(FEW + 1).count() <= FEW:
-        return every.join(F.broadcast(known), "x").groupBy("x").agg(F.count("*").alias("n"))
-    return every.groupBy("x").agg(F.count("*").alias("n")).join(known, "x")
+        near = F.broadcast(known)
+        return alone.join(near, "x").union(pairs.join(near, "x")).groupBy("x").agg(F.count("*").alias("n"))
+    return alone.union(pairs).groupBy("x").agg(F.count("*").alias("n")).join(known, "x")
 
 
 def reliable_patterns(links: DataFrame, occurrences: Callable[[DataFrame], DataFrame], chance: dict[str, float], rounds: int = ROUNDS) -> DataFrame:

@@ -87,11 +87,10 @@ def pii(texts, rounds=3, support=5, reliable=0.6, lift=5, digits=5):
         words = re.split(f"[{SPACES}]+", text)
         n_words += text.count(" ") + 1
         for i, w in enumerate(words):
-            if telling(w):
+            if w:
                 counts["LR", plain(w)] += 1
-            elif w:
+            if w and not telling(w):
                 counts["LR", plain(words[i - 1] if i else "") + " " + w] += 1
-                counts["LR", w] += 1
     total = collections.Counter()
     for (x, _, _), n in links.items():
         if x[0] == "P":
