@@ -49,6 +49,17 @@ def written(df: DataFrame, tag: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def written_lean(df: DataFrame, tag: str) -> DataFrame:
+    """written(), whose shuffle files go once the table is there; else they'd stay until the driver collects garbage."""
+    name, conf = "spark.sql.classic.shuffleDependency.fileCleanup.enabled", df.sparkSession.conf
+    before = conf.get(name)
+    conf.set(name, "true")
+    try:
+        return written(df, tag)
+    finally:
+        conf.set(name, before)
+
+
 def drop_folder(spark: SparkSession, path: str) -> None:
     hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
     hadoop.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(hadoop, True)

@@ -1,7 +1,7 @@
 """Queries of the training-data operators, and their SQL where SQL can express them."""
 from __future__ import annotations
 
-from foliant.llm import filter_audit, quality_rules, secrets, warc
+from foliant.llm import filter_audit, quality_rules, secrets, substrings, warc
 from foliant.llm.byte_bpe import op3_byte_bpe
 from foliant.llm.filter_audit import op11_filter_audit
 from foliant.llm.language_id import op1_language_id
@@ -12,6 +12,7 @@ from foliant.llm.quality_classifier import op4_quality_classifier
 from foliant.llm.quality_rules import op5_quality_rules
 from foliant.llm.secrets import op7_secrets
 from foliant.llm.simhash import op9_simhash_dedup
+from foliant.llm.substrings import op12_substring_dedup
 from foliant.llm.warc import op10_warc
 
 QUERIES = {
@@ -28,8 +29,9 @@ QUERIES = {
         op9_simhash_dedup,
         op10_warc,
         op11_filter_audit,
+        op12_substring_dedup,
     )
 }
 
 #: SQL has no classifier, encoder, quantiser or XXH64, and no loop for PII's rounds: tests hold those to brute force.
-ORACLES: dict[str, str] = {"op5_quality_rules": quality_rules.ORACLE_SQL, "op7_secrets": secrets.ORACLE_SQL, "op10_warc": warc.ORACLE_SQL, "op11_filter_audit": filter_audit.ORACLE_SQL}
+ORACLES: dict[str, str] = {"op5_quality_rules": quality_rules.ORACLE_SQL, "op7_secrets": secrets.ORACLE_SQL, "op10_warc": warc.ORACLE_SQL, "op11_filter_audit": filter_audit.ORACLE_SQL, "op12_substring_dedup": substrings.ORACLE_SQL}
