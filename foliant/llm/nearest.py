@@ -4,9 +4,11 @@ Cosine search is maximum inner product search over unit vectors. A product quant
 dimensions gives four-bit codes; it is trained, and vectors are encoded, under a loss that weighs the part of the
 residual that is parallel to the vector ETA times as much as the rest, since that is the part that spoils large inner
 products. A query's products with the centres make lookup tables; scanning a block's codes through them ranks its
-vectors. The best of them set a threshold by their exact cosine, and all vectors whose approximate score, with the
-residual's bound, can reach it are reranked by exact cosine in double precision: no number of them is fixed, so a group
-of near copies with equal codes is reranked whole.
+vectors. The best of them set a threshold by their exact cosine. An approximate score falls short of the exact one by
+what the residual has of the query, which for all but a small share of a sample's neighbours is less than a fitted part
+of the residual's length (`spread`). Of each query, all vectors whose approximate score can reach the threshold within
+that are reranked by exact cosine in double precision: no number of them is fixed, so a group of near copies with equal
+codes is reranked whole, and the rest of the block is left out by its codes alone.
 
 Vectors are dealt into cells around centres fitted on the same bounded sample, and a query goes to as many of the
 nearest cells as the sample's own neighbours call for: few where the vectors cluster, nearly all where they don't. A
@@ -33,8 +35,9 @@ THRESHOLD = 0.2  #: inner products above it matter; sets the weight of the paral
 CELLS, CELL = 256, 4096  #: cells at most, and vectors of a cell where there are fewer
 COVERED = 0.99  #: share of the sample's neighbours that must lie in the cells a query goes to
 BLOCK = 8192  #: vectors in a block, about
-RERANK = 256  #: candidates of a block that set each query's threshold; all that can reach it are reranked
-TOGETHER = 64  #: queries whose candidates are reranked together
+RERANK = 64  #: candidates of a block that set each query's threshold; all that may reach it are reranked
+TOGETHER = 64  #: queries whose scores are looked through together
+MISSED = 0.005  #: share of a sample's nearest neighbours whose residual may take more from the score than is allowed for
 SLACK = 1e-4  #: more than the rounding of approximate scores (single precision)
 ROUNDING = 1e-9  #: more than the rounding of exact ones
 ASKED = 1024  #: queries that are searched at once
@@ -44,8 +47,8 @@ FLUSH = 50_000  #: classes held at once while rows are merged
 class Quantiser:
     """Codebooks (subspaces x CENTRES x 2) of the anisotropic product quantiser."""
 
-    def __init__(self, books: np.ndarray, eta: float):
-        self.books, self.eta = books, eta
+    def __init__(self, books: np.ndarray, eta: float, spread: float = 1.0):
+        self.books, self.eta, self.spread = books, eta, spread
 
     @staticmethod
     def halves(x: np.ndarray) -> np.ndarray:
@@ -66,8 +69,28 @@ class Quantiser:
         for k in range(rounds):
             codes = self.encode(x, sweeps=0 if k == 0 else 1)
             self._update(x, codes)
+        self.spread = self._fitted_spread(vectors)
         return self
 
+    def _fitted_spread(self, vectors: np.ndarray, asked: int = 512, near: int = 10) -> float:
+        """How much of its residual's length a vector may lose against a query near it: at all but MISSED of the
+        nearest pairs within the sample, 1 (the bound of any) where there are too few."""
+        v = np.unique(vectors, axis=0)
+        if len(v) < 1000:
+            return 1.0
+        v = v[np.random.default_rng(11).permutation(len(v))]
+        unit = v / np.sqrt((v * v).sum(1, keepdims=True))
+        packed = self.pack(np.concatenate([self.encode(self.halves(v[i : i + 1024])) for i in range(0, len(v), 1024)]))
+        along, aside = self.split(v, packed)
+        q = slice(0, min(asked, len(v)))
+        cosines = unit[q] @ unit.T
+        cosines[np.arange(len(cosines)), np.arange(len(cosines))] = -2
+        place = np.argpartition(-cosines, near, axis=1)[:, :near]
+        s = np.clip(np.take_along_axis(cosines, place, 1), -1, 1)
+        approx = np.take_along_axis(scan(packed, self.tables(v[q])).T, place, 1)
+        lost = (along[place] * s - approx) / np.maximum(aside[place] * np.sqrt(1 - s * s), 1e-9)
+        return float(np.clip(np.quantile(lost, 1 - MISSED), 0.05, 1.0))
+
     def _residual(self, x: np.ndarray, codes: np.ndarray) -> np.ndarray:
         """What each subspace adds to the residual's product with the vector."""
         chosen = np.take_along_axis(self.books[None], codes[:, :, None, None], 2)[:, :, 0]
@@ -152,7 +175,7 @@ def least(along: np.ndarray, aside: np.ndarray, cosine: np.ndarray) -> np.ndarra
 def search_block(vectors: np.ndarray, codes: np.ndarray, ids: np.ndarray, n_ids: np.ndarray, queries: np.ndarray, query_ids: np.ndarray, quantiser: Quantiser, k: int, rerank: int) -> list[tuple[np.ndarray, np.ndarray]]:
     """The k best of a block for each query: its ids and scores; of a row of `ids` the first `n_ids` are a vector's.
     The `rerank` candidates of the best approximate scores give a threshold, the (k + 1)-th exact score among them;
-    every candidate that can reach it is scored."""
+    every candidate that may reach it by its codes is scored, each query's own."""
     tables = quantiser.tables(queries)
     approx = np.concatenate([scan(codes[at : at + 1024], tables) for at in range(0, len(codes), 1024)]).T
     lengths = np.sqrt((vectors * vectors).sum(1))
@@ -164,11 +187,9 @@ def search_block(vectors: np.ndarray, codes: np.ndarray, ids: np.ndarray, n_ids:
         part, some = approx[at : at + TOGETHER], asked[at : at + TOGETHER]
         place = np.argpartition(-part, first - 1, axis=1)[:, :first]
         reached = np.partition(np.einsum("qtd,qd->qt", unit[place], some), -need, axis=1)[:, -need]
-        rows = np.flatnonzero(~(part < least(along, aside, reached[:, None])).all(0))
-        exact = some @ unit[rows].T
-        cuts = np.partition(exact, -need, axis=1)[:, -need] - ROUNDING
-        for q, query_id, scores, cut in zip(queries[at : at + TOGETHER], query_ids[at : at + TOGETHER], exact, cuts, strict=True):
-            own = rows[~(scores < cut)]
+        may = ~(part < least(along, quantiser.spread * aside, reached[:, None]))
+        np.put_along_axis(may, place, True, 1)
+        for q, query_id, own in zip(queries[at : at + TOGETHER], query_ids[at : at + TOGETHER], map(np.flatnonzero, may), strict=True):
             score = (vectors[own] * q).sum(1) / (lengths[own] * np.sqrt((q * q).sum()))
             row = np.argsort(-score, kind="stable")[: k + 1 + int((score == np.partition(score, -need)[-need]).sum())]
             found, some_ids = ids[own[row]], n_ids[own[row]]
