@@ -21,7 +21,9 @@ from pyspark.sql import functions as F
 
 from foliant.llm.common import table
 
-CACHED = 250_000  #: pre-tokens that each of a worker's two generations of known ones may hold
+CACHED = 48 << 20  #: bytes, about, that each of a worker's two generations of known pre-tokens may hold
+ENTRY = 200  #: bytes of a known pre-token beside its characters and ids
+LONG = 1024  #: longer pre-tokens aren't kept
 
 
 def byte_characters() -> list[str]:
@@ -74,6 +76,7 @@ class Codec:
         self.whole = {p: array("I", [i]).tobytes() for i, p in enumerate(self.pieces)}
         self.cache: dict[str, bytes] = {}  # the pre-tokens met of late
         self.older: dict[str, bytes] = {}  # those of the generation before
+        self.held = 0  # bytes of the cache, about
 
     def _learn(self, new: list[str]) -> None:
         """Encode pre-tokens not yet known, all in one call."""
@@ -92,8 +95,8 @@ class Codec:
     def encode(self, text: str | None) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""
         words = self.split(text or "")
-        if len(self.cache) > CACHED:
-            self.cache, self.older = {}, self.cache
+        if self.held > CACHED:
+            self.cache, self.older, self.held = {}, self.cache, 0
         cache, older, new = self.cache, self.older, []
         for t in dict.fromkeys(words):
             if t not in cache:
@@ -101,9 +104,15 @@ class Codec:
                     new.append(t)
                 else:
                     cache[t] = ids
+                    self.held += len(t) + len(ids) + ENTRY
         if new:
             self._learn(new)
-        return b"".join(map(cache.__getitem__, words))
+            self.held += sum(len(t) + len(cache[t]) + ENTRY for t in new if len(t) <= LONG)
+        out = b"".join(map(cache.__getitem__, words))
+        for t in new:
+            if len(t) > LONG:
+                del cache[t]
+        return out
 
     def decode(self, ids: bytes) -> bytes:
         return b"".join(map(self.pieces.__getitem__, np.frombuffer(ids, "<u4").tolist()))
