@@ -4,7 +4,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: A word: a run of characters other than space and the ASCII controls 9 to 13.
@@ -87,19 +87,33 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(crc_fold(doc_id) == 0, F.lit(False))
 
 
-def bounded_sample(df: DataFrame, label: str, key: str, bound: int, seed: int = 7) -> DataFrame:
-    """About `bound` rows of df in all, as evenly over the values of `label` as they allow, chosen by a hash of
-    `key`. Labels are counted first (a partial aggregate), so nothing is sorted and no label lands in one task. The
-    result is bounded whatever the input, so it may be broadcast and its texts be brought to the driver."""
-    counts = {r[0]: r[1] for r in df.groupBy(label).count().collect() if r[0] is not None}
+def bounded_sample(df: DataFrame, label: str, bound: int, seed: int = 7) -> DataFrame:
+    """At most `bound` different rows of df, as evenly over the values of `label` as they allow and one of each at least
+    (so more than `bound` only if there are more labels), chosen by the least hashes of whole rows. Equal rows count as
+    one, and rows that share an id or a label are told apart by the rest of them, so no hot value makes the sample larger
+    or empties it. Only hashes are shuffled: they are ranked within a label, each task passing on no more than a label's
+    share, and the chosen ones, whose number is bounded, are broadcast to fetch their rows. Rows without a label are
+    never chosen."""
+    known = df.where(F.col(label).isNotNull()).withColumn("_h", F.xxhash64(*[F.col(f"`{c}`") for c in df.columns], F.lit(seed)))
+    hashes = written(known.select(label, "_h").distinct(), "hashes")
+    counts = {r[0]: r[1] for r in hashes.groupBy(label).count().collect()}
     if not counts:
         return df.limit(0)
     share, left = {}, bound
     for i, (value, n) in enumerate(sorted(counts.items(), key=lambda x: (x[1], str(x[0])))):
-        share[value] = min(n, left // (len(counts) - i))
-        left -= share[value]
-    odds = F.lit(0.0)
-    for value, n in share.items():
-        odds = F.when(F.col(label) == F.lit(value), F.lit(n / counts[value])).otherwise(odds)
-    uniform = F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(1_000_003)) / 1_000_003.0
-    return df.where(uniform < odds)
+        share[value] = max(1, min(n, left // (len(counts) - i)))
+        left = max(0, left - share[value])
+    most = max(share.values())
+    place = F.row_number().over(Window.partitionBy(label).orderBy("_h"))
+    ranked = hashes.withColumn("_place", place).where(F.col("_place") <= most).collect()  # `most` rows a label at most
+    chosen = df.sparkSession.createDataFrame([(r[0], r[1]) for r in ranked if r["_place"] <= share[r[0]]], hashes.schema)
+    drop_written(hashes)
+    return known.join(F.broadcast(chosen), [label, "_h"], "left_semi").dropDuplicates([label, "_h"]).select(*df.columns)
+
+
+def texts_of(docs: DataFrame, sample: DataFrame) -> DataFrame:
+    """sample (doc_id and more, a bounded number of rows) with the text of each row's document, whole; a null text is
+    empty. Of rows that share an id, the text of the least hash is taken, so a hot id brings one text."""
+    text = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    keys = sample.columns
+    return text.join(F.broadcast(sample), "doc_id").groupBy(*keys).agg(F.min_by("text", F.xxhash64("text")).alias("text"))

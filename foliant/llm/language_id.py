@@ -135,10 +135,10 @@ def _training_rows(texts: pd.Series) -> pd.Series:
 
 
 def train(docs: DataFrame, bound: int = TRAIN_DOCS) -> EcocModel:
-    """Learn from (doc_id, text, lang) rows whose lang is known and whose crc32 fold is not 0; at most about
-    `bound` documents, as evenly over the languages as they allow."""
+    """Learn from (doc_id, text, lang) rows whose lang is known and whose crc32 fold is not 0; at most
+    `bound` different ones, as evenly over the languages as they allow."""
     known = docs.select("doc_id", "text", "lang").where(F.col("lang").isNotNull() & F.col("text").isNotNull() & (crc_fold(F.col("doc_id")) != 0))
-    rows = bounded_sample(known, "lang", "doc_id", bound).select("lang", F.explode(_training_rows("text")).alias("x")).collect()
+    rows = bounded_sample(known, "lang", bound).select("lang", F.explode(_training_rows("text")).alias("x")).collect()
     rows.sort(key=lambda r: (r.lang, r.x))
     x = np.stack([np.frombuffer(r.x, np.float16) for r in rows]).astype(np.float32) if rows else np.zeros((0, 1 << BITS), np.float32)
     return fit(x, [r.lang for r in rows])

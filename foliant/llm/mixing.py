@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from foliant.llm.common import as_row, bounded_sample, table, written
+from foliant.llm.common import as_row, bounded_sample, table, texts_of, written
 from foliant.llm.passages import passage_features, words
 
 TRAIN_DOCS = 2000  #: bound of the labelled sample
@@ -88,10 +88,9 @@ def _training_row(texts: pd.Series) -> pd.DataFrame:
 
 
 def train(docs: DataFrame, labelled: DataFrame, bound: int = TRAIN_DOCS) -> DomainModel | None:
-    """Learn the domains from labelled (doc_id, domain), at most about `bound` documents. None if none is labelled."""
+    """Learn the domains from labelled (doc_id, domain), at most `bound` documents. None if none is labelled."""
     known = labelled.where(F.col("domain").isNotNull() & F.col("doc_id").isNotNull()).select("doc_id", "domain")
-    text = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    rows = text.join(F.broadcast(bounded_sample(known, "domain", "doc_id", bound)), "doc_id").select("domain", _training_row(F.col("text").cast("binary")).alias("x")).select("domain", "x.*").collect()
+    rows = texts_of(docs, bounded_sample(known, "domain", bound)).select("domain", _training_row(F.col("text").cast("binary")).alias("x")).select("domain", "x.*").collect()
     if not rows:
         return None
     rows.sort()

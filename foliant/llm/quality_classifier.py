@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from foliant.llm.common import bounded_sample, crc_fold, held_out, table
+from foliant.llm.common import bounded_sample, crc_fold, held_out, table, texts_of
 from foliant.llm.passages import PASSAGE, WIDTH, passage_features, words
 
 TRAIN_DOCS = 1500  #: bound of the labelled sample
@@ -109,12 +109,11 @@ def _encoded(texts: pd.Series) -> pd.DataFrame:
 
 
 def train(docs: DataFrame, labels: DataFrame, bound: int = TRAIN_DOCS) -> MilModel:
-    """Learn from documents with a quality label of 0 or 1 whose crc32 fold is not 0; at most about `bound`, as
+    """Learn from documents with a quality label of 0 or 1 whose crc32 fold is not 0; at most `bound`, as
     evenly over the labels as they allow, weighted back to the labels' true shares by the scorer's offset."""
     known = labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull() & (crc_fold(F.col("doc_id")) != 0)).select("doc_id", F.col("quality").alias("y"))
-    text = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     shares = {r.y: r["count"] for r in known.groupBy("y").count().collect()}
-    rows = text.join(F.broadcast(bounded_sample(known, "y", "doc_id", bound)), "doc_id").select("y", _encoded(F.col("text").cast("binary")).alias("x")).collect()
+    rows = texts_of(docs, bounded_sample(known, "y", bound)).select("y", _encoded(F.col("text").cast("binary")).alias("x")).collect()
     rows.sort(key=lambda r: (r.y, r.x.surface, r.x.buckets))
     model = fit([passages_of(np.frombuffer(r.x.surface, np.float32).reshape(-1, WIDTH), np.frombuffer(r.x.buckets, np.uint16)) for r in rows], [r.y for r in rows])
     if model.p and len(shares) == 2:
