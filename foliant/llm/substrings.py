@@ -195,9 +195,11 @@ def extended(rows: DataFrame, alive: DataFrame, length: int, half: int, by_mark:
 
 def _alive(windows: DataFrame, later: bool) -> DataFrame:
     """(doc_id, tid, starts) of the windows that two ids have; later: only in documents other than the one of the least
-    id. Windows are counted by a partial aggregate, then joined: no window's rows are gathered."""
+    id. Windows are counted by a partial aggregate and the counts written, so that the join reads two tables and
+    adaptive execution can split a window that a third of all documents hold."""
     ids = windows.groupBy("h", "c").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last")
-    kept = windows.join(ids.select("h", "c", "first"), ["h", "c"])
+    ids = written_lean(ids.select("h", "c", "first"), "repeated")
+    kept = windows.join(ids, ["h", "c"])
     return (kept.where("doc_id > first") if later else kept).groupBy("doc_id", "tid").agg(F.collect_set("start").alias("starts"))
 
 
