@@ -45,6 +45,30 @@ def one(spark, column, **values):
         (X.strip_cues, "cue 2 flute", "cue 2 flute"),
         (X.split_combined, "flute 1 & piccolo", ["flute 1", "piccolo"]),
         (X.split_combined, "oboe / english horn", ["oboe", "english horn"]),
+        (X.split_combined, "clarinet w/ bass clarinet dbl. sax", ["clarinet", "bass clarinet", "sax"]),
+        (X.split_combined, "e.h. 1-2 and sandman doubling", ["e.h. 1-2", "sandman"]),
+        (X.split_combined, "& /", []),
+        (X.split_combined, "", []),
+        (X.split_combined, None, None),
+        (X.chair_runs, "horn 1 & & 2", [2]),
+        (X.chair_runs, "1 2 horn", [1]),
+        (X.chair_runs, "horn 3-1", [3, 1]),
+        (X.chair_runs, "horn 1, 1-2", [1, 2]),
+        (X.chair_runs, "- 2", [2]),
+        (X.chair_runs, "opus 123", []),
+        (X.chair_runs, "", []),
+        (X.chair_runs, None, []),
+        (lambda c: X.reliable_label(c, F.lit("trombone")), "trombone arranged by x", True),
+        (lambda c: X.reliable_label(c, F.lit("trombone")), "trombone arranged by a trombone player", False),
+        (lambda c: X.reliable_label(c, F.lit("trombone")), "arranged by x", False),
+        (lambda c: X.reliable_label(c, F.lit("trombone")), "Trombone arr. smith", True),
+        (lambda c: X.reliable_label(c, F.lit("trombone")), "trombone arr.smith", False),
+        (lambda c: X.reliable_label(c, F.lit("trombone")), "to  voice trombone", False),
+        (lambda c: X.reliable_label(c, F.lit("trombone")), "to voices, trombone", True),
+        (lambda c: X.reliable_label(c, F.lit("bass_trombone")), "1st bass trombone, copyright 1990", False),
+        (lambda c: X.reliable_label(c, F.lit("bass_trombone")), "(bass trombone)", True),
+        (lambda c: X.reliable_label(c, F.lit("trombone")), "trombones", False),
+        (lambda c: X.reliable_label(c, F.lit("")), "trombone", False),
         (X.keyed_transposition, "horn in f 2", "F"),
         (X.keyed_transposition, "clarinet in b flat", "Bb"),
         (X.keyed_transposition, "clarinet in eb", "Eb"),
