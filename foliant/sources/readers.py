@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 from foliant.functions.numbers import file_fingerprint, short_id
 from foliant.functions.predicates import readable_pdf
 from foliant.functions.text import file_name, top_folder
+from foliant.sources import snapshots
 
 
 def scan_library(spark: SparkSession, root: str, ending: str = "pdf", content: bool = False) -> DataFrame:
@@ -129,9 +130,9 @@ def read_pages(files: DataFrame, extract: Callable[[bytes], Iterator[dict[str, A
 
 def read_jsonl(spark: SparkSession, path: str, schema: str, with_rejects: bool = False) -> DataFrame:
     """JSON lines; blank, malformed and non-object lines are left out, or kept in `_corrupt_record`. A value of another
-    type than the schema's is null, its row stays."""
+    type than the schema's is null, its row stays. `path`: files, or what sinks.write_jsonl() has written."""
     names = T._parse_datatype_string(schema).names
-    lines = spark.read.text(path).where(F.trim("value") != "")
+    lines = spark.read.text(snapshots.folders(spark, path)).where(F.trim("value") != "")
     whole = F.try_parse_json("value")
     rows = lines.select(F.when(F.startswith(F.trim("value"), F.lit("{")) & whole.isNotNull(), whole).alias("v"), "value")
     good = rows.where(F.col("v").isNotNull())
@@ -172,6 +173,14 @@ def checkpoint_of(checkpoint: DataFrame, version: str) -> DataFrame:
     return checkpoint.where(F.col("record_version") == version).select("key", "fingerprint")
 
 
+def read_checkpoint(spark: SparkSession, path: str, stage: str) -> DataFrame:
+    """The checkpoint that sinks.write_checkpoint() wrote last for a stage; no rows before the first."""
+    at = f"{path}/{stage}"
+    if snapshots.version_of(spark, at)[1] is None:
+        return spark.createDataFrame([], "stage string, key string, fingerprint string, record_version string, last_run_id string")
+    return snapshots.read(spark, at)
+
+
 def _given(source: str | dict[str, Any] | None) -> dict[str, Any]:
     """The settings of a YAML file, or those given as a dict."""
     if isinstance(source, dict) or not source:

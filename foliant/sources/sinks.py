@@ -1,24 +1,39 @@
 """Sinks: JSON lines, JSON, text, CSV, data modules, one file a key with pruning, checkpoints, result caches, reports.
 
-Tables are written by Spark's committers, so a failed job leaves the previous output readable. Small single files
-(a summary, a report) are assembled on the driver from results that are small by construction."""
+JSON lines, text and checkpoints are snapshot tables (sources.snapshots), which a reader sees as they were or as they
+are, and which a job that fails leaves as they were. CSV and folders a key are overwritten in place, for programs that
+know nothing of snapshots: a job that fails may leave them empty. Small single files (a summary, a report) are assembled
+on the driver from results that are small by construction, and renamed into place."""
 from __future__ import annotations
 
 import json
-import time
 import uuid
 from collections.abc import Iterator
 from functools import reduce
+from urllib.parse import unquote
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from foliant.functions.text import markdown_cell
+from foliant.sources import files, snapshots
+from foliant.sources.files import write_bytes, write_object  # noqa: F401  sinks too
 
+PRUNED = 10_000  #: folders that are looked up at once
 
-def write_jsonl(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").json(path)
+
+def ascii_json(line: Column) -> Column:
+    """JSON with all that lies beyond ASCII as \\u escapes, by UTF-16 units."""
+    units = lambda c: F.lower(F.regexp_replace(F.hex(F.encode(c, "UTF-16BE")), "(.{4})", r"\\u$1"))
+    escaped = F.array_join(F.transform(F.split(line, ""), lambda c: F.when(c.rlike(r"^[\x00-\x7F]$"), c).otherwise(units(c))), "")
+    return F.when(line.rlike(r"[^\x00-\x7F]"), escaped).otherwise(line)
+
+
+def write_jsonl(df: DataFrame, path: str) -> int:
+    """A line of ASCII JSON a row, nulls included, in place of what was there, in one step."""
+    row = F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]), {"ignoreNullFields": "false"})
+    return snapshots.commit(df.select(ascii_json(row).alias("value")), path, "text")
 
 
 def write_csv(df: DataFrame, path: str, single: bool = False) -> None:
@@ -35,51 +50,16 @@ def csv_cell(c: Column, kind: str) -> Column:
     return F.coalesce(c.cast("string"), F.lit(""))
 
 
-def write_text(df: DataFrame, column: str, path: str) -> None:
-    df.select(F.col(column).cast("string")).write.mode("overwrite").text(path)
-
-
-def _hadoop(spark, path: str):
-    """(path, its file context) in the session's file systems."""
-    jvm = spark._jvm
-    at = jvm.org.apache.hadoop.fs.Path(path)
-    conf = spark._jsparkSession.sessionState().newHadoopConf()
-    return at, jvm.org.apache.hadoop.fs.FileContext.getFileContext(at.getFileSystem(conf).getUri(), conf)
-
-
-def write_object(text: str, path: str, spark) -> None:
-    write_bytes(text.encode(), path, spark)
-
-
-def write_bytes(content: bytes, path: str, spark, tries: int = 5) -> None:
-    """A small file, written beside its place and renamed over it in one step, so readers see the old or the new one
-    whole. A rename that fails is tried again, each time after a longer wait."""
-    jvm = spark._jvm
-    tmp, _ = _hadoop(spark, f"{path}.{uuid.uuid4().hex}.tmp")
-    to, files = _hadoop(spark, path)
-    fs = tmp.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
-    out = fs.create(tmp, True)
-    out.write(bytearray(content))
-    out.close()
-    over = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
-    over[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
-    for k in range(tries):
-        try:
-            files.rename(tmp, to, over)
-            return
-        except Exception:  # noqa: BLE001  the last one is raised
-            if k == tries - 1:
-                fs.delete(tmp, False)
-                raise
-            time.sleep(0.1 * 2**k)
+def write_text(df: DataFrame, column: str, path: str) -> int:
+    """A line a row, in place of what was there, in one step."""
+    return snapshots.commit(df.select(F.col(column).cast("string").alias("value")), path, "text")
 
 
 def assert_writable(path: str, spark) -> None:
     """Raise unless files can be made in a folder, which is made if need be."""
     probe = f"{path}/.{uuid.uuid4().hex}"
     write_object("", probe, spark)
-    at, files = _hadoop(spark, probe)
-    files.delete(at, False)
+    files.delete(probe, spark)
 
 
 def data_module(df: DataFrame, key: str, order: list[Column] | None = None, register: str = "register") -> DataFrame:
@@ -93,7 +73,7 @@ def data_module(df: DataFrame, key: str, order: list[Column] | None = None, regi
     return body.union(ends)
 
 
-def copy_files(files: DataFrame, source: str, target: str, path: str = "pdf_path") -> DataFrame:
+def copy_files(listed: DataFrame, source: str, target: str, path: str = "pdf_path") -> DataFrame:
     """(path, bytes, status): each file of source copied to the same place in target, by the tasks, through pyarrow's
     file systems. A file that is there with the same size isn't copied again, so a task may be repeated."""
 
@@ -117,7 +97,7 @@ def copy_files(files: DataFrame, source: str, target: str, path: str = "pdf_path
                     out.append((name, -1, f"error: {type(e).__name__}"))
             yield pd.DataFrame(out, columns=[path, "bytes", "status"])
 
-    return files.select(path).mapInPandas(run, f"{path} string, bytes long, status string")
+    return listed.select(path).mapInPandas(run, f"{path} string, bytes long, status string")
 
 
 def write_per_key(df: DataFrame, key: str, path: str) -> None:
@@ -131,20 +111,24 @@ def orphans(existing: DataFrame, current: DataFrame, key: str) -> DataFrame:
 
 
 def prune(path: str, key: str, current: DataFrame) -> list[str]:
-    """Delete the folders of write_per_key() whose key isn't in current; returns their keys, which are few."""
+    """Delete the folders of write_per_key() whose key isn't in current; returns their keys. The folders are named in
+    the driver as a listing of path is; which of them are orphaned is found by Spark, a bounded number at a time."""
     spark = current.sparkSession
-    existing = spark.read.json(path).select(F.col(key).cast("string").alias(key))
-    gone = sorted(r[0] for r in orphans(existing, current.select(F.col(key).cast("string").alias(key)), key).collect())
-    for value in gone:
-        at, files = _hadoop(spark, f"{path}/{key}={value}")
-        files.delete(at, True)
-    return gone
-
-
-def write_checkpoint(fingerprints: DataFrame, stage: str, version: str, run: str, path: str) -> None:
-    """(key, fingerprint) of a stage, with the version that wrote them."""
+    known = current.select(F.col(key).cast("string").alias(key))
+    held = [n.partition("=")[2] for n in files.names(path, spark) if n.startswith(f"{key}=")]
+    out = []
+    for at in range(0, len(held), PRUNED):
+        some = spark.createDataFrame([(unquote(v), v) for v in held[at : at + PRUNED]], f"`{key}` string, _folder string")
+        for value, folder in some.join(known, key, "left_anti").collect():
+            files.delete(f"{path}/{key}={folder}", spark)
+            out.append(value)
+    return sorted(out)
+
+
+def write_checkpoint(fingerprints: DataFrame, stage: str, version: str, run: str, path: str) -> int:
+    """(key, fingerprint) of a stage, with the version that wrote them; other stages' stay as they are."""
     rows = fingerprints.select(F.lit(stage).alias("stage"), "key", "fingerprint", F.lit(version).alias("record_version"), F.lit(run).alias("last_run_id"))
-    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("stage").parquet(path)
+    return snapshots.commit(rows, f"{path}/{stage}")
 
 
 def cache_key(*cs: Column) -> Column:
