@@ -10,6 +10,7 @@ from foliant.operators import builders as B
 from foliant.operators import plugins as G
 from foliant.operators import records as C
 from foliant.operators import slots as S
+from foliant.operators.ranking import with_rank
 from foliant.plans.registry import query
 from foliant.plans.tables import load
 
@@ -228,19 +229,17 @@ def pieces_index(spark, sf_dir):
 @query(
     f"""WITH {_PIECES_SQL}, w AS (SELECT *, CASE severity WHEN 'high' THEN 20 WHEN 'review' THEN 8 ELSE 0 END + missing * 10 + dup * 2 AS score FROM r)
 SELECT row_number() OVER (ORDER BY score DESC, CASE WHEN c_custkey % 2 = 0 THEN lpad(c_custkey::VARCHAR, 5, '0') ELSE '~' END, c_name)::INT AS rank, score::INT AS priority_score, c_custkey AS piece_id, severity, missing AS missing_required_count, CASE WHEN missing > 0 THEN 'Flute' ELSE '' END AS missing_required_parts,
-  dup::INT AS duplicate_count, array_to_string(codes, '; ') AS reason_codes, CASE WHEN len(codes) > 0 THEN 'do ' || codes[1] ELSE '' END AS next_action, 'pieces/' || c_custkey || '.md' AS report_path, thumb AS sample_thumbnail FROM w QUALIFY rank <= 100"""
+  dup::INT AS duplicate_count, array_to_string(codes, '; ') AS reason_codes, CASE WHEN len(codes) > 0 THEN 'do ' || codes[1] ELSE '' END AS next_action, 'pieces/' || c_custkey || '.md' AS report_path, thumb AS sample_thumbnail FROM w"""
 )
 def review_entries(spark, sf_dir):
-    """The 100 foremost entries of the review queue, with the columns of its CSV."""
-    from pyspark.sql import Window as W
-
+    """The review queue, all of it, with the columns of its CSV."""
     from foliant.functions.numbers import piece_order
 
     rows = pieces(spark, sf_dir).withColumn("piece_id", F.col("piece_id").cast("string"))
     counts = {"severity": F.col("severity"), "score_missing": F.col("score_missing"), "missing_required_count": F.col("missing_required_count"), "low_confidence_count": F.lit(0), "unmatched_count": F.lit(0), "duplicate_count": F.col("review_counts.duplicate_count"), "unexpected_part_count": F.lit(0)}
     queue = B.queue_entries(rows, "pieces", A.priority(counts))
     order = [F.desc("priority_score"), *piece_order(F.col("catalog_number"), F.col("piece_folder"))]
-    ranked = queue.orderBy(*order).limit(100).withColumn("rank", F.row_number().over(W.orderBy(*order)))
+    ranked = with_rank(queue, order).withColumn("rank", F.col("rank").cast("int"))
     flat = B.queue_csv(ranked).select("rank", "priority_score", F.col("piece_id").cast("long").alias("piece_id"), "severity", "missing_required_count", "missing_required_parts", "duplicate_count", F.array_join("reason_codes", "; ").alias("reason_codes"), "next_action")
     return flat.join(ranked.select(F.col("piece_id").cast("long").alias("piece_id"), "report_path", "sample_thumbnail"), "piece_id")
 

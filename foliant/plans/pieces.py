@@ -10,6 +10,8 @@ from foliant.operators import aggregates as A
 from foliant.operators import joins as J
 from foliant.operators import reconcile as R
 from foliant.operators import records as C
+from foliant.operators.ranking import with_rank
+from foliant.operators.selection import summarised
 from foliant.plans.registry import query
 from foliant.plans.tables import load
 
@@ -83,15 +85,13 @@ _PRIORITY_SQL = """severity_base + CASE WHEN score_missing THEN 40 ELSE 0 END +
 
 @query(
     f"""WITH {REPORTS_SQL}, q AS (SELECT *, {_PRIORITY_SQL} AS priority_score FROM scored)
-SELECT row_number() OVER (ORDER BY priority_score DESC, c_name, c_custkey) AS rank, c_custkey, priority_score::BIGINT AS priority_score, severity FROM q ORDER BY rank LIMIT 100"""
+SELECT row_number() OVER (ORDER BY priority_score DESC, c_name, c_custkey) AS rank, c_custkey, priority_score::BIGINT AS priority_score, severity FROM q"""
 )
 def priority_queue(spark, sf_dir):
-    """The 100 pieces of most points; the limit comes before the rank, so only these meet in one task."""
+    """Every piece's place in the queue."""
     total = sum(_priority().values(), F.lit(0)).cast("long")
-    top = reports(spark, sf_dir).select("c_custkey", "c_name", "severity", total.alias("priority_score")).orderBy(F.desc("priority_score"), "c_name", "c_custkey").limit(100)
-    from pyspark.sql import Window as W
-
-    ranked = top.withColumn("rank", F.row_number().over(W.orderBy(F.desc("priority_score"), "c_name", "c_custkey")).cast("long"))
+    queue = reports(spark, sf_dir).select("c_custkey", "c_name", "severity", total.alias("priority_score"))
+    ranked = with_rank(queue, [F.desc("priority_score"), F.col("c_name"), F.col("c_custkey")])
     return ranked.select("rank", "c_custkey", "priority_score", "severity")
 
 
@@ -124,7 +124,7 @@ def completeness(spark, sf_dir):
 
 @query(f"WITH {REPORTS_SQL} SELECT count(completeness) AS cnt, round(avg(completeness), 3) AS mean, round(median(completeness), 3) AS median, round(min(completeness), 3) AS min, round(max(completeness), 3) AS max FROM scored")
 def completeness_summary(spark, sf_dir):
-    return reports(spark, sf_dir).agg(*A.number_summary(F.col("completeness")))
+    return summarised(reports(spark, sf_dir), F.col("completeness"))
 
 
 @query(

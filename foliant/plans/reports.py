@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from foliant.functions.numbers import percent, piece_order
 from foliant.functions.text import markdown_cell
 from foliant.operators import aggregates as A
+from foliant.operators.selection import summarised
 from foliant.sources.sinks import markdown_report, shown_targets
 
 
@@ -37,7 +38,7 @@ def classification_report(predictions: DataFrame) -> str:
 def expected_report(pieces: DataFrame, slots: DataFrame) -> str:
     tiers = _distribution(pieces, F.col("completeness_tier"), ["complete", "near_complete", "incomplete", "severely_incomplete", "unknown"])
     missing = slots.where("required and not present").groupBy("label").agg(F.countDistinct("piece_id").alias("pieces")).orderBy(F.desc("pieces"), "label")
-    summary = pieces.agg(*A.number_summary(F.col("completeness_score")))
+    summary = summarised(pieces, F.col("completeness_score"))
     return markdown_report("Expected parts", [("Completeness", summary, 1), ("Tiers", tiers, 10), ("Most missing", missing, 25)])
 
 
