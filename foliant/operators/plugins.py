@@ -9,24 +9,28 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from foliant.sources.calls import called
 
-def enrich(df: DataFrame, key: str, inputs: list[str], fn: Callable[[dict], dict | None], schema: str) -> DataFrame:
+PASSED_ON = 256  #: rows of finished calls that are passed on together
+
+
+def enrich(df: DataFrame, key: str, inputs: list[str], fn: Callable[[dict], dict | None], schema: str, width: int = 1, deadline: float | None = None, budget: float | None = None) -> DataFrame:
     """(key, fields of schema, status): fn on each row's inputs; None is `not_found`, an exception `error`, and
-    neither fails the task. schema: DDL of the fields that fn returns."""
+    neither fails the task. schema: DDL of the fields that fn returns. A task makes `width` calls at a time, each with a
+    deadline, and all within its budget of seconds (calls.called())."""
     from pyspark.sql import types as T
 
     names = T._parse_datatype_string(schema).names
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            out = []
-            for row in batch.to_dict("records"):
-                try:
-                    found = fn({k: row[k] for k in inputs})
-                    out.append({key: row[key], **{n: (found or {}).get(n) for n in names}, "status": "success" if found else "not_found"})
-                except Exception as e:  # noqa: BLE001
-                    out.append({key: row[key], **dict.fromkeys(names), "status": f"error: {e}"})
-            yield pd.DataFrame(out, columns=[key, *names, "status"])
+        rows = (row for batch in batches for row in batch.to_dict("records"))
+        held: list[dict] = []
+        for row, found, status in called(rows, lambda row: fn({k: row[k] for k in inputs}) or None, width, deadline, budget):
+            held.append({key: row[key], **{n: (found or {}).get(n) for n in names}, "status": status})
+            if len(held) >= PASSED_ON:
+                yield pd.DataFrame(held, columns=[key, *names, "status"])
+                held = []
+        yield pd.DataFrame(held, columns=[key, *names, "status"])
 
     kind = next(f.dataType.simpleString() for f in df.schema if f.name == key)
     return df.select(key, *[c for c in inputs if c != key]).mapInPandas(run, f"{key} {kind}, {schema}, status string")

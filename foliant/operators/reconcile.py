@@ -62,13 +62,15 @@ def exact_index_matches(slots: DataFrame, held: DataFrame, key: str = "piece_id"
 
 def editions(parts: DataFrame, demand: DataFrame, key: list[str]) -> DataFrame:
     """Clef editions in DataFrames: of the parts of the same facets and key, the n-th copies of every (clef, key) are
-    one, with their clefs and keys; where a piece asks for more than an edition has copies, each part stays its own.
+    one, with their clefs and keys; where a piece asks for more than an edition has copies, each part stays its own, the
+    first ones, as many as are asked for.
     parts: key, part (orderable), clef, transposition; demand: key, demand. Returns key, part (the first), clefs, keys."""
     edition = [*key, "clef", "transposition"]
     numbered = parts.withColumn("copy", F.row_number().over(W.partitionBy(*edition).orderBy("part")))
     deepest = numbered.groupBy(*key).agg(F.max("copy").alias("deepest")).join(demand, key, "left")
-    both = numbered.join(deepest, key)
     alone = F.coalesce(F.col("demand") > F.col("deepest"), F.lit(False))
+    place = F.row_number().over(W.partitionBy(*key).orderBy("part"))
+    both = numbered.withColumn("place", place).join(deepest, key).where(~alone | (F.col("place") <= F.col("demand")))
     stack = F.when(alone, F.struct(F.lit(True).alias("alone"), F.col("copy").alias("n"), "clef", "transposition")).otherwise(F.struct(F.lit(False).alias("alone"), F.col("copy").alias("n"), F.lit(None).cast("string").alias("clef"), F.lit(None).cast("string").alias("transposition")))
     sets = lambda c: F.array_sort(F.collect_set(c))
     return both.groupBy(*key, stack.alias("stack")).agg(F.min("part").alias("part"), sets("clef").alias("clefs"), sets("transposition").alias("keys")).drop("stack")
@@ -120,7 +122,7 @@ class _Piece:
 
     def _editions(self, parts: list[dict]) -> list[dict]:
         """Clef editions of the same part count as one, unless the piece asks for more of it than there are copies
-        of an edition."""
+        of an edition: then each stands for itself, as many as are asked for."""
         alike: dict = defaultdict(list)
         for p in parts:
             alike[tuple(sorted((str(c), -1 if i is None else i) for c, i in p["facets"]))].append(p)
@@ -132,7 +134,7 @@ class _Piece:
                 for p in group:
                     copies[(p["clef"], _key(p["transposition"]))].append(p)
                 deepest = max(map(len, copies.values()))
-                stacks = [[p] for p in group] if need > deepest else [[c[n] for c in copies.values() if n < len(c)] for n in range(deepest)]
+                stacks = [[p] for p in group[:need]] if need > deepest else [[c[n] for c in copies.values() if n < len(c)] for n in range(deepest)]
                 for stack in stacks:
                     clefs = sorted({p["clef"] for p in stack if p["clef"]})
                     keyed = sorted({str(p["transposition"]) for p in stack if _key(p["transposition"])})
@@ -216,30 +218,64 @@ def compatible(slot: Column, part: Column) -> Column:
     return role_compatible(slot["role"], part["role"]) & transposition_compatible(slot["transposition"], part["transposition"])
 
 
-def spans_by_length(aliases: list[tuple[str, str]]) -> Callable[[str], list[str]]:
-    """Canonical names in a text in order of position; the longest alias takes its span first, spans don't overlap."""
-    import re
+class AliasFinder:
+    """Finds canonical names in normalized texts: one pass of an automaton over a text finds every place of every alias,
+    however many aliases there are; the longest take their spans first, and spans don't overlap. Of aliases as long, the
+    one that is listed first comes first; an alias's own places don't overlap either."""
+
+    def __init__(self, aliases: list[tuple[str, str]]):
+        import ahocorasick
+
+        self.aliases = [(name, alias) for name, alias in aliases if alias]
+        self.automaton = ahocorasick.Automaton()
+        listed: dict[str, list[int]] = defaultdict(list)
+        for i, (_, alias) in enumerate(self.aliases):
+            listed[alias].append(i)
+        for alias, places in listed.items():
+            self.automaton.add_word(alias, (len(alias), places))
+        if listed:
+            self.automaton.make_automaton()
+
+    def __reduce__(self):
+        return AliasFinder, (self.aliases,)
+
+    def __call__(self, text: str) -> list[str]:
+        """The names, in order of position, each once."""
+        if not self.aliases:
+            return []
+        hits = []
+        for last, (size, places) in self.automaton.iter(text):
+            start, end = last - size + 1, last + 1
+            if not (start and text[start - 1] in _LETTERS) and not (end < len(text) and text[end] in _LETTERS):
+                hits += [(-size, i, start) for i in places]
+        free, found, reached = bytearray(len(text)), [], {}
+        for size, i, start in sorted(hits):
+            end = start - size
+            if start < reached.get(i, 0):
+                continue
+            reached[i] = end
+            if not any(free[start:end]):
+                free[start:end] = b"\1" * (end - start)
+                found.append((start, self.aliases[i][0]))
+        return list(dict.fromkeys(n for _, n in sorted(found)))
 
-    tests = [(name, re.compile(f"(?<![a-z0-9]){re.escape(a)}(?![a-z0-9])")) for name, a in sorted(aliases, key=lambda x: -len(x[1]))]
 
-    def find(text: str) -> list[str]:
-        free, found = bytearray(len(text)), []
-        for name, test in tests:
-            for m in test.finditer(text):
-                if not any(free[m.start() : m.end()]):
-                    free[m.start() : m.end()] = b"\1" * (m.end() - m.start())
-                    found.append((m.start(), name))
-        return list(dict.fromkeys(n for _, n in sorted(found)))
+_LETTERS = frozenset("abcdefghijklmnopqrstuvwxyz0123456789")
 
-    return find
+
+def spans_by_length(aliases: list[tuple[str, str]]) -> Callable[[str], list[str]]:
+    """Canonical names in a text in order of position; the longest alias takes its span first, spans don't overlap."""
+    return AliasFinder(aliases)
 
 
 def all_matches(text: Column, aliases: list[tuple[str, str]]) -> Column:
-    """array<string> of the canonical names that a normalized text holds, by spans that don't overlap."""
-    find = spans_by_length(aliases)
+    """array<string> of the canonical names that a normalized text holds, by spans that don't overlap. The automaton is
+    built once a task."""
 
     @F.pandas_udf("array<string>")
-    def run(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: find(t) if isinstance(t, str) else [])
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        find = AliasFinder(aliases)
+        for texts in batches:
+            yield texts.map(lambda t: find(t) if isinstance(t, str) else [])
 
     return run(text)

@@ -1,6 +1,9 @@
 """Registered queries that write with each sink and read back with each source, in a folder of their own."""
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from foliant.plans import reports
@@ -145,17 +148,34 @@ def checkpointed_results(spark, sf_dir):
 
 
 @query(
-    """SELECT * FROM (VALUES ('alias', 'flute', 'fl'), ('alias', 'flute', 'flute'), ('alias', 'bass_clarinet', 'bass clarinet'), ('alias', 'oboe', 'oboe'), ('transposition_markers', 'F', 'in f'), ('clef_markers', 'treble', 'tc'), ('score_types', 'full', 'full score'),
-  ('interchangeable', '0', 'euphonium'), ('interchangeable', '0', 'baritone'), ('setting', 'quality.min_dpi', '150'), ('setting', 'quality.max_skew', '3.0'), ('prompt', 'default', 'Find {title}')) v(kind, key, value)"""
+    """WITH names AS (SELECT DISTINCT replace(p_name, ' ', '_') AS canonical, p_name AS alias, string_split(p_name, ' ')[2] AS family FROM part), brands AS (SELECT DISTINCT p_brand, p_mfgr FROM part)
+SELECT 'alias' AS kind, canonical AS key, alias || '/' || family || '/' || coalesce(CASE WHEN family = 'ring' THEN 'round' END, family) AS value FROM names UNION ALL SELECT 'alias', canonical, 'the ' || alias || '/' || family || '/' || coalesce(CASE WHEN family = 'ring' THEN 'round' END, family) FROM names
+UNION ALL SELECT DISTINCT 'transposition_markers', p_type, 'in ' || lower(p_type) FROM part UNION ALL SELECT 'interchangeable', '0', canonical FROM names WHERE family = 'ring' UNION ALL SELECT 'clef_markers', 'treble', 'tc'
+UNION ALL SELECT 'setting', 'sizes.largest', max(p_size)::VARCHAR FROM part UNION ALL SELECT 'setting', 'sizes.least', '1' UNION ALL SELECT 'prompt', 'file', 'Find {title} among ' || count(*) FROM part"""
 )
 def dictionaries(spark, sf_dir):
-    """A dictionary and settings, overlaid by others key by key, and a prompt's template."""
-    base = {"instruments": {"flute": ["Flute"], "bass_clarinet": ["Bass-Clarinet"]}, "transposition_markers": {"in F": "F"}, "score_types": {"full": ["Full Score"]}, "interchangeable": [["euphonium", "baritone"]]}
-    data = readers.merged_lexicon(base, {"instruments": {"flute": ["fl", "flute"], "oboe": ["oboe"]}, "clef_markers": {"TC": "treble"}})
-    aliases = readers.lexicon(spark, data).select(F.lit("alias").alias("kind"), F.col("canonical").alias("key"), F.col("alias").alias("value"))
-    marks = readers.markers(spark, data).select("kind", "value", "marker")
-    settings = readers.merged_settings({"quality": {"min_dpi": 200, "max_skew": 3.0}}, {"quality": {"min_dpi": 150, "unknown": 1}, "other": 2})
-    rest = [("setting", f"{a}.{b}", str(v)) for a, x in settings.items() for b, v in x.items()] + [("prompt", "default", readers.prompt_template(None, "Find {title}"))]
+    """A dictionary, settings and a prompt, made of a table's distinct values, written as YAML and text, overlaid on
+    defaults key by key as they are read back."""
+    import yaml
+
+    part, folder = load(spark, sf_dir, "part"), new_folder(spark, "dictionary")
+    names = part.select("p_name").distinct()
+    given: dict = {"instruments": {}, "transposition_markers": {}, "interchangeable": [[]]}
+    for row in sorted(readers.few(names)):
+        family = row.p_name.split(" ")[1]
+        given["instruments"].setdefault(family, {})[row.p_name.replace(" ", "_")] = [row.p_name.title(), "The-" + row.p_name]
+        if family == "ring":
+            given["interchangeable"][0].append(row.p_name.replace(" ", "_"))
+    given["transposition_markers"] = {f"In {r.p_type}": r.p_type for r in readers.few(part.select("p_type").distinct())}
+    whole = part.agg(F.max("p_size").alias("largest"), F.count("*").alias("n")).first()
+    sinks.write_object(yaml.safe_dump(given), f"{folder}/names.yaml", spark)
+    sinks.write_object(yaml.safe_dump({"sizes": {"largest": whole.largest, "least": None, "unknown": 1}, "other": 2}), f"{folder}/settings.yaml", spark)
+    sinks.write_object(f"Find {{title}} among {whole.n}", f"{folder}/prompt.txt", spark)
+    data = readers.merged_lexicon({"sections": {"round": [r.p_name.replace(" ", "_") for r in readers.few(names.where("p_name like '% ring'"))]}, "clef_markers": {"TC": "treble"}}, f"{folder}/names.yaml", spark)
+    aliases = readers.lexicon(spark, data).select(F.lit("alias").alias("kind"), F.col("canonical").alias("key"), F.concat_ws("/", "alias", "family", "section").alias("value"))
+    marks = readers.markers(spark, data).select("kind", F.col("value").alias("key"), F.col("marker").alias("value"))
+    settings = readers.merged_settings({"sizes": {"largest": 0, "least": 1}}, f"{folder}/settings.yaml", spark)
+    rest = [("setting", f"{a}.{b}", str(v)) for a, x in settings.items() for b, v in x.items()] + [("prompt", "file", readers.prompt_template(f"{folder}/prompt.txt", "none", spark))]
     return aliases.union(marks).union(spark.createDataFrame(rest, "kind string, key string, value string"))
 
 
@@ -428,25 +448,25 @@ def review_pack(spark, sf_dir):
     return lines(spark, reports.review_pack(rows, 20, 1))
 
 
-@query(
-    _report_sql(
-        "Piece",
-        _table_sql("Summary", "piece_id | piece_folder | severity | completeness_tier | completeness_score", "SELECT 1 AS k, '| 7 | ' || c_name || ' | high | complete | 0.5 |' AS line FROM customer WHERE c_custkey = 7"),
-        _table_sql("Expected parts", "label | required | present", _ranked("SELECT o_orderkey AS o, '| ' || lpad(o_orderkey::VARCHAR, 9, '0') || ' | true | ' || CASE WHEN o_orderstatus = 'F' THEN 'true' ELSE 'false' END || ' |' AS line FROM orders WHERE o_custkey = 7", "o")),
-        _table_sql("To do", "reason_code | action | targets", "SELECT 1 AS k, '| missing_score | find | ' || array_to_string(list_slice(t, 1, 8), ', ') || CASE WHEN len(t) > 8 THEN ' +' || (len(t) - 8) || ' more' ELSE '' END || ' |' AS line FROM (SELECT list(lpad(o_orderkey::VARCHAR, 9, '0') ORDER BY o_orderkey) AS t FROM orders WHERE o_custkey = 7)"),
-        _table_sql("Documents", "pdf_filename | quality_band", _ranked("SELECT o_orderkey AS o, '| ' || lpad(o_orderkey::VARCHAR, 9, '0') || '.pdf | good |' AS line FROM orders WHERE o_custkey = 7", "o")),
-    )
-)
+_REPORT_SQL = """WITH o AS (SELECT o_custkey, list({'label': lpad(o_orderkey::VARCHAR, 9, '0'), 'present': o_orderstatus = 'F'} ORDER BY o_orderkey) AS x FROM orders GROUP BY o_custkey),
+r AS (SELECT c_custkey, ['# Piece', '## Summary', '| piece_id | piece_folder | severity | completeness_tier | completeness_score |', '|---|---|---|---|---|', '| ' || c_custkey || ' | ' || c_name || ' | high | complete | 0.5 |',
+  '## Expected parts', '| label | required | present |', '|---|---|---|'] || list_transform(x[1:200], lambda v: '| ' || v.label || ' | true | ' || CASE WHEN v.present THEN 'true' ELSE 'false' END || ' |') || CASE WHEN len(x) > 200 THEN ['(more rows not shown)'] ELSE [] END
+  || ['## To do', '| reason_code | action | targets |', '|---|---|---|', '| missing_score | find | ' || array_to_string(list_transform(x[1:8], lambda v: v.label), ', ') || CASE WHEN len(x) > 8 THEN ' +' || (len(x) - 8) || ' more' ELSE '' END || ' |', '## Documents', '| pdf_filename | quality_band |', '|---|---|']
+  || list_transform(x[1:200], lambda v: '| ' || v.label || '.pdf | good |') || CASE WHEN len(x) > 200 THEN ['(more rows not shown)'] ELSE [] END AS lines FROM customer JOIN o ON o_custkey = c_custkey)
+SELECT c_custkey AS piece_id, (unnest(range(1, len(lines) + 1)) - 1)::INT AS place, unnest(lines) AS line FROM r"""
+
+
+@query(_REPORT_SQL)
 def piece_report(spark, sf_dir):
-    """One piece's report, from its nested record."""
+    """Every piece's report, from its nested record."""
     label = F.lpad(F.col("o_orderkey").cast("string"), 9, "0")
     part = F.struct(label.alias("label"), F.lit(True).alias("required"), (F.col("o_orderstatus") == "F").alias("present"))
     document = F.struct(F.concat(label, F.lit(".pdf")).alias("pdf_filename"), F.lit("good").alias("quality_band"))
-    orders = load(spark, sf_dir, "orders").where("o_custkey = 7").groupBy("o_custkey").agg(F.array_sort(F.collect_list(part)).alias("expected_parts"), F.array_sort(F.collect_list(document)).alias("documents"), F.array_sort(F.collect_list(label)).alias("t"))
+    orders = load(spark, sf_dir, "orders").groupBy("o_custkey").agg(F.array_sort(F.collect_list(part)).alias("expected_parts"), F.array_sort(F.collect_list(document)).alias("documents"), F.array_sort(F.collect_list(label)).alias("t"))
     item = F.struct(F.lit("missing_score").alias("reason_code"), F.lit("find").alias("action"), F.col("t").alias("targets"))
     both = load(spark, sf_dir, "customer").join(orders, F.col("c_custkey") == F.col("o_custkey"))
-    piece = both.select(F.col("c_custkey").alias("piece_id"), F.col("c_name").alias("piece_folder"), F.lit("high").alias("severity"), F.lit("complete").alias("completeness_tier"), F.lit(0.5).alias("completeness_score"), "expected_parts", "documents", F.array(item).alias("action_items"))
-    return lines(spark, reports.piece_report(piece))
+    pieces = both.select(F.col("c_custkey").alias("piece_id"), F.col("c_name").alias("piece_folder"), F.lit("high").alias("severity"), F.lit("complete").alias("completeness_tier"), F.lit(0.5).alias("completeness_score"), "expected_parts", "documents", F.array(item).alias("action_items"))
+    return reports.piece_reports(pieces).select("piece_id", F.posexplode("lines").alias("place", "line"))
 
 
 @query("SELECT place::INT AS place, line FROM (VALUES (0, '# Tables'), (1, '## nation'), (2, '- `n_nationkey`: int'), (3, '- `n_name`: string'), (4, '- `n_regionkey`: int'), (5, '## region'), (6, '- `r_regionkey`: int, the region''s number'), (7, '- `r_name`: string')) v(place, line)")
@@ -461,14 +481,31 @@ def report_index(spark, sf_dir):
     return reports.index_lines(rows, "pieces")
 
 
-@query("SELECT 'stage' AS kind, unnest(['inventory', 'extract', 'classify', 'expected', 'quality', 'pieces', 'collection', 'review', 'site', 'export']) AS name")
+@query("SELECT 'priority_queue' AS query, count(*) AS written, 1::BIGINT AS logged FROM customer UNION ALL SELECT 'part_labels', count(*), 1 FROM part UNION ALL SELECT 'not_there', 0, 1")
 def command_line_stages(spark, sf_dir):
-    """The entry points of the command line, each with the queries it runs."""
-    from foliant.__main__ import STAGES
-    from foliant.plans.registry import queries
-
-    known = queries()
-    return spark.createDataFrame([("stage" if all(q in known for q in names) else "broken", stage) for stage, names in STAGES.items()], "kind string, name string")
+    """What the command line does with queries of its stages: each is written below a folder and logged; one that fails
+    is logged too, and the others run."""
+    import logging
+
+    from foliant import __main__ as cli
+
+    out, messages = new_folder(spark, "stages"), []
+    handler = logging.Handler()
+    handler.emit = lambda record: messages.append(record.getMessage())
+    cli.log.addHandler(handler)
+    level, quiet = cli.log.level, cli.log.propagate
+    cli.log.setLevel(logging.INFO)
+    cli.log.propagate = False
+    try:
+        names = ("priority_queue", "not_there", "part_labels")
+        done = [(n, cli.run(spark, sf_dir, n, f"{out}/{n}")) for n in names]
+    finally:
+        cli.log.removeHandler(handler)
+        cli.log.setLevel(level)
+        cli.log.propagate = quiet
+    rows = [spark.read.parquet(f"{out}/{n}").agg(F.count("*").alias("written")).select(F.lit(n).alias("query"), "written") if ok else spark.createDataFrame([(n, 0)], "query string, written long") for n, ok in done]
+    logged = spark.createDataFrame([(n, sum(n in m for m in messages)) for n in names], "query string, logged long")
+    return reduce(DataFrame.union, rows).join(logged, "query")
 
 
 @query(

@@ -101,10 +101,11 @@ def point_lookup(spark, sf_dir):
 @query(
     """WITH p AS (SELECT l_orderkey, l_partkey % 3 AS facet, l_returnflag AS clef, l_partkey * 1000 + l_suppkey AS part, l_linenumber FROM lineitem), n AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey, facet, clef ORDER BY part, l_linenumber) AS copy FROM p),
 d AS (SELECT l_orderkey, facet, max(copy) AS deepest, count(*) AS parts FROM n GROUP BY ALL)
-SELECT l_orderkey, facet, CASE WHEN facet + 1 > deepest THEN parts ELSE deepest END AS editions, CASE WHEN facet + 1 > deepest THEN 1 ELSE c END AS most_clefs FROM d JOIN (SELECT l_orderkey, facet, count(DISTINCT clef) AS c FROM n GROUP BY ALL) USING (l_orderkey, facet)"""
+SELECT l_orderkey, facet, CASE WHEN facet + 1 > deepest THEN least(parts, facet + 1) ELSE deepest END AS editions, CASE WHEN facet + 1 > deepest THEN 1 ELSE c END AS most_clefs FROM d JOIN (SELECT l_orderkey, facet, count(DISTINCT clef) AS c FROM n GROUP BY ALL) USING (l_orderkey, facet)"""
 )
 def clef_editions(spark, sf_dir):
-    """Copies of a part in several clefs as one, unless a piece asks for more of it than an edition has copies."""
+    """Copies of a part in several clefs as one, unless a piece asks for more of it than an edition has copies: then each
+    is its own, as many as are asked for."""
     c = F.col
     parts = load(spark, sf_dir, "lineitem").select("l_orderkey", (c("l_partkey") % 3).alias("facet"), c("l_returnflag").alias("clef"), F.lit(None).cast("string").alias("transposition"), F.struct(c("l_partkey") * 1000 + c("l_suppkey"), "l_linenumber").alias("part"))
     demand = parts.select("l_orderkey", "facet", (c("facet") + 1).alias("demand")).distinct()

@@ -1,6 +1,9 @@
 """Registered queries over customers, orders, line items, parts and events."""
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from foliant.functions import numbers as N
@@ -12,8 +15,11 @@ from foliant.operators import reconcile as R
 from foliant.operators import records as C
 from foliant.operators.ranking import with_rank
 from foliant.operators.selection import summarised
+from foliant.operators.substring_index import indexed_search as search_index
+from foliant.operators.substring_index import write_index
 from foliant.plans.registry import query
 from foliant.plans.tables import load
+from foliant.sources.scratch import new_folder
 
 #: A customer as a piece: what its orders and line items lack.
 REPORTS_SQL = """
@@ -465,9 +471,30 @@ UNION ALL (SELECT 'part', 1, p_partkey::VARCHAR, p_name FROM part WHERE contains
 UNION ALL (SELECT 'supplier', 2, s_suppkey::VARCHAR, s_name FROM supplier WHERE contains(lower(s_name), '00000001') ORDER BY s_suppkey LIMIT 8))"""
 )
 def global_search(spark, sf_dir):
-    return J.search(
-        [("customer", load(spark, sf_dir, "customer"), "c_custkey", ["c_name", "c_mktsegment"]), ("part", load(spark, sf_dir, "part"), "p_partkey", ["p_name"]), ("supplier", load(spark, sf_dir, "supplier"), "s_suppkey", ["s_name"])], "00000001", 8
+    return J.search(_searched(spark, sf_dir), "00000001", 8)
+
+
+def _searched(spark, sf_dir):
+    return [("customer", load(spark, sf_dir, "customer"), "c_custkey", ["c_name", "c_mktsegment"]), ("part", load(spark, sf_dir, "part"), "p_partkey", ["p_name"]), ("supplier", load(spark, sf_dir, "supplier"), "s_suppkey", ["s_name"])]
+
+
+_NEEDLES = ("00000001", "mid", "Ri", "7", "MACH", "nowhere", "#0000")
+
+
+@query(
+    " UNION ALL ".join(
+        f"""SELECT '{n}' AS needle, * FROM ((SELECT 'customer' AS grp, 0 AS ord, c_custkey::VARCHAR AS id, c_name AS label FROM customer WHERE contains(lower(c_name), lower('{n}')) OR contains(lower(c_mktsegment), lower('{n}')) ORDER BY c_custkey LIMIT 8)
+UNION ALL (SELECT 'part', 1, p_partkey::VARCHAR, p_name FROM part WHERE contains(lower(p_name), lower('{n}')) ORDER BY p_partkey LIMIT 8)
+UNION ALL (SELECT 'supplier', 2, s_suppkey::VARCHAR, s_name FROM supplier WHERE contains(lower(s_name), lower('{n}')) ORDER BY s_suppkey LIMIT 8))"""
+        for n in _NEEDLES
     )
+)
+def indexed_search(spark, sf_dir):
+    """The same search through an index of runs of characters, for long and short needles."""
+    groups, path = _searched(spark, sf_dir), new_folder(spark, "runs")
+    write_index(groups, path, 16)
+    parts = [search_index(groups, path, n, 8, 16).select(F.lit(n).alias("needle"), "grp", "ord", "id", "label") for n in _NEEDLES]
+    return reduce(DataFrame.unionByName, parts)
 
 
 @query("SELECT s_suppkey, s_name, s_acctbal FROM supplier WHERE s_nationkey IN (1, 2, 3) ORDER BY s_acctbal DESC NULLS LAST, s_suppkey LIMIT 20")

@@ -68,6 +68,33 @@ def piece_report(piece: DataFrame) -> str:
     return markdown_report("Piece", [("Summary", head, 1), ("Expected parts", slots, 200), ("To do", todo, 10), ("Documents", documents, 200), *more])
 
 
+def _table_lines(head: str, rows: Column, fields: list, most: int) -> Column:
+    """The lines of a headed table over an array of structs, at most so many rows and a note on what is left out.
+    fields: names, or functions of a row to text with their name."""
+    names = [f if isinstance(f, str) else f[0] for f in fields]
+    cell = lambda x, f: markdown_cell((x[f] if isinstance(f, str) else f[1](x)).cast("string"))
+    shown = F.transform(F.slice(rows, 1, most), lambda x: F.concat(F.lit("| "), F.concat_ws(" | ", *[cell(x, f) for f in fields]), F.lit(" |")))
+    start = F.array(F.lit(f"## {head}"), F.lit("| " + " | ".join(names) + " |"), F.lit("|" + "---|" * len(names)))
+    note = F.when(F.size(rows) > most, F.array(F.lit("(more rows not shown)"))).otherwise(F.array().cast("array<string>"))
+    return F.concat(start, F.coalesce(shown, F.array().cast("array<string>")), note)
+
+
+def piece_reports(pieces: DataFrame) -> DataFrame:
+    """(piece_id, lines): the report of every piece, from its nested record, as piece_report() writes one; a null list
+    has no rows. Each is made where its record is, so there may be any number of them."""
+    c = F.col
+    head = F.array(F.struct("piece_id", "piece_folder", "severity", "completeness_tier", "completeness_score"))
+    listed = lambda name: F.filter(c(name), lambda x: x.isNotNull())
+    sections = [
+        F.array(F.lit("# Piece")),
+        _table_lines("Summary", head, ["piece_id", "piece_folder", "severity", "completeness_tier", "completeness_score"], 1),
+        _table_lines("Expected parts", listed("expected_parts"), ["label", "required", "present"], 200),
+        _table_lines("To do", listed("action_items"), ["reason_code", "action", ("targets", lambda x: shown_targets(x["targets"]))], 10),
+        _table_lines("Documents", listed("documents"), ["pdf_filename", "quality_band"], 200),
+    ]
+    return pieces.select("piece_id", F.concat(*sections).alias("lines"))
+
+
 def instrumentation_report(pieces: DataFrame) -> str:
     """Each piece's instrumentation: where it comes from, and its parts (piece_folder, method_label, parts)."""
     rows = pieces.orderBy("piece_folder").select("piece_folder", "method_label", F.array_join("parts", ", ").alias("parts"))

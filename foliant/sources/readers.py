@@ -14,7 +14,10 @@ from pyspark.sql import types as T
 from foliant.functions.numbers import file_fingerprint, short_id
 from foliant.functions.predicates import readable_pdf
 from foliant.functions.text import file_name, top_folder
-from foliant.sources import snapshots
+from foliant.sources import files, snapshots
+from foliant.sources.calls import called
+
+PASSED_ON = 256  #: rows of finished calls that are passed on together
 
 
 def scan_library(spark: SparkSession, root: str, ending: str = "pdf", content: bool = False) -> DataFrame:
@@ -181,32 +184,43 @@ def read_checkpoint(spark: SparkSession, path: str, stage: str) -> DataFrame:
     return snapshots.read(spark, at)
 
 
-def _given(source: str | dict[str, Any] | None) -> dict[str, Any]:
-    """The settings of a YAML file, or those given as a dict."""
+def few(df: DataFrame, most: int = 100_000) -> list:
+    """The rows of a table that is to be a dictionary or settings; an error if there are more than `most`."""
+    rows = df.limit(most + 1).collect()
+    if len(rows) > most:
+        raise ValueError(f"more than {most} rows")
+    return rows
+
+
+def _given(source: str | dict[str, Any] | None, spark: SparkSession | None = None) -> dict[str, Any]:
+    """The settings of a YAML file, or those given as a dict. With a session the file may be in any of its stores."""
     if isinstance(source, dict) or not source:
         return source or {}
     import yaml
 
+    if spark is not None:
+        return yaml.safe_load(files.read_text(source, spark)) or {}
+
     with open(source) as f:
         return yaml.safe_load(f) or {}
 
 
-def merged_settings(defaults: dict[str, Any], source: str | dict[str, Any] | None) -> dict[str, Any]:
+def merged_settings(defaults: dict[str, Any], source: str | dict[str, Any] | None, spark: SparkSession | None = None) -> dict[str, Any]:
     """Defaults overlaid, two levels deep, by the known keys of a YAML file or a dict; nulls and unknown keys, nested
     ones too, change nothing."""
     out = dict(defaults)
-    for k, v in _given(source).items():
+    for k, v in _given(source, spark).items():
         if k in out and v is not None:
             known = isinstance(out[k], dict) and isinstance(v, dict)
             out[k] = {**out[k], **{a: b for a, b in v.items() if b is not None and a in out[k]}} if known else v
     return out
 
 
-def merged_lexicon(defaults: dict[str, Any], source: str | dict[str, Any] | None) -> dict[str, Any]:
+def merged_lexicon(defaults: dict[str, Any], source: str | dict[str, Any] | None, spark: SparkSession | None = None) -> dict[str, Any]:
     """A dictionary overlaid key by key: instruments, sections, families, clef and transposition markers, score
     keywords, interchangeable groups. A key that is given replaces the default's, others stay."""
     out = {k: dict(v) if isinstance(v, dict) else v for k, v in defaults.items()}
-    for k, v in _given(source).items():
+    for k, v in _given(source, spark).items():
         if isinstance(v, dict) and isinstance(out.get(k), dict):
             out[k].update({a: b for a, b in v.items() if b is not None})
         elif v is not None:
@@ -234,7 +248,7 @@ ALIAS_SCHEMA = "canonical string, alias string, family string, section string, p
 def lexicon(spark: SparkSession, path: str | dict[str, Any]) -> DataFrame:
     """The dictionary of a YAML file (or the same as a dict): a row for each canonical name and alias.
     `instruments`: name to aliases, or family to name to aliases; `sections` and `families`: group to names."""
-    data = _given(path)
+    data = _given(path, spark)
     group_of = lambda kind: {name: group for group, names in (data.get(kind) or {}).items() for name in names or []}
     sections, families = group_of("sections"), group_of("families")
     rows = []
@@ -246,26 +260,30 @@ def lexicon(spark: SparkSession, path: str | dict[str, Any]) -> DataFrame:
     return spark.createDataFrame([(*r, i) for i, r in enumerate(rows)], ALIAS_SCHEMA)
 
 
-def prompt_template(path: str | None, default: str) -> str:
+def prompt_template(path: str | None, default: str, spark: SparkSession | None = None) -> str:
     if not path:
         return default
+    if spark is not None:
+        return files.read_text(path, spark)
     with open(path) as f:
         return f.read()
 
 
-def fetched(keys: DataFrame, key: str, fetch: Callable[[str], str | None], column: str = "text") -> DataFrame:
-    """(key, column, status): what a pluggable source gives for each distinct key; a failure is a null and a status."""
+def fetched(keys: DataFrame, key: str, fetch: Callable[[str], str | None], column: str = "text", width: int = 1, deadline: float | None = None, budget: float | None = None) -> DataFrame:
+    """(key, column, status): what a pluggable source gives for each distinct key; a failure is a null and a status. A
+    task makes `width` calls at a time, each with a deadline, and all within its budget of seconds (calls.called()); rows
+    are passed on as calls finish."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            out = []
-            for k in batch[key]:
-                try:
-                    found = fetch(k)
-                    out.append((k, found, "success" if found else "not_found"))
-                except Exception as e:  # noqa: BLE001
-                    out.append((k, None, f"error: {e}"))
-            yield pd.DataFrame(out, columns=[key, column, "status"])
+        names = [key, column, "status"]
+        asked = (k for batch in batches for k in batch[key])
+        held: list[tuple] = []
+        for k, found, status in called(asked, lambda k: fetch(k) or None, width, deadline, budget):
+            held.append((k, found, status))
+            if len(held) >= PASSED_ON:
+                yield pd.DataFrame(held, columns=names)
+                held = []
+        yield pd.DataFrame(held, columns=names)
 
     return keys.select(F.col(key).cast("string")).distinct().mapInPandas(run, f"{key} string, {column} string, status string")
 
