@@ -556,3 +556,54 @@ def full_dashboard(spark, sf_dir):
     missing = F.array(F.struct(F.concat(F.lit("part "), c("s_nationkey").cast("string")).alias("label")))
     rows = load(spark, sf_dir, "supplier").select(c("s_suppkey").alias("piece_id"), F.lit("1").alias("catalog_number"), c("s_name").alias("piece_folder"), F.lit("ok").alias("severity"), F.lit("complete").alias("completeness_tier"), none.alias("reason_codes"), F.when(c("s_suppkey") % 3 == 0, "poor").otherwise("good").alias("worst_quality_band"), F.lit("1.0").alias("record_version"), missing.alias("missing_required_parts"))
     return lines(spark, reports.dashboard(rows))
+
+
+@query(
+    """SELECT c_nationkey AS file, (row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey))::INT AS page_num, CASE WHEN c_custkey % 9 = 0 THEN 'error' ELSE 'success' END AS processing_status, CASE WHEN c_custkey % 9 = 0 THEN 'page ' || c_custkey END AS error_message, CASE WHEN c_custkey % 9 > 0 THEN c_name END AS text FROM customer"""
+)
+def paged_reader(spark, sf_dir):
+    """Pages of files, a file read by several tasks, damaged pages as rows."""
+    from foliant.sources.paged import register_pages
+
+    folder = new_folder(spark, "paged")
+    rows = load(spark, sf_dir, "customer").select("c_nationkey", "c_custkey", F.concat_ws("|", "c_custkey", "c_name").alias("line"))
+    rows.repartition(8, "c_nationkey").sortWithinPartitions("c_nationkey", "c_custkey").select("c_nationkey", "line").write.partitionBy("c_nationkey").text(folder)
+
+    def lines_of(path):
+        with open(path.removeprefix("file://").removeprefix("file:")) as f:  # an injected reader brings its own access
+            return f.read().splitlines()
+
+    def read(path, first, last):
+        for line in lines_of(path)[first:last]:
+            number, name = line.split("|")
+            if int(number) % 9 == 0:
+                raise ValueError(f"page {number}")
+            yield {"text": name}
+
+    register_pages(spark, "foliant_pages", lambda path: len(lines_of(path)), read, "text string")
+    pages = spark.read.format("foliant_pages").option("path", folder).option("ending", ".txt").option("pagesPerTask", 20).load()
+    return pages.select(F.regexp_extract("path", "c_nationkey=([0-9]+)", 1).cast("int").alias("file"), "page_num", "processing_status", "error_message", "text")
+
+
+@query(
+    """SELECT p_partkey, CASE WHEN p_size % 11 = 0 THEN NULL ELSE round(CASE WHEN degrees(atan2(p_size % 11, 12)) >= 45 THEN degrees(atan2(p_size % 11, 12)) - 90 ELSE degrees(atan2(p_size % 11, 12)) END, 3) END AS skew_angle_deg FROM part"""
+)
+def raster_skew(spark, sf_dir):
+    """The angle of the least rectangle around each raster's ink; none where there is no ink."""
+    import numpy as np
+    import pandas as pd
+
+    from foliant.operators.geometry import skew_angles
+
+    def drawn(batches):
+        for batch in batches:
+            out = []
+            for n in batch["n"]:
+                g = np.full((60, 60), 230, np.uint8)
+                for x, y in ((20, 5), (20 + 24, 5 + 2 * n), (20 - n, 5 + 12), (20 + 24 - n, 5 + 12 + 2 * n)) if n else ():
+                    g[y, x] = 40
+                out.append(g.tobytes())
+            yield pd.DataFrame({"p_partkey": batch["p_partkey"], "raster": out, "width": 60, "height": 60})
+
+    rows = load(spark, sf_dir, "part").select("p_partkey", (F.col("p_size") % 11).cast("int").alias("n"))
+    return skew_angles(rows.mapInPandas(drawn, "p_partkey long, raster binary, width int, height int"), "p_partkey")

@@ -23,7 +23,7 @@ PASSED_ON = 256  #: rows of finished calls that are passed on together
 def scan_library(spark: SparkSession, root: str, ending: str = "pdf", content: bool = False) -> DataFrame:
     """One row for each file below root: path, rel_path, pdf_filename, piece_folder, piece_id, size, modified time
     and fingerprint. The ending's case doesn't matter. Contents are read only where they are asked for."""
-    glob = "*.{" + ",".join(dict.fromkeys([ending.lower(), ending.upper(), ending.capitalize()])) + "}"
+    glob = "*." + "".join(f"[{c.lower()}{c.upper()}]" if c.isalpha() else c for c in ending)
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", glob).load(root)
     base = root.rstrip("/").removeprefix("file://")
     rel = F.regexp_replace(F.col("path"), rf"^(?:file:)?/*{_quoted(base.strip('/'))}/+", "")

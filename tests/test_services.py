@@ -155,3 +155,66 @@ def test_dictionaries_are_refused_where_they_are_large(spark):
     with pytest.raises(ValueError):
         readers.few(spark.range(20), 10)
     assert len(readers.few(spark.range(10), 10)) == 10
+
+
+def test_otsu_and_the_least_rectangle(spark):
+    import numpy as np
+
+    from foliant.operators.geometry import hull, least_rectangle_angle, skew_angles, threshold
+
+    rng = np.random.default_rng(2)
+    for _ in range(20):
+        g = rng.integers(0, rng.integers(2, 257), (6, 7)).astype(np.uint8)
+        between = []
+        for t in range(256):
+            low, high = g[g <= t].astype(float), g[g > t].astype(float)
+            between.append(len(low) * len(high) * (low.mean() - high.mean()) ** 2 if len(low) and len(high) else 0.0)
+        assert between[threshold(g)] == pytest.approx(max(between), rel=1e-9)
+    y, x = np.mgrid[0:400, 0:600].astype(float)
+    pages = []
+    for angle in (-20.0, -3.3, -0.5, 0.0, 0.7, 2.0, 11.0, 30.0):
+        a = np.radians(angle)
+        u, v = (x - 300) * np.cos(a) + (y - 200) * np.sin(a), -(x - 300) * np.sin(a) + (y - 200) * np.cos(a)
+        page = np.where((np.abs(u) < 210) & (np.abs(v) < 90) & ((v // 6) % 2 == 0), 30, 240).astype(np.uint8)
+        found = least_rectangle_angle(page.tobytes(), 600, 400)
+        assert abs(found - angle) < 0.25, (angle, found)
+        pages.append((angle, bytearray(page.tobytes()), 600, 400))
+        ink = np.argwhere(page <= threshold(page))[:, ::-1].astype(float)  # brute force: every direction in steps
+        best = min(np.arange(-45, 45, 0.05), key=lambda d: np.prod([np.ptp(ink @ w) for w in ((np.cos(np.radians(d)), np.sin(np.radians(d))), (-np.sin(np.radians(d)), np.cos(np.radians(d))))]))
+        assert abs(best - found) <= 0.1
+    assert least_rectangle_angle(np.full((5, 5), 255, np.uint8).tobytes(), 5, 5) is None and least_rectangle_angle(b"", 5, 5) is None and least_rectangle_angle(None, 1, 1) is None
+    assert least_rectangle_angle(bytes([255, 0, 255, 255]), 2, 2) == 0.0 and hull(np.array([[0, 0], [1, 1], [2, 2]])).tolist() == [[0, 0], [2, 2]]
+    df = spark.createDataFrame([*pages, (99.0, None, None, None)], "k double, raster binary, width int, height int")
+    got = {r.k: r.skew_angle_deg for r in skew_angles(df, "k").collect()}
+    assert got[99.0] is None and all(abs(got[k] - k) < 0.25 for k, *_ in pages)
+
+
+def test_pages_of_a_long_file(spark, tmp_path):
+    from foliant.sources.paged import register_pages
+
+    (tmp_path / "d").mkdir()
+    (tmp_path / "d/long.PDF").write_text("\n".join(f"p{i}" for i in range(95)))
+    (tmp_path / "d/empty.pdf").write_text("")
+    (tmp_path / "d/bad.pdf").write_text("bad")
+    (tmp_path / "d/other.txt").write_text("no")
+
+    def count(path):
+        with open(path) as f:
+            text = f.read()
+        if text == "bad":
+            raise ValueError("no pages")
+        return len(text.splitlines())
+
+    def read(path, first, last):
+        with open(path) as f:
+            for line in f.read().splitlines()[first:last]:
+                if line in ("p7", "p40"):
+                    raise ValueError(f"damaged {line}")
+                yield {"text": line}
+
+    register_pages(spark, "test_pages", count, read, "text string")
+    df = spark.read.format("test_pages").option("path", str(tmp_path)).option("ending", ".pdf").option("pagesPerTask", 10).load()
+    assert df.rdd.getNumPartitions() >= 10
+    rows = {(r.path.rsplit("/")[-1], r.page_num): (r.processing_status, r.error_message, r.text) for r in df.collect()}
+    want = {("long.PDF", i + 1): ("error", f"damaged p{i}", None) if i in (7, 40) else ("success", None, f"p{i}") for i in range(95)}
+    assert rows == want | {("bad.pdf", None): ("error", "no pages", None)}
