@@ -1,13 +1,14 @@
 """Part classification: facets of a name, and the decision list over what names, texts and models say."""
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from foliant.functions.predicates import other_section, prefer_vision, yes
 from foliant.functions.text import chair_runs, contains_word, normalize_part_text, part_index, reliable_label, split_combined
-from foliant.operators.joins import best_match, dictionary, dictionary_hits, one_per_key
+from foliant.operators.joins import dictionary, dictionary_hits
 
 #: How sure each kind of evidence is: alone, agreeing with the name, in its section, in another.
 CONFIDENCE = {
@@ -21,40 +22,75 @@ CONFIDENCE = {
 }
 
 
+def _hits(texts: DataFrame, key: str, aliases: DataFrame) -> DataFrame:
+    """What the dictionary finds in a document's texts (key, kind, text), in one match and one aggregate a key: `named`
+    has each piece's hits of kind `name`, the best of a piece first; `ul` and `ft` are the earliest name of the upper
+    left and the most specific one of the whole text, of four characters at least; `placed` has all the upper left's
+    hits by place. No list is longer than a dictionary for each different text."""
+    told = texts.select(F.struct(F.col(key).alias("key"), "kind").alias("_t"), "text")
+    found = dictionary_hits(told, "_t", "text", aliases)
+    c = F.col
+    kind, long = c("_t.kind"), F.length("alias") >= 4
+    points, size = -c("score"), -F.length("alias")
+    return found.groupBy(c("_t.key").alias(key)).agg(
+        F.array_sort(F.collect_set(F.when(kind == "name", F.struct("text", points.alias("score"), size.alias("size"), "pos", "canonical", "alias")))).alias("_named"),
+        F.min_by("canonical", F.when((kind == "ul") & long, F.struct("start", points, "canonical", "alias"))).alias("ul_canon"),
+        F.min_by("canonical", F.when((kind == "ft") & long, F.struct(points, size, "pos", "canonical"))).alias("ft_canon"),
+        F.array_sort(F.collect_set(F.when(kind == "ul", F.struct("start", size.alias("size"), "canonical", "alias")))).alias("_placed"),
+    )
+
+
+def _facets(pieces: Column, named: Column) -> Column:
+    """The instruments and chairs of a name's pieces, in order, each once; `named` has the pieces' hits."""
+
+    def read(piece: Column) -> Column:
+        best = F.get(F.filter(named, lambda h: h["text"] == piece), F.lit(0))
+        bare = best.isNull() & piece.rlike("^[0-9][0-9a-z, -]*$")
+        chairs = F.when(best.isNull(), chair_runs(piece)).otherwise(chair_runs(piece, best["alias"]))
+        return F.struct(best["canonical"].alias("canonical"), bare.alias("bare"), chairs.alias("chairs"), part_index(piece).alias("one"))
+
+    kind = "array<struct<canonical:string,part_index:int>>"
+    start = F.struct(F.lit(None).cast("string").alias("last"), F.array().cast(kind).alias("all"))
+
+    def step(a: Column, x: Column) -> Column:
+        last = F.coalesce(x["canonical"], a["last"])
+        several = (F.size(x["chairs"]) >= 2) | (x["bare"] & (F.size(x["chairs"]) > 0))
+        index = F.when(several, x["chairs"]).otherwise(F.array(x["one"]))
+        more = F.transform(index, lambda i: F.struct(last.alias("canonical"), i.cast("int").alias("part_index")))
+        counts = last.isNotNull() & (x["canonical"].isNotNull() | x["bare"])
+        return F.struct(last.alias("last"), F.when(counts, F.concat(a["all"], more)).otherwise(a["all"]).alias("all"))
+
+    return F.array_distinct(F.aggregate(F.transform(pieces, read), start, step, lambda a: a["all"]))
+
+
 def name_facets(names: DataFrame, key: str, name: str, aliases: DataFrame) -> DataFrame:
     """(key, facets): the instruments and chairs that a name covers, in order, each once. Combined names are split;
     a piece of bare chairs extends the instrument before it ("horn 1 & 2"); runs give a facet for each chair."""
-    pieces = names.select(key, F.posexplode(split_combined(normalize_part_text(F.col(name)))).alias("at", "piece"))
-    pieces = pieces.withColumn("_k", F.concat_ws("#", F.col(key).cast("string"), F.col("at").cast("string")))
-    found = best_match(dictionary_hits(pieces, "_k", "piece", aliases), "_k").select("_k", "canonical", "alias")
-    both = pieces.join(found, "_k", "left")
-    order = W.partitionBy(key).orderBy("at")
-    carried = F.last("canonical", ignorenulls=True).over(order)
-    bare = F.col("canonical").isNull() & F.col("piece").rlike("^[0-9][0-9a-z, -]*$")
-    chairs = F.when(F.col("alias").isNull(), chair_runs(F.col("piece"))).otherwise(chair_runs(F.col("piece"), F.col("alias")))
-    index = F.when(F.size(chairs) >= 2, chairs).when(bare & (F.size(chairs) > 0), chairs).otherwise(F.array(part_index(F.col("piece"))))
-    named = both.withColumn("_c", carried).where(F.col("_c").isNotNull() & (F.col("canonical").isNotNull() | bare))
-    rows = named.select(key, "at", F.col("_c").alias("canonical"), F.posexplode(index).alias("n", "part_index"))
-    first = rows.groupBy(key, "canonical", "part_index").agg(F.min(F.struct("at", "n")).alias("o"))
-    return first.groupBy(key).agg(F.transform(F.array_sort(F.collect_list(F.struct("o", "canonical", "part_index"))), lambda x: F.struct(x["canonical"].alias("canonical"), x["part_index"].alias("part_index"))).alias("facets"))
-
-
-def classify(docs: DataFrame, aliases: DataFrame, key: str = "pdf_path") -> DataFrame:
-    """(key, instruments, predicted, confidence, evidence_source, conflict, needs_review) by the decision list: a
-    score; what a language model read; what was seen; the text at the upper left, or elsewhere within the section;
-    the name alone.
-
-    docs: key, name (the part's name), is_score, upper_left, full_text, transposition, llm array<string>,
-    llm_confidence, vision array<string>, vision_chairs array<int>, vision_confidence; any of them null."""
+    cut = names.select(key, F.explode(F.array(normalize_part_text(F.col(name)))).alias("_n")).select(key, split_combined(F.col("_n")).alias("_pieces"))
+    texts = cut.select(key, F.lit("name").alias("kind"), F.explode("_pieces").alias("text"))
+    both = cut.join(_hits(texts, key, aliases).select(key, "_named"), key)
+    return both.select(key, _facets(F.col("_pieces"), F.col("_named")).alias("facets")).where(F.size("facets") > 0)
+
+
+def classify(docs: DataFrame, aliases: DataFrame, key: str = "pdf_path", book: str = "mallet_percussion") -> DataFrame:
+    """(key, instruments, predicted, confidence, evidence_source, conflict, needs_review, details) by the decision list:
+    a score; what a language model read; what was seen; the text at the upper left, or elsewhere within the section;
+    the name alone. A book of mallets (`book`) whose texts name several of them has a facet for each, `details` their
+    shown names in the same order; else that is null.
+
+    docs: key (each once), name (the part's name), is_score, upper_left, full_text, transposition, llm array<string>,
+    llm_confidence, vision array<string>, vision_chairs array<int>, vision_confidence, and if there is one vision_label;
+    any of them null. The dictionary is matched once, with all texts of a document together."""
     groups = dictionary(aliases.groupBy("canonical").agg(F.max("section").alias("section")))
-    facets = name_facets(docs, key, "name", aliases)
-    upper = docs.select(key, normalize_part_text(F.col("upper_left")).alias("ul"))
-    # every alias of an instrument that the upper left holds, for the chairs beside its first place
-    placed = dictionary_hits(upper, key, "ul", aliases)
-    full = docs.select(key, normalize_part_text(F.col("full_text")).alias("ft"))
-    ul = best_match(dictionary_hits(upper, key, "ul", aliases, 4), key, earliest=True).select(key, F.col("canonical").alias("ul_canon"))
-    ft = best_match(dictionary_hits(full, key, "ft", aliases, 4), key).select(key, F.col("canonical").alias("ft_canon"))
-    both = docs.join(facets, key, "left").join(ul, key, "left").join(ft, key, "left")
+    label = F.col("vision_label") if "vision_label" in docs.columns else F.lit(None).cast("string")
+    normal = {"name": F.col("name"), "ul": F.col("upper_left"), "ft": F.col("full_text"), "label": label}
+    # a generated row, so that what follows reads the normalized texts instead of normalizing them at each use
+    told = F.explode(F.array(F.struct(*[normalize_part_text(v).alias(k) for k, v in normal.items()])))
+    docs = docs.withColumn("_told", told).withColumns({"_pieces": split_combined(F.col("_told.name")), "_ul": F.col("_told.ul"), "_ft": F.col("_told.ft")})
+    kinds = [F.struct(F.lit(k).alias("kind"), F.col(f"_{k}").alias("text")) for k in ("ul", "ft")]
+    pieces = F.transform(F.coalesce("_pieces", F.array().cast("array<string>")), lambda x: F.struct(F.lit("name").alias("kind"), x.alias("text")))
+    texts = docs.select(key, F.inline(F.concat(pieces, F.array(*kinds))))
+    both = docs.join(_hits(texts, key, aliases), key, "left").withColumn("facets", _facets(F.col("_pieces"), F.col("_named")))
     empty = F.array().cast("array<string>")
     c = F.col
     both = both.withColumns(
@@ -68,15 +104,16 @@ def classify(docs: DataFrame, aliases: DataFrame, key: str = "pdf_path") -> Data
     both = both.withColumn("named", F.get("facets", F.lit(0))["canonical"]).withColumn("seen", F.coalesce("ul_canon", "ft_canon"))
     lead = F.when(F.size("llm") > 0, F.get("llm", F.lit(0)))
     both = both.withColumn("llm_first", lead).withColumn("vis_first", F.get("vision", F.lit(0)))
+    # one dictionary of sections, looked up four times; each is a broadcast, no shuffle
     for column in ("named", "seen", "llm_first", "vis_first"):
         both = both.join(groups.select(c("canonical").alias(column), c("section").alias(f"{column}_section")), column, "left")
     drop = other_section(c("seen_section"), c("named_section"), c("ul_canon").isNull() & (c("seen") != c("named")))
     both = both.withColumn("seen", F.when(~drop, c("seen")))
     # a hit that isn't the part's own label doesn't override the name
-    texts = [normalize_part_text(c("upper_left")), normalize_part_text(c("full_text"))]
+    texts = [c("_ul"), c("_ft")]
     firm = reliable_label(texts[0], c("seen")) | reliable_label(texts[1], c("seen"))
-    both = both.withColumn("seen", F.when(c("named").isNotNull() & (c("seen") != c("named")) & ~firm, c("named")).otherwise(c("seen")))
-    both = both.drop("seen_section").join(groups.select(c("canonical").alias("seen"), c("section").alias("seen_section")), "seen", "left")
+    weak = yes(c("named").isNotNull() & (c("seen") != c("named")) & ~firm)
+    both = both.withColumns({"seen": F.when(weak, c("named")).otherwise(c("seen")), "seen_section": F.when(weak, c("named_section")).when(c("seen").isNotNull(), c("seen_section"))})
     index = F.when(F.size("facets") == 1, F.get("facets", F.lit(0))["part_index"])
     one = lambda name, i: F.array(F.struct(name.alias("canonical"), i.cast("int").alias("part_index")))
     plain = lambda names: F.transform(names, lambda x: F.struct(x.alias("canonical"), F.lit(None).cast("int").alias("part_index")))
@@ -112,16 +149,19 @@ def classify(docs: DataFrame, aliases: DataFrame, key: str = "pdf_path") -> Data
         .when(F.size("facets") > 0, name_only)
         .otherwise(verdict(none, F.lit(0.0), F.lit("none"), F.lit(False)))
     )
-    out = both.select(key, chosen.alias("v")).select(key, "v.*")
-    # a single instrument without a chair whose page names several: one facet for each chair
-    lead_name = out.select(key, F.get("instruments", F.lit(0))["canonical"].alias("canonical"))
-    first_place = one_per_key(placed.join(lead_name, [key, "canonical"]), [key], F.asc("start"), F.desc(F.length("alias")))
-    chairs = chair_runs(F.col("ul"), F.col("alias"))
-    out = out.join(first_place.select(key, F.when(F.size(chairs) >= 2, chairs).alias("_chairs")), key, "left")
-    single = (F.size("instruments") == 1) & F.get("instruments", F.lit(0))["part_index"].isNull() & c("_chairs").isNotNull()
+    out = both.select(key, "is_score", "_told", "_ul", "_placed", chosen.alias("v")).select(key, "is_score", "_told", "_ul", "_placed", "v.*")
     first = F.get("instruments", F.lit(0))["canonical"]
-    expanded = F.when(single, F.transform("_chairs", lambda i: F.struct(first.alias("canonical"), i.alias("part_index")))).otherwise(c("instruments"))
-    out = out.withColumn("instruments", expanded).drop("_chairs")
+    alone = (F.size("instruments") == 1) & F.get("instruments", F.lit(0))["part_index"].isNull()
+    # a single instrument without a chair whose page names several: one facet for each chair
+    place = F.get(F.filter("_placed", lambda x: x["canonical"] == first), F.lit(0))
+    out = out.withColumn("_chairs", F.when(alone & place.isNotNull(), chair_runs(c("_ul"), place["alias"])))
+    each = F.transform("_chairs", lambda i: F.struct(first.alias("canonical"), i.alias("part_index")))
+    out = out.withColumn("instruments", F.when(F.size("_chairs") >= 2, each).otherwise(c("instruments")))
+    # a book of mallets: one facet for each that its texts name
+    held = sub_instruments([c("_told")[k] for k in normal])
+    out = out.withColumn("details", F.when(alone & (first == book) & ~yes(c("is_score")), held)).withColumn("details", F.when(F.size("details") >= 2, c("details")))
+    every = F.transform("details", lambda _: F.struct(first.alias("canonical"), F.lit(None).cast("int").alias("part_index")))
+    out = out.withColumn("instruments", F.coalesce(every, c("instruments"))).select(key, "instruments", "confidence", "evidence_source", "conflict", "details")
     review = (c("confidence") < 0.75) | c("conflict")
     return out.withColumn("predicted", F.get("instruments", F.lit(0))["canonical"]).withColumn("needs_review", review)
 
@@ -136,12 +176,11 @@ MALLETS = {
 }
 
 
-def sub_instruments(text: Column, kinds: dict[str, list[str]] | None = None) -> Column:
-    """The kinds that a normalized text names, in the kinds' order. Words inside a longer kind's words still count."""
+def sub_instruments(texts: Column | list[Column], kinds: dict[str, list[str]] | None = None) -> Column:
+    """The kinds that normalized texts name, in the kinds' order. Words inside a longer kind's words still count."""
+    texts = texts if isinstance(texts, list) else [texts]
     found = []
     for name, words in (kinds or MALLETS).items():
-        hit = F.lit(False)
-        for w in words:
-            hit = hit | contains_word(text, w)
+        hit = reduce(lambda a, b: a | b, [yes(contains_word(t, w)) for t in texts for w in words])
         found.append(F.when(hit, name))
     return F.array_compact(F.array(*found))

@@ -231,37 +231,43 @@ def quality_aggregates(spark, sf_dir):
     return bands.union(pages.select(F.lit("issue"), "key", "n"))
 
 
-#: The classifier's dictionary: canonical name, alias, section.
-_BAND = [("flute", "flute", "winds"), ("flute", "flutes", "winds"), ("oboe", "oboe", "winds"), ("horn", "horn", "brass"), ("tuba", "tuba", "brass"), ("piccolo", "piccolo", "winds")]
-#: Cases by p_size % 10: a name, what its page says, what was read and seen, and the answer.
-_CASES = [
-    ("Full Score", None, None, None, ("", "", 0.9, "filename", False)),
-    ("Flute 1", None, None, None, ("flute", "flute:1", 0.75, "filename", False)),
-    ("Flute 1", "Flute 1", None, None, ("flute", "flute:1", 0.9, "combined", False)),
-    ("Horn", "Tuba", None, None, ("tuba", "tuba:", 0.8, "combined", False)),
-    ("part", "Oboe", None, None, ("oboe", "oboe:", 0.5, "text", False)),
-    ("Flute 2", None, ["flute"], None, ("flute", "flute:2", 0.9, "combined", False)),
-    ("Flute", None, ["tuba"], None, ("tuba", "tuba:", 0.7, "combined", True)),
-    ("Flute & Piccolo", None, None, None, ("flute", "flute:;piccolo:", 0.75, "filename", False)),
-    ("Oboe", "March ist & 2nd Oboe", None, None, ("oboe", "oboe:1;oboe:2", 0.9, "combined", False)),
-    ("zzz", None, None, ["horn"], ("horn", "horn:", 0.8, "vision", False)),
-]
-_ANSWERS = ", ".join(f"({i}, {'NULL' if not a[0] else repr(a[0])}, '{a[1]}', {a[2]}, '{a[3]}', {str(a[4]).lower()})" for i, (*_, a) in enumerate(_CASES))
+#: The classifier's dictionary: the word of `p_name` that is the canonical name, its other alias, its section.
+_WORDS = [("widget", "cold", "a"), ("bolt", "small", "a"), ("ring", "large", "a"), ("gear", "blue", "a"), ("gizmo", "new", "b"), ("rod", "old", "b"), ("anvil", "red", "c"), ("plate", "hot", "c")]
+_WORD_ROWS = ", ".join(f"('{c}', '{a}', '{s}')" for c, a, s in _WORDS)
 
 
 @query(
-    f"""SELECT p_partkey, predicted, facets, confidence::DOUBLE AS confidence, evidence_source, conflict, confidence < 0.75 OR conflict AS needs_review FROM part JOIN (VALUES {_ANSWERS}) v(k, predicted, facets, confidence, evidence_source, conflict) ON k = p_size % 10"""
+    f"""WITH w(noun, alias, section) AS (VALUES {_WORD_ROWS}), d AS (
+  SELECT p_partkey, p_type, p_size, h.noun, h.section AS held_in, CASE WHEN p_brand NOT LIKE '%3' THEN n.noun END AS named, CASE WHEN p_brand NOT LIKE '%3' THEN n.section END AS named_in,
+    CASE WHEN p_brand NOT LIKE '%3' AND p_size <= 20 THEN p_size::VARCHAR ELSE '' END AS chair
+  FROM part JOIN w n ON n.alias = split_part(p_name, ' ', 1) JOIN w h ON h.noun = split_part(p_name, ' ', 2)),
+e AS (SELECT *, coalesce(named_in = held_in, false) AS near, coalesce(named = noun, false) AS same,
+    CASE WHEN p_type = 'PROMO' THEN 'score' WHEN p_type = 'STANDARD' THEN 'ocr_llm' WHEN p_type = 'ECONOMY' THEN 'vision'
+      WHEN length(noun) < 4 OR (p_type = 'MEDIUM' AND named_in <> held_in) THEN CASE WHEN named IS NULL THEN 'none' ELSE 'name' END ELSE 'text' END AS rule FROM d),
+f AS (SELECT *, CASE rule WHEN 'score' THEN NULL WHEN 'none' THEN NULL WHEN 'name' THEN named ELSE noun END AS predicted, rule IN ('ocr_llm', 'vision', 'text') AND named IS NOT NULL AND NOT near AS conflict,
+    CASE WHEN p_size % 2 = 0 THEN 0.95 ELSE 0.9 END AS keyed FROM e),
+g AS (SELECT *, (CASE rule WHEN 'score' THEN 0.9 WHEN 'none' THEN 0 WHEN 'name' THEN CASE WHEN same THEN keyed ELSE 0.75 END
+    WHEN 'text' THEN CASE WHEN named IS NULL THEN 0.5 WHEN same THEN keyed WHEN near THEN 0.8 ELSE 0.7 END
+    WHEN 'ocr_llm' THEN CASE WHEN named IS NULL THEN 0.8 WHEN same THEN 0.9 WHEN near THEN 0.8 ELSE 0.7 END
+    ELSE CASE WHEN named IS NULL THEN 0.8 WHEN same THEN 0.88 WHEN near THEN 0.78 ELSE 0.68 END END)::DOUBLE AS confidence FROM f)
+SELECT p_partkey, predicted, CASE WHEN predicted IS NULL THEN '' WHEN rule = 'vision' AND NOT same THEN predicted || ':' ELSE predicted || ':' || chair END AS facets, confidence,
+  CASE WHEN rule = 'score' THEN 'filename' WHEN rule = 'none' THEN 'none' WHEN rule = 'name' THEN CASE WHEN same THEN 'combined' ELSE 'filename' END WHEN named IS NOT NULL THEN 'combined' ELSE rule END AS evidence_source,
+  conflict, confidence < 0.75 OR conflict AS needs_review FROM g"""
 )
 def part_classifier(spark, sf_dir):
-    """The decision list over names, page texts, what a model read and what was seen, for every part."""
-    pick = lambda i, kind: F.element_at(F.array(*[F.lit(None).cast(kind) if c[i] is None else F.array(*map(F.lit, c[i])) if isinstance(c[i], list) else F.lit(c[i]) for c in _CASES]), F.col("p_size") % 10 + 1)
-    none = lambda kind: F.lit(None).cast(kind)
-    docs = load(spark, sf_dir, "part", "p_partkey", "p_size").select(
-        F.col("p_partkey").alias("pdf_path"), pick(0, "string").alias("name"), (F.col("p_size") % 10 == 0).alias("is_score"), pick(1, "string").alias("upper_left"), none("string").alias("full_text"), none("string").alias("transposition"),
-        pick(2, "array<string>").alias("llm"), none("double").alias("llm_confidence"), pick(3, "array<string>").alias("vision"), none("array<int>").alias("vision_chairs"), none("double").alias("vision_confidence"),
+    """The decision list for every part: its name is the first word of `p_name` with the size as its chair, or a brand
+    that the dictionary doesn't know; the second word is what its page says, a model read, or was seen, by type."""
+    part, brand = load(spark, sf_dir, "part"), F.col("p_brand").endswith("3")
+    word = lambda i: F.split("p_name", " ")[i]
+    told = lambda *types: F.when(F.col("p_type").isin(*types), word(1))
+    read = lambda kind: F.when(F.col("p_type") == kind, F.array(word(1)))
+    docs = part.select(
+        F.col("p_partkey").alias("pdf_path"), F.when(brand, F.col("p_brand")).when(F.col("p_size") <= 20, F.concat_ws(" ", word(0), F.col("p_size").cast("string"))).otherwise(word(0)).alias("name"),
+        (F.col("p_type") == "PROMO").alias("is_score"), told("LARGE", "SMALL").alias("upper_left"), told("MEDIUM").alias("full_text"), F.when(F.col("p_size") % 2 == 0, "F").alias("transposition"),
+        read("STANDARD").alias("llm"), F.lit(None).cast("double").alias("llm_confidence"), read("ECONOMY").alias("vision"), F.lit(None).cast("array<int>").alias("vision_chairs"), F.lit(None).cast("double").alias("vision_confidence"),
     )
-    dim = spark.createDataFrame([(c, a, None, s, i) for i, (c, a, s) in enumerate(_BAND)], "canonical string, alias string, family string, section string, pos int")
-    rows = K.classify(docs, dim)
+    aliases = [(c, a, None, s, i) for i, (c, other, s) in enumerate(_WORDS) for a in (c, other)]
+    rows = K.classify(docs, spark.createDataFrame(aliases, "canonical string, alias string, family string, section string, pos int"))
     facets = F.array_join(F.transform("instruments", lambda x: F.concat(x["canonical"], F.lit(":"), F.coalesce(x["part_index"].cast("string"), F.lit("")))), ";")
     return rows.select(F.col("pdf_path").alias("p_partkey"), "predicted", facets.alias("facets"), F.round("confidence", 2).alias("confidence"), "evidence_source", "conflict", "needs_review")
 

@@ -63,6 +63,33 @@ def test_sub_instruments(spark):
     assert [r.s for r in df.select(K.sub_instruments(F.col("t")).alias("s")).collect()] == [["Bells", "Xylophone", "Vibraphone"], []]
 
 
+def test_book_of_mallets(spark):
+    words = {"instruments": {"mallet_percussion": ["mallets", "bells", "xylophone"], "flute": ["flute"]}, "sections": {"percussion": ["mallet_percussion"], "woodwind": ["flute"]}}
+    docs = [
+        doc("book", "Mallets", upper_left="Bells, Xylophone & Vibes"),
+        doc("one", "Mallets", upper_left="Xylophone"),
+        doc("chair", "Mallets 2", upper_left="Bells and Xylophone"),
+        doc("score", "Full Score", is_score=True, full_text="bells xylophone"),
+        doc("other", "Flute", full_text="with bells and marimba"),
+        doc(None, "Mallets", full_text=None),
+    ]
+    lex = lexicon(spark, words)
+    got = {r.pdf_path: r for r in K.classify(spark.createDataFrame(docs, KIND), lex).collect()}
+    assert got["book"].details == ["Bells", "Xylophone", "Vibraphone"] and [tuple(f) for f in got["book"].instruments] == [("mallet_percussion", None)] * 3
+    assert got["one"].details is None and len(got["one"].instruments) == 1
+    assert got["chair"].details is None and got["chair"].instruments[0].part_index == 2
+    assert got["score"].details is None and got["score"].instruments == [] and got["other"].details is None
+    label = spark.createDataFrame(docs[:2], KIND).withColumn("vision_label", F.lit("Marimba"))
+    assert {r.pdf_path: r.details for r in K.classify(label, lex).collect()}["one"] == ["Xylophone", "Marimba"]
+    assert K.classify(spark.createDataFrame([], KIND), lex).count() == 0
+
+
+def test_one_match_with_the_dictionary(spark):
+    df = K.classify(spark.createDataFrame([doc("a", "Flute 1")], KIND), lexicon(spark, LEXICON))
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Window") == 0 and plan.count("hashpartitioning") == 0 and plan.count("regexp_extract_all(text") == 1
+
+
 def test_slots(spark):
     raw = [("p", 0, "Flute", "1", "Flute 1", None, None), ("p", 1, "Clarinet", None, "Clarinets", None, None), ("p", 2, "Full Score", None, "Score", "score", None), ("p", 3, "French-Horn", "x", "Solo Horn", "winds", False), ("p", 4, "percussion", None, "Percussion", None, None), ("p", 5, "", None, "?", None, None)]
     df = spark.createDataFrame(raw, "piece_id string, pos int, name string, part_index string, label string, section string, required boolean")
