@@ -379,6 +379,58 @@ def classification_report(spark, sf_dir):
     return lines(spark, reports.classification_report(rows))
 
 
+#: Line items as classified documents, for the twins; _classified() has them for Spark.
+_CLASSIFIED = """SELECT l_orderkey || '/' || l_linenumber || '/' || l_partkey AS pdf_path, 's' || l_suppkey AS piece_folder, CASE WHEN l_suppkey % 5 > 0 THEN (l_suppkey % 50)::VARCHAR END AS catalog_number,
+  CASE WHEN l_returnflag <> 'R' THEN 'p' || l_partkey % 7 END AS predicted, CASE WHEN l_returnflag <> 'R' THEN CASE WHEN l_quantity > 45 THEN [l_partkey % 7, l_partkey % 7 + 1] ELSE [l_partkey % 7] END ELSE [] END AS parts,
+  l_linenumber = 1 AS is_score, CASE WHEN l_returnflag = 'R' THEN 0 ELSE round(0.5 + 5 * l_discount, 2) END AS confidence, l_linestatus AS evidence_source, l_quantity > 40 AS duplicate, l_tax > 0.05 AS needs_review,
+  CASE WHEN l_suppkey % 11 = 0 THEN 'unread' END AS error FROM lineitem"""
+_STATES = {
+    "errors": "error IS NOT NULL", "classified": "error IS NULL AND NOT is_score AND len(parts) > 0", "scores": "error IS NULL AND is_score", "unmatched": "error IS NULL AND NOT is_score AND len(parts) = 0",
+    "doubtful": "error IS NULL AND NOT is_score AND len(parts) > 0 AND confidence < 0.75", "duplicates": "error IS NULL AND duplicate", "to_review": "needs_review", "sure": "error IS NULL AND confidence >= 0.9",
+    "medium": "error IS NULL AND confidence >= 0.75 AND confidence < 0.9", "low": "error IS NULL AND confidence > 0 AND confidence < 0.75", "no_confidence": "error IS NULL AND confidence <= 0",
+}
+_COUNTS = "count(*) AS documents, " + ", ".join(f"count(*) FILTER ({v}) AS {k}" for k, v in _STATES.items()) + ", min(catalog_number) AS catalog_number"
+
+
+def _classified(spark, sf_dir):
+    c, text = F.col, lambda x: x.cast("string")
+    named, kind = c("l_returnflag") != "R", c("l_partkey") % 7
+    facet = lambda k: F.struct(F.concat(F.lit("c"), text(k)).alias("canonical"), F.when(k < 7, F.concat(F.lit("f"), text(k % 3))).alias("family"))
+    return load(spark, sf_dir, "lineitem").select(
+        F.concat_ws("/", text(c("l_orderkey")), text(c("l_linenumber")), text(c("l_partkey"))).alias("pdf_path"), F.concat(F.lit("s"), text(c("l_suppkey"))).alias("piece_folder"),
+        F.when(c("l_suppkey") % 5 > 0, text(c("l_suppkey") % 50)).alias("catalog_number"), F.when(named, F.concat(F.lit("p"), text(kind))).alias("predicted"),
+        F.when(named, F.when(c("l_quantity") > 45, F.array(facet(kind), facet(kind + 1))).otherwise(F.array(facet(kind)))).alias("facets"), (c("l_linenumber") == 1).alias("is_score"),
+        F.when(named, F.round(0.5 + 5 * c("l_discount"), 2)).otherwise(0.0).alias("confidence"), c("l_linestatus").alias("evidence_source"), (c("l_quantity") > 40).alias("duplicate"),
+        (c("l_tax") > 0.05).alias("needs_review"), F.when(c("l_suppkey") % 11 == 0, "unread").alias("error"),
+    )
+
+
+@query(
+    f"""WITH r AS ({_CLASSIFIED}), x AS (SELECT *, unnest(parts) AS part FROM r WHERE error IS NULL AND NOT is_score)
+SELECT 'all' AS dimension, NULL AS key, {_COUNTS} FROM r
+UNION ALL SELECT 'piece', piece_folder, {_COUNTS} FROM r GROUP BY piece_folder
+UNION ALL SELECT 'evidence', evidence_source, {_COUNTS} FROM r WHERE error IS NULL GROUP BY evidence_source
+UNION ALL SELECT 'family', k, {_COUNTS} FROM (SELECT *, CASE WHEN is_score THEN 'score' ELSE 'unknown' END AS k FROM r WHERE error IS NULL AND (is_score OR len(parts) = 0)
+  UNION ALL SELECT * EXCLUDE part, CASE WHEN part = 7 THEN 'other' ELSE 'f' || part % 3 END FROM x) GROUP BY k
+UNION ALL SELECT 'instrument', k, {_COUNTS} FROM (SELECT *, '(unmatched)' AS k FROM r WHERE error IS NULL AND NOT is_score AND len(parts) = 0 UNION ALL SELECT * EXCLUDE part, 'c' || part FROM x) GROUP BY k"""
+)
+def classification_tallies(spark, sf_dir):
+    """Counts of classified documents by piece, family, instrument and evidence, and over all, from one scan."""
+    return reports.classification_tallies(_classified(spark, sf_dir))
+
+
+@query(
+    f"""WITH r AS ({_CLASSIFIED}), l AS (SELECT 'errors' AS list, NULL::DOUBLE AS n, NULL AS t, * FROM r WHERE {_STATES['errors']}
+UNION ALL SELECT 'unmatched', NULL, NULL, * FROM r WHERE {_STATES['unmatched']} UNION ALL SELECT 'doubtful', confidence, NULL, * FROM r WHERE {_STATES['doubtful']}
+UNION ALL SELECT 'duplicates', NULL, piece_folder || chr(1) || coalesce(predicted, ''), * FROM r WHERE {_STATES['duplicates']}),
+o AS (SELECT *, row_number() OVER (PARTITION BY list ORDER BY n NULLS FIRST, t NULLS FIRST, pdf_path, piece_folder, predicted NULLS FIRST, confidence, evidence_source, error NULLS FIRST) AS rank FROM l)
+SELECT list, rank::INT AS rank, pdf_path, piece_folder, predicted, confidence::DOUBLE AS confidence, evidence_source, error FROM o WHERE rank <= 20"""
+)
+def classification_attention(spark, sf_dir):
+    """The first documents with errors, without a match, of low confidence, and of repeated labels, from one scan."""
+    return reports.classification_attention(_classified(spark, sf_dir))
+
+
 @query(
     _report_sql(
         "Quality",

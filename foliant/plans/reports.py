@@ -3,7 +3,8 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from foliant.functions.numbers import percent, piece_order
@@ -35,6 +36,122 @@ def classification_report(predictions: DataFrame) -> str:
     return markdown_report("Classification", [("Confidence", tiers, 10), ("Families", count("family"), 25), ("Evidence", count("evidence_source"), 10), ("Pieces", pieces, 25)])
 
 
+def tallies(records: DataFrame, dimensions: dict[str, Column], measures: dict[str, Column]) -> DataFrame:
+    """(dimension, key, *measures): aggregates by each dimension, and over all records (dimension `all`, key null), from
+    one scan: a record is dealt to all its groups, which are aggregated within the tasks before they are shuffled.
+    dimensions: arrays of a record's keys, none, one or several; a key that stands twice counts twice, a null one is a
+    group of its own. Measures are aggregates. Without records there are no rows."""
+    entry = lambda name: lambda key: F.struct(F.lit(name).alias("dimension"), key.cast("string").alias("key"))
+    none = F.array().cast("array<struct<dimension:string,key:string>>")
+    groups = F.concat(F.array(entry("all")(F.lit(None))), *[F.coalesce(F.transform(keys, entry(n)), none) for n, keys in dimensions.items()])
+    return records.select("*", F.inline(groups)).groupBy("dimension", "key").agg(*[m.alias(k) for k, m in measures.items()])
+
+
+def foremost(records: DataFrame, lists: dict[str, tuple], key: str, shown: list[str], most: int = 20) -> DataFrame:
+    """(list, rank, *shown): the first `most` records of each list, from one scan. lists: name to (condition, number,
+    text), ordered by number, text and the record's key, nulls first. A record may be in several lists. Tasks keep only
+    their own first ones, so no list gathers all its members."""
+    entry = lambda name, on, number, text: F.when(on, F.struct(F.lit(name).alias("list"), number.cast("double").alias("_number"), text.cast("string").alias("_text")))
+    found = F.array_compact(F.array(*[entry(n, *spec) for n, spec in lists.items()]))
+    rows = records.select(F.col(key).alias("_key"), *[F.col(c).alias(f"_s_{c}") for c in shown], F.inline(found))
+    place = F.row_number().over(W.partitionBy("list").orderBy("_number", "_text", "_key"))
+    return rows.withColumn("rank", place).where(F.col("rank") <= most).select("list", "rank", *[F.col(f"_s_{c}").alias(c) for c in shown])
+
+
+#: From which confidence a prediction is sure, and below which it is doubtful.
+SURE, DOUBTFUL = 0.90, 0.75
+
+
+def _states() -> dict[str, Column]:
+    """What a classified record may be, as conditions that are never null."""
+    c, on = F.col, lambda x: F.coalesce(x, F.lit(False))
+    fine, score, sure = c("error").isNull(), on(c("is_score")), F.coalesce("confidence", F.lit(0.0))
+    part, named = fine & ~score, on(F.size("facets") > 0)
+    return {
+        "errors": ~fine,
+        "classified": part & named,
+        "scores": fine & score,
+        "unmatched": part & ~named,
+        "doubtful": part & named & (sure < DOUBTFUL),
+        "duplicates": fine & on(c("duplicate")),
+        "to_review": on(c("needs_review")),
+        "sure": fine & (sure >= SURE),
+        "medium": fine & (sure >= DOUBTFUL) & (sure < SURE),
+        "low": fine & (sure > 0) & (sure < DOUBTFUL),
+        "no_confidence": fine & (sure <= 0),
+    }
+
+
+def classification_tallies(records: DataFrame) -> DataFrame:
+    """Counts of classified documents by piece, family, instrument and evidence, and over all, from one scan. A part of
+    several instruments counts for each; scores are a family of their own; records with errors count by piece and over
+    all alone.
+
+    records: pdf_path, piece_folder, catalog_number, predicted, facets array<struct<canonical, family>>, is_score,
+    confidence, evidence_source, duplicate, needs_review, error; any of them null."""
+    on = _states()
+    each = lambda field, other: F.transform("facets", lambda x: F.coalesce(x[field], F.lit(other)))
+    by = {
+        "piece": F.array("piece_folder"),
+        "family": F.when(on["scores"], F.array(F.lit("score"))).when(on["unmatched"], F.array(F.lit("unknown"))).when(on["classified"], each("family", "other")),
+        "instrument": F.when(on["unmatched"], F.array(F.lit("(unmatched)"))).when(on["classified"], each("canonical", "(unmatched)")),
+        "evidence": F.when(~on["errors"], F.array(F.coalesce("evidence_source", F.lit("none")))),
+    }
+    return tallies(records, by, {"documents": F.count("*"), **{k: F.count_if(x) for k, x in on.items()}, "catalog_number": F.min("catalog_number")})
+
+
+def classification_attention(records: DataFrame, most: int = 20) -> DataFrame:
+    """(list, rank, pdf_path, piece_folder, predicted, confidence, evidence_source, error): the first records with
+    errors, without a match, of low confidence (the lowest first), and those whose label another of the piece has."""
+    on, none = _states(), F.lit(None)
+    lists = {
+        "errors": (on["errors"], none, none),
+        "unmatched": (on["unmatched"], none, none),
+        "doubtful": (on["doubtful"], F.col("confidence"), none),
+        "duplicates": (on["duplicates"], none, F.concat_ws("\u0001", F.coalesce("piece_folder", F.lit("")), F.coalesce("predicted", F.lit("")))),
+    }
+    return foremost(records, lists, "pdf_path", ["pdf_path", "piece_folder", "predicted", "confidence", "evidence_source", "error"], most)
+
+
+def full_classification_report(records: DataFrame, most: int = 20, groups: int = 1000, detailed: int = 200) -> str:
+    """The whole report on classified documents: key figures, coverage, confidence and evidence, what wants attention,
+    pieces and single documents. Three scans whatever the number of its tables; only the rows that are shown come to
+    the driver: `groups` a dimension, `most` an attention list, `detailed` documents."""
+    counted = classification_tallies(records)
+    first = F.when(F.col("dimension") == "piece", F.coalesce(F.col("catalog_number").try_cast("long"), F.lit(2**62))).otherwise(-F.col("documents"))
+    place = F.row_number().over(W.partitionBy("dimension").orderBy(first, "key"))
+    rows = counted.withColumn("_n", place).where(F.col("_n") <= groups + 1).orderBy("dimension", "_n").collect()
+    of = lambda d: [r for r in rows if r.dimension == d]
+    none = Row(documents=0, **dict.fromkeys(_states(), 0))
+    total = next(iter(of("all")), none)
+    text = lambda v: "" if v is None else f"{v:.2f}" if isinstance(v, float) else str(v)
+
+    def table(head: str, fields: list[str], values: list[tuple], cap: int, count: int | None = None) -> list[str]:
+        escaped = [[text(v).replace("|", "\\|").replace("\n", " ") for v in row] for row in values[:cap]]
+        lines = ["| " + " | ".join(row) + " |" for row in escaped]
+        left = len(values) > cap or (count or 0) > len(lines)
+        return [f"{head}", "", "| " + " | ".join(fields) + " |", "|" + "---|" * len(fields), *lines, "", *(["(more rows not shown)", ""] if left else [])]
+
+    glance = [("documents", total.documents)] + [(k, total[k]) for k in ("errors", "classified", "scores", "unmatched", "doubtful", "duplicates", "to_review")]
+    out = ["# Classification", "", *table("## At a glance", ["metric", "value"], glance, len(glance)), "## Coverage", ""]
+    out += table("### Families", ["family", "documents"], [(r.key, r.documents) for r in of("family")], groups)
+    out += table("### Instruments", ["instrument", "documents"], [(r.key, r.documents) for r in of("instrument")], groups)
+    bands = [("high", total.sure), ("medium", total.medium), ("low", total.low), ("none", total.no_confidence)]
+    out += table("## Confidence", ["band", "documents"], bands, 4) + table("## Evidence", ["evidence_source", "documents"], [(r.key, r.documents) for r in of("evidence")], groups)
+    listed = classification_attention(records, most).orderBy("list", "rank").collect()
+    fields = {"errors": ["pdf_path", "error"], "unmatched": ["pdf_path", "evidence_source"], "doubtful": ["pdf_path", "predicted", "confidence", "evidence_source"], "duplicates": ["piece_folder", "pdf_path", "predicted"]}
+    out += ["## Attention", ""]
+    for name, shown in fields.items():
+        if total[name]:
+            out += table(f"### {name.capitalize()} ({total[name]})", shown, [tuple(r[f] for f in shown) for r in listed if r.list == name], most, total[name])
+    per = ["catalog_number", "key", "documents", "classified", "scores", "unmatched", "doubtful", "duplicates", "to_review"]
+    out += table("## Pieces", ["catalog", "piece", *per[2:]], [tuple(r[f] for f in per) for r in of("piece")], groups)
+    detail = ["pdf_path", "piece_folder", "predicted", "confidence", "evidence_source"]
+    documents = records.orderBy("pdf_path", *detail[1:]).select(*detail).limit(detailed).collect()
+    out += table("## Documents", detail, [tuple(r) for r in documents], detailed, total.documents)
+    return "\n".join(out)
+
+
 def expected_report(pieces: DataFrame, slots: DataFrame) -> str:
     tiers = _distribution(pieces, F.col("completeness_tier"), ["complete", "near_complete", "incomplete", "severely_incomplete", "unknown"])
     missing = slots.where("required and not present").groupBy("label").agg(F.countDistinct("piece_id").alias("pieces")).orderBy(F.desc("pieces"), "label")

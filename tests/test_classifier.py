@@ -116,3 +116,43 @@ def test_reports(spark):
     assert "- `piece_id`: string" in reports.glossary({"pieces": pieces})
     queue = pieces.selectExpr("1 as rank", "piece_id", "60 as priority_score", "severity", "reason_codes").limit(1)
     assert "| missing_required_part | 10 |" in reports.review_pack(queue)
+
+
+CLASSIFIED = "pdf_path string, piece_folder string, catalog_number string, predicted string, facets array<struct<canonical:string,family:string>>, is_score boolean, confidence double, evidence_source string, duplicate boolean, needs_review boolean, error string"
+
+
+def test_full_classification_report(spark):
+    flute, horn = ("flute", "winds"), ("horn", None)
+    rows = [
+        ("a|1", "A", "12", "Flute", [flute], False, 0.95, "combined", False, False, None),
+        ("a2", "A", "12", "Flute / Horn", [flute, horn], False, 0.6, "text", True, True, None),
+        ("a3", "A", "12", None, [], False, 0.0, "none", False, True, None),
+        ("b1", "B", "3", None, None, True, 0.9, "filename", None, None, None),
+        ("b2", "B", "3", None, None, None, None, None, None, None, "unread"),
+        ("c1", None, None, None, None, None, None, None, None, None, None),
+    ]
+    df = spark.createDataFrame(rows, CLASSIFIED)
+    got = {(r.dimension, r.key): r for r in reports.classification_tallies(df).collect()}
+    counts = {k: r.documents for k, r in got.items()}
+    assert counts == {("all", None): 6, ("piece", "A"): 3, ("piece", "B"): 2, ("piece", None): 1, ("family", "winds"): 2, ("family", "other"): 1, ("family", "score"): 1, ("family", "unknown"): 2,
+                      ("instrument", "flute"): 2, ("instrument", "horn"): 1, ("instrument", "(unmatched)"): 2, ("evidence", "combined"): 1, ("evidence", "text"): 1, ("evidence", "none"): 2, ("evidence", "filename"): 1}
+    all_of = got["all", None]
+    assert (all_of.errors, all_of.classified, all_of.scores, all_of.unmatched, all_of.doubtful, all_of.duplicates, all_of.to_review) == (1, 2, 1, 2, 1, 1, 2)
+    assert (all_of.sure, all_of.medium, all_of.low, all_of.no_confidence) == (2, 0, 1, 2)
+    text = reports.full_classification_report(df, detailed=5)
+    assert "| flute | 2 |" in text and "### Errors (1)" in text and "| b2 | unread |" in text and "a\\|1" in text
+    assert "| a2 | Flute / Horn | 0.60 | text |" in text and text.index("| 3 | B |") < text.index("| 12 | A | 3 | 2 | 0 | 1 | 1 | 1 | 2 |")
+    assert text.rstrip().endswith("(more rows not shown)")  # five of six documents
+    one = reports.full_classification_report(df, most=1)
+    assert "### Unmatched (2)" in one and "| a3 | none |" in one and "| c1 |  |\n" not in one
+    empty = reports.full_classification_report(df.limit(0))
+    assert "| documents | 0 |" in empty and "### Errors" not in empty
+
+
+def test_foremost(spark):
+    df = spark.range(1000).selectExpr("id % 10 as k", "id as v", "cast(null as string) as t")
+    lists = {"small": (F.col("v") < 500, F.col("v"), F.col("t")), "large": (F.col("v") >= 0, -F.col("v"), F.col("t"))}
+    got = [tuple(r) for r in reports.foremost(df, lists, "k", ["v"], 3).collect()]
+    assert sorted(got) == [("large", 1, 999), ("large", 2, 998), ("large", 3, 997), ("small", 1, 0), ("small", 2, 1), ("small", 3, 2)]
+    plan = reports.foremost(df, lists, "k", ["v"], 3)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Range (") == 1 and "WindowGroupLimit" in plan
