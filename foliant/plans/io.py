@@ -431,6 +431,44 @@ def classification_attention(spark, sf_dir):
     return reports.classification_attention(_classified(spark, sf_dir))
 
 
+_PAGES = """SELECT l_orderkey || '.pdf' AS pdf_path, l_linenumber AS page_number, 's' || l_suppkey AS piece_folder, CASE WHEN l_returnflag <> 'R' THEN l_returnflag ELSE 'unknown' END AS document_type, l_linestatus AS text_source,
+  l_quantity < 10 AS needs_ocr, l_quantity < 5 AS ocr_applied, l_partkey % 9 = 0 AS rotated, l_tax > 0.04 AS image_based, l_discount > 0.08 AS blank, l_suppkey % 2 = 0 AS music,
+  CASE WHEN l_partkey % 4 = 0 THEN ['skew'] WHEN l_partkey % 4 = 1 THEN ['blur', 'skew'] ELSE [] END AS issues, CASE WHEN l_partkey % 13 = 0 THEN 'unread' END AS error FROM lineitem"""
+_PAGE_COUNTS = "count(*) AS pages, count(*) FILTER (page_number = 1) AS documents, " + ", ".join(f"count(*) FILTER ({k}) AS {k}" for k in reports.PAGE_STATES) + ", count(error) AS errors"
+
+
+def _pages(spark, sf_dir):
+    c = F.col
+    issues = F.when(c("l_partkey") % 4 == 0, F.array(F.lit("skew"))).when(c("l_partkey") % 4 == 1, F.array(F.lit("blur"), F.lit("skew")))
+    return load(spark, sf_dir, "lineitem").select(
+        F.concat(c("l_orderkey").cast("string"), F.lit(".pdf")).alias("pdf_path"), c("l_linenumber").alias("page_number"), F.concat(F.lit("s"), c("l_suppkey").cast("string")).alias("piece_folder"),
+        F.when(c("l_returnflag") != "R", c("l_returnflag")).alias("document_type"), c("l_linestatus").alias("text_source"), (c("l_quantity") < 10).alias("needs_ocr"), (c("l_quantity") < 5).alias("ocr_applied"),
+        (c("l_partkey") % 9 == 0).alias("rotated"), (c("l_tax") > 0.04).alias("image_based"), (c("l_discount") > 0.08).alias("blank"), (c("l_suppkey") % 2 == 0).alias("music"), issues.alias("issues"),
+        F.when(c("l_partkey") % 13 == 0, "unread").alias("error"),
+    )
+
+
+@query(
+    f"""WITH r AS ({_PAGES}) SELECT 'all' AS dimension, NULL AS key, {_PAGE_COUNTS} FROM r UNION ALL SELECT 'folder', piece_folder, {_PAGE_COUNTS} FROM r GROUP BY piece_folder
+UNION ALL SELECT 'type', document_type, {_PAGE_COUNTS} FROM r GROUP BY document_type UNION ALL SELECT 'source', text_source, {_PAGE_COUNTS} FROM r GROUP BY text_source
+UNION ALL SELECT 'issue', issue, {_PAGE_COUNTS} FROM (SELECT *, unnest(issues) AS issue FROM r) GROUP BY issue"""
+)
+def extraction_tallies(spark, sf_dir):
+    """Counts of pages by folder, type of document, source of text and issue, and over all, from one scan."""
+    return reports.extraction_tallies(_pages(spark, sf_dir))
+
+
+@query(
+    f"""WITH r AS ({_PAGES}), l AS (SELECT 'errors' AS list, * FROM r WHERE error IS NOT NULL UNION ALL SELECT 'needs_ocr', * FROM r WHERE needs_ocr
+  UNION ALL SELECT 'blur', * FROM r WHERE list_contains(issues, 'blur') UNION ALL SELECT 'skew', * FROM r WHERE list_contains(issues, 'skew')),
+o AS (SELECT *, row_number() OVER (PARTITION BY list ORDER BY pdf_path, page_number, text_source, error NULLS FIRST) AS rank FROM l)
+SELECT list, rank::INT AS rank, pdf_path, page_number, text_source, error FROM o WHERE rank <= 15"""
+)
+def extraction_attention(spark, sf_dir):
+    """The first pages with errors, of those that need OCR, and of each issue, from one scan."""
+    return reports.extraction_attention(_pages(spark, sf_dir), ["blur", "skew"])
+
+
 @query(
     _report_sql(
         "Quality",

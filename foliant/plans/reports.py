@@ -49,15 +49,76 @@ def tallies(records: DataFrame, dimensions: dict[str, Column], measures: dict[st
 
 def foremost(records: DataFrame, lists: dict[str, tuple], key: str, shown: list[str], most: int = 20) -> DataFrame:
     """(list, rank, *shown): the first `most` records of each list, from one scan. lists: name to (condition, number,
-    text), ordered by number, text and the record's key, nulls first. A record may be in several lists. Tasks keep only
-    their own first ones, so no list gathers all its members."""
+    text), ordered by number, text, the record's key and what is shown, nulls first. A record may be in several lists.
+    Tasks keep only their own first ones, so no list gathers all its members."""
     entry = lambda name, on, number, text: F.when(on, F.struct(F.lit(name).alias("list"), number.cast("double").alias("_number"), text.cast("string").alias("_text")))
     found = F.array_compact(F.array(*[entry(n, *spec) for n, spec in lists.items()]))
     rows = records.select(F.col(key).alias("_key"), *[F.col(c).alias(f"_s_{c}") for c in shown], F.inline(found))
-    place = F.row_number().over(W.partitionBy("list").orderBy("_number", "_text", "_key"))
+    place = F.row_number().over(W.partitionBy("list").orderBy("_number", "_text", "_key", *[f"_s_{c}" for c in shown]))
     return rows.withColumn("rank", place).where(F.col("rank") <= most).select("list", "rank", *[F.col(f"_s_{c}").alias(c) for c in shown])
 
 
+def _table(head: str, fields: list[str], values: list[tuple], cap: int, count: int | None = None) -> list[str]:
+    """The lines of a headed table of at most `cap` rows; `count` tells how many there are where not all came here."""
+    text = lambda v: "" if v is None else f"{v:.2f}" if isinstance(v, float) else str(v)
+    escaped = [[text(v).replace("|", "\\|").replace("\n", " ") for v in row] for row in values[:cap]]
+    lines = ["| " + " | ".join(row) + " |" for row in escaped]
+    left = len(values) > cap or (count or 0) > len(lines)
+    return [head, "", "| " + " | ".join(fields) + " |", "|" + "---|" * len(fields), *lines, "", *(["(more rows not shown)", ""] if left else [])]
+
+
+def _groups(counted: DataFrame, first: Column, most: int):
+    """A function from a dimension to its first groups, one more than `most`, by `first` and the key."""
+    place = F.row_number().over(W.partitionBy("dimension").orderBy(first, "key"))
+    rows = counted.withColumn("_n", place).where(F.col("_n") <= most + 1).orderBy("dimension", "_n").collect()
+    return lambda dimension: [r for r in rows if r.dimension == dimension]
+
+
+#: What a page may be, each a boolean column of page records, in the order of the report.
+PAGE_STATES = ("needs_ocr", "ocr_applied", "rotated", "image_based", "blank", "music")
+
+
+def extraction_tallies(pages: DataFrame) -> DataFrame:
+    """Counts of pages by folder, type of document, source of text and issue, and over all, from one scan.
+
+    pages: pdf_path, page_number, piece_folder, document_type, text_source, the columns of PAGE_STATES, issues
+    array<string>, error; any of them null. Documents are counted by their first pages."""
+    by = {"folder": F.array("piece_folder"), "type": F.array(F.coalesce("document_type", F.lit("unknown"))), "source": F.array(F.coalesce("text_source", F.lit("none"))), "issue": F.array_distinct("issues")}
+    states = {k: F.count_if(F.coalesce(k, F.lit(False))) for k in PAGE_STATES}
+    return tallies(pages, by, {"pages": F.count("*"), "documents": F.count_if(F.col("page_number") == 1), **states, "errors": F.count("error")})
+
+
+def extraction_attention(pages: DataFrame, issues: list[str], most: int = 15) -> DataFrame:
+    """(list, rank, pdf_path, page_number, text_source, error): the first pages with errors, of those that need OCR, and
+    of each of the issues, in the order of documents and pages."""
+    c, none = F.col, F.lit(None)
+    has = lambda i: F.coalesce(F.array_contains("issues", i), F.lit(False))
+    lists = {"errors": (c("error").isNotNull(), none, none), "needs_ocr": (F.coalesce("needs_ocr", F.lit(False)), none, none), **{i: (has(i), none, none) for i in issues}}
+    return foremost(pages, lists, "pdf_path", ["pdf_path", "page_number", "text_source", "error"], most)
+
+
+def full_extraction_report(pages: DataFrame, most: int = 15, groups: int = 1000) -> str:
+    """The whole report on extracted pages: key figures, text coverage, types, issues, what wants attention, folders. Two
+    scans whatever the number of its tables; only the rows that are shown come to the driver."""
+    first = F.when(F.col("dimension") == "folder", F.lit(0)).otherwise(-F.col("pages"))
+    of = _groups(extraction_tallies(pages), first, groups)
+    total = next(iter(of("all")), Row(pages=0, documents=0, errors=0, **dict.fromkeys(PAGE_STATES, 0)))
+    figures = ["documents", "pages", "errors", *PAGE_STATES]
+    out = ["# Extraction", "", *_table("## At a glance", ["metric", "value"], [(k, total[k]) for k in figures], len(figures))]
+    for head, dimension in (("## Text coverage", "source"), ("## Document types", "type"), ("## Image quality", "issue")):
+        rows = [(r.key, r.pages, round(100.0 * r.pages / total.pages, 1)) for r in of(dimension)]
+        out += _table(head, [dimension, "pages", "percent"], rows, groups)
+    issues = {r.key: r.pages for r in of("issue")[:groups] if r.key is not None}
+    listed = extraction_attention(pages, sorted(issues), most).orderBy("list", "rank").collect()
+    out += ["## Attention", ""]
+    for name, n in {"errors": total.errors, "needs_ocr": total.needs_ocr, **issues}.items():
+        shown = ["pdf_path", "page_number", "error" if name == "errors" else "text_source"]
+        out += _table(f"### {name} ({n})", shown, [tuple(r[f] for f in shown) for r in listed if r.list == name], most, n) if n else []
+    per = ["key", "documents", "pages", "needs_ocr", "ocr_applied", "blank", "errors"]
+    out += _table("## Folders", ["folder", *per[1:]], [tuple(r[f] for f in per) for r in of("folder")], groups)
+    return "\n".join(out)
+
+
 #: From which confidence a prediction is sure, and below which it is doubtful.
 SURE, DOUBTFUL = 0.90, 0.75
 
@@ -119,36 +180,25 @@ def full_classification_report(records: DataFrame, most: int = 20, groups: int =
     the driver: `groups` a dimension, `most` an attention list, `detailed` documents."""
     counted = classification_tallies(records)
     first = F.when(F.col("dimension") == "piece", F.coalesce(F.col("catalog_number").try_cast("long"), F.lit(2**62))).otherwise(-F.col("documents"))
-    place = F.row_number().over(W.partitionBy("dimension").orderBy(first, "key"))
-    rows = counted.withColumn("_n", place).where(F.col("_n") <= groups + 1).orderBy("dimension", "_n").collect()
-    of = lambda d: [r for r in rows if r.dimension == d]
-    none = Row(documents=0, **dict.fromkeys(_states(), 0))
-    total = next(iter(of("all")), none)
-    text = lambda v: "" if v is None else f"{v:.2f}" if isinstance(v, float) else str(v)
-
-    def table(head: str, fields: list[str], values: list[tuple], cap: int, count: int | None = None) -> list[str]:
-        escaped = [[text(v).replace("|", "\\|").replace("\n", " ") for v in row] for row in values[:cap]]
-        lines = ["| " + " | ".join(row) + " |" for row in escaped]
-        left = len(values) > cap or (count or 0) > len(lines)
-        return [f"{head}", "", "| " + " | ".join(fields) + " |", "|" + "---|" * len(fields), *lines, "", *(["(more rows not shown)", ""] if left else [])]
-
+    of = _groups(counted, first, groups)
+    total = next(iter(of("all")), Row(documents=0, **dict.fromkeys(_states(), 0)))
     glance = [("documents", total.documents)] + [(k, total[k]) for k in ("errors", "classified", "scores", "unmatched", "doubtful", "duplicates", "to_review")]
-    out = ["# Classification", "", *table("## At a glance", ["metric", "value"], glance, len(glance)), "## Coverage", ""]
-    out += table("### Families", ["family", "documents"], [(r.key, r.documents) for r in of("family")], groups)
-    out += table("### Instruments", ["instrument", "documents"], [(r.key, r.documents) for r in of("instrument")], groups)
+    out = ["# Classification", "", *_table("## At a glance", ["metric", "value"], glance, len(glance)), "## Coverage", ""]
+    out += _table("### Families", ["family", "documents"], [(r.key, r.documents) for r in of("family")], groups)
+    out += _table("### Instruments", ["instrument", "documents"], [(r.key, r.documents) for r in of("instrument")], groups)
     bands = [("high", total.sure), ("medium", total.medium), ("low", total.low), ("none", total.no_confidence)]
-    out += table("## Confidence", ["band", "documents"], bands, 4) + table("## Evidence", ["evidence_source", "documents"], [(r.key, r.documents) for r in of("evidence")], groups)
+    out += _table("## Confidence", ["band", "documents"], bands, 4) + _table("## Evidence", ["evidence_source", "documents"], [(r.key, r.documents) for r in of("evidence")], groups)
     listed = classification_attention(records, most).orderBy("list", "rank").collect()
     fields = {"errors": ["pdf_path", "error"], "unmatched": ["pdf_path", "evidence_source"], "doubtful": ["pdf_path", "predicted", "confidence", "evidence_source"], "duplicates": ["piece_folder", "pdf_path", "predicted"]}
     out += ["## Attention", ""]
     for name, shown in fields.items():
         if total[name]:
-            out += table(f"### {name.capitalize()} ({total[name]})", shown, [tuple(r[f] for f in shown) for r in listed if r.list == name], most, total[name])
+            out += _table(f"### {name.capitalize()} ({total[name]})", shown, [tuple(r[f] for f in shown) for r in listed if r.list == name], most, total[name])
     per = ["catalog_number", "key", "documents", "classified", "scores", "unmatched", "doubtful", "duplicates", "to_review"]
-    out += table("## Pieces", ["catalog", "piece", *per[2:]], [tuple(r[f] for f in per) for r in of("piece")], groups)
+    out += _table("## Pieces", ["catalog", "piece", *per[2:]], [tuple(r[f] for f in per) for r in of("piece")], groups)
     detail = ["pdf_path", "piece_folder", "predicted", "confidence", "evidence_source"]
     documents = records.orderBy("pdf_path", *detail[1:]).select(*detail).limit(detailed).collect()
-    out += table("## Documents", detail, [tuple(r) for r in documents], detailed, total.documents)
+    out += _table("## Documents", detail, [tuple(r) for r in documents], detailed, total.documents)
     return "\n".join(out)
 
 

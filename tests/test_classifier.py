@@ -156,3 +156,28 @@ def test_foremost(spark):
     assert sorted(got) == [("large", 1, 999), ("large", 2, 998), ("large", 3, 997), ("small", 1, 0), ("small", 2, 1), ("small", 3, 2)]
     plan = reports.foremost(df, lists, "k", ["v"], 3)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Range (") == 1 and "WindowGroupLimit" in plan
+
+
+def test_full_extraction_report(spark):
+    kind = "pdf_path string, page_number int, piece_folder string, document_type string, text_source string, " + ", ".join(f"{k} boolean" for k in reports.PAGE_STATES) + ", issues array<string>, error string"
+    no = [False] * 5
+    rows = [
+        ("a", 1, "A", "scan", "ocr", True, *no, ["skew", "skew"], None),
+        ("a", 2, "A", "scan", "ocr", True, *no, ["blur", "skew"], None),
+        ("b", 1, "B", None, None, False, *no, [], "unread"),
+        ("c", 1, None, None, None, None, *[None] * 5, None, None),
+    ]
+    df = spark.createDataFrame(rows, kind)
+    got = {(r.dimension, r.key): (r.pages, r.documents, r.needs_ocr, r.errors) for r in reports.extraction_tallies(df).collect()}
+    assert got["all", None] == (4, 3, 2, 1) and got["folder", "A"] == (2, 1, 2, 0) and got["folder", None] == (1, 1, 0, 0)
+    assert got["issue", "skew"] == (2, 1, 2, 0) and got["issue", "blur"] == (1, 0, 1, 0) and got["source", "none"][0] == 2 and len(got) == 10
+    text = reports.full_extraction_report(df, most=1)
+    assert "| skew | 2 | 50.00 |" in text and "### needs_ocr (2)" in text and "| a | 1 | ocr |" in text and "| a | 2 | ocr |" in text
+    assert "### errors (1)" in text and "| b | 1 | unread |" in text and text.count("(more rows not shown)") == 2
+    assert "| pages | 0 |" in reports.full_extraction_report(df.limit(0))
+
+
+def test_foremost_ties(spark):
+    df = spark.createDataFrame([(1, 3), (1, 1), (1, 2), (1, None)], "k int, v int").repartition(4)
+    got = reports.foremost(df, {"all": (F.lit(True), F.lit(None), F.lit(None))}, "k", ["v"], 3).orderBy("rank").collect()
+    assert [r.v for r in got] == [None, 1, 2]
