@@ -1,12 +1,11 @@
 """Expected against held parts: order-dependent matching within a piece, and the relational pieces of it.
 
-A piece has some dozens of slots and parts, so one group is small by nature; pieces are many and spread over tasks.
+What is matched together are the slots and parts of a piece whose names hang together, not the whole piece.
 """
 from __future__ import annotations
 
-from collections import defaultdict
+from collections import Counter, defaultdict, deque
 from collections.abc import Callable, Iterator
-from functools import reduce
 
 import pandas as pd
 import pyarrow as pa
@@ -25,39 +24,38 @@ def slot_role(label: Column) -> Column:
     return F.when(label.rlike("(?i)(?<![a-z0-9])solo(?![a-z0-9])"), "solo").otherwise("section")
 
 
-def equivalences(slots: DataFrame, groups: DataFrame, key: str = "piece_id") -> DataFrame:
-    """(key, slot_canonical, other) of interchangeable instruments: only where the piece expects exactly one member
-    of the group. groups: grp, canonical."""
+def _single(slots: DataFrame, groups: DataFrame, key: str) -> DataFrame:
+    """(key, grp, slot_canonical, other): the members of a group (grp, canonical) of which a piece expects one alone."""
     dim = dictionary(groups)
     expected = slots.select(key, "canonical").distinct().join(dim, "canonical")
     single = expected.groupBy(key, "grp").agg(F.count("*").alias("n"), F.min("canonical").alias("slot_canonical")).where("n = 1")
-    return single.join(dim, "grp").where("canonical <> slot_canonical").select(key, "slot_canonical", F.col("canonical").alias("other"))
+    return single.join(dim, "grp").where("canonical <> slot_canonical").select(key, "grp", "slot_canonical", F.col("canonical").alias("other"))
 
 
-def _paired(slots: DataFrame, held: DataFrame, key: str, on: list[str]) -> DataFrame:
-    """(key, slot, part): the i-th slot of each value of `on` with the i-th held part, nulls among them equal."""
-    s = slots.withColumn("_i", F.row_number().over(W.partitionBy(*on).orderBy("slot")))
-    h = held.withColumn("_i", F.row_number().over(W.partitionBy(*on).orderBy("part")))
-    same = reduce(lambda a, b: a & b, [F.col(f"s.{c}").eqNullSafe(F.col(f"h.{c}")) for c in [*on, "_i"]])
-    return s.alias("s").join(h.alias("h"), (F.col(f"s.{key}") == F.col(f"h.{key}")) & same).select(F.col(f"s.{key}").alias(key), "s.slot", "h.part")
+def equivalences(slots: DataFrame, groups: DataFrame, key: str = "piece_id") -> DataFrame:
+    """(key, slot_canonical, other) of interchangeable instruments: only where the piece expects exactly one member
+    of the group. groups: grp, canonical."""
+    return _single(slots, groups, key).drop("grp")
 
 
 def exact_index_matches(slots: DataFrame, held: DataFrame, key: str = "piece_id") -> DataFrame:
     """The first pass in DataFrames: the i-th slot of a (canonical, chair, role) meets the i-th copy that fits. Parts in
-    a slot's own key come first; then slots and parts that are left and of which one has no key.
+    a slot's own key come first; then slots and parts that are left and of which one has no key. Both sides are dealt
+    once, by piece, name, chair and role, and numbered there.
     slots: key, slot, canonical, part_index, role, transposition; held: key, part, the same."""
     on = [key, "canonical", "part_index", "role"]
-    same_key = F.lower(F.trim(first_truthy(F.col("transposition")))).alias("_key")
-    s = slots.where("part_index is not null").select(*on, "slot", same_key)
-    h = held.where("part_index is not null").select(*on, "part", same_key)
-    first = _paired(s, h, key, [*on, "_key"])
-    keyed_s, keyed_h = s.where("_key is not null"), h.where("_key is not null")
-    if keyed_s.isEmpty() and keyed_h.isEmpty():
-        return first
-    rest_s, rest_h = s.join(first, [key, "slot"], "left_anti"), h.join(first, [key, "part"], "left_anti")
-    open_slots = _paired(rest_s.where("_key is null"), rest_h.where("_key is not null"), key, on)
-    open_parts = _paired(rest_s.where("_key is not null"), rest_h.where("_key is null"), key, on)
-    return first.union(open_slots).union(open_parts)
+    own = F.lower(F.trim(first_truthy(F.col("transposition")))).alias("_key")
+    side = lambda df, name: df.where("part_index is not null").select(*on, own, F.lit(name == "part").alias("_held"), name)
+    both = side(slots, "slot").unionByName(side(held, "part"), allowMissingColumns=True).repartition(*on)
+    number = lambda *by: F.row_number().over(W.partitionBy(*on, *by, "_held").orderBy("slot", "part"))
+    across = lambda x: F.count_if(x).over(W.partitionBy(*on, "_key"))
+    opposite = F.when(F.col("_held"), across(~F.col("_held"))).otherwise(across(F.col("_held")))
+    first = both.withColumn("_i", number("_key")).withColumn("_met", F.col("_i") <= opposite)
+    slot_open = F.col("_key").isNull() != F.col("_held")  # pairs a slot without a key with a part that has one
+    later = first.withColumn("_pass", F.when(F.col("_met"), 0).when(slot_open, 1).otherwise(2))
+    last = later.withColumn("_i", F.when(F.col("_met"), F.col("_i")).otherwise(number("_pass"))).withColumn("_key", F.when(F.col("_met"), F.col("_key")))
+    met = last.groupBy(*on, "_pass", "_key", "_i").agg(F.max("slot").alias("slot"), F.max("part").alias("part"))
+    return met.where("slot is not null and part is not null").select(key, "slot", "part")
 
 
 def editions(parts: DataFrame, demand: DataFrame, key: list[str]) -> DataFrame:
@@ -88,27 +86,14 @@ def _key(x) -> str | None:
     return None if x is None or x != x or not str(x).strip() else str(x).strip().lower()
 
 
-class _Piece:
-    """The matching of one piece."""
+class _Together:
+    """The matching of the slots and parts of a piece whose names are tied together."""
 
-    def __init__(self, slots: list[dict], parts: list[dict], groups: list[list[str]], usual_key: dict[str, str]):
+    def __init__(self, slots: list[dict], parts: list[dict], usual_key: dict[str, str]):
         self.slots, self.usual = slots, usual_key
-        names = {s["canonical"] for s in slots}
-        self.stands_for: dict[str, str] = {}
-        for group in groups:
-            called = [g for g in group if g in names]
-            if len(called) == 1:
-                self.stands_for |= {g: called[0] for g in group if g != called[0]}
-        for s in slots:
-            for other in s.get("equivalents") or []:
-                if other not in names:
-                    self.stands_for.setdefault(other, s["canonical"])
+        self.wanted = Counter((s["canonical"], s["part_index"]) for s in slots)
         self.parts = self._editions(parts)
 
-    def _demand(self, facets: list[tuple]) -> int:
-        wanted = [sum(s["canonical"] == self.stands_for.get(c, c) and s["part_index"] == i for s in self.slots) for c, i in facets if c]
-        return max(wanted, default=0)
-
     def _by_key(self, same: list[dict]) -> list[list[dict]]:
         """Parts in different explicit keys are different instruments; unmarked ones join the usual key's."""
         keys = {_key(p["transposition"]) for p in same} - {None}
@@ -116,7 +101,7 @@ class _Piece:
             return [same]
         out: dict = defaultdict(list)
         for n, p in enumerate(same):
-            usual = next((_key(self.usual.get(c)) for c, _ in p["facets"] if c), None)
+            usual = next((_key(self.usual.get(c)) for c, _, _ in p["facets"] if c), None)
             out[_key(p["transposition"]) or (usual if usual else ("alone", n))].append(p)
         return list(out.values())
 
@@ -125,10 +110,11 @@ class _Piece:
         of an edition: then each stands for itself, as many as are asked for."""
         alike: dict = defaultdict(list)
         for p in parts:
-            alike[tuple(sorted((str(c), -1 if i is None else i) for c, i in p["facets"]))].append(p)
+            alike[tuple(sorted((str(c), -1 if i is None else i) for c, i, _ in p["facets"]))].append(p)
         out = []
         for same in alike.values():
-            need = self._demand(same[0]["facets"])
+            need = max((self.wanted[stands or c, i] for c, i, stands in same[0]["facets"] if c), default=0)
+            lead = {"lead_pos": same[0]["pos"], "lead_part": same[0]["part"]}
             for group in self._by_key(same):
                 copies: dict = defaultdict(list)
                 for p in group:
@@ -138,79 +124,176 @@ class _Piece:
                 for stack in stacks:
                     clefs = sorted({p["clef"] for p in stack if p["clef"]})
                     keyed = sorted({str(p["transposition"]) for p in stack if _key(p["transposition"])})
-                    out.append({**stack[0], "clefs": clefs, "keys": keyed})
+                    out.append({**stack[0], "clefs": clefs, "keys": keyed, **lead})
         return out
 
-    def _fits(self, slot: dict, part: dict) -> bool:
-        role = part["role"] or "section"
-        if role not in (("solo", "solo_alternative") if slot["role"] == "solo" else ("section",)):
-            return False
-        own, asked = _key(part["transposition"]), _key(slot["transposition"]) or _key(self.usual.get(slot["canonical"]))
-        return own is None or asked is None or own == asked
-
     def match(self) -> dict[int, int]:
-        """Slot to part: chairs that agree first, then what is left, in order, nearest chair first."""
+        """Slot to part: chairs that agree first, then what is left, in order, nearest chair first. Slots and parts
+        wait in queues by what decides whether they fit, so none is looked at again and again."""
+        own, exact, others = defaultdict(list), defaultdict(list), defaultdict(list)
+        for n, s in enumerate(self.slots):
+            own[s["canonical"]].append((n, s["part_index"], "solo" if s["role"] == "solo" else "section", _key(s["transposition"]) or _key(self.usual.get(s["canonical"]))))
+        for n, p in enumerate(self.parts):
+            role = "solo" if p["role"] == "solo_alternative" else p["role"] or "section"
+            named = {c for c, _, _ in p["facets"]}
+            for c, chair, stands in p["facets"]:
+                exact[c].append((n, chair, role, _key(p["transposition"])))
+                if stands is not None and stands not in named:
+                    others[stands].append((n, chair, role, _key(p["transposition"])))
         taken: dict[int, int] = {}
-        for name in dict.fromkeys(s["canonical"] for s in self.slots):
-            own = [n for n, s in enumerate(self.slots) if s["canonical"] == name]
-            exact = [(n, i) for n, p in enumerate(self.parts) for c, i in p["facets"] if c == name]
-            others = [(n, i) for n, p in enumerate(self.parts) for c, i in p["facets"] if c != name and self.stands_for.get(c) == name and n not in {e for e, _ in exact}]
-            free = dict(enumerate(exact + others))
-            for k, (n, i) in list(free.items()):
-                fit = next((s for s in own if i is not None and s not in taken and self.slots[s]["part_index"] == i and self._fits(self.slots[s], self.parts[n])), None)
-                if fit is not None:
-                    taken[fit] = n
-                    del free[k]
-            for s in own:
-                options = [] if s in taken else [(i != self.slots[s]["part_index"], k) for k, (n, i) in free.items() if self._fits(self.slots[s], self.parts[n])]
-                if options:
-                    taken[s] = free.pop(min(options)[1])[0]
+        for name, slots in own.items():
+            self._fill(slots, exact[name] + others[name], taken)
         return taken
 
-    def rows(self, piece: str) -> list[tuple]:
-        taken, out = self.match(), []
+    @staticmethod
+    def _fill(slots: list[tuple], offers: list[tuple], taken: dict[int, int]) -> None:
+        """One name's slots, each (number, chair, role, key), from its parts, in order; adds to `taken`."""
+        waiting, used = _Queues(), set()
+        for n, chair, role, key in slots:
+            waiting.add((chair, role), key, n)
+        for k, (n, chair, role, key) in enumerate(offers):
+            fit = None if chair is None else waiting.first((chair, role), key, taken)
+            if fit is not None:
+                taken[fit] = n
+                used.add(k)
+        seated, free = _Queues(), _Queues()
+        for k, (_, chair, role, key) in enumerate(offers):
+            if k not in used:
+                seated.add((chair, role), key, k)
+                free.add(role, key, k)
+        for n, chair, role, key in slots:
+            if n not in taken:
+                k = seated.first((chair, role), key, used)
+                k = free.first(role, key, used) if k is None else k
+                if k is not None:
+                    taken[n] = offers[k][0]
+                    used.add(k)
+
+    def rows(self, piece: str) -> Iterator[tuple]:
+        """A row for every slot and every edition, the latter `unexpected` or merely `held`."""
+        taken = self.match()
         for n, s in enumerate(self.slots):
             p = self.parts[taken[n]] if n in taken else None
-            out.append((piece, "slot", n, s["canonical"], s["part_index"], s["label"], p is not None, p and p["part"], p and ";".join(p["clefs"]), p and ";".join(p["keys"])))
+            yield piece, "slot", s["n"], s["canonical"], s["part_index"], s["label"], p is not None, p and p["part"], p and ";".join(p["clefs"]), p and ";".join(p["keys"]), None, None, None
         unnumbered = {s["canonical"] for s in self.slots if s["part_index"] is None and s["role"] == "section"}
+        used = set(taken.values())
         for n, p in enumerate(self.parts):
-            variant = bool(p["facets"]) and all(i is not None and c in unnumbered for c, i in p["facets"])
-            if p["facets"] and n not in taken.values() and p["role"] not in ("solo", "solo_alternative") and not variant:
-                out.append((piece, "unexpected", n, p["facets"][0][0], p["facets"][0][1], p["label"], False, p["part"], ";".join(p["clefs"]), ";".join(p["keys"])))
-        return out
+            variant = all(i is not None and c in unnumbered for c, i, _ in p["facets"])
+            kind = "held" if n in used or p["role"] in ("solo", "solo_alternative") or variant else "unexpected"
+            yield piece, kind, None, p["facets"][0][0], p["facets"][0][1], p["label"], False, p["part"], ";".join(p["clefs"]), ";".join(p["keys"]), p["lead_pos"], p["lead_part"], n
+
+
+class _Queues:
+    """Numbers that wait in the order in which they came, by a place and an explicit key, which may be null."""
+
+    def __init__(self):
+        self.places: dict = defaultdict(lambda: defaultdict(deque))
+
+    def add(self, place, key: str | None, number: int) -> None:
+        self.places[place][key].append(number)
+
+    def first(self, place, key: str | None, gone) -> int | None:
+        """The least number at a place, of those not gone, whose key is the same, or where either is null."""
+        at = self.places.get(place, {})
+        best = None
+        for k in list(at) if key is None else (key, None):
+            queue = at.get(k)
+            while queue and queue[0] in gone:
+                queue.popleft()
+            if queue and (best is None or queue[0] < best):
+                best = queue[0]
+        return best
 
 
 SLOT_FIELDS = ("pos", "canonical", "part_index", "label", "role", "transposition")
 PART_FIELDS = ("pos", "part", "canonical", "part_index", "label", "clef", "transposition", "role")
 
 
+def stand_ins(slots: DataFrame, groups: list[list[str]]) -> DataFrame:
+    """(piece_id, canonical, stands): held instruments that stand for an expected one. The last of the groups that says
+    so decides, else the first slot among whose `equivalents` (an array; the column may be missing) it is. An expected
+    instrument stands for itself only."""
+    session = slots.sparkSession
+    named = slots.select("piece_id", "canonical").distinct()
+    schema = "piece_id string, canonical string, stands string, source int, place int"
+    out = session.createDataFrame([], schema)
+    if groups:
+        dim = session.createDataFrame([(i, g) for i, group in enumerate(groups) for g in dict.fromkeys(group)], "grp int, canonical string")
+        out = out.union(_single(slots, dim, "piece_id").select("piece_id", "other", "slot_canonical", F.lit(0), -F.col("grp")))
+    if "equivalents" in slots.columns:
+        told = slots.select("piece_id", F.explode("equivalents").alias("canonical"), F.col("canonical").alias("stands"), F.lit(1).alias("source"), F.col("pos").alias("place"))
+        out = out.union(told.where("canonical is not null").join(named, ["piece_id", "canonical"], "left_anti").select("piece_id", "canonical", "stands", "source", "place"))
+    return out.groupBy("piece_id", "canonical").agg(F.min(F.struct("source", "place", "stands"))["stands"].alias("stands"))
+
+
+def components(tied: DataFrame) -> DataFrame:
+    """(piece_id, canonical, component): within a piece, the names that hang together through lists of names (piece_id,
+    names array<string>), and the least of each such set; names in no list of two or more don't come. A task holds the
+    distinct ties of a piece, which the number of names bounds, not the number of parts."""
+    each = tied.where("size(names) > 1").select("piece_id", F.col("names")[0].alias("a"), F.explode("names").alias("b")).where("a <> b")
+    folded = each.groupBy("piece_id").agg(F.collect_set(F.struct("a", "b")).alias("ties"))
+    schema = pa.schema([(n, pa.string()) for n in ("piece_id", "canonical", "component")])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for piece, ties in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                above: dict[str, str] = {}
+
+                def top(name: str) -> str:
+                    while above.setdefault(name, name) != name:
+                        above[name] = name = above[above[name]]
+                    return name
+
+                for tie in ties:
+                    low, high = sorted((top(tie["a"]), top(tie["b"])))
+                    above[high] = low
+                rows += [(piece, name, top(name)) for name in list(above)]
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.string()) for i in range(3)], schema=schema)
+
+    return folded.select("piece_id", "ties").mapInArrow(run, "piece_id string, canonical string, component string")
+
+
 def reconcile(slots: DataFrame, held: DataFrame, groups: list[list[str]] | None = None, usual_key: dict[str, str] | None = None) -> DataFrame:
     """Rows of RESULT: every slot, whether present and by what part, and the unexpected parts.
 
-    Each side is folded to one array a piece, and pieces are matched batch by batch, many in a batch. A piece has some
-    dozens of slots and parts; a piece's rows must fit in a task.
+    What is folded is not a piece but the slots and parts of it whose names hang together: those of a part of several
+    names, and a name and what it stands for. Only these must fit in a task; slots and parts are numbered within the
+    piece by sorting.
 
-    slots: piece_id, pos, canonical, part_index, label, role, transposition;
+    slots: piece_id, pos, canonical, part_index, label, role, transposition, and, if there, equivalents array<string>;
     held: piece_id, part, pos, canonical, part_index, label, clef, transposition, role (a row for each facet)."""
     groups, usual_key = groups or [], usual_key or {}
-    fold = lambda df, fields, name: df.groupBy("piece_id").agg(F.array_sort(F.collect_list(F.struct(*fields))).alias(name))
-    both = fold(slots, SLOT_FIELDS, "wanted").join(fold(held, PART_FIELDS, "parts"), "piece_id", "full")
-    names = [c.split()[0] for c in RESULT.split(", ")]
-    kinds = pa.schema([(n, {"pos": pa.int32(), "part_index": pa.int32(), "present": pa.bool_()}.get(n, pa.string())) for n in names])
+    key, none = F.col("piece_id").cast("string").alias("piece_id"), F.lit(None).cast("string")
+    slots, held = slots.withColumn("piece_id", key), held.withColumn("piece_id", key)
+    place = (F.row_number().over(W.partitionBy("piece_id").orderBy(*SLOT_FIELDS)) - 1).alias("n")
+    wanted = slots.select("piece_id", "canonical", F.struct(place, *SLOT_FIELDS[1:]).alias("slot"))
+    substitutes = bool(groups) or "equivalents" in slots.columns
+    facets = held.join(stand_ins(slots, groups), ["piece_id", "canonical"], "left") if substitutes else held.withColumn("stands", none)
+    names = F.array_sort(F.array_union(F.collect_set("canonical"), F.collect_set("stands"))).alias("names")
+    parts = facets.groupBy("piece_id", "part").agg(names, F.array_sort(F.collect_list(F.struct(*PART_FIELDS, "stands"))).alias("facets"))
+    tied = components(facets.groupBy("piece_id", "part").agg(names))
+    found = parts.select("piece_id", F.get("names", F.lit(0)).alias("canonical"), "facets")
+    together = lambda df: df.join(tied, ["piece_id", "canonical"], "left").withColumn("component", F.coalesce("component", "canonical"))
+    both = together(wanted).select("piece_id", "component", "slot").unionByName(together(found).select("piece_id", "component", "facets"), allowMissingColumns=True)
+    folded = both.groupBy("piece_id", "component").agg(F.array_sort(F.collect_list("slot")).alias("wanted"), F.array_sort(F.collect_list("facets")).alias("parts"))
+    schema = RESULT + ", lead_pos int, lead_part string, seq int"
+    kinds = {"pos": pa.int32(), "part_index": pa.int32(), "present": pa.bool_(), "lead_pos": pa.int32(), "seq": pa.int32()}
+    fields = pa.schema([(n, kinds.get(n, pa.string())) for n in (c.split()[0] for c in schema.split(", "))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for piece, wanted, found in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
-                parts: dict[str, dict] = {}
-                for r in found or []:
-                    first = parts.setdefault(r["part"], {**r, "facets": []})
-                    first["facets"].append((r["canonical"], r["part_index"]))
-                rows += _Piece(wanted or [], list(parts.values()), groups, usual_key).rows(piece)
-            columns = list(zip(*rows, strict=True)) or [()] * len(names)
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, kinds, strict=True)], schema=kinds)
-
-    return both.select("piece_id", "wanted", "parts").mapInArrow(run, RESULT)
+            for piece, asked, offered in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+                own = [{**rs[0], "facets": [(r["canonical"], r["part_index"], r["stands"]) for r in rs]} for rs in offered]
+                rows += _Together(asked, own, usual_key).rows(piece)
+            columns = list(zip(*rows, strict=True)) or [()] * len(fields)
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, fields, strict=True)], schema=fields)
+
+    rows = folded.select("piece_id", "wanted", "parts").mapInArrow(run, schema)
+    number = F.row_number().over(W.partitionBy("piece_id", F.col("kind") == "slot").orderBy("lead_pos", "lead_part", "seq")) - 1
+    numbered = rows.withColumn("pos", F.coalesce("pos", number)).where("kind <> 'held'")
+    return numbered.select([c.split()[0] for c in RESULT.split(", ")])
 
 
 def compatible(slot: Column, part: Column) -> Column:
