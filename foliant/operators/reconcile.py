@@ -113,6 +113,10 @@ class _Together:
             alike[tuple(sorted((str(c), -1 if i is None else i) for c, i, _ in p["facets"]))].append(p)
         out = []
         for same in alike.values():
+            if len(same) == 1:
+                p = same[0]
+                out.append({**p, "clefs": [p["clef"]] if p["clef"] else [], "keys": [str(p["transposition"])] if _key(p["transposition"]) else [], "lead_pos": p["pos"], "lead_part": p["part"]})
+                continue
             need = max((self.wanted[stands or c, i] for c, i, stands in same[0]["facets"] if c), default=0)
             lead = {"lead_pos": same[0]["pos"], "lead_part": same[0]["part"]}
             for group in self._by_key(same):
@@ -130,6 +134,8 @@ class _Together:
     def match(self) -> dict[int, int]:
         """Slot to part: chairs that agree first, then what is left, in order, nearest chair first. Slots and parts
         wait in queues by what decides whether they fit, so none is looked at again and again."""
+        if not self.slots or not self.parts:
+            return {}
         own, exact, others = defaultdict(list), defaultdict(list), defaultdict(list)
         for n, s in enumerate(self.slots):
             own[s["canonical"]].append((n, s["part_index"], "solo" if s["role"] == "solo" else "section", _key(s["transposition"]) or _key(self.usual.get(s["canonical"]))))
@@ -142,7 +148,8 @@ class _Together:
                     others[stands].append((n, chair, role, _key(p["transposition"])))
         taken: dict[int, int] = {}
         for name, slots in own.items():
-            self._fill(slots, exact[name] + others[name], taken)
+            if name in exact or name in others:
+                self._fill(slots, exact[name] + others[name], taken)
         return taken
 
     @staticmethod
@@ -187,15 +194,16 @@ class _Queues:
     """Numbers that wait in the order in which they came, by a place and an explicit key, which may be null."""
 
     def __init__(self):
-        self.places: dict = defaultdict(lambda: defaultdict(deque))
+        self.places: dict = {}
 
     def add(self, place, key: str | None, number: int) -> None:
-        self.places[place][key].append(number)
+        self.places.setdefault(place, {}).setdefault(key, deque()).append(number)
 
     def first(self, place, key: str | None, gone) -> int | None:
         """The least number at a place, of those not gone, whose key is the same, or where either is null."""
-        at = self.places.get(place, {})
-        best = None
+        at, best = self.places.get(place), None
+        if at is None:
+            return None
         for k in list(at) if key is None else (key, None):
             queue = at.get(k)
             while queue and queue[0] in gone:
