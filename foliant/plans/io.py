@@ -538,6 +538,86 @@ def review_pack(spark, sf_dir):
     return lines(spark, reports.review_pack(rows, 20, 1))
 
 
+_SCORED = """SELECT doc_id, CASE n_chars % 4 WHEN 0 THEN 'poor' WHEN 1 THEN 'fair' ELSE 'good' END AS band, coalesce(lang, 'unknown') AS source, n_chars % 7 + 1 AS page_count,
+  doc_id % 5 AS low_contrast, n_chars % 3 AS heavy_blur, CASE WHEN n_chars % 10 > 0 THEN n_chars % 101 END AS score FROM documents"""
+_SCORE_COUNTS = "count(*) AS documents, sum({pages})::BIGINT AS pages, count(*) - count(score) AS unscored"
+
+
+def _scored(spark, sf_dir):
+    c = F.col
+    issues = F.map_filter(F.create_map(F.lit("low_contrast"), c("doc_id") % 5, F.lit("heavy_blur"), c("n_chars").cast("long") % 3), lambda _, v: v > 0)
+    band = F.when(c("n_chars") % 4 == 0, "poor").when(c("n_chars") % 4 == 1, "fair").otherwise("good")
+    return load(spark, sf_dir, "documents", "doc_id", "n_chars", "lang", "source").select(
+        c("doc_id").cast("string").alias("pdf_path"), c("source").alias("piece_id"), F.when(c("n_chars") % 10 > 0, c("n_chars") % 101).cast("double").alias("quality_score"), band.alias("quality_band"),
+        c("lang").alias("notation_source_type"), (c("n_chars") % 7 + 1).alias("page_count"), issues.alias("issue_summary"), F.map_keys(issues).alias("top_issues"),
+    )
+
+
+@query(
+    f"""WITH r AS ({_SCORED}) SELECT 'all' AS dimension, NULL AS key, {_SCORE_COUNTS.format(pages='page_count')} FROM r
+UNION ALL SELECT 'band', band, {_SCORE_COUNTS.format(pages='page_count')} FROM r GROUP BY band UNION ALL SELECT 'source', source, {_SCORE_COUNTS.format(pages='page_count')} FROM r GROUP BY source
+UNION ALL SELECT 'issue', 'low_contrast', {_SCORE_COUNTS.format(pages='low_contrast')} FROM r WHERE low_contrast > 0 UNION ALL SELECT 'issue', 'heavy_blur', {_SCORE_COUNTS.format(pages='heavy_blur')} FROM r WHERE heavy_blur > 0"""
+)
+def quality_tallies(spark, sf_dir):
+    """Counts of scored documents by band, source of notation and issue, and over all, from one scan."""
+    return reports.quality_tallies(_scored(spark, sf_dir))
+
+
+_EXPECTED_COUNTS = """count(*) AS pieces, count(*) FILTER (status = 'matched') AS confident, count(*) FILTER (tier = 'complete') AS complete, count(*) FILTER (len(missing) > 0) AS to_review,
+  count(error) AS errors, sum(len(missing))::BIGINT AS missing_parts"""
+
+
+@query(
+    f"""WITH m AS (SELECT l_orderkey, list('line ' || l_linenumber) AS lines FROM lineitem WHERE l_returnflag = 'R' GROUP BY l_orderkey),
+r AS (SELECT o_orderkey, CASE o_orderstatus WHEN 'F' THEN 'matched' WHEN 'O' THEN 'ambiguous' ELSE 'none' END AS status, CASE WHEN lines IS NULL THEN 'complete' WHEN len(lines) < 3 THEN 'near_complete' ELSE 'incomplete' END AS tier,
+  o_orderpriority AS ensemble, coalesce(lines, []) AS missing, CASE WHEN o_custkey % 13 = 0 THEN 'failed' END AS error FROM orders LEFT JOIN m ON l_orderkey = o_orderkey)
+SELECT 'all' AS dimension, NULL AS key, {_EXPECTED_COUNTS} FROM r UNION ALL SELECT 'status', status, {_EXPECTED_COUNTS} FROM r GROUP BY status
+UNION ALL SELECT 'tier', tier, {_EXPECTED_COUNTS} FROM r GROUP BY tier UNION ALL SELECT 'ensemble', ensemble, {_EXPECTED_COUNTS} FROM r GROUP BY ensemble
+UNION ALL SELECT 'missing', part, {_EXPECTED_COUNTS} FROM (SELECT *, unnest(list_distinct(missing)) AS part FROM r) GROUP BY part"""
+)
+def expected_tallies(spark, sf_dir):
+    """Counts of orders as pieces by lookup, tier, ensemble and missing line, and over all."""
+    c = F.col
+    back = load(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber", "l_returnflag").where("l_returnflag = 'R'")
+    lines_back = back.groupBy("l_orderkey").agg(F.collect_list(F.concat(F.lit("line "), c("l_linenumber").cast("string"))).alias("missing"))
+    both = load(spark, sf_dir, "orders").join(lines_back, c("o_orderkey") == c("l_orderkey"), "left")
+    tier = F.when(c("missing").isNull(), "complete").when(F.size("missing") < 3, "near_complete").otherwise("incomplete")
+    status = F.when(c("o_orderstatus") == "F", "matched").when(c("o_orderstatus") == "O", "ambiguous")
+    pieces = both.select(status.alias("lookup_status"), tier.alias("completeness_tier"), c("o_orderpriority").alias("ensemble"), "missing", c("missing").isNotNull().alias("needs_review"), F.when(c("o_custkey") % 13 == 0, "failed").alias("error"))
+    return reports.expected_tallies(pieces)
+
+
+_COLLECTION_COUNTS = """count(*) AS pieces, count(*) FILTER (tier = 'complete') AS complete, count(*) FILTER (review) AS to_review, count(*) FILTER (unscored) AS without_score, count(*) FILTER (len(codes) > 0) AS with_findings,
+  sum(documents)::BIGINT AS documents, sum(low)::BIGINT AS low_quality_documents, round(avg(score), 3) AS completeness"""
+
+
+@query(
+    f"""WITH i AS (SELECT l_suppkey, count(*) AS documents, count(*) FILTER (l_quantity < 5) AS low, list({{'label': 'p' || (l_partkey % 50), 'section': l_linestatus}}) FILTER (l_returnflag = 'R') AS parts FROM lineitem GROUP BY l_suppkey),
+r AS (SELECT CASE WHEN s_acctbal < 0 THEN 'high' WHEN s_suppkey % 3 = 0 THEN 'review' ELSE 'ok' END AS severity, CASE WHEN parts IS NULL THEN 'complete' ELSE 'incomplete' END AS tier, (s_suppkey % 8) / 8.0 AS score,
+  CASE WHEN s_acctbal < 0 THEN ['missing_score', 'unexpected_parts'] WHEN s_suppkey % 3 = 0 THEN ['unexpected_parts'] ELSE [] END AS codes, CASE WHEN low > 2 THEN 'poor' ELSE 'good' END AS band, '1.' || (s_nationkey % 2) AS version,
+  coalesce(parts, []) AS parts, coalesce(documents, 0) AS documents, coalesce(low, 0) AS low, s_acctbal < 0 OR s_suppkey % 3 = 0 AS review, s_acctbal < 0 AS unscored FROM supplier LEFT JOIN i ON l_suppkey = s_suppkey)
+SELECT 'all' AS dimension, NULL AS key, {_COLLECTION_COUNTS} FROM r UNION ALL SELECT 'severity', severity, {_COLLECTION_COUNTS} FROM r GROUP BY severity UNION ALL SELECT 'tier', tier, {_COLLECTION_COUNTS} FROM r GROUP BY tier
+UNION ALL SELECT 'band', band, {_COLLECTION_COUNTS} FROM r GROUP BY band UNION ALL SELECT 'version', version, {_COLLECTION_COUNTS} FROM r GROUP BY version
+UNION ALL SELECT 'reason', code, {_COLLECTION_COUNTS} FROM (SELECT *, unnest(codes) AS code FROM r) GROUP BY code
+UNION ALL SELECT 'missing', k, {_COLLECTION_COUNTS} FROM (SELECT *, unnest(list_distinct(list_transform(parts, lambda x: x.label))) AS k FROM r) GROUP BY k
+UNION ALL SELECT 'section', k, {_COLLECTION_COUNTS} FROM (SELECT *, unnest(list_distinct(list_transform(parts, lambda x: x.section))) AS k FROM r) GROUP BY k"""
+)
+def collection_tallies(spark, sf_dir):
+    """Counts of suppliers as pieces by severity, tier, reason, band, version, missing part and section, and over all."""
+    c = F.col
+    part = F.when(c("l_returnflag") == "R", F.struct(F.concat(F.lit("p"), (c("l_partkey") % 50).cast("string")).alias("label"), c("l_linestatus").alias("section")))
+    items = load(spark, sf_dir, "lineitem", "l_suppkey", "l_partkey", "l_quantity", "l_returnflag", "l_linestatus")
+    held = items.groupBy("l_suppkey").agg(F.count("*").alias("document_count"), F.count_if(c("l_quantity") < 5).alias("low_quality_count"), F.collect_set(part).alias("missing_required_parts"))
+    both = load(spark, sf_dir, "supplier").join(held, c("s_suppkey") == c("l_suppkey"), "left")
+    bad, odd = c("s_acctbal") < 0, c("s_suppkey") % 3 == 0
+    pieces = both.select(
+        F.when(bad, "high").when(odd, "review").otherwise("ok").alias("severity"), F.when(F.size("missing_required_parts") > 0, "incomplete").otherwise("complete").alias("completeness_tier"), (c("s_suppkey") % 8 / F.lit(8.0)).alias("completeness_score"),
+        F.when(bad, F.array(F.lit("missing_score"), F.lit("unexpected_parts"))).when(odd, F.array(F.lit("unexpected_parts"))).alias("reason_codes"), F.when(c("low_quality_count") > 2, "poor").otherwise("good").alias("worst_quality_band"),
+        F.concat(F.lit("1."), (c("s_nationkey") % 2).cast("string")).alias("record_version"), "missing_required_parts", "document_count", "low_quality_count", (bad | odd).alias("needs_review"), bad.alias("score_missing"),
+    )
+    return reports.collection_tallies(pieces)
+
+
 _REPORT_SQL = """WITH o AS (SELECT o_custkey, list({'label': lpad(o_orderkey::VARCHAR, 9, '0'), 'present': o_orderstatus = 'F'} ORDER BY o_orderkey) AS x FROM orders GROUP BY o_custkey),
 r AS (SELECT c_custkey, ['# Piece', '## Summary', '| piece_id | piece_folder | severity | completeness_tier | completeness_score |', '|---|---|---|---|---|', '| ' || c_custkey || ' | ' || c_name || ' | high | complete | 0.5 |',
   '## Expected parts', '| label | required | present |', '|---|---|---|'] || list_transform(x[1:200], lambda v: '| ' || v.label || ' | true | ' || CASE WHEN v.present THEN 'true' ELSE 'false' END || ' |') || CASE WHEN len(x) > 200 THEN ['(more rows not shown)'] ELSE [] END

@@ -6,6 +6,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from foliant.functions.numbers import percent, piece_order
 from foliant.functions.text import markdown_cell
@@ -202,6 +203,147 @@ def full_classification_report(records: DataFrame, most: int = 20, groups: int =
     return "\n".join(out)
 
 
+def _shares(head: str, field: str, counts: list[tuple], total: int, cap: int) -> list[str]:
+    """A table of values with their counts and shares of `total`."""
+    return _table(head, [field, "n", "percent"], [(k, n, round(100.0 * n / total, 1) if total else 0.0) for k, n in counts], cap)
+
+
+def _in_order(rows: list, field: str, known: list[str]) -> list[tuple]:
+    """(key, count) of the known keys, zeros included, then of the others as they come."""
+    counts = {r.key: r[field] for r in rows}
+    return [(k, counts.pop(k, 0)) for k in known] + list(counts.items())
+
+
+def quality_tallies(documents: DataFrame) -> DataFrame:
+    """Counts of scored documents by band, source of notation and issue, and over all, from one scan; `pages` of an issue
+    are those that it affects.
+
+    documents: pdf_path, piece_id, quality_score, quality_band, notation_source_type, page_count, issue_summary
+    map<string, pages>, top_issues; any of them null."""
+    by = {"band": F.array(F.coalesce("quality_band", F.lit("unknown"))), "source": F.array(F.coalesce("notation_source_type", F.lit("unknown"))), "issue": F.map_keys("issue_summary")}
+    pages = F.sum(F.when(F.col("dimension") == "issue", F.try_element_at("issue_summary", F.col("key"))).otherwise(F.col("page_count")))
+    return tallies(documents, by, {"documents": F.count("*"), "pages": pages.cast("long"), "unscored": F.count_if(F.col("quality_score").isNull())})
+
+
+def full_quality_report(documents: DataFrame, most: int = 200, groups: int = 1000) -> str:
+    """The whole report on scored documents: key figures, bands, sources of notation, issues, and the worst documents,
+    lowest score first and unscored ones before them. Two scans; only the rows that are shown come to the driver."""
+    of = _groups(quality_tallies(documents), F.when(F.col("dimension") == "issue", -F.col("pages")).otherwise(-F.col("documents")), groups)
+    total = next(iter(of("all")), Row(documents=0, pages=0, unscored=0))
+    out = ["# Quality", "", *_table("## At a glance", ["metric", "value"], [(k, total[k] or 0) for k in ("documents", "pages", "unscored")], 3)]
+    out += _shares("## Bands", "band", _in_order(of("band"), "documents", list(A.BANDS)), total.documents, groups)
+    out += _shares("## Notation", "source", [(r.key, r.documents) for r in of("source")], total.documents, groups)
+    out += _table("## Issues", ["issue", "pages", "documents"], [(r.key, r.pages, r.documents) for r in of("issue")], groups)
+    shown = ["pdf_path", "piece_id", "page_count", "quality_score", "quality_band", "notation_source_type", "top_issues"]
+    flat = documents.withColumn("top_issues", F.array_join("top_issues", ", "))
+    worst = foremost(flat, {"worst": (F.lit(True), F.col("quality_score"), F.lit(None))}, "pdf_path", shown, most).orderBy("rank").collect()
+    out += _table("## Worst first", shown, [tuple(r[f] for f in shown) for r in worst], most, total.documents)
+    return "\n".join(out)
+
+
+#: Tiers of completeness in the order of reports.
+TIERS = ["complete", "near_complete", "incomplete", "severely_incomplete", "unknown"]
+
+
+def expected_tallies(pieces: DataFrame) -> DataFrame:
+    """Counts of pieces with expected parts by status of the lookup, tier, ensemble and missing part, and over all, from
+    one scan; a piece counts once for a part that it lacks twice.
+
+    pieces: piece_id, catalog_number, piece_folder, lookup_status, completeness_tier, completeness_score, ensemble,
+    missing array<string> (labels of required parts that are not there), needs_review, error; any of them null."""
+    either = lambda c, other: F.array(F.coalesce(c, F.lit(other)))
+    by = {"status": either("lookup_status", "none"), "tier": either("completeness_tier", "unknown"), "ensemble": either("ensemble", "unknown"), "missing": F.array_distinct(F.array_compact("missing"))}
+    on = lambda x: F.count_if(F.coalesce(x, F.lit(False)))
+    measures = {
+        "pieces": F.count("*"),
+        "confident": on(F.col("lookup_status") == "matched"),
+        "complete": on(F.col("completeness_tier") == "complete"),
+        "to_review": on(F.col("needs_review")),
+        "errors": F.count("error"),
+        "missing_parts": F.coalesce(F.sum(F.greatest(F.size("missing"), F.lit(0))), F.lit(0)),
+    }
+    return tallies(pieces, by, measures)
+
+
+def _by_catalog(records: DataFrame, shown: list[str], most: int, on: Column | None = None) -> list[Row]:
+    """The first records by catalogue number, those without one last, then by folder."""
+    number = F.coalesce(F.col("catalog_number").try_cast("double"), F.lit(float("inf")))
+    return foremost(records, {"all": (F.lit(True) if on is None else on, number, F.col("piece_folder"))}, "piece_id", shown, most).orderBy("rank").collect()
+
+
+def full_expected_report(pieces: DataFrame, most: int = 500, groups: int = 1000) -> str:
+    """The whole report on expected parts: key figures, lookups, completeness, ensembles, what most pieces lack, and the
+    pieces one by one. Two scans; only the rows that are shown come to the driver."""
+    of = _groups(expected_tallies(pieces), -F.col("pieces"), groups)
+    figures = ["pieces", "confident", "complete", "to_review", "errors", "missing_parts"]
+    total = next(iter(of("all")), Row(**dict.fromkeys(figures, 0)))
+    out = ["# Expected parts", "", *_table("## At a glance", ["metric", "value"], [(k, total[k]) for k in figures], len(figures))]
+    out += _shares("## Lookups", "status", [(r.key, r.pieces) for r in of("status")], total.pieces, groups)
+    out += _shares("## Completeness", "tier", _in_order(of("tier"), "pieces", TIERS), total.pieces, groups)
+    out += _table("## Ensembles", ["ensemble", "pieces"], [(r.key, r.pieces) for r in of("ensemble")], groups)
+    out += _table("## Most missing", ["part", "pieces"], [(r.key, r.pieces) for r in of("missing")], 25, len(of("missing")))
+    shown = ["catalog_number", "piece_folder", "ensemble", "lookup_status", "completeness_tier", "completeness_score", "missing", "needs_review"]
+    rows = _by_catalog(pieces.withColumn("missing", F.array_join("missing", ", ")), shown, most)
+    out += _table("## Pieces", shown, [tuple(r[f] for f in shown) for r in rows], most, total.pieces)
+    return "\n".join(out)
+
+
+def collection_tallies(pieces: DataFrame) -> DataFrame:
+    """Counts of pieces by severity, tier, reason, worst band, version, missing part and missing section, and over all,
+    from one scan; `documents` are those of the pieces.
+
+    pieces: piece_id, catalog_number, piece_folder, severity, completeness_tier, completeness_score, reason_codes,
+    worst_quality_band, record_version, missing_required_parts array<struct<label, section>>, document_count,
+    low_quality_count, needs_review, score_missing; any of them null."""
+    either = lambda c: F.array(F.coalesce(c, F.lit("unknown")))
+    lacks = lambda field: F.array_distinct(F.array_compact(F.col("missing_required_parts")[field]))
+    by = {
+        "severity": either("severity"),
+        "tier": either("completeness_tier"),
+        "reason": F.array_distinct("reason_codes"),
+        "band": either("worst_quality_band"),
+        "version": either("record_version"),
+        "missing": lacks("label"),
+        "section": lacks("section"),
+    }
+    on = lambda x: F.count_if(F.coalesce(x, F.lit(False)))
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("long")
+    measures = {
+        "pieces": F.count("*"),
+        "complete": on(F.col("completeness_tier") == "complete"),
+        "to_review": on(F.col("needs_review")),
+        "without_score": on(F.col("score_missing")),
+        "with_findings": on(F.size("reason_codes") > 0),
+        "documents": total("document_count"),
+        "low_quality_documents": total("low_quality_count"),
+        "completeness": F.round(F.avg("completeness_score"), 3),
+    }
+    return tallies(pieces, by, measures)
+
+
+def full_collection_report(pieces: DataFrame, most: int = 50, groups: int = 1000) -> str:
+    """The whole dashboard of a collection: headline, distributions, reasons, missing parts and sections, versions, and the
+    pieces that want attention, the severe ones first. Two scans; only the rows that are shown come to the driver."""
+    of = _groups(collection_tallies(pieces), -F.col("pieces"), groups)
+    figures = ["pieces", "complete", "to_review", "without_score", "with_findings"]
+    total = next(iter(of("all")), Row(**dict.fromkeys(figures, 0), documents=0, low_quality_documents=0, completeness=None))
+    out = ["# Collection", "", *_shares("## Headline", "metric", [(k, total[k]) for k in figures], total.pieces, len(figures))]
+    out += _table("## Documents", ["metric", "value"], [("documents", total.documents), ("low quality", total.low_quality_documents), ("mean completeness", total.completeness)], 3)
+    known = {"severity": ["high", "review", "ok"], "tier": TIERS, "reason": list(A.REASONS), "band": list(A.BANDS)}
+    for head, dimension in (("Severity", "severity"), ("Completeness", "tier"), ("Reasons", "reason"), ("Worst band", "band")):
+        out += _shares(f"## {head}", dimension, _in_order(of(dimension), "pieces", known[dimension]), total.pieces, groups)
+    for head, dimension in (("Most missing parts", "missing"), ("Most missing sections", "section"), ("Versions", "version")):
+        out += _table(f"## {head}", [dimension, "pieces"], [(r.key, r.pieces) for r in of(dimension)], 25, len(of(dimension)))
+    shown = ["catalog_number", "piece_folder", "severity", "completeness_tier", "reason_codes"]
+    flat = pieces.withColumn("reason_codes", F.array_join("reason_codes", ", "))
+    number = F.coalesce(F.col("catalog_number").try_cast("double"), F.lit(float("inf")))
+    lists = {name: (F.coalesce(F.col("severity") == name, F.lit(False)), number, F.col("piece_folder")) for name in ("high", "review")}
+    rows = foremost(flat, lists, "piece_id", shown, most).orderBy("list", "rank").collect()
+    wanting = sum(r.pieces for r in of("severity") if r.key in lists)
+    out += _table("## Attention", shown, [tuple(r[f] for f in shown) for r in rows][:most], most, wanting)
+    return "\n".join(out)
+
+
 def expected_report(pieces: DataFrame, slots: DataFrame) -> str:
     tiers = _distribution(pieces, F.col("completeness_tier"), ["complete", "near_complete", "incomplete", "severely_incomplete", "unknown"])
     missing = slots.where("required and not present").groupBy("label").agg(F.countDistinct("piece_id").alias("pieces")).orderBy(F.desc("pieces"), "label")
@@ -248,7 +390,8 @@ def _table_lines(head: str, rows: Column, fields: list, most: int) -> Column:
 
 def piece_reports(pieces: DataFrame) -> DataFrame:
     """(piece_id, lines): the report of every piece, from its nested record, as piece_report() writes one; a null list
-    has no rows. Each is made where its record is, so there may be any number of them."""
+    has no rows. Each is made where its record is, so there may be any number of them. Score, quality and confidence
+    have sections where the record has their columns."""
     c = F.col
     head = F.array(F.struct("piece_id", "piece_folder", "severity", "completeness_tier", "completeness_score"))
     listed = lambda name: F.filter(c(name), lambda x: x.isNotNull())
@@ -259,6 +402,12 @@ def piece_reports(pieces: DataFrame) -> DataFrame:
         _table_lines("To do", listed("action_items"), ["reason_code", "action", ("targets", lambda x: shown_targets(x["targets"]))], 10),
         _table_lines("Documents", listed("documents"), ["pdf_filename", "quality_band"], 200),
     ]
+    for title, fields in (("Score", ("score_types", "has_score", "score_expected", "score_missing")), ("Quality findings", ("worst_quality_band", "quality_summary")), ("Confidence", ("identity_match_confidence", "review_counts", "needs_review"))):
+        there = [f for f in fields if f in pieces.columns]
+        if there:
+            nested = lambda f: isinstance(pieces.schema[f].dataType, (T.ArrayType, T.MapType, T.StructType))
+            rows = F.array(*[F.struct(F.lit(f).alias("field"), (F.to_json(f) if nested(f) else c(f).cast("string")).alias("value")) for f in there])
+            sections.append(_table_lines(title, rows, ["field", ("value", lambda x: F.coalesce(x["value"], F.lit("")))], len(there)))
     return pieces.select("piece_id", F.concat(*sections).alias("lines"))
 
 
