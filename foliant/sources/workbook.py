@@ -8,8 +8,10 @@ from xml.etree import ElementTree
 from xml.sax.saxutils import escape, quoteattr
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StringType
 
-from foliant.sources.sinks import write_bytes
+from foliant.sources.sinks import csv_cell, write_bytes
 
 MOST_ROWS = 1_048_575  #: rows that a sheet of this format can hold below its header
 WIDEST = 60  #: characters
@@ -44,26 +46,24 @@ def _cell(value, at: str, style: int) -> str:
     return f'<c r="{at}" s="{style}" t="inlineStr"><is><t xml:space="preserve">{escape(_text(value))}</t></is></c>'
 
 
-def _sheet(columns: list[str], rows: Iterable[tuple]) -> Iterator[str]:
-    widths, lines = [len(c) for c in columns], []
-    for n, row in enumerate(rows, 2):
-        for i, v in enumerate(row):
-            widths[i] = max(widths[i], len(_text(v)))
-        lines.append(f'<row r="{n}">' + "".join(_cell(v, f"{column_name(i)}{n}", 0) for i, v in enumerate(row)) + "</row>")
-    last = f"{column_name(len(columns) - 1)}{len(lines) + 1}"
+def _sheet(columns: list[str], rows: Iterable[tuple], longest: list[int], count: int) -> Iterator[str]:
+    """The parts of a sheet's text, row by row as `rows` gives them; longest: the longest cell of each column."""
+    widths = [min(WIDEST, max(len(c), w)) + 2 for c, w in zip(columns, longest, strict=True)]
+    last = f"{column_name(len(columns) - 1)}{count + 1}"
     yield f'{_HEAD}<worksheet xmlns="{_MAIN}"><sheetViews><sheetView workbookViewId="0"><pane ySplit="1" topLeftCell="A2" activePane="bottomLeft" state="frozen"/></sheetView></sheetViews><cols>'
-    yield "".join(f'<col min="{i}" max="{i}" width="{min(WIDEST, w) + 2}" customWidth="1"/>' for i, w in enumerate(widths, 1))
+    yield "".join(f'<col min="{i}" max="{i}" width="{w}" customWidth="1"/>' for i, w in enumerate(widths, 1))
     yield '</cols><sheetData><row r="1">' + "".join(_cell(c, f"{column_name(i)}1", 1) for i, c in enumerate(columns)) + "</row>"
-    yield from lines
+    for n, row in enumerate(rows, 2):
+        yield f'<row r="{n}">' + "".join(_cell(v, f"{column_name(i)}{n}", 0) for i, v in enumerate(row)) + "</row>"
     yield f'</sheetData><autoFilter ref="A1:{last}"/></worksheet>'
 
 
-def workbook_bytes(sheets: list[tuple[str, list[str], Iterable[tuple]]]) -> bytes:
-    """An XLSX file of (name, columns, rows): bold header rows that stay in view and filter, columns as wide as their
-    longest cell, up to WIDEST."""
+def workbook_bytes(sheets: list[tuple[str, list[str], Iterable[tuple], list[int], int]]) -> bytes:
+    """An XLSX file of (name, columns, rows, longest cells, count): bold header rows that stay in view and filter, columns
+    as wide as their longest cell, up to WIDEST. Rows are packed as they come; only the packed file is held."""
     numbers = range(1, len(sheets) + 1)
     parts = "".join(f'<Override PartName="/xl/worksheets/sheet{i}.xml" ContentType="application/vnd.openxmlformats-officedocument.spreadsheetml.worksheet+xml"/>' for i in numbers)
-    listed = "".join(f'<sheet name={quoteattr(name[:31])} sheetId="{i}" r:id="r{i}"/>' for i, (name, _, _) in zip(numbers, sheets, strict=True))
+    listed = "".join(f'<sheet name={quoteattr(name[:31])} sheetId="{i}" r:id="r{i}"/>' for i, (name, *_) in zip(numbers, sheets, strict=True))
     links = "".join(f'<Relationship Id="r{i}" Type="{_RELATIONS}/worksheet" Target="worksheets/sheet{i}.xml"/>' for i in numbers)
     files = {
         "[Content_Types].xml": f'<Types xmlns="{_PACKAGE}/content-types"><Default Extension="rels" ContentType="application/vnd.openxmlformats-package.relationships+xml"/><Default Extension="xml" ContentType="application/xml"/><Override PartName="/xl/workbook.xml" ContentType="application/vnd.openxmlformats-officedocument.spreadsheetml.sheet.main+xml"/><Override PartName="/xl/styles.xml" ContentType="application/vnd.openxmlformats-officedocument.spreadsheetml.styles+xml"/>{parts}</Types>',
@@ -76,20 +76,32 @@ def workbook_bytes(sheets: list[tuple[str, list[str], Iterable[tuple]]]) -> byte
     with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
         for path, body in files.items():
             z.writestr(path, _HEAD + body)
-        for i, (_, columns, rows) in zip(numbers, sheets, strict=True):
-            z.writestr(f"xl/worksheets/sheet{i}.xml", "".join(_sheet(columns, rows)))
+        for i, (_, *sheet) in zip(numbers, sheets, strict=True):
+            with z.open(f"xl/worksheets/sheet{i}.xml", "w") as entry:
+                for text in _sheet(*sheet):
+                    entry.write(text.encode())
     return out.getvalue()
 
 
+def _measured(df: DataFrame) -> list[int]:
+    """The number of rows, and the length of the longest cell of each column."""
+    plain = df.toDF(*[f"c{i}" for i in range(len(df.columns))])
+    kind = lambda t: "string" if isinstance(t, ArrayType) and not isinstance(t.elementType, StringType) else t.typeName()
+    cells = [csv_cell(F.col(f.name).cast("string") if kind(f.dataType) == "string" else F.col(f.name), kind(f.dataType)) for f in plain.schema]
+    count, *longest = plain.agg(F.count("*"), *[F.coalesce(F.max(F.length(c)), F.lit(0)) for c in cells]).first()
+    return [count, *longest]
+
+
 def write_workbook(tables: dict[str, DataFrame], path: str, spark: SparkSession) -> None:
     """Tables as the sheets of one workbook. The format holds MOST_ROWS rows a sheet: a larger table is an error, not cut
-    off. An empty one has the placeholder."""
+    off, and is found by counting before any row comes to the driver; rows then come a partition at a time. An empty
+    table has the placeholder."""
     sheets = []
     for name, df in tables.items():
-        rows = [tuple(r) for r in df.limit(MOST_ROWS + 1).collect()]
-        if len(rows) > MOST_ROWS:
+        count, *longest = _measured(df)
+        if count > MOST_ROWS:
             raise ValueError(f"{name}: more rows than a sheet holds")
-        sheets.append((name, df.columns if rows else ["note"], rows or [(EMPTY,)]))
+        sheets.append((name, df.columns, map(tuple, df.toLocalIterator()), longest, count) if count else (name, ["note"], [(EMPTY,)], [len(EMPTY)], 1))
     write_bytes(workbook_bytes(sheets), path, spark)
 
 

@@ -59,3 +59,19 @@ def test_piece_sections(spark):
     got = {r.piece_id: r.lines for r in reports.piece_reports(df).collect()}
     assert {'| score_types | ["full"] |', "| score_missing | false |", "| worst_quality_band | fair |", '| review_counts | {"low":2} |', "| needs_review | true |"} <= set(got[1])
     assert "| score_types |  |" in got[2] and got[2].count("## Confidence") == 1
+
+
+def test_workbook_sheets_come_a_partition_at_a_time(spark, tmp_path, monkeypatch):
+    import pytest
+
+    from foliant.sources import workbook as B
+
+    df = spark.range(0, 1000, 1, 8).selectExpr("id", "repeat('x', cast(id % 7 as int)) as t", "array(id, id + 1) as a", "array('u', t) as b", "id % 2 = 0 as even", "cast(null as double) as none")
+    B.write_workbook({"rows": df, "empty": df.limit(0)}, f"{tmp_path}/w.xlsx", spark)
+    content = open(f"{tmp_path}/w.xlsx", "rb").read()
+    got = B.read_workbook(content)
+    assert got["rows"][0] == ["id", "t", "a", "b", "even", "none"] and len(got["rows"]) == 1001 and got["rows"][6] == ["5", "xxxxx", "5; 6", "u; xxxxx", "False", ""]
+    assert [r[0] for r in got["rows"][1:]] == [str(i) for i in range(1000)] and got["empty"] == [["note"], [B.EMPTY]]
+    monkeypatch.setattr(B, "MOST_ROWS", 999)
+    with pytest.raises(ValueError):
+        B.write_workbook({"rows": df}, f"{tmp_path}/x.xlsx", spark)
