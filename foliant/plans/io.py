@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from foliant.plans import reports
 from foliant.plans.registry import query
-from foliant.plans.tables import load
+from foliant.plans.tables import load, tasks_for
 from foliant.sources import readers, sinks
 from foliant.sources.scratch import new_folder
 
@@ -775,5 +775,7 @@ def raster_skew(spark, sf_dir):
                 out.append(g.tobytes())
             yield pd.DataFrame({"p_partkey": batch["p_partkey"], "raster": out, "width": 60, "height": 60})
 
-    rows = load(spark, sf_dir, "part").select("p_partkey", (F.col("p_size") % 11).cast("int").alias("n"))
+    parts = load(spark, sf_dir, "part", "p_partkey", "p_size")
+    rows = parts.select("p_partkey", (F.col("p_size") % 11).cast("int").alias("n"))
+    rows = rows.repartition(tasks_for(parts, 10_000), "p_partkey")  # a small file, a large job
     return skew_angles(rows.mapInPandas(drawn, "p_partkey long, raster binary, width int, height int"), "p_partkey")

@@ -218,3 +218,18 @@ def test_pages_of_a_long_file(spark, tmp_path):
     rows = {(r.path.rsplit("/")[-1], r.page_num): (r.processing_status, r.error_message, r.text) for r in df.collect()}
     want = {("long.PDF", i + 1): ("error", f"damaged p{i}", None) if i in (7, 40) else ("success", None, f"p{i}") for i in range(95)}
     assert rows == want | {("bad.pdf", None): ("error", "no pages", None)}
+
+
+def test_rasters_of_a_batch_at_once(spark, sf, monkeypatch):
+    import numpy as np
+
+    from foliant.operators import geometry as G
+    from foliant.plans import registry
+
+    rng = np.random.default_rng(3)
+    raws = [None, b"", *[np.where(rng.random((9, 7)) < d, rng.integers(0, 99, (9, 7)), 255).astype(np.uint8).tobytes() for d in (0, 0.02, 0.05, 0.1, 0.3) * 30]]
+    monkeypatch.setattr(G, "TOGETHER", 400)
+    found = G.least_rectangle_angles(raws, 7, 9)
+    assert found == [G.least_rectangle_angle(r, 7, 9) for r in raws] and None in found and len(set(found)) > 20
+    # a small file is dealt out before its rasters are measured
+    assert registry.queries()["raster_skew"](spark, sf).rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
