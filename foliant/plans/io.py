@@ -733,24 +733,23 @@ def full_dashboard(spark, sf_dir):
 )
 def paged_reader(spark, sf_dir):
     """Pages of files, a file read by several tasks, damaged pages as rows."""
-    from foliant.sources.paged import register_pages
+    from foliant.sources.paged import line_starts, read_lines, register_pages
 
     folder = new_folder(spark, "paged")
     rows = load(spark, sf_dir, "customer").select("c_nationkey", "c_custkey", F.concat_ws("|", "c_custkey", "c_name").alias("line"))
     rows.repartition(8, "c_nationkey").sortWithinPartitions("c_nationkey", "c_custkey").select("c_nationkey", "line").write.partitionBy("c_nationkey").text(folder)
 
-    def lines_of(path):
-        with open(path.removeprefix("file://").removeprefix("file:")) as f:  # an injected reader brings its own access
-            return f.read().splitlines()
+    def local(path):
+        return path.removeprefix("file://").removeprefix("file:")  # an injected reader brings its own access
 
     def read(path, first, last):
-        for line in lines_of(path)[first:last]:
+        for line in read_lines(local(path), first, last):
             number, name = line.split("|")
             if int(number) % 9 == 0:
                 raise ValueError(f"page {number}")
             yield {"text": name}
 
-    register_pages(spark, "foliant_pages", lambda path: len(lines_of(path)), read, "text string")
+    register_pages(spark, "foliant_pages", lambda path: len(line_starts(local(path))) - 1, read, "text string")
     pages = spark.read.format("foliant_pages").option("path", folder).option("ending", ".txt").option("pagesPerTask", 20).load()
     return pages.select(F.regexp_extract("path", "c_nationkey=([0-9]+)", 1).cast("int").alias("file"), "page_num", "processing_status", "error_message", "text")
 

@@ -1,13 +1,16 @@
-"""A data source of pages: a file is read by as many tasks as it has ranges of pages, so a very long one isn't one task.
+"""A data source of pages: a file is read in ranges of pages, dealt over tasks, so a very long one isn't one task.
 
     register_pages(spark, "pages", count, read, "text string")
     spark.read.format("pages").option("path", folder).option("pagesPerTask", 50).load()
 """
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Iterable, Iterator
+from functools import lru_cache
 from typing import Any
 
+import numpy as np
 from pyspark.sql import SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
@@ -16,15 +19,79 @@ from foliant.sources.calls import called
 
 PAGES_PER_TASK = 32
 COUNTED_AT_ONCE = 16  #: files whose pages the driver counts at a time
+TASKS = 1024  #: tasks at most; where there are more ranges, a task reads several
 FIXED = "path string, page_num int, processing_status string, error_message string"
 
 
-class PageRange(InputPartition):
-    """Pages `first` up to `last`, from 0, of a file; or the error that counting its pages gave."""
+class PageRanges(InputPartition):
+    """Ranges of pages that a task reads: the file, its pages `first` up to `last`, from 0, and the error that counting
+    them gave."""
+
+    def __init__(self, ranges: list[tuple[str, int, int, str | None]]):
+        super().__init__(ranges[0][:3])
+        self.ranges = ranges
+
+
+@lru_cache(maxsize=16)
+def _line_starts(path: str, size: int, changed: int) -> np.ndarray:
+    found, at = [np.zeros(1, np.int64)], 0
+    with open(path, "rb") as f:
+        while chunk := f.read(1 << 20):
+            found.append(np.flatnonzero(np.frombuffer(chunk, np.uint8) == 10) + (at + 1))
+            at += len(chunk)
+    out = np.concatenate(found)
+    return out if out[-1] == size else np.append(out, size)
+
+
+def line_starts(path: str) -> np.ndarray:
+    """Where a local text file's lines start, and its size; a process goes through a file once, while it stays as it is."""
+    told = os.stat(path)
+    return _line_starts(path, told.st_size, told.st_mtime_ns)
+
+
+def read_lines(path: str, first: int, last: int) -> list[str]:
+    """Lines `first` up to `last`, from 0, of a local text file; no others are read."""
+    starts = line_starts(path)
+    at, end = (int(starts[min(n, len(starts) - 1)]) for n in (first, last))
+    with open(path, "rb") as f:
+        f.seek(at)
+        text = f.read(end - at)
+    return [line.decode() for line in text.removesuffix(b"\n").split(b"\n")] if text else []
+
+
+def pages_of(read: Callable[[str, int, int], Iterable], path: str, first: int, last: int) -> Iterator[tuple[int, Any, str | None]]:
+    """(page, what was read, error) of a range. A damaged page costs a read of its own and one of the pages behind it,
+    not one of every page, as long as the reader gives the pages before it first."""
+
+    def alone(at: int) -> tuple[int, Any, str | None]:
+        try:
+            return at, next(iter(read(path, at, at + 1))), None
+        except Exception as e:  # noqa: BLE001  one page's failure is its row's
+            return at, None, str(e) or type(e).__name__
+
+    at = first
+    while at < last:
+        held, ended = [], False
+        try:
+            for page in read(path, at, last):
+                held.append(page)
+            ended = True
+        except Exception:  # noqa: BLE001  the page that fails is found below
+            pass
+        good = len(held) == last - at if ended else len(held) < last - at
+        if good:
+            yield from ((at + n, page, None) for n, page in enumerate(held))
+            at += len(held)
+        if ended and good:
+            return
+        found = alone(at)
+        yield found
+        at += 1
+        if not good or (not held and found[2] is None):  # the range says nothing of its pages
+            yield from map(alone, range(at, last))
+            return
+
 
-    def __init__(self, path: str, first: int, last: int, error: str | None = None):
-        super().__init__((path, first, last))
-        self.path, self.first, self.last, self.error = path, first, last, error
 
 
 def listed(folder: str, ending: str) -> list[str]:
@@ -40,8 +107,8 @@ def listed(folder: str, ending: str) -> list[str]:
 def register_pages(spark: SparkSession, name: str, count: Callable[[str], int], read: Callable[[str, int, int], Iterable[dict[str, Any]]], fields: str) -> None:
     """Make spark.read.format(name) a source of pages: rows of path, page_num (from 1), processing_status, error_message
     and `fields`. count(path) gives a file's pages, read(path, first, last) the fields of those pages, in order; both
-    are injected. Where a range can't be read, its pages are read one by one, and those that fail are rows of status
-    `error`; so is a file whose pages can't be counted, without a page number. A file without pages has no rows.
+    are injected. Where a page of a range can't be read, it is read alone, and if it fails again it is a row of status
+    `error` (pages_of()); so is a file whose pages can't be counted, without a page number. A file without pages has no rows.
     Options: path, ending (all files), pagesPerTask."""
     schema = T._parse_datatype_string(f"{FIXED}, {fields}")
     names = schema.names[4:]
@@ -51,30 +118,23 @@ def register_pages(spark: SparkSession, name: str, count: Callable[[str], int],
             self.folder, self.ending = options["path"], options.get("ending", "")
             self.size = int(options.get("pagesPerTask", PAGES_PER_TASK))
 
-        def partitions(self) -> list[PageRange]:
+        def partitions(self) -> list[PageRanges]:
             out = []
             for path, pages, status in called(listed(self.folder, self.ending), count, width=COUNTED_AT_ONCE, ordered=True):
                 if pages is None:
-                    out.append(PageRange(path, 0, 0, status))
+                    out.append((path, 0, 0, status))
                 else:
-                    out += [PageRange(path, at, min(at + self.size, pages)) for at in range(0, pages, self.size)]
-            return out
-
-        def read(self, part: PageRange) -> Iterator[tuple]:
-            if part.error:
-                yield (part.path, None, "error", part.error.removeprefix("error: "), *[None] * len(names))
-                return
-            try:
-                found = list(read(part.path, part.first, part.last))
-                whole = len(found) == part.last - part.first
-            except Exception:  # noqa: BLE001  the page that fails is found below
-                whole = False
-            for at in range(part.first, part.last):
-                try:
-                    page = found[at - part.first] if whole else next(iter(read(part.path, at, at + 1)))
-                    yield (part.path, at + 1, "success", None, *[page.get(n) for n in names])
-                except Exception as e:  # noqa: BLE001  one page's failure is its row's
-                    yield (part.path, at + 1, "error", str(e) or type(e).__name__, *[None] * len(names))
+                    out += [(path, at, min(at + self.size, pages), None) for at in range(0, pages, self.size)]
+            each = -(-len(out) // TASKS)
+            return [PageRanges(out[at : at + each]) for at in range(0, len(out), each)] if out else []
+
+        def read(self, part: PageRanges) -> Iterator[tuple]:
+            for path, first, last, error in part.ranges:
+                if error:
+                    yield (path, None, "error", error.removeprefix("error: "), *[None] * len(names))
+                for at, page, failed in pages_of(read, path, first, last):
+                    values = [None] * len(names) if failed is not None else [page.get(n) for n in names]
+                    yield (path, at + 1, "success" if failed is None else "error", failed, *values)
 
     class Pages(DataSource):
         @classmethod

@@ -233,3 +233,33 @@ def test_rasters_of_a_batch_at_once(spark, sf, monkeypatch):
     assert found == [G.least_rectangle_angle(r, 7, 9) for r in raws] and None in found and len(set(found)) > 20
     # a small file is dealt out before its rasters are measured
     assert registry.queries()["raster_skew"](spark, sf).rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+
+
+def test_damaged_pages_cost_few_reads(spark, tmp_path):
+    from foliant.sources import paged
+
+    calls = []
+
+    def read(path, first, last):
+        calls.append((first, last))
+        for at in range(first, last):
+            if at in (7, 13):
+                raise ValueError(f"damaged {at}")
+            yield at
+
+    assert list(paged.pages_of(read, "x", 0, 20)) == [(at, None, f"damaged {at}") if at in (7, 13) else (at, at, None) for at in range(20)]
+    assert calls == [(0, 20), (7, 8), (8, 20), (13, 14), (14, 20)]
+    eager = lambda path, first, last: [p for _, p, e in paged.pages_of(read, path, first, last)] if first not in (7, 13) and last - first < 2 else 1 / 0
+    assert [e is None for _, _, e in paged.pages_of(eager, "x", 0, 20)] == [at not in (7, 13) for at in range(20)]
+    few = lambda path, first, last: [at for at in range(first, last) if at != 3]
+    assert [(p, e) for _, p, e in paged.pages_of(few, "x", 0, 6)] == [(0, None), (1, None), (2, None), (None, "StopIteration"), (4, None), (5, None)]
+    file = tmp_path / "lines.txt"
+    for text in ("", "a", "a\n", "\n", "a\n\nb\u00e9\nc", "x\n" * 2500):
+        file.write_text(text)
+        lines = text.removesuffix("\n").split("\n") if text else []
+        assert len(paged.line_starts(str(file))) - 1 == len(lines)
+        assert all(paged.read_lines(str(file), a, b) == lines[a:b] for a, b in ((0, 1), (0, 9), (1, 3), (2, 2), (3, 4), (90, 99)))
+    paged.register_pages(spark, "many_ranges", lambda path: len(paged.line_starts(path)) - 1, lambda path, a, b: ({"text": x} for x in paged.read_lines(path, a, b)), "text string")
+    df = spark.read.format("many_ranges").option("path", str(tmp_path)).option("pagesPerTask", 1).load()
+    assert 800 < df.rdd.getNumPartitions() <= paged.TASKS
+    assert [r.page_num for r in df.select("page_num").sort("page_num").collect()] == list(range(1, 2501))
