@@ -43,8 +43,11 @@ def first_non_empty(df: DataFrame, key: str, position: str, text: str) -> DataFr
     return df.where(blank_to_null(F.col(text)).isNotNull()).groupBy(key).agg(F.min_by(text, position).alias(text))
 
 
-def lookup(left: DataFrame, right: DataFrame, keys: list[str], position: str | None = None, last: bool = True) -> DataFrame:
-    """left, with the columns of the last (or first) row of its key on the right; each left row once."""
+def lookup(left: DataFrame, right: DataFrame, keys: list[str], position: str | None = None, last: bool = True, tasks: int | None = None) -> DataFrame:
+    """left, with the columns of the last (or first) row of its key on the right; each left row once. Both sides are
+    dealt to `tasks` tasks by the keys, if that is given, else to as many as Spark thinks fit."""
+    if tasks:
+        left, right = left.repartition(tasks, *keys), right.repartition(tasks, *keys)
     side = right if position is None else one_per_key(right, keys, F.desc(position) if last else F.asc(position)).drop(position)
     return left.join(side, keys, "left")
 

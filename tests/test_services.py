@@ -263,3 +263,17 @@ def test_damaged_pages_cost_few_reads(spark, tmp_path):
     df = spark.read.format("many_ranges").option("path", str(tmp_path)).option("pagesPerTask", 1).load()
     assert 800 < df.rdd.getNumPartitions() <= paged.TASKS
     assert [r.page_num for r in df.select("page_num").sort("page_num").collect()] == list(range(1, 2501))
+
+
+@pytest.mark.parametrize("name", ["page_text_join"])
+def test_tasks_follow_the_number_of_rows(spark, sf, monkeypatch, name):
+    """What is sorted by document or piece is dealt to a number of tasks that grows with the table."""
+    from foliant.plans import links, pieces, registry, tables
+
+    for module in (links, pieces):
+        monkeypatch.setattr(module, "tasks_for", lambda table: tables.tasks_for(table, 50))
+    df = registry.queries()[name](spark, sf)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    by_row = [x for x in re.findall(r"hashpartitioning\(([^)]*)\), (\w+)", plan) if "l_partkey" not in x[0] and "p_partkey" not in x[0]]
+    counts = {int(re.search(r"(\d+)$", keys)[1]) for keys, _ in by_row}
+    assert counts == {tables.tasks_for(spark.read.parquet(f"{sf}/lineitem.parquet"), 50)} and min(counts) > 100
