@@ -18,7 +18,7 @@ from foliant.operators.selection import summarised
 from foliant.operators.substring_index import indexed_search as search_index
 from foliant.operators.substring_index import write_index
 from foliant.plans.registry import query
-from foliant.plans.tables import load
+from foliant.plans.tables import load, tasks_for
 from foliant.sources.scratch import new_folder
 
 #: A customer as a piece: what its orders and line items lack.
@@ -296,11 +296,12 @@ _SLOT_SQL = """slots AS (SELECT l_orderkey AS piece_id, row_number() OVER (PARTI
 
 
 def _slots_and_held(spark, sf_dir):
-    """Line items as slots, and those that came back not as held parts."""
+    """Line items as slots, and those that came back not as held parts; and how many tasks to deal them to."""
     from pyspark.sql import Window as W
 
     items = load(spark, sf_dir, "lineitem", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_returnflag")
-    both = items.join(load(spark, sf_dir, "part", "p_partkey", "p_type", "p_size"), F.col("l_partkey") == F.col("p_partkey"))
+    tasks = tasks_for(items)
+    both = items.join(load(spark, sf_dir, "part", "p_partkey", "p_type", "p_size"), F.col("l_partkey") == F.col("p_partkey")).repartition(tasks, "l_orderkey")
     n = F.row_number().over(W.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey"))
     role, none = F.lit("section").alias("role"), F.lit(None).cast("string").alias("transposition")
     base = [F.col("l_orderkey").alias("piece_id"), F.col("p_type").alias("canonical")]
@@ -308,7 +309,7 @@ def _slots_and_held(spark, sf_dir):
     slots = both.select(*base, (n - 1).alias("pos"), F.when(size != 0, size).alias("part_index"), role, none)
     index = F.when(F.col("p_size") % 2 == 0, 1 + F.col("l_linenumber") % 2)
     held = both.where("l_returnflag <> 'R'").select(*base, n.alias("part"), index.alias("part_index"), role, none)
-    return slots, held
+    return slots, held, tasks
 
 
 @query(
@@ -318,8 +319,8 @@ SELECT s.piece_id, s.pos::INT AS slot, h.part::INT AS part FROM s JOIN h ON h.pi
 )
 def slot_index_match(spark, sf_dir):
     """Slots and held parts of the same chair, the first with the first."""
-    slots, held = _slots_and_held(spark, sf_dir)
-    return R.exact_index_matches(slots.withColumnRenamed("pos", "slot"), held).select("piece_id", "slot", "part")
+    slots, held, tasks = _slots_and_held(spark, sf_dir)
+    return R.exact_index_matches(slots.withColumnRenamed("pos", "slot"), held, tasks=tasks).select("piece_id", "slot", "part")
 
 
 @query(
@@ -331,9 +332,9 @@ AND NOT (part_index IS NOT NULL AND EXISTS (SELECT 1 FROM slots o WHERE o.piece_
 )
 def unexpected_parts(spark, sf_dir):
     """Held parts that no slot took."""
-    slots, held = _slots_and_held(spark, sf_dir)
+    slots, held, tasks = _slots_and_held(spark, sf_dir)
     slots = slots.withColumnRenamed("pos", "slot")
-    return R.unexpected(held, R.exact_index_matches(slots, held), slots).select("piece_id", "part", "canonical")
+    return R.unexpected(held, R.exact_index_matches(slots, held, tasks=tasks), slots, tasks=tasks).select("piece_id", "part", "canonical")
 
 
 #: Both passes of the matching for pieces without keys, roles or stand-ins. Parts come in the order of the first part of
@@ -363,7 +364,7 @@ AND NOT (h.part_index IS NOT NULL AND EXISTS (SELECT 1 FROM slots o WHERE o.piec
 )
 def slot_greedy_match(spark, sf_dir):
     """Both passes of the matching over every order, order-dependent."""
-    slots, held = _slots_and_held(spark, sf_dir)
+    slots, held, tasks = _slots_and_held(spark, sf_dir)
     key = F.col("piece_id").cast("string").alias("piece_id")
     s = slots.select(key, "pos", "canonical", "part_index", F.col("canonical").alias("label"), "role", "transposition")
     h = held.select(key, F.col("part").cast("string").alias("part"), F.col("part").alias("pos"), "canonical", "part_index", F.col("canonical").alias("label"), F.lit(None).cast("string").alias("clef"), "transposition", "role")

@@ -265,7 +265,7 @@ def test_damaged_pages_cost_few_reads(spark, tmp_path):
     assert [r.page_num for r in df.select("page_num").sort("page_num").collect()] == list(range(1, 2501))
 
 
-@pytest.mark.parametrize("name", ["page_text_join"])
+@pytest.mark.parametrize("name", ["page_text_join", "slot_index_match", "unexpected_parts"])
 def test_tasks_follow_the_number_of_rows(spark, sf, monkeypatch, name):
     """What is sorted by document or piece is dealt to a number of tasks that grows with the table."""
     from foliant.plans import links, pieces, registry, tables
