@@ -24,8 +24,9 @@ SUPPORT = 100
 LONGEST = 5  #: words of a phrase
 TOP = 2000  #: phrases of a language's report
 BITS = 24  #: of a bucket's number
-BLOCK = 1 << 21  #: bytes of texts that are gone through at once; a piece may be longer
-HELD = 300_000  #: phrases whose counts a task holds before it passes them on
+BLOCK = 1 << 20  #: bytes of texts that are gone through at once; a piece may be longer
+HELD = 150_000  #: phrases whose counts a task holds before it passes them on
+BATCH = 1 << 16  #: rows that a task passes on at once
 _BASE, _WORD_BASE, _CHECK_BASE = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93, 0x85EBCA6B  #: odd
 _WORD_INVERSE, _CHECK_INVERSE = pow(_WORD_BASE, -1, 1 << 64), pow(_CHECK_BASE, -1, 1 << 32)
 _MIX = np.uint64(0xFF51AFD7ED558CCD)
@@ -125,12 +126,16 @@ def lang_seed(lang: str) -> int:
     return int.from_bytes(lang.encode("utf-8", "surrogatepass")[:64].ljust(8, b"\0"), "big") * _BASE % (1 << 64)
 
 
-def _rows(counts: dict[tuple[str, bytes], list[int]]) -> pa.RecordBatch:
-    keys, found = list(counts), list(counts.values())
-    return pa.RecordBatch.from_arrays(
-        [pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.string()), pa.array([x[1] for x in found], pa.int64()), pa.array([x[0] for x in found], pa.int64())],
-        ["lang", "phrase", "bucket", "n"],
-    )
+def _rows(counts: dict[str, dict[bytes, int]]) -> Iterator[pa.RecordBatch]:
+    """Counts by language and phrase, each in one number with its bucket, n << BITS | bucket; what is passed on is let go."""
+    while counts:
+        lang, own = counts.popitem()
+        keys, packed = list(own), np.fromiter(own.values(), np.int64, len(own))
+        own.clear()
+        for at in range(0, len(keys), BATCH):
+            n = packed[at : at + BATCH]
+            langs = pa.array([lang], pa.string()).take(pa.array(np.zeros(len(n), np.int32)))
+            yield pa.RecordBatch.from_arrays([langs, pa.array(keys[at : at + BATCH], pa.string()), pa.array(n & (1 << BITS) - 1), pa.array(n >> BITS)], ["lang", "phrase", "bucket", "n"])
 
 
 def one_pass(texts: DataFrame, k: int, shorter: Broadcast | None, allowed: Broadcast | None, longest: int = LONGEST) -> DataFrame:
@@ -147,7 +152,8 @@ def one_pass(texts: DataFrame, k: int, shorter: Broadcast | None, allowed: Broad
         return inside, h, check
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: dict[tuple[str, bytes], list[int]] = {}
+        counts: dict[str, dict[bytes, int]] = {}
+        held = added = 0
         hits = np.zeros(1 << BITS, np.uint32) if k < longest else None
         for lang, parts in _blocks(batches):
             block = Block(parts, lang_seed(lang))
@@ -158,25 +164,25 @@ def one_pass(texts: DataFrame, k: int, shorter: Broadcast | None, allowed: Broad
                 other = check[left] != check[left][first][back]
                 if other.any():
                     n = np.bincount(back[~other], minlength=len(first))
-                of = left[first]
+                of, own = left[first], counts.setdefault(lang, {})
+                held -= len(own)
                 for start, end, b, m in zip(block.starts[of].tolist(), block.ends[of + k - 1].tolist(), bucket(h[of]).tolist(), n.tolist(), strict=True):
-                    key = (lang, block.phrase(start, end))
-                    if key in counts:
-                        counts[key][0] += m
-                    else:
-                        counts[key] = [m, b]
+                    key = block.phrase(start, end)
+                    own[key] = own[key] + (m << BITS) if key in own else m << BITS | b
+                held += len(own)
                 left = left[other]
             if hits is not None:
                 inside, longer, _ = block.grams(k + 1)
                 inside &= good[: len(longer)] & good[1 : 1 + len(longer)]
                 np.add.at(hits, bucket(longer[inside]), 1)
-                if hits.max() > 1 << 31:
+                added += int(inside.sum())
+                if added > 1 << 31:
                     yield from _bucket_rows(hits)
-                    hits[:] = 0
-            if len(counts) > HELD:
-                yield _rows(counts)
-                counts = {}
-        yield _rows(counts)
+                    hits[:], added = 0, 0
+            if held > HELD:
+                yield from _rows(counts)
+                held = 0
+        yield from _rows(counts)
         if hits is not None:
             yield from _bucket_rows(hits)
 
@@ -185,8 +191,8 @@ def one_pass(texts: DataFrame, k: int, shorter: Broadcast | None, allowed: Broad
 
 def _bucket_rows(hits: np.ndarray) -> Iterator[pa.RecordBatch]:
     """The buckets that were hit, and how often."""
-    for at in range(0, len(hits), 1 << 20):
-        own = np.flatnonzero(hits[at : at + (1 << 20)])
+    for at in range(0, len(hits), BATCH):
+        own = np.flatnonzero(hits[at : at + BATCH])
         if len(own):
             none = pa.nulls(len(own), pa.string())
             yield pa.RecordBatch.from_arrays([none, none, pa.array(own + at), pa.array(hits[own + at].astype(np.int64))], ["lang", "phrase", "bucket", "n"])

@@ -221,6 +221,20 @@ def test_collocations(spark, monkeypatch, bits, held, block):
         assert check_collocations(spark, rows, support=support, longest=longest, top=top)
 
 
+def test_collocations_pass_on_small_batches():
+    """What a task hands to the JVM at once doesn't grow with the number of buckets or phrases."""
+    from foliant.llm import collocations as C
+
+    hits = np.ones(1 << 19, np.uint32)
+    sizes = [b.num_rows for b in C._bucket_rows(hits)]
+    assert sum(sizes) == len(hits) and max(sizes) <= 1 << 16
+    counts = {"en": {b"w%d" % i: i << C.BITS | i % 9 for i in range(1, 100_000)}, "fr": {b"x": 1 << 31 << C.BITS | 5}}
+    batches = list(C._rows(counts))
+    assert max(b.num_rows for b in batches) <= 1 << 16 and not any(counts.values())
+    rows = {(r["lang"], r["phrase"], r["bucket"], r["n"]) for b in batches for r in b.to_pylist()}
+    assert rows == {("en", f"w{i}", i % 9, i) for i in range(1, 100_000)} | {("fr", "x", 5, 1 << 31)}
+
+
 def test_collocations_of_nothing(spark):
     assert not check_collocations(spark, [], support=2, longest=3, top=9)
     assert not check_collocations(spark, [(1, None, None, None)], support=2, longest=3, top=9)
