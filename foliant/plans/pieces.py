@@ -368,7 +368,7 @@ def slot_greedy_match(spark, sf_dir):
     key = F.col("piece_id").cast("string").alias("piece_id")
     s = slots.select(key, "pos", "canonical", "part_index", F.col("canonical").alias("label"), "role", "transposition")
     h = held.select(key, F.col("part").cast("string").alias("part"), F.col("part").alias("pos"), "canonical", "part_index", F.col("canonical").alias("label"), F.lit(None).cast("string").alias("clef"), "transposition", "role")
-    return R.reconcile(s, h)
+    return R.reconcile(s, h, tasks=tasks)
 
 
 #: Instruments that stand for one another where an order asks for one of them alone, and the usual key of one.

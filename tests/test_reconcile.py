@@ -142,6 +142,31 @@ def test_a_piece_of_many_parts(spark):
     assert [tuple(r) for r in rows] == [("slot", True, n)]
 
 
+def test_structs_are_converted_a_field_at_a_time(monkeypatch):
+    """Slots and parts reach the matching without an Arrow scalar for each value, which cost more than the matching."""
+    import pyarrow as pa
+
+    slot = pa.struct([("n", pa.int32()), ("canonical", pa.string()), ("part_index", pa.int64()), ("label", pa.string()), ("role", pa.string()), ("transposition", pa.string())])
+    facet = pa.struct([*[(n, pa.int32() if n in ("pos", "part_index") else pa.string()) for n in R.PART_FIELDS], ("stands", pa.string())])
+    one = lambda n, i: {"n": n, "canonical": "a", "part_index": i, "label": None, "role": "section", "transposition": None}
+    held = lambda part, i, name: {"pos": i, "part": part, "canonical": name, "part_index": i, "label": "x", "clef": None, "transposition": "F", "role": None, "stands": None}
+    rows = [("p", [one(0, None), one(1, 2)], [[held("x", None, "a"), held("x", 1, "b")], [held("y", 2, "a")]]), ("q", [], [[held("z", 1, None)]]), ("r", [one(0, 1)], [])]
+    whole = pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows]), pa.array([r[1] for r in rows], pa.list_(slot)), pa.array([r[2] for r in rows], pa.list_(pa.list_(facet)))], ["piece_id", "wanted", "parts"])
+    for batch, own in ((whole, rows), (whole.slice(1), rows[1:]), (whole.slice(0, 0), [])):
+        want = [(p, s, [{**f[0], "facets": [(x["canonical"], x["part_index"], x["stands"]) for x in f]} for f in parts]) for p, s, parts in own]
+        assert list(R._folds(batch)) == want
+
+
+def test_the_matching_is_dealt_by_rows(spark):
+    import re
+
+    slots, held = spark.createDataFrame([("p", 0, "a", 1, "a", "section", None, ["b"])], SLOTS), spark.createDataFrame([("p", "x", 0, "b", 1, "b", None, None, "section")], HELD)
+    df = R.reconcile(slots, held, tasks=77)
+    assert [(r.kind, r.matched_part) for r in df.collect()] == [("slot", "x")]
+    counts = re.findall(r"hashpartitioning\(piece_id[^)]*, (\d+)\), (\w+)", df._jdf.queryExecution().executedPlan().toString())
+    assert {n for n, why in counts if why == "REPARTITION_BY_NUM"} == {"77"} and sum(n == "77" for n, _ in counts) >= 6
+
+
 def test_empty_sides(spark):
     none_s, none_h = spark.createDataFrame([], SLOTS), spark.createDataFrame([], HELD)
     assert R.reconcile(none_s, none_h, [["a", "b"]]).count() == 0
