@@ -401,7 +401,7 @@ def slot_component_match(spark, sf_dir):
     """The whole matching over every order: editions, keys, solos, doublings, stand-ins. SQL would have to fold each
     component step by step; tests hold it against a plain version over whole pieces."""
     slots, held = editions_and_doublings(spark, sf_dir)
-    return R.reconcile(slots, held, INTERCHANGED, USUAL_KEY)
+    return R.reconcile(slots, held, INTERCHANGED, USUAL_KEY, tasks_for(load(spark, sf_dir, "lineitem")))
 
 
 @query(
