@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from foliant.functions import numbers as N
@@ -337,6 +337,23 @@ def unexpected_parts(spark, sf_dir):
     return R.unexpected(held, R.exact_index_matches(slots, held, tasks=tasks), slots, tasks=tasks).select("piece_id", "part", "canonical")
 
 
+def _sides(lines: DataFrame, tasks: int, slot: Column, *facets: Column) -> tuple[DataFrame, DataFrame]:
+    """Slots and the facets of held parts, of line items (piece_id, l_linenumber, l_partkey, l_suppkey, held, and what the
+    structs are made of). Within the piece, `pos` numbers the lines, from 0, and `part` those held, from 1; a facet that is
+    null isn't there. Lines are dealt once, and both sides are made of the whole line there, so that Spark finds them to be
+    the same rows and writes them to disk once."""
+    from pyspark.sql import Window as W
+
+    order = W.partitionBy("piece_id").orderBy("l_linenumber", "l_partkey", "l_suppkey")
+    held = F.count_if("held").over(order.rowsBetween(W.unboundedPreceding, W.currentRow)).cast("int")
+    numbered = lines.repartition(tasks, "piece_id").select("*", (F.row_number().over(order) - 1).alias("pos"), held.alias("part"))
+    no = lambda x: F.when(F.lit(False), x)
+    rows = [F.struct(slot.alias("slot"), no(facets[0]).alias("facet")), *(F.when(F.col("held") & f.isNotNull(), F.struct(no(slot).alias("slot"), f.alias("facet"))) for f in facets)]
+    sides = numbered.select("piece_id", F.inline(F.array_compact(F.array(*rows))))
+    held = sides.where("facet is not null").select("piece_id", "facet.*").withColumn("pos", F.col("part")).withColumn("part", F.col("part").cast("string"))
+    return sides.where("slot is not null").select("piece_id", "slot.*"), held
+
+
 #: Both passes of the matching for pieces without keys, roles or stand-ins. Parts come in the order of the first part of
 #: the same facet, then their own. The first pass numbers both sides; the second goes through a group's open slots one
 #: by one, each taking the first part without a chair if it has none itself, else the first that is left.
@@ -364,11 +381,14 @@ AND NOT (h.part_index IS NOT NULL AND EXISTS (SELECT 1 FROM slots o WHERE o.piec
 )
 def slot_greedy_match(spark, sf_dir):
     """Both passes of the matching over every order, order-dependent."""
-    slots, held, tasks = _slots_and_held(spark, sf_dir)
-    key = F.col("piece_id").cast("string").alias("piece_id")
-    s = slots.select(key, "pos", "canonical", "part_index", F.col("canonical").alias("label"), "role", "transposition")
-    h = held.select(key, F.col("part").cast("string").alias("part"), F.col("part").alias("pos"), "canonical", "part_index", F.col("canonical").alias("label"), F.lit(None).cast("string").alias("clef"), "transposition", "role")
-    return R.reconcile(s, h, tasks=tasks)
+    items = load(spark, sf_dir, "lineitem", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_returnflag")
+    lines = items.select(F.col("l_orderkey").cast("string").alias("piece_id"), "l_partkey", "l_suppkey", "l_linenumber", (F.col("l_returnflag") != "R").alias("held"))
+    both = lines.join(load(spark, sf_dir, "part", "p_partkey", "p_type", "p_size"), F.col("l_partkey") == F.col("p_partkey"))
+    size, none, tasks = F.col("p_size"), F.lit(None).cast("string"), tasks_for(items)
+    shared = [F.col("p_type").alias("canonical"), F.col("p_type").alias("label"), F.lit("section").alias("role"), none.alias("transposition")]
+    slot = F.struct("pos", F.when(size % 3 != 0, size % 3).alias("part_index"), *shared)
+    part = F.struct("part", F.when(size % 2 == 0, 1 + F.col("l_linenumber") % 2).alias("part_index"), *shared, none.alias("clef"))
+    return R.reconcile(*_sides(both, tasks, slot, part), tasks=tasks)
 
 
 #: Instruments that stand for one another where an order asks for one of them alone, and the usual key of one.

@@ -167,6 +167,19 @@ def test_the_matching_is_dealt_by_rows(spark):
     assert {n for n, why in counts if why == "REPARTITION_BY_NUM"} == {"77"} and sum(n == "77" for n, _ in counts) >= 6
 
 
+def test_results_are_numbered_alike_in_tuples_and_columns(monkeypatch):
+    rng = random.Random(3)
+    pick = lambda *x: rng.choice([None, *x])
+    slot = lambda p: (p, "slot", None, pick("a", "b"), pick(1, 2), pick("x"), False, None, None, None, pick(0, 1, 2), None, None, pick("solo"), pick("F"))
+    part = lambda p, n: (p, rng.choice(["held", "unexpected"]), None, pick("a"), 1, "x", False, f"q{n}", "", "", pick(0, 1), f"q{n // 2}", n, None, None)
+    found = [(p, [slot(p) for _ in range(rng.randint(0, 5))] + [part(p, n) for n in range(rng.randint(0, 5))]) for p in (None, "p", "p", "p", "q", "r", "r")]
+    rows = lambda: sorted((tuple(r.values()) for b in R._numbered(iter(found)) for r in b.to_pylist()), key=str)
+    few = rows()
+    monkeypatch.setattr(R, "ROWS_AT_ONCE", 2)
+    assert rows() == few and {r[1] for r in few} == {"slot", "unexpected"}
+    assert sorted(r[2] for r in few if r[:2] == ("p", "slot")) == list(range(sum(r[1] == "slot" for p, x in found for r in x if p == "p")))
+
+
 def test_empty_sides(spark):
     none_s, none_h = spark.createDataFrame([], SLOTS), spark.createDataFrame([], HELD)
     assert R.reconcile(none_s, none_h, [["a", "b"]]).count() == 0
