@@ -398,22 +398,19 @@ INTERCHANGED, USUAL_KEY = [["ECONOMY", "STANDARD"], ["SMALL", "MEDIUM"]], {"PROM
 def editions_and_doublings(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
     """Line items as slots with keys, solos and equivalents; those that didn't come back as held parts, with clefs, keys,
     solos, parts of two names, and parts that go by another name."""
-    from pyspark.sql import Window as W
-
     items = load(spark, sf_dir, "lineitem", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_tax", "l_linestatus", "l_returnflag")
-    both = items.join(load(spark, sf_dir, "part", "p_partkey", "p_type", "p_brand", "p_size"), F.col("l_partkey") == F.col("p_partkey"))
-    n = F.row_number().over(W.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey"))
-    key, size = F.col("l_orderkey").cast("string").alias("piece_id"), F.col("p_size")
-    role = F.when(F.col("l_tax") > 0.06, "solo").otherwise("section").alias("role")
+    told = [(F.col("l_returnflag") != "R").alias("held"), (F.col("l_tax") > 0.06).alias("solo"), (F.col("l_linestatus") == "F").alias("bass")]
+    lines = items.select(F.col("l_orderkey").cast("string").alias("piece_id"), "l_partkey", "l_suppkey", "l_linenumber", *told)
+    both = lines.join(load(spark, sf_dir, "part", "p_partkey", "p_type", "p_brand", "p_size"), F.col("l_partkey") == F.col("p_partkey"))
+    size, label, role = F.col("p_size"), F.col("p_type").alias("label"), F.when(F.col("solo"), "solo").otherwise("section").alias("role")
     marked = lambda x: F.when(x % 4 == 1, "F").when(x % 4 == 2, "Eb").alias("transposition")
-    slots = both.select(key, (n - 1).alias("pos"), F.col("p_type").alias("canonical"), F.when(size % 3 != 0, size % 3).alias("part_index"), F.col("p_type").alias("label"), role, marked(size), F.array("p_brand").alias("equivalents"))
-    index = F.when(size % 2 == 0, 1 + F.col("l_linenumber") % 2).alias("part_index")
-    own = F.struct(F.when(size % 7 == 0, F.col("p_brand")).otherwise(F.col("p_type")).alias("canonical"), index)
-    second = F.struct(F.element_at(F.array(*[F.lit(x) for x in ("PROMO", "SMALL", "LARGE", "ECONOMY")]), F.col("l_suppkey").cast("int") % 4 + 1).alias("canonical"), F.lit(None).cast("int").alias("part_index"))
-    facets = F.when((size % 5 == 0) & (second["canonical"] != own["canonical"]), F.array(own, second)).otherwise(F.array(own))
-    clef = F.when(F.col("l_linestatus") == "F", "bass").otherwise("treble").alias("clef")
-    held = both.where("l_returnflag <> 'R'").select(key, n.alias("pos"), n.cast("string").alias("part"), F.col("p_type").alias("label"), clef, marked(F.col("l_linenumber")), role, facets.alias("facets"))
-    return slots, held.select("*", F.inline("facets")).drop("facets")
+    slot = F.struct("pos", F.col("p_type").alias("canonical"), F.when(size % 3 != 0, size % 3).alias("part_index"), label, role, marked(size), F.array("p_brand").alias("equivalents"))
+    shared = [label, F.when(F.col("bass"), "bass").otherwise("treble").alias("clef"), marked(F.col("l_linenumber")), role]
+    part = lambda name, index: F.struct("part", name.alias("canonical"), index.alias("part_index"), *shared)
+    own = F.when(size % 7 == 0, F.col("p_brand")).otherwise(F.col("p_type"))
+    second = F.element_at(F.array(*[F.lit(x) for x in ("PROMO", "SMALL", "LARGE", "ECONOMY")]), F.col("l_suppkey").cast("int") % 4 + 1)
+    doubled = F.when((size % 5 == 0) & (second != own), part(second, F.lit(None).cast("int")))
+    return _sides(both, tasks_for(items), slot, part(own, F.when(size % 2 == 0, 1 + F.col("l_linenumber") % 2)), doubled)
 
 
 @query()

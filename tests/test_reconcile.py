@@ -167,6 +167,22 @@ def test_the_matching_is_dealt_by_rows(spark):
     assert {n for n, why in counts if why == "REPARTITION_BY_NUM"} == {"77"} and sum(n == "77" for n, _ in counts) >= 6
 
 
+def exchanges(df):
+    """How many exchanges of rows a finished query wrote, and how many it read again."""
+    import re
+
+    df.collect()
+    found = re.findall(r"(ReusedExchange [^\n]*?)?Exchange (?:hash|range|RoundRobin)", df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan")[0])
+    return sum(not again for again in found), sum(map(bool, found))
+
+
+def test_line_items_are_dealt_once(spark, sf):
+    """What is written to disk are the lines, and the names that are tied; all else stays where its piece is."""
+    for query in (pieces.slot_component_match, pieces.slot_greedy_match):
+        written, again = exchanges(query(spark, sf))
+        assert written <= 2 and again >= 1, query.__name__
+
+
 def test_results_are_numbered_alike_in_tuples_and_columns(monkeypatch):
     rng = random.Random(3)
     pick = lambda *x: rng.choice([None, *x])
