@@ -346,10 +346,10 @@ def _sides(lines: DataFrame, tasks: int, slot: Column, *facets: Column) -> tuple
 
     order = W.partitionBy("piece_id").orderBy("l_linenumber", "l_partkey", "l_suppkey")
     held = F.count_if("held").over(order.rowsBetween(W.unboundedPreceding, W.currentRow)).cast("int")
-    numbered = lines.repartition(tasks, "piece_id").select("*", (F.row_number().over(order) - 1).alias("pos"), held.alias("part"))
+    numbered = lines.withColumn("piece_id", F.col("piece_id").cast("string")).repartition(tasks, "piece_id").select("*", (F.row_number().over(order) - 1).alias("pos"), held.alias("part"))
     no = lambda x: F.when(F.lit(False), x)
-    rows = [F.struct(slot.alias("slot"), no(facets[0]).alias("facet")), *(F.when(F.col("held") & f.isNotNull(), F.struct(no(slot).alias("slot"), f.alias("facet"))) for f in facets)]
-    sides = numbered.select("piece_id", F.inline(F.array_compact(F.array(*rows))))
+    rows = [F.struct(slot.alias("slot"), no(facets[0]).alias("facet")), *(F.struct(no(slot).alias("slot"), F.when(F.col("held"), f).alias("facet")) for f in facets)]
+    sides = numbered.select("piece_id", F.inline(F.array(*rows)))
     held = sides.where("facet is not null").select("piece_id", "facet.*").withColumn("pos", F.col("part")).withColumn("part", F.col("part").cast("string"))
     return sides.where("slot is not null").select("piece_id", "slot.*"), held
 
@@ -382,7 +382,7 @@ AND NOT (h.part_index IS NOT NULL AND EXISTS (SELECT 1 FROM slots o WHERE o.piec
 def slot_greedy_match(spark, sf_dir):
     """Both passes of the matching over every order, order-dependent."""
     items = load(spark, sf_dir, "lineitem", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_returnflag")
-    lines = items.select(F.col("l_orderkey").cast("string").alias("piece_id"), "l_partkey", "l_suppkey", "l_linenumber", (F.col("l_returnflag") != "R").alias("held"))
+    lines = items.select(F.col("l_orderkey").alias("piece_id"), "l_partkey", "l_suppkey", "l_linenumber", (F.col("l_returnflag") != "R").alias("held"))
     both = lines.join(load(spark, sf_dir, "part", "p_partkey", "p_type", "p_size"), F.col("l_partkey") == F.col("p_partkey"))
     size, none, tasks = F.col("p_size"), F.lit(None).cast("string"), tasks_for(items)
     shared = [F.col("p_type").alias("canonical"), F.col("p_type").alias("label"), F.lit("section").alias("role"), none.alias("transposition")]
@@ -400,7 +400,7 @@ def editions_and_doublings(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
     solos, parts of two names, and parts that go by another name."""
     items = load(spark, sf_dir, "lineitem", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_tax", "l_linestatus", "l_returnflag")
     told = [(F.col("l_returnflag") != "R").alias("held"), (F.col("l_tax") > 0.06).alias("solo"), (F.col("l_linestatus") == "F").alias("bass")]
-    lines = items.select(F.col("l_orderkey").cast("string").alias("piece_id"), "l_partkey", "l_suppkey", "l_linenumber", *told)
+    lines = items.select(F.col("l_orderkey").alias("piece_id"), "l_partkey", "l_suppkey", "l_linenumber", *told)
     both = lines.join(load(spark, sf_dir, "part", "p_partkey", "p_type", "p_brand", "p_size"), F.col("l_partkey") == F.col("p_partkey"))
     size, label, role = F.col("p_size"), F.col("p_type").alias("label"), F.when(F.col("solo"), "solo").otherwise("section").alias("role")
     marked = lambda x: F.when(x % 4 == 1, "F").when(x % 4 == 2, "Eb").alias("transposition")
